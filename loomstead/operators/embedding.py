@@ -3,7 +3,6 @@ Arrow batches of text and nothing else of the row travels to Python."""
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from typing import Protocol
 
@@ -34,6 +33,22 @@ def model_name(model_id: str) -> str:
     return MODEL_NAMES.get(model_id, model_id)
 
 
+class _Slots(dict):
+    """word -> slot for +1, or ``dim`` + slot for -1; filled as words turn up."""
+
+    most = 1_000_000
+
+    def __init__(self, dim):
+        self.dim = dim
+
+    def __missing__(self, word):
+        digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
+        slot = int(digest[:8], 16) % self.dim + self.dim * (int(digest[8], 16) % 2)
+        if len(self) < self.most:
+            self[word] = slot
+        return slot
+
+
 class HashedTextEmbedder:
     """Signed counts of hashed words, scaled to length 1. Needs no model and gives the same
     vector on every machine: word w adds +-1 to component md5(w)[:8] mod dim, the sign being
@@ -42,27 +57,17 @@ class HashedTextEmbedder:
     word = re.compile(r"[^\W_]+")
 
     def __init__(self, dim: int = DEFAULT_DIM):
-        self.dim = dim
-        self._slots = {}
-
-    def __getstate__(self):
-        return {"dim": self.dim, "_slots": {}}
+        self.dim, self._slots = dim, _Slots(dim)
 
-    def _slot(self, word):
-        found = self._slots.get(word)
-        if found is None:
-            digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
-            found = int(digest[:8], 16) % self.dim, 1 - 2 * (int(digest[8], 16) % 2)
-            if len(self._slots) < 1_000_000:
-                self._slots[word] = found
-        return found
+    def __reduce__(self):
+        return HashedTextEmbedder, (self.dim,)
 
     def embed(self, texts):
         counts = np.zeros((len(texts), self.dim))
-        for row, text in zip(counts, texts):
-            for word, n in Counter(self.word.findall(text.lower())).items():
-                slot, sign = self._slot(word)
-                row[slot] += sign * n
+        for row, text in enumerate(texts):
+            slots = [self._slots[word] for word in self.word.findall(text.lower())]
+            signed = np.bincount(np.array(slots, dtype=np.int64), minlength=2 * self.dim)
+            counts[row] = signed[: self.dim] - signed[self.dim :]
         lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return counts / np.where(lengths > 0, lengths, 1.0)
 

@@ -11,6 +11,8 @@ therefore cut by ``seq`` into chunks of bounded size, whatever their keys:
 """
 
 from bisect import bisect_left
+from itertools import groupby
+from operator import itemgetter
 from typing import NamedTuple
 
 import pandas as pd
@@ -32,7 +34,7 @@ from .fact_writes import (
 )
 
 # Width of a chunk in units of ``seq``; as seq is unique, also its greatest number of rows.
-CHUNK_SPAN = 100_000
+CHUNK_SPAN = 10_000
 
 OPEN, CLOSED, END = "open", "closed", "end"
 
@@ -120,19 +122,18 @@ def _unpack(value):
     return None if value is None else Open(value["id"], value["start"])
 
 
-def _per_key(pdf):
-    ordered = pdf.sort_values("seq")
-    return ordered.groupby("key", sort=False)
-
-
-def _triples(group):
-    return list(zip(group["kind"], group["id"], group["at"]))
+def _per_key(events: pd.DataFrame):
+    """(key, seqs, events) for each key, its events in order."""
+    rows = sorted(zip(*(events[c] for c in ("key", "seq", "kind", "id", "at"))), key=itemgetter(0, 1))
+    for key, group in groupby(rows, key=itemgetter(0)):
+        _, seqs, *columns = zip(*group)
+        yield key, seqs, list(zip(*columns))
 
 
 def _summarize_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
     chunk, rows = pdf["chunk"].iloc[0], []
-    for key, group in _per_key(pdf):
-        none, steps = summarize(_triples(group))
+    for key, _, events in _per_key(pdf):
+        none, steps = summarize(events)
         rows.append((chunk, key, _pack(none), [{"bar": b, "out": _pack(o)} for b, o in steps]))
     return pd.DataFrame(rows, columns=["chunk", "key", "none", "steps"])
 
@@ -155,13 +156,11 @@ def _chain_sorted(batches):
 
 def _replay_chunk(events: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
     entry = {e.key: Open(e.open_id, e.open_start) for e in entries.itertuples(index=False)}
-    parts = []
-    for key, group in _per_key(events) if len(events) else ():
-        outcomes, _ = follow(_triples(group), entry.get(key))
-        part = pd.DataFrame(outcomes, columns=["status", "fact_id"], index=group.index)
-        parts.append(part.assign(seq=group["seq"]))
-    columns = ["seq", "status", "fact_id"]
-    return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
+    rows = []
+    for key, seqs, events_of_key in _per_key(events):
+        outcomes, _ = follow(events_of_key, entry.get(key))
+        rows.extend((seq, *outcome) for seq, outcome in zip(seqs, outcomes))
+    return pd.DataFrame(rows, columns=["seq", "status", "fact_id"])
 
 
 def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int = CHUNK_SPAN) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import _sum, cosine_distance, from_text, mean_pool, scrub, to_text
 from ..operators import embedding, reads, reports, search, writes
 from ..schemas import COLLECTION_SCHEMA
-from ..session import shared_folder
+from ..session import nothing, shared_folder
 from ..sources import dumps, files
 from . import inputs
 from .inputs import DIM, Tables
@@ -15,7 +15,7 @@ from .inputs import DIM, Tables
 def _total(vector="embedding"):
     """Two numbers standing for a vector, equal in both engines."""
     sums = _sum(F.transform(vector, lambda x: x.cast("double")))
-    return [F.size(vector).alias("n"), F.round(sums, 6).alias("total")]
+    return [F.size(vector).cast("long").alias("n"), F.round(sums, 6).alias("total")]
 
 
 def _shown(df: DataFrame, *columns) -> DataFrame:
@@ -149,7 +149,7 @@ def upsert_last_wins(t):
 def upsert_defaults(t):
     """Rows with neither text nor metadata."""
     batch = t.labels.select(F.concat(F.lit("label_"), F.col("doc_id")).alias("id"))
-    return _stored(writes.upsert(inputs.empty(t.spark, COLLECTION_SCHEMA), batch))
+    return _stored(writes.upsert(nothing(t.spark, COLLECTION_SCHEMA), batch))
 
 
 def update_partial(t):
@@ -271,7 +271,7 @@ def embedding_parity(t):
 def export_rows(t):
     rows = dumps.export_rows(inputs.notes(t))
     parts = F.size(F.split(F.expr("substring(embedding, 2, length(embedding) - 2)"), ","))
-    return rows.select("id", "document", "metadata", F.when(F.col("embedding").isNotNull(), parts).alias("n"))
+    return rows.select("id", "document", "metadata", F.when(F.col("embedding").isNotNull(), parts.cast("long")).alias("n"))
 
 
 def _tables(t):

@@ -6,7 +6,7 @@ from ..functions.names import capitalize, entity_slug, predicate_slug
 from ..functions.temporal import end_key, start_key, valid_at
 from ..operators import fact_events, fact_reads, fact_writes, seeding
 from ..schemas import ENTITY_SCHEMA, TRIPLE_SCHEMA
-from ..session import written
+from ..session import nothing, written
 from . import inputs
 from .inputs import BATCH_TS
 
@@ -73,7 +73,7 @@ def kg_predicates(t):
 
 def _add(t, batch, stored=None, ts=BATCH_TS):
     if stored is None:
-        stored = inputs.empty(t.spark, TRIPLE_SCHEMA)
+        stored = nothing(t.spark, TRIPLE_SCHEMA)
     return fact_writes.add_facts(inputs.customers(t), stored, batch, ts)
 
 
@@ -95,9 +95,9 @@ def kg_triple_id(t):
 
 def kg_inverted_rejects(t):
     """Facts said to hold from shipping until 60 days after the order."""
-    until = F.expr("date_format(o_orderdate + make_dt_interval(60), 'yyyy-MM-dd')")
+    until = F.expr("CAST(date_add(CAST(o_orderdate AS date), 60) AS string)")
     batch = inputs.purchases(t).withColumn("valid_to", until)
-    judgement = fact_writes.judged(inputs.empty(t.spark, TRIPLE_SCHEMA), batch, BATCH_TS)
+    judgement = fact_writes.judged(nothing(t.spark, TRIPLE_SCHEMA), batch, BATCH_TS)
     return judgement.filter("status = 'rejected'").select("seq", "reason")
 
 
@@ -140,7 +140,7 @@ def kg_invalidate_rejects(t):
 
 def _events(t):
     return fact_events.apply_events(
-        inputs.empty(t.spark, ENTITY_SCHEMA), inputs.empty(t.spark, TRIPLE_SCHEMA),
+        nothing(t.spark, ENTITY_SCHEMA), nothing(t.spark, TRIPLE_SCHEMA),
         inputs.usage_events(t), BATCH_TS,
     )
 
@@ -155,7 +155,7 @@ def kg_events_triples(t):
 
 def _seeded(t):
     return seeding.seed(
-        inputs.empty(t.spark, ENTITY_SCHEMA), inputs.empty(t.spark, TRIPLE_SCHEMA), inputs.people(t), BATCH_TS
+        nothing(t.spark, ENTITY_SCHEMA), nothing(t.spark, TRIPLE_SCHEMA), inputs.people(t), BATCH_TS
     )
 
 

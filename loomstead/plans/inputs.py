@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.metadata import with_promoted
 from ..functions.names import entity_slug, predicate_slug
 from ..schemas import COLLECTION_SCHEMA, ENTITY_SCHEMA, TRIPLE_SCHEMA
+from ..sources.tables import is_file
 
 BATCH_TS = "2026-01-01 00:00:00"
 BASE_TS = "2025-01-01 00:00:00"
@@ -22,9 +23,13 @@ class Tables:
     def __getattr__(self, name) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-
-def empty(spark, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    def spread(self, name, key) -> DataFrame:
+        """A table for heavy work per row. One kept in a single file would be read by a single
+        task, so its rows are dealt out by ``key`` first; a folder of files is left as it is."""
+        rows = getattr(self, name)
+        if not is_file(self.spark, f"{self.folder}/{name}.parquet"):
+            return rows
+        return rows.repartition(self.spark.sparkContext.defaultParallelism, key)
 
 
 # -- collections --------------------------------------------------------------------------
@@ -37,7 +42,7 @@ NOTE_METADATA = """concat('{"wing":"', lang, '"',
 
 def note_rows(t: Tables) -> DataFrame:
     """One collection row per document, without vectors."""
-    return t.documents.selectExpr(
+    return t.spread("documents", "doc_id").selectExpr(
         "concat('doc_', doc_id) AS id", "text AS document", f"{NOTE_METADATA} AS metadata", "doc_id"
     )
 
@@ -151,14 +156,14 @@ SEQ = """CAST(CAST(l_orderkey AS decimal(18,0)) * 1000000000000000000
     + CAST(l_partkey AS decimal(18,0)) * 100000
     + datediff(l_shipdate, date'1970-01-01') AS decimal(38,0))"""
 VALID_FROM = """CASE WHEN o_orderpriority = '5-LOW' THEN NULL
-    WHEN l_returnflag = 'A' THEN concat(date_format(l_shipdate, 'yyyy-MM-dd'), 'T00:00:00Z')
-    ELSE date_format(l_shipdate, 'yyyy-MM-dd') END"""
-ENDED = "date_format(l_shipdate + make_dt_interval(l_linenumber * 30), 'yyyy-MM-dd')"
+    WHEN l_returnflag = 'A' THEN concat(CAST(CAST(l_shipdate AS date) AS string), 'T00:00:00Z')
+    ELSE CAST(CAST(l_shipdate AS date) AS string) END"""
+ENDED = "CAST(date_add(CAST(l_shipdate AS date), l_linenumber * 30) AS string)"
 
 
 def _lines(t: Tables) -> DataFrame:
     return (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        t.spread("lineitem", "l_orderkey").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     )

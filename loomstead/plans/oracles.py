@@ -146,7 +146,7 @@ KNN = """hits AS (SELECT query_id, id, document, metadata, distance,
 
 def _knn(columns, rows="notes", queries="prototypes", where="", views=(NOTES, PROTOTYPES)):
     return _with(*views, KNN.format(rows=rows, queries=queries, where=where)) + (
-        f"SELECT query_id, rank, id, round(distance, 6) AS distance{columns} FROM hits"
+        f"SELECT query_id, rank::INT AS rank, id, round(distance, 6) AS distance{columns} FROM hits"
     )
 
 

@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Joins here put a side that is unique on the key against one that may be very skewed, which
 # is the case the adaptive skew join splits. "force" lets it split even where that costs an
@@ -43,6 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def nothing(spark: SparkSession, schema) -> DataFrame:
+    """An empty frame the optimizer knows to be empty, so that work on it is planned away."""
+    return spark.createDataFrame([], schema).filter(F.lit(False))
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back, so that a lost executor
     costs a re-read and a plan used several times is computed once."""

@@ -8,6 +8,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import nothing
+
 SNAPSHOT = "v={:010d}"
 
 
@@ -16,6 +18,11 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _filesystem(spark, path)
+    return fs.getFileStatus(hadoop_path).isFile()
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Finished snapshots below ``root``, oldest first."""
     fs, path = _filesystem(spark, root)
@@ -39,7 +46,7 @@ def read_snapshot(spark: SparkSession, root: str, schema, before: int | None = N
     version None and no rows when there is none."""
     known = [v for v in versions(spark, root) if before is None or v < before]
     if not known:
-        return None, spark.createDataFrame([], schema)
+        return None, nothing(spark, schema)
     return known[-1], spark.read.schema(schema).parquet(f"{root}/{SNAPSHOT.format(known[-1])}")
 
 
