@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import entity_slug, predicate_of, slug_of
 from ..functions.temporal import apply_as_of, start_key, valid_at
-from ..session import written
+from ..session import join_per_key, written
 
 DIRECTIONS = {"outgoing": ("outgoing",), "incoming": ("incoming",), "both": ("outgoing", "incoming")}
 TIMELINE_LIMIT = 100
@@ -43,10 +43,8 @@ def query_entity(
         match = match | here[s]
     # one pass over the facts for both directions
     found = apply_as_of(triples.filter(match), as_of).withColumn("end", F.explode(wanted))
-    named = found.join(
-        entities.select(F.col("id").alias("_other"), F.col("name").alias("_name")),
-        F.col("end.other") == F.col("_other"),
-    )
+    names = entities.select(F.col("id").alias("_other"), F.col("name").alias("_name"))
+    named = join_per_key(found.withColumn("_other", F.col("end.other")), names, ["_other"], "inner")
     out = F.col("end.direction") == "outgoing"
     return named.select(
         F.col("end.direction").alias("direction"),
@@ -68,11 +66,9 @@ def query_entities(entities: DataFrame, triples: DataFrame, probes: DataFrame) -
         F.when(F.col("as_of") != "", start_key("as_of")).alias("_key"),
     )
     valid = F.col("_key").isNull() | valid_at(F.col("_key"))
-    named = (
-        triples.join(asked, "subject")
-        .filter(valid)
-        .join(entities.select(F.col("id").alias("object"), F.col("name").alias("_name")), "object")
-    )
+    matched = triples.join(asked, "subject").filter(valid)
+    names = entities.select(F.col("id").alias("object"), F.col("name").alias("_name"))
+    named = join_per_key(matched, names, ["object"], "inner")
     return named.select(
         F.col("_asked").alias("subject"),
         F.col("_as_of").alias("as_of"),
@@ -87,7 +83,7 @@ def with_names(entities: DataFrame, facts: DataFrame) -> DataFrame:
     """Add ``sub_name`` and ``obj_name``; facts missing either entity drop out."""
     for side, into in (("subject", "sub_name"), ("object", "obj_name")):
         names = entities.select(F.col("id").alias(side), F.col("name").alias(into))
-        facts = facts.join(names, side)
+        facts = join_per_key(facts, names, [side], "inner")
     return facts
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.names import entity_slug, predicate_slug
 from ..functions.temporal import end_key, is_inverted, is_temporal, start_key
 from ..schemas import ENTITY_SCHEMA, FACT_KEY, PROVENANCE, TRIPLE_SCHEMA
+from ..session import join_per_key
 
 KEY = list(FACT_KEY)
 
@@ -128,7 +129,7 @@ def add_mentioned(entities: DataFrame, facts: DataFrame, batch_ts) -> DataFrame:
 def _open_per_key(triples: DataFrame, keys: DataFrame) -> DataFrame:
     """Open stored facts of the given keys only: a small batch is broadcast, so the stored
     facts are filtered where they lie instead of being shuffled."""
-    return triples.filter("valid_to IS NULL").join(keys, KEY, "left_semi")
+    return join_per_key(triples.filter("valid_to IS NULL"), keys, KEY, "left_semi")
 
 
 def judged(triples: DataFrame, batch: DataFrame, batch_ts: str) -> DataFrame:
@@ -149,7 +150,7 @@ def judged(triples: DataFrame, batch: DataFrame, batch_ts: str) -> DataFrame:
         F.min("seq").alias("open_seq"),
         F.min_by("new_id", "seq").alias("open_id"),
     )
-    joined = rows.join(first, KEY, "left")
+    joined = join_per_key(rows, first, KEY, "left")
     earlier = F.coalesce(F.col("open_seq") < F.col("seq"), F.lit(False))
     existing = F.coalesce("stored_id", F.when(earlier, F.col("open_id")))
     status = (
@@ -202,7 +203,7 @@ def invalidate(triples: DataFrame, endings: DataFrame, today: str | None = None)
         .groupBy(*KEY)
         .agg(F.max(start_key("valid_from")).alias("_latest"), F.lit(True).alias("_open"))
     )
-    found = asked.join(latest, KEY, "left").withColumns(
+    found = join_per_key(asked, latest, KEY, "left").withColumns(
         {
             "_bad": ~is_temporal("ended"),
             "_late": F.coalesce(end_key("ended") < F.col("_latest"), F.lit(False)),
@@ -215,10 +216,10 @@ def invalidate(triples: DataFrame, endings: DataFrame, today: str | None = None)
         .agg(F.min_by("ended", "seq").alias("_ended"), F.min("seq").alias("_closed_at"))
     )
     columns = triples.columns
-    closed = triples.join(closing.drop("_closed_at"), KEY, "left").withColumn(
+    closed = join_per_key(triples, closing.drop("_closed_at"), KEY, "left").withColumn(
         "valid_to", F.when(F.col("valid_to").isNull(), F.col("_ended")).otherwise(F.col("valid_to"))
     )
-    refused = found.filter("_bad OR _late").join(closing.drop("_ended"), KEY, "left")
+    refused = join_per_key(found.filter("_bad OR _late"), closing.drop("_ended"), KEY, "left")
     still_open = F.col("_closed_at").isNull() | (F.col("seq") < F.col("_closed_at"))
     rejects = refused.filter(F.col("_bad") | still_open).select(
         "seq",

@@ -44,6 +44,17 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join rows, any number of which may share a key, to a frame with one row per key.
+
+    The adaptive skew join splits a hot key only between two exchanges of the join's own. An
+    aggregate on the same keys would lend the join its partitioning and so prevent that; with
+    a hash as one more key it does not, at the price of moving one row per key again.
+    """
+    hashed = [df.withColumn("_hash", F.xxhash64(*keys)) for df in (rows, per_key)]
+    return hashed[0].join(hashed[1], ["_hash", *keys], how).drop("_hash")
+
+
 def nothing(spark: SparkSession, schema) -> DataFrame:
     """An empty frame the optimizer knows to be empty, so that work on it is planned away."""
     return spark.createDataFrame([], schema).filter(F.lit(False))

@@ -7,7 +7,7 @@ text, times as ISO text; the promoted columns are left out on loading and derive
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
@@ -34,38 +34,42 @@ def export_rows(df: DataFrame) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
-def manifest(
-    tables: dict[str, DataFrame], created: str | None = None, counted: dict[str, DataFrame] | None = None
-) -> DataFrame:
-    """Per table: rows (of ``counted``, if given), columns, vector columns, time of the dump."""
-    created = created or datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%SZ")
+def manifest(tables: dict[str, DataFrame], created: str | None = None) -> DataFrame:
+    """Per table: rows, columns, vector columns and the time given."""
+    lines = [
+        df.agg(F.count("*").alias("rows")).select(*_manifest_line(name, df.schema, F.col("rows"), created))
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, lines)
 
+
+def _manifest_line(name, schema, rows, created):
     def names(values):
         return F.array(*map(F.lit, values)).cast("array<string>")
 
-    lines = [
-        (counted or tables)[name].agg(F.count("*").alias("rows")).select(
-            F.lit(name).alias("table"),
-            "rows",
-            names(df.columns).alias("columns"),
-            names(_vector_columns(df.schema)).alias("vector_columns"),
-            F.lit(created).alias("created"),
-        )
-        for name, df in tables.items()
+    return [
+        F.lit(name).alias("table"),
+        rows.alias("rows"),
+        names(schema.names).alias("columns"),
+        names(_vector_columns(schema)).alias("vector_columns"),
+        F.lit(created or datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%SZ")).alias("created"),
     ]
-    return reduce(DataFrame.unionAll, lines)
 
 
 def export_tables(tables: dict[str, DataFrame], folder: str, created: str | None = None):
-    """Dump every table, then the manifest counted from the dump itself, so that a folder with
-    a manifest is a complete dump."""
+    """Dump every table, counting its rows as they are written, and the manifest last, so that
+    a folder with a manifest is a complete dump."""
     if not tables:
         raise ValueError("no tables to dump")
     spark = next(iter(tables.values())).sparkSession
+    lines = []
     for name, df in tables.items():
-        export_rows(df).write.option("ignoreNullFields", "false").json(f"{folder}/{name}")
-    dumped = {name: _lines(spark, folder, name, df.schema) for name, df in tables.items()}
-    manifest(tables, created, counted=dumped).write.json(f"{folder}/{MANIFEST}")
+        seen = Observation()
+        rows = export_rows(df).observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows.write.option("ignoreNullFields", "false").json(f"{folder}/{name}")
+        written = F.lit(seen.get["rows"]).cast("long")
+        lines.append(spark.range(1).select(*_manifest_line(name, df.schema, written, created)))
+    reduce(DataFrame.unionAll, lines).write.json(f"{folder}/{MANIFEST}")
 
 
 def _lines(spark, folder, name, schema):

@@ -51,17 +51,15 @@ def ingest(
     def file_batch(lines: DataFrame, number: int):
         if limit and filed["files"] >= limit:
             raise _RunLimit
-        # read and embedded once, however many outputs follow
         rows = _with_defaults(lines, defaults)
         good, bad = split_valid(rows, dim, table)
         good = last_per_id(good.withColumn("_order", F.struct("path", "line")), "_order")
         if embedder is not None:
             good = embed_where_missing(good, embedder)
-        good = written(good.select("path", *COLLECTION_SCHEMA.names))
         spot = SNAPSHOT.format(number)
-        good.select(COLLECTION_SCHEMA.names).write.mode("overwrite").parquet(f"{store}/rows/{spot}")
+        good.select("path", *COLLECTION_SCHEMA.names).write.mode("overwrite").parquet(f"{store}/rows/{spot}")
         bad.select(QUARANTINE_SCHEMA.names).write.mode("overwrite").json(f"{store}/quarantine/{spot}")
-        done = _batch_manifest(lines, good)
+        done = _batch_manifest(lines, spark.read.parquet(f"{store}/rows/{spot}"))
         done.write.mode("overwrite").parquet(f"{store}/manifest/{spot}")
         filed["batches"] += 1
         filed["files"] += spark.read.parquet(f"{store}/manifest/{spot}").count()
@@ -121,9 +119,16 @@ def _log(spark, folder, schema, kind="parquet"):
 
 
 def stored_rows(spark: SparkSession, store: str) -> DataFrame:
-    """The collection: the last filed row of every id."""
-    schema = StructType(COLLECTION_SCHEMA.fields + [StructField("v", LongType())])
-    return last_per_id(_log(spark, f"{store}/rows", schema), "v").select(COLLECTION_SCHEMA.names)
+    """The collection: the last filed row of every id.
+
+    Only ids and batch numbers are shuffled to find the ids filed more than once; the rows
+    these outdate are then left out, without moving the others while such ids are few.
+    """
+    log = _log(spark, f"{store}/rows", StructType(COLLECTION_SCHEMA.fields + [StructField("v", LongType())]))
+    newest = log.groupBy("id").agg(F.max("v").alias("newest"), F.count("*").alias("n")).filter("n > 1")
+    refiled = written(newest.select(F.col("id").alias("_id"), "newest"))
+    outdated = (F.col("id") == F.col("_id")) & (F.col("v") < F.col("newest"))
+    return log.join(refiled, outdated, "left_anti").select(COLLECTION_SCHEMA.names)
 
 
 def quarantined(spark: SparkSession, store: str) -> DataFrame:
