@@ -18,6 +18,13 @@ from .tables import write_snapshot
 
 MANIFEST = "manifest"
 
+# Spark's own JSON spelling of times stops at milliseconds.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _vector_columns(schema: StructType) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, ArrayType)]
@@ -66,7 +73,7 @@ def export_tables(tables: dict[str, DataFrame], folder: str, created: str | None
     for name, df in tables.items():
         seen = Observation()
         rows = export_rows(df).observe(seen, F.count(F.lit(1)).alias("rows"))
-        rows.write.option("ignoreNullFields", "false").json(f"{folder}/{name}")
+        rows.write.options(**JSON_OPTIONS).json(f"{folder}/{name}")
         written = F.lit(seen.get["rows"]).cast("long")
         lines.append(spark.range(1).select(*_manifest_line(name, df.schema, written, created)))
     reduce(DataFrame.unionAll, lines).write.json(f"{folder}/{MANIFEST}")
@@ -79,7 +86,7 @@ def _lines(spark, folder, name, schema):
         return field.dataType
 
     stored = StructType([StructField(f.name, dumped_type(f)) for f in schema])
-    return spark.read.schema(stored).json(f"{folder}/{name}")
+    return spark.read.options(**JSON_OPTIONS).schema(stored).json(f"{folder}/{name}")
 
 
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:

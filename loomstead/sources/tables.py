@@ -41,6 +41,13 @@ def _finished(spark, folder):
     return fs.exists(path)
 
 
+def table_names(spark: SparkSession, root: str) -> list[str]:
+    """The tables below ``root``: folders with at least one finished snapshot."""
+    fs, path = _filesystem(spark, root)
+    names = [e.getPath().getName() for e in fs.listStatus(path) if e.isDirectory()] if fs.exists(path) else []
+    return sorted(name for name in names if versions(spark, f"{root}/{name}"))
+
+
 def read_snapshot(spark: SparkSession, root: str, schema, before: int | None = None):
     """(version, rows) of the newest snapshot, or of the newest older than ``before``;
     version None and no rows when there is none."""

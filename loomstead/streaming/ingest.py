@@ -16,9 +16,9 @@ from ..functions.metadata import default_metadata, is_json_object
 from ..operators.embedding import embed_where_missing
 from ..operators.writes import last_per_id, split_valid
 from ..schemas import COLLECTION_INPUT_SCHEMA, COLLECTION_SCHEMA, MANIFEST_SCHEMA, QUARANTINE_SCHEMA
-from ..session import written
-from ..sources.files import current_manifest
-from ..sources.tables import SNAPSHOT, write_snapshot
+from ..session import nothing, written
+from ..sources.files import current_manifest, discover
+from ..sources.tables import SNAPSHOT, versions, write_snapshot
 
 # A line of a source file: a collection row, with its place in the file as ``line`` if order
 # among copies of one id matters.
@@ -136,7 +136,17 @@ def quarantined(spark: SparkSession, store: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, store: str) -> DataFrame:
-    return current_manifest(_log(spark, f"{store}/manifest", MANIFEST_SCHEMA).select(MANIFEST_SCHEMA.names))
+    """One done row per file filed so far."""
+    folder = f"{store}/manifest"
+    if not versions(spark, folder):
+        return nothing(spark, MANIFEST_SCHEMA)
+    return current_manifest(_log(spark, folder, MANIFEST_SCHEMA).select(MANIFEST_SCHEMA.names))
+
+
+def progress(spark: SparkSession, source: str, store: str, glob: str = "*.jsonl") -> DataFrame:
+    """The manifest with the files that are still to be filed, as pending rows."""
+    filed = manifest(spark, store)
+    return filed.unionByName(discover(spark, source, filed, glob))
 
 
 def compact(spark: SparkSession, store: str, root: str) -> int:

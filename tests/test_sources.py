@@ -43,7 +43,7 @@ def test_promoted_columns_are_derived_on_loading(spark, notes, tmp_path):
 def test_binary_and_times(spark, tmp_path):
     import datetime
 
-    df = spark.createDataFrame([(bytearray(b"ok"), datetime.datetime(2025, 1, 2, 3, 4, 5)), (bytearray(b"\xff!"), None)], "b binary, ts timestamp")
+    df = spark.createDataFrame([(bytearray(b"ok"), datetime.datetime(2025, 1, 2, 3, 4, 5, 123456)), (bytearray(b"\xff!"), None)], "b binary, ts timestamp")
     text = [r.b for r in dumps.export_rows(df).collect()]
     assert text == ["ok", "�!"]
     folder = str(tmp_path / "dump")
