@@ -1,20 +1,16 @@
-"""Name normalisation for entities and predicates."""
+"""Name normalisation for entities and predicates; ``c`` is a column name or SQL expression."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def predicate_slug(c: str) -> Column:
+    return F.expr(f"replace(lower({c}), ' ', '_')")
 
 
-def predicate_slug(c) -> Column:
-    return F.replace(F.lower(_col(c)), F.lit(" "), F.lit("_"))
-
-
-def entity_slug(c) -> Column:
+def entity_slug(c: str) -> Column:
     """Like a predicate, with apostrophes removed as well."""
-    return F.replace(predicate_slug(c), F.lit("'"), F.lit(""))
+    return F.expr(f"replace(replace(lower({c}), ' ', '_'), '\\'', '')")
 
 
 def slug_of(name: str) -> str:
@@ -25,7 +21,6 @@ def predicate_of(name: str) -> str:
     return name.lower().replace(" ", "_")
 
 
-def capitalize(c) -> Column:
+def capitalize(c: str) -> Column:
     """First character upper, the rest lower."""
-    c = _col(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
+    return F.expr(f"concat(upper(substring({c}, 1, 1)), lower(substring({c}, 2)))")

@@ -1,5 +1,9 @@
 """Valid-time text: date-only values widen to the start or end of their day, and all
-comparison is on the text."""
+comparison is on the text.
+
+Arguments named ``c``, ``key``, ``valid_from`` and ``valid_to`` are column names or SQL
+expressions. The rules are written as SQL text, so that building a plan from them is cheap.
+"""
 
 import re
 
@@ -12,22 +16,17 @@ DAY_START = "T00:00:00Z"
 DAY_END = "T23:59:59Z"
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _widen(c, suffix) -> Column:
-    c = _col(c)
-    date_only = (F.octet_length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
-    return F.when(date_only, F.concat(c, F.lit(suffix))).otherwise(c)
+def _widened(c: str, suffix: str) -> str:
+    date_only = f"octet_length({c}) = 10 AND substring({c}, 5, 1) = '-' AND substring({c}, 8, 1) = '-'"
+    return f"CASE WHEN {date_only} THEN concat({c}, '{suffix}') ELSE {c} END"
 
 
-def start_key(c) -> Column:
-    return _widen(c, DAY_START)
+def start_key(c: str) -> Column:
+    return F.expr(_widened(c, DAY_START))
 
 
-def end_key(c) -> Column:
-    return _widen(c, DAY_END)
+def end_key(c: str) -> Column:
+    return F.expr(_widened(c, DAY_END))
 
 
 def key_of(value: str, suffix: str = DAY_START) -> str:
@@ -43,26 +42,31 @@ def check_temporal(value, name):
     return value
 
 
-def is_temporal(c) -> Column:
+def malformed(c: str) -> str:
+    """SQL condition: given, but not an ISO date or date-time."""
+    return f"({c} IS NOT NULL AND NOT {c} RLIKE r'{ISO_PATTERN}')"
+
+
+def is_temporal(c: str) -> Column:
     """True for NULL and for well-formed text."""
-    return _col(c).isNull() | _col(c).rlike(ISO_PATTERN)
+    return ~F.expr(malformed(c))
 
 
-def valid_at(as_of_key, valid_from="valid_from", valid_to="valid_to") -> Column:
+def valid_at(key: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> Column:
     """Closed interval containing the key; a NULL end is unbounded."""
-    key = F.lit(as_of_key) if isinstance(as_of_key, str) else as_of_key
-    begun = _col(valid_from).isNull() | (start_key(valid_from) <= key)
-    not_over = _col(valid_to).isNull() | (end_key(valid_to) >= key)
-    return begun & not_over
+    return F.expr(
+        f"({valid_from} IS NULL OR {_widened(valid_from, DAY_START)} <= {key}) "
+        f"AND ({valid_to} IS NULL OR {_widened(valid_to, DAY_END)} >= {key})"
+    )
 
 
 def apply_as_of(df, as_of):
     """Rows valid at ``as_of``; None or "" keeps every row."""
     if not check_temporal(as_of, "as_of"):
         return df
-    return df.filter(valid_at(key_of(as_of)))
+    return df.filter(valid_at(f"'{key_of(as_of)}'"))
 
 
-def is_inverted(valid_from="valid_from", valid_to="valid_to") -> Column:
-    """True when the interval ends before it starts (never NULL)."""
-    return F.coalesce(end_key(valid_to) < start_key(valid_from), F.lit(False))
+def inverted(valid_from: str = "valid_from", valid_to: str = "valid_to") -> str:
+    """SQL condition: the interval ends before it starts (never NULL)."""
+    return f"coalesce({_widened(valid_to, DAY_END)} < {_widened(valid_from, DAY_START)}, false)"

@@ -19,16 +19,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.temporal import end_key, is_temporal, start_key
+from ..functions.temporal import end_key, malformed, start_key
 from ..schemas import TRIPLE_SCHEMA
 from .fact_writes import (
+    FACT_ERROR,
     KEY,
     FactWrite,
     _filled,
     _open_per_key,
     add_mentioned,
-    fact_error,
-    fact_id,
+    fact_id_sql,
     inserted_facts,
     keyed,
 )
@@ -166,16 +166,11 @@ def _replay_chunk(events: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
 def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int = CHUNK_SPAN) -> DataFrame:
     """The events with ``status``, ``fact_id`` and ``reason``. ``events`` has ``seq`` (unique
     long), ``kind`` (add or end), the names of the key, and the fact's columns or ``ended``."""
-    rows = _filled(keyed(events))
-    is_end = F.col("kind") == "end"
-    end_error = F.when(
-        F.col("ended").isNull() | ~is_temporal("ended"), "ended is not an ISO date or date-time"
-    )
-    rows = rows.withColumns(
-        {
-            "reason": F.when(is_end, end_error).otherwise(fact_error()),
-            "id": F.when(~is_end, fact_id(id_salt)),
-        }
+    rows = _filled(keyed(events)).selectExpr(
+        "*",
+        f"""CASE WHEN kind = 'end' THEN CASE WHEN ended IS NULL OR {malformed('ended')}
+            THEN 'ended is not an ISO date or date-time' END ELSE {FACT_ERROR} END AS reason""",
+        f"CASE WHEN kind <> 'end' THEN {fact_id_sql(id_salt)} END AS id",
     )
     start = F.coalesce(start_key("valid_from"), F.lit(""))
     key = F.to_json(F.array(*KEY))
@@ -183,9 +178,11 @@ def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int
         "seq",
         F.floor(F.col("seq") / span).alias("chunk"),
         key.alias("key"),
-        F.when(is_end, END).when(F.col("valid_to").isNull(), OPEN).otherwise(CLOSED).alias("kind"),
+        F.expr(
+            f"CASE WHEN kind = 'end' THEN '{END}' WHEN valid_to IS NULL THEN '{OPEN}' ELSE '{CLOSED}' END AS kind"
+        ),
         "id",
-        F.when(is_end, end_key("ended")).otherwise(start).alias("at"),
+        F.when(F.col("kind") == "end", end_key("ended")).otherwise(start).alias("at"),
     )
     stored = (
         _open_per_key(triples, rows.filter("reason IS NULL").select(KEY).distinct())
@@ -205,12 +202,9 @@ def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int
         .cogroup(entries.groupBy("chunk"))
         .applyInPandas(_replay_chunk, "seq LONG, status STRING, fact_id STRING")
     )
-    late = F.when(F.col("status") == "rejected", "valid_to is before valid_from")
-    return (
-        rows.join(outcomes, "seq", "left")
-        .withColumns({"status": F.coalesce("status", F.lit("rejected")), "reason": F.coalesce("reason", late)})
-        .drop("id")
-    )
+    late = "CASE WHEN status = 'rejected' THEN 'valid_to is before valid_from' END"
+    judged = {"status": F.expr("coalesce(status, 'rejected')"), "reason": F.expr(f"coalesce(reason, {late})")}
+    return rows.join(outcomes, "seq", "left").withColumns(judged).drop("id")
 
 
 def apply_events(
@@ -224,7 +218,7 @@ def apply_events(
     """Apply added facts and endings in ``seq`` order. At most one stored fact per key is
     open, as adding guarantees. Fact ids are made from ``id_salt``, by default ``batch_ts``."""
     judgement = judged_events(triples, events, id_salt or batch_ts, span)
-    added = _filled(keyed(events)).filter((F.col("kind") != "end") & fact_error().isNull())
+    added = _filled(keyed(events)).filter(f"kind <> 'end' AND {FACT_ERROR} IS NULL")
     every = triples.select(TRIPLE_SCHEMA.names).unionByName(inserted_facts(judgement, batch_ts))
     closings = judgement.filter("status = 'closed'").select(
         F.col("fact_id").alias("id"), F.col("ended").alias("_ended")

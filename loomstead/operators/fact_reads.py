@@ -65,7 +65,7 @@ def query_entities(entities: DataFrame, triples: DataFrame, probes: DataFrame) -
         F.col("as_of").alias("_as_of"),
         F.when(F.col("as_of") != "", start_key("as_of")).alias("_key"),
     )
-    valid = F.col("_key").isNull() | valid_at(F.col("_key"))
+    valid = F.col("_key").isNull() | valid_at("_key")
     matched = triples.join(asked, "subject").filter(valid)
     names = entities.select(F.col("id").alias("object"), F.col("name").alias("_name"))
     named = join_per_key(matched, names, ["object"], "inner")

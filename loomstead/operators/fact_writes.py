@@ -9,11 +9,11 @@ holds a hot key's rows.
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import entity_slug, predicate_slug
-from ..functions.temporal import end_key, is_inverted, is_temporal, start_key
+from ..functions.temporal import inverted, malformed, start_key
 from ..schemas import ENTITY_SCHEMA, FACT_KEY, PROVENANCE, TRIPLE_SCHEMA
 from ..session import join_per_key
 
@@ -33,8 +33,7 @@ class Invalidation(NamedTuple):
 
 def keyed(batch: DataFrame) -> DataFrame:
     """Turn names into slugs, keeping the given spelling as ``subject_name``/``object_name``."""
-    if "subject_name" not in batch.columns:
-        batch = batch.withColumnsRenamed({"subject": "subject_name", "object": "object_name"})
+    batch = batch.withColumnsRenamed({"subject": "subject_name", "object": "object_name"})
     return batch.withColumns(
         {
             "subject": entity_slug("subject_name"),
@@ -45,31 +44,28 @@ def keyed(batch: DataFrame) -> DataFrame:
 
 
 def _filled(batch: DataFrame) -> DataFrame:
-    wanted = {name: "string" for name in ("valid_from", "valid_to", *PROVENANCE)} | {"confidence": "double"}
-    absent = {c: F.lit(None).cast(t) for c, t in wanted.items() if c not in batch.columns}
-    batch = batch.withColumns(absent) if absent else batch
-    return batch.withColumn("confidence", F.coalesce("confidence", F.lit(1.0)))
+    optional = {name: "string" for name in ("valid_from", "valid_to", *PROVENANCE)} | {"confidence": "double"}
+    columns = {c: F.expr(f"CAST(NULL AS {kind})") for c, kind in optional.items() if c not in batch.columns}
+    columns["confidence"] = F.expr("coalesce(confidence, 1D)" if "confidence" in batch.columns else "1D")
+    return batch.withColumns(columns)
 
 
-def fact_error():
-    """Why a fact cannot be stored, or NULL."""
-    checks = [
-        (F.col("subject").isNull() | F.col("predicate").isNull() | F.col("object").isNull(),
-         "subject, predicate and object are required"),
-        (~is_temporal("valid_from"), "valid_from is not an ISO date or date-time"),
-        (~is_temporal("valid_to"), "valid_to is not an ISO date or date-time"),
-        (is_inverted(), "valid_to is before valid_from"),
-    ]
-    return F.coalesce(*[F.when(bad, F.lit(why)) for bad, why in checks])
+# Why a fact cannot be stored, or NULL.
+FACT_ERROR = f"""CASE
+    WHEN subject IS NULL OR predicate IS NULL OR object IS NULL THEN 'subject, predicate and object are required'
+    WHEN {malformed('valid_from')} THEN 'valid_from is not an ISO date or date-time'
+    WHEN {malformed('valid_to')} THEN 'valid_to is not an ISO date or date-time'
+    WHEN {inverted()} THEN 'valid_to is before valid_from' END"""
 
 
-def fact_id(salt: str, seq: str = "seq"):
+def fact_id_sql(salt: str) -> str:
     """Stable id: the key and 12 hex digits over start, salt (the batch time) and order."""
-    start = F.coalesce(F.col("valid_from"), F.lit("None"))
-    digest = F.sha2(F.concat(start, F.lit(salt), F.col(seq).cast("string")), 256)
-    return F.concat(
-        F.lit("t_"), F.concat_ws("_", *KEY), F.lit("_"), F.substring(digest, 1, 12)
-    )
+    digest = f"sha2(concat(coalesce(valid_from, 'None'), '{salt}', CAST(seq AS string)), 256)"
+    return f"concat('t_', {', "_", '.join(KEY)}, '_', substring({digest}, 1, 12))"
+
+
+def _at(ts: str) -> Column:
+    return F.expr(f"CAST('{ts}' AS timestamp)")
 
 
 # -- entities -----------------------------------------------------------------------------
@@ -96,29 +92,23 @@ def upsert_entities(entities: DataFrame, batch: DataFrame, batch_ts, seq: str |
         c: F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c)
         for c in ("name", "type", "properties")
     }
-    created = F.coalesce("created_at", F.lit(batch_ts).cast("timestamp")).alias("created_at")
+    created = F.coalesce("created_at", _at(batch_ts)).alias("created_at")
     return joined.select("id", *picked.values(), created)
 
 
 def add_mentioned(entities: DataFrame, facts: DataFrame, batch_ts) -> DataFrame:
     """Add the subjects and objects of ``facts`` that are not entities yet, named as first
     spelled; existing entities stay as they are."""
-    one, two = F.lit(0), F.lit(1)
-    ends = F.array(
-        F.struct(F.col("subject").alias("id"), F.col("subject_name").alias("name"), one.alias("at")),
-        F.struct(F.col("object").alias("id"), F.col("object_name").alias("name"), two.alias("at")),
-    )
-    mentioned = (
-        facts.select("seq", F.explode(ends).alias("e"))
-        .groupBy(F.col("e.id").alias("id"))
-        .agg(F.min_by("e.name", F.struct("seq", "e.at")).alias("name"))
-    )
+    ends = """inline(array(
+        named_struct('id', subject, 'name', subject_name, 'at', named_struct('seq', seq, 'side', 0)),
+        named_struct('id', object, 'name', object_name, 'at', named_struct('seq', seq, 'side', 1))))"""
+    mentioned = facts.selectExpr(ends).groupBy("id").agg(F.min_by("name", "at").alias("name"))
     new = mentioned.join(entities.select("id"), "id", "left_anti").select(
         "id",
         "name",
-        F.lit("unknown").alias("type"),
-        F.lit(None).cast("string").alias("properties"),
-        F.lit(batch_ts).cast("timestamp").alias("created_at"),
+        F.expr("'unknown' AS type"),
+        F.expr("CAST(NULL AS string) AS properties"),
+        _at(batch_ts).alias("created_at"),
     )
     return entities.select(ENTITY_SCHEMA.names).unionByName(new)
 
@@ -135,39 +125,33 @@ def _open_per_key(triples: DataFrame, keys: DataFrame) -> DataFrame:
 def judged(triples: DataFrame, batch: DataFrame, batch_ts: str) -> DataFrame:
     """The batch with what becomes of each row: ``status`` is inserted, existing (an open fact
     with the same key was there first; its id is returned) or rejected (with ``reason``)."""
-    rows = _filled(keyed(batch)).withColumns({"reason": fact_error(), "new_id": fact_id(batch_ts)})
+    rows = _filled(keyed(batch)).selectExpr("*", f"{FACT_ERROR} AS reason", f"{fact_id_sql(batch_ts)} AS new_id")
     fit = rows.filter("reason IS NULL")
     stored = _open_per_key(triples, fit.select(KEY).distinct())
-    no_seq = F.lit(None).cast(batch.schema["seq"].dataType).alias("seq")
-    openers = stored.select(*KEY, F.col("id").alias("stored_id"), no_seq, F.lit(None).cast("string").alias("new_id"))
-    openers = openers.unionByName(
-        fit.filter("valid_to IS NULL").select(
-            *KEY, F.lit(None).cast("string").alias("stored_id"), "seq", "new_id"
-        )
+    seq_type = batch.schema["seq"].dataType.simpleString()
+    openers = stored.selectExpr(
+        *KEY, "id AS stored_id", f"CAST(NULL AS {seq_type}) AS seq", "CAST(NULL AS string) AS new_id"
+    ).unionAll(
+        fit.filter("valid_to IS NULL").selectExpr(*KEY, "CAST(NULL AS string) AS stored_id", "seq", "new_id")
     )
     first = openers.groupBy(*KEY).agg(
-        F.min("stored_id").alias("stored_id"),
-        F.min("seq").alias("open_seq"),
-        F.min_by("new_id", "seq").alias("open_id"),
+        F.expr("min(stored_id) AS stored_id"),
+        F.expr("min(seq) AS open_seq"),
+        F.expr("min_by(new_id, seq) AS open_id"),
     )
-    joined = join_per_key(rows, first, KEY, "left")
-    earlier = F.coalesce(F.col("open_seq") < F.col("seq"), F.lit(False))
-    existing = F.coalesce("stored_id", F.when(earlier, F.col("open_id")))
-    status = (
-        F.when(F.col("reason").isNotNull(), "rejected")
-        .when(existing.isNotNull(), "existing")
-        .otherwise("inserted")
-    )
-    result_id = F.when(F.col("reason").isNull(), F.coalesce(existing, F.col("new_id")))
-    return joined.withColumns({"status": status, "fact_id": result_id}).drop(
-        "stored_id", "open_seq", "open_id", "new_id"
+    met = "coalesce(stored_id, CASE WHEN open_seq < seq THEN open_id END)"
+    status = f"CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN {met} IS NULL THEN 'inserted' ELSE 'existing' END"
+    return (
+        join_per_key(rows, first, KEY, "left")
+        .selectExpr("*", f"{status} AS status", f"CASE WHEN reason IS NULL THEN coalesce({met}, new_id) END AS fact_id")
+        .drop("stored_id", "open_seq", "open_id", "new_id")
     )
 
 
 def inserted_facts(judgement: DataFrame, batch_ts) -> DataFrame:
     return (
         judgement.filter("status = 'inserted'")
-        .withColumns({"id": F.col("fact_id"), "extracted_at": F.lit(batch_ts).cast("timestamp")})
+        .withColumns({"id": F.col("fact_id"), "extracted_at": _at(batch_ts)})
         .select(TRIPLE_SCHEMA.names)
     )
 
@@ -180,7 +164,7 @@ def add_facts(entities: DataFrame, triples: DataFrame, batch: DataFrame, batch_t
     entities, while a repeated fact still does.
     """
     judgement = judged(triples, batch, batch_ts)
-    accepted = _filled(keyed(batch)).filter(fact_error().isNull())
+    accepted = _filled(keyed(batch)).filter(f"{FACT_ERROR} IS NULL")
     return FactWrite(
         add_mentioned(entities, accepted, batch_ts),
         triples.select(TRIPLE_SCHEMA.names).unionByName(inserted_facts(judgement, batch_ts)),
@@ -201,14 +185,12 @@ def invalidate(triples: DataFrame, endings: DataFrame, today: str | None = None)
     latest = (
         _open_per_key(triples, asked.select(KEY).distinct())
         .groupBy(*KEY)
-        .agg(F.max(start_key("valid_from")).alias("_latest"), F.lit(True).alias("_open"))
+        .agg(F.max(start_key("valid_from")).alias("_latest"), F.expr("true AS _open"))
     )
-    found = join_per_key(asked, latest, KEY, "left").withColumns(
-        {
-            "_bad": ~is_temporal("ended"),
-            "_late": F.coalesce(end_key("ended") < F.col("_latest"), F.lit(False)),
-            "_open": F.coalesce("_open", F.lit(False)),
-        }
+    found = join_per_key(asked, latest, KEY, "left").selectExpr(
+        "*",
+        f"{malformed('ended')} AS _bad",
+        f"{inverted('_latest', 'ended')} AS _late",
     )
     closing = (
         found.filter("_open AND NOT _bad AND NOT _late")
@@ -217,16 +199,14 @@ def invalidate(triples: DataFrame, endings: DataFrame, today: str | None = None)
     )
     columns = triples.columns
     closed = join_per_key(triples, closing.drop("_closed_at"), KEY, "left").withColumn(
-        "valid_to", F.when(F.col("valid_to").isNull(), F.col("_ended")).otherwise(F.col("valid_to"))
+        "valid_to", F.coalesce("valid_to", "_ended")
     )
     refused = join_per_key(found.filter("_bad OR _late"), closing.drop("_ended"), KEY, "left")
-    still_open = F.col("_closed_at").isNull() | (F.col("seq") < F.col("_closed_at"))
-    rejects = refused.filter(F.col("_bad") | still_open).select(
+    rejects = refused.filter("_bad OR _closed_at IS NULL OR seq < _closed_at").selectExpr(
         "seq",
         *KEY,
         "ended",
-        F.when(F.col("_bad"), "ended is not an ISO date or date-time")
-        .otherwise("valid_to is before valid_from")
-        .alias("reason"),
+        """CASE WHEN _bad THEN 'ended is not an ISO date or date-time'
+            ELSE 'valid_to is before valid_from' END AS reason""",
     )
     return Invalidation(closed.select(columns), rejects)

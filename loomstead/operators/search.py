@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.filters import apply_where, refuse_document_filter
-from ..functions.vectors import DISTANCE_DIGITS, _sum
+from ..functions.vectors import DISTANCE_DIGITS
 from .embedding import embed_documents
 from .reads import include_columns
 
@@ -84,9 +84,8 @@ def nested_result(hits: DataFrame) -> DataFrame:
 
 
 def _has_direction():
-    squares = _sum(F.transform("embedding", lambda x: x.cast("double") * x.cast("double")))
-    finite = F.coalesce(squares, F.lit(0.0))
-    return (finite > 0) & (finite < float("inf"))
+    squares = "aggregate(embedding, 0D, (total, x) -> total + CAST(x AS double) * CAST(x AS double))"
+    return F.expr(f"coalesce({squares}, 0D) > 0 AND {squares} < double('infinity')")
 
 
 def _unit_matrix(column) -> np.ndarray:

@@ -71,10 +71,10 @@ def seed_facts(records: DataFrame) -> DataFrame:
         F.when(kind == "daughter", _fact("is_child_of", F.coalesce(parent, name), F.col("birthday"))),
     ]
     for word, (predicate, field) in RELATIONSHIPS.items():
-        calls.append(F.when(kind == word, _fact(predicate, capitalize(F.coalesce(F.col(field), name)))))
+        calls.append(F.when(kind == word, _fact(predicate, capitalize(f"coalesce({field}, name)"))))
     likes = F.transform(
-        F.coalesce("interests", F.array().cast("array<string>")),
-        lambda i: _fact("loves", capitalize(i), F.lit(INTEREST_START)),
+        F.expr("transform(coalesce(interests, array()), i -> concat(upper(substring(i, 1, 1)), lower(substring(i, 2))))"),
+        lambda i: _fact("loves", i, F.lit(INTEREST_START)),
     )
     steps = F.concat(F.filter(F.array(*calls), lambda c: c.isNotNull()), likes)
     return r.select("seq", "name", F.posexplode(steps).alias("step", "f")).select(

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.names import capitalize, entity_slug, predicate_slug
-from ..functions.temporal import end_key, start_key, valid_at
+from ..functions.temporal import apply_as_of, end_key, start_key
 from ..operators import fact_events, fact_reads, fact_writes, seeding
 from ..schemas import ENTITY_SCHEMA, TRIPLE_SCHEMA
 from ..session import nothing, written
@@ -33,8 +33,7 @@ def kg_temporal_keys(t):
 
 
 def kg_as_of(t):
-    key = start_key(F.lit(AS_OF))
-    return inputs.triples(t).filter(valid_at(key)).groupBy("predicate").agg(F.count("*").alias("n"))
+    return apply_as_of(inputs.triples(t), AS_OF).groupBy("predicate").agg(F.count("*").alias("n"))
 
 
 def kg_current(t):
@@ -90,7 +89,7 @@ def kg_add_triples_later(t):
 
 def kg_triple_id(t):
     rows = fact_writes.keyed(inputs.purchases(t))
-    return rows.select("seq", fact_writes.fact_id(BATCH_TS).alias("id"))
+    return rows.selectExpr("seq", f"{fact_writes.fact_id_sql(BATCH_TS)} AS id")
 
 
 def kg_inverted_rejects(t):
@@ -141,7 +140,7 @@ def kg_invalidate_rejects(t):
 def _events(t):
     return fact_events.apply_events(
         nothing(t.spark, ENTITY_SCHEMA), nothing(t.spark, TRIPLE_SCHEMA),
-        inputs.usage_events(t), BATCH_TS,
+        written(inputs.usage_events(t)), BATCH_TS,
     )
 
 

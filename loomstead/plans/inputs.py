@@ -14,6 +14,28 @@ BASE_TS = "2025-01-01 00:00:00"
 DIM = 64
 
 
+# The given tables, stated so that opening one runs no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+}
+
+
 class Tables:
     """The Parquet tables of one folder, by attribute."""
 
@@ -21,7 +43,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name, key) -> DataFrame:
         """A table for heavy work per row. One kept in a single file would be read by a single
@@ -243,7 +265,7 @@ def usage_events(t: Tables) -> DataFrame:
     takes effect ``value`` hours later."""
     stamp = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
     later = stamp.format("ts + make_interval(0, 0, 0, 0, CAST(floor(value) AS int))")
-    return t.events.selectExpr(
+    return t.spread("events", "event_id").selectExpr(
         "event_id AS seq",
         "CASE WHEN event_type = 'error' THEN 'end' ELSE 'add' END AS kind",
         "concat('User ', user_id) AS subject",

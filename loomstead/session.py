@@ -51,7 +51,7 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str)
     aggregate on the same keys would lend the join its partitioning and so prevent that; with
     a hash as one more key it does not, at the price of moving one row per key again.
     """
-    hashed = [df.withColumn("_hash", F.xxhash64(*keys)) for df in (rows, per_key)]
+    hashed = [df.selectExpr("*", f"xxhash64({', '.join(keys)}) AS _hash") for df in (rows, per_key)]
     return hashed[0].join(hashed[1], ["_hash", *keys], how).drop("_hash")
 
 
