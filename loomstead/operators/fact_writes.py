@@ -197,9 +197,10 @@ def invalidate(triples: DataFrame, endings: DataFrame, today: str | None = None)
         .groupBy(*KEY)
         .agg(F.min_by("ended", "seq").alias("_ended"), F.min("seq").alias("_closed_at"))
     )
-    columns = triples.columns
-    closed = join_per_key(triples, closing.drop("_closed_at"), KEY, "left").withColumn(
-        "valid_to", F.coalesce("valid_to", "_ended")
+    # only open facts can change, so the finished ones are neither shuffled nor joined
+    still = join_per_key(triples.filter("valid_to IS NULL"), closing.drop("_closed_at"), KEY, "left")
+    closed = triples.filter("valid_to IS NOT NULL").unionByName(
+        still.withColumn("valid_to", F.col("_ended")).select(triples.columns)
     )
     refused = join_per_key(found.filter("_bad OR _late"), closing.drop("_ended"), KEY, "left")
     rejects = refused.filter("_bad OR _closed_at IS NULL OR seq < _closed_at").selectExpr(
@@ -209,4 +210,4 @@ def invalidate(triples: DataFrame, endings: DataFrame, today: str | None = None)
         """CASE WHEN _bad THEN 'ended is not an ISO date or date-time'
             ELSE 'valid_to is before valid_from' END AS reason""",
     )
-    return Invalidation(closed.select(columns), rejects)
+    return Invalidation(closed, rejects)

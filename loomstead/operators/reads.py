@@ -14,7 +14,7 @@ GET_INCLUDE = ("metadatas", "documents")
 # Id lists up to this length become a pushed-down IN; longer ones a semi join.
 SHORT_LIST = 1000
 
-# A page may reach this deep by sorting; beyond it the start of the page is found by counting.
+# Pages up to this size and depth are a top-n; beyond it their ends are found by counting.
 SHALLOW_PAGE = 100_000
 
 
@@ -32,7 +32,7 @@ def restrict_ids(df: DataFrame, ids, how="left_semi") -> DataFrame:
             listed = F.col("id").isin(ids)
             return df.filter(listed if how == "left_semi" else ~listed)
         ids = df.sparkSession.createDataFrame([(i,) for i in ids], "id string")
-    return df.join(ids.select("id"), "id", how)
+    return df.join(ids.select("id").distinct(), "id", how)
 
 
 def _given(ids) -> bool:
@@ -65,38 +65,43 @@ def get(
 def page(rows: DataFrame, limit=None, offset: int = 0) -> DataFrame:
     """``limit`` rows in id order after skipping ``offset``.
 
-    A shallow page is a top-n. For a deep one the id at position ``offset`` is located by
-    counting first, so no task ever sorts or holds the skipped rows.
+    A small page near the start is a top-n. Otherwise the ids at its ends are located by
+    counting first and become a filter: no task sorts or passes on the rows outside the page,
+    nor all of a large one.
     """
-    if offset > SHALLOW_PAGE:
-        start, offset = locate(rows.select("id"), offset)
+    ids = rows.select("id")
+    if limit is not None and limit > SHALLOW_PAGE:
+        end, _ = locate(ids, offset + limit, enough=0)
+        rows, limit = rows.filter(F.col("id") < end), None
+    if offset and limit is None:
+        start, offset = locate(ids, offset, enough=0)
+        rows = rows.filter(F.col("id") >= start)
+    elif offset > SHALLOW_PAGE:
+        start, offset = locate(ids, offset, enough=SHALLOW_PAGE)
         rows = rows.filter(F.col("id") >= start)
     ordered = rows.orderBy("id")
-    if offset:
-        ordered = ordered.offset(offset)
-    return ordered if limit is None else ordered.limit(limit)
+    return ordered if limit is None else ordered.offset(offset).limit(limit)
 
 
-def locate(ids: DataFrame, position: int, enough: int = SHALLOW_PAGE):
-    """An id at or before ``position`` in id order, and how many rows lie between.
+def locate(ids: DataFrame, position: int, enough: int):
+    """An id at most ``enough`` rows before ``position`` in id order, and how many rows lie between.
 
     Narrows down by prefix: each round is one map-side-combined count of the next character
     among the ids still in question, so only a histogram leaves the tasks.
     """
-    start = ""
     while True:
         bounds = ids.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).first()
-        if not bounds.n or position <= enough or bounds.low == bounds.high:
-            return (bounds.low or start), position
-        shared = _shared_prefix(bounds.low, bounds.high)
-        lead = F.substring("id", 1, shared + 1)
+        if not bounds.n or position <= enough:
+            return bounds.low or "", position
+        if position >= bounds.n:  # past the last id
+            return bounds.high + "\x00", 0
+        if bounds.low == bounds.high:
+            return bounds.low, position
+        lead = F.substring("id", 1, _shared_prefix(bounds.low, bounds.high) + 1)
         for prefix, n in ids.groupBy(lead.alias("lead")).count().orderBy("lead").collect():
             if position < n:
                 break
             position -= n
-        else:  # the position lies past the last id
-            return bounds.high + "\x00", 0
-        start = prefix
         ids = ids.filter(lead == prefix)
 
 

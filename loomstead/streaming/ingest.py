@@ -20,8 +20,8 @@ from ..session import nothing, written
 from ..sources.files import current_manifest, discover
 from ..sources.tables import SNAPSHOT, versions, write_snapshot
 
-# A line of a source file: a collection row, with its place in the file as ``line`` if order
-# among copies of one id matters.
+# A line of a source file: a collection row. The last copy of an id counts, by file, then by
+# ``line`` where it is given, then by place in the file.
 LINE_SCHEMA = StructType(COLLECTION_INPUT_SCHEMA.fields + [StructField("line", LongType())])
 
 
@@ -51,9 +51,9 @@ def ingest(
     def file_batch(lines: DataFrame, number: int):
         if limit and filed["files"] >= limit:
             raise _RunLimit
-        rows = _with_defaults(lines, defaults)
+        rows = _with_defaults(lines.withColumn("row", F.monotonically_increasing_id()), defaults)
         good, bad = split_valid(rows, dim, table)
-        good = last_per_id(good.withColumn("_order", F.struct("path", "line")), "_order")
+        good = last_per_id(good.withColumn("_order", F.struct("path", "line", "block", "row")), "_order")
         if embedder is not None:
             good = embed_where_missing(good, embedder)
         spot = SNAPSHOT.format(number)
@@ -71,6 +71,7 @@ def ingest(
         .option("pathGlobFilter", glob)
         .json(source)
         .select("*", F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_block_start").alias("block"),
                 F.col("_metadata.file_modification_time").alias("modified"))
     )
     run = (

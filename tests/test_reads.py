@@ -56,13 +56,25 @@ def test_page(notes):
     assert ids(reads.get(notes, limit=0)) == []
 
 
-@pytest.mark.parametrize("position", [0, 1, 57, 123, 999, 1000, 5000])
-def test_deep_page_equals_plain_offset(spark, monkeypatch, position):
-    monkeypatch.setattr(reads, "SHALLOW_PAGE", 0)
+@pytest.mark.parametrize("shallow", [0, 10])
+@pytest.mark.parametrize("position, limit", [(0, 5), (57, 5), (123, None), (995, 50), (1000, 5), (5000, None)])
+def test_large_and_deep_pages(spark, monkeypatch, shallow, position, limit):
+    monkeypatch.setattr(reads, "SHALLOW_PAGE", shallow)
     numbered = spark.range(1000).select(F.concat(F.lit("row_"), F.col("id")).alias("id"))
-    expected = sorted(f"row_{i}" for i in range(1000))[position : position + 5]
-    monkeypatch.setattr(reads.locate, "__defaults__", (3,))
-    assert ids(reads.page(numbered, 5, position)) == expected
+    last = None if limit is None else position + limit
+    expected = sorted(f"row_{i}" for i in range(1000))[position:last]
+    assert ids(reads.page(numbered, limit, position)) == expected
+
+
+def test_page_past_the_end(notes):
+    one = notes.filter("id = 'a'")
+    assert ids(reads.get(one, offset=1)) == [] and ids(reads.get(one, offset=0)) == ["a"]
+    assert ids(reads.get(notes.filter("id = 'none'"), offset=1)) == []
+
+
+def test_page_without_limit_stays_parallel(notes):
+    plan = reads.get(notes, offset=2)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Limit" not in plan
 
 
 def test_flat_result(notes):

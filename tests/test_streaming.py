@@ -32,10 +32,10 @@ def test_ingest_resumes(spark, tmp_path):
     assert rows["a"].embedding is not None
     assert ingest.ingest(spark, str(source), store, **run) == 0  # nothing new
 
-    put(source / "deep", "two.jsonl", line("a", "again", line=1), line("a", "last", line=2), line("c", "third"))
+    put(source / "deep", "two.jsonl", line("a", "again"), line("a", "last"), line("c", "third", line=2), line("c", "early", line=1))
     assert ingest.ingest(spark, str(source), store, **run) == 1
     rows = stored(spark, store)
-    assert set(rows) == {"a", "b", "c"} and rows["a"].document == "last"
+    assert set(rows) == {"a", "b", "c"} and rows["a"].document == "last" and rows["c"].document == "third"
     assert [r.id for r in ingest.quarantined(spark, store).collect()] == ["bad"]
     done = {r.path.rsplit("/", 1)[1]: r.drawers for r in ingest.manifest(spark, store).collect()}
     assert done == {"one.jsonl": 2, "two.jsonl": 2}
