@@ -21,6 +21,10 @@ def predicate_of(name: str) -> str:
     return name.lower().replace(" ", "_")
 
 
+def capitalized(c: str) -> str:
+    """SQL text: first character upper, the rest lower."""
+    return f"concat(upper(substring({c}, 1, 1)), lower(substring({c}, 2)))"
+
+
 def capitalize(c: str) -> Column:
-    """First character upper, the rest lower."""
-    return F.expr(f"concat(upper(substring({c}, 1, 1)), lower(substring({c}, 2)))")
+    return F.expr(capitalized(c))

@@ -7,7 +7,7 @@ parent, partner, relationship, sibling, owner (strings) and interests (array of
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import capitalize
+from ..functions.names import capitalize, capitalized
 from .fact_writes import FactWrite, add_facts, upsert_entities
 
 # The start given to interests, and facts per relationship: its predicate and
@@ -72,9 +72,9 @@ def seed_facts(records: DataFrame) -> DataFrame:
     ]
     for word, (predicate, field) in RELATIONSHIPS.items():
         calls.append(F.when(kind == word, _fact(predicate, capitalize(f"coalesce({field}, name)"))))
-    likes = F.transform(
-        F.expr("transform(coalesce(interests, array()), i -> concat(upper(substring(i, 1, 1)), lower(substring(i, 2))))"),
-        lambda i: _fact("loves", i, F.lit(INTEREST_START)),
+    likes = F.expr(
+        f"""transform(coalesce(interests, array()), i -> named_struct(
+            'predicate', 'loves', 'object', {capitalized('i')}, 'valid_from', '{INTEREST_START}'))"""
     )
     steps = F.concat(F.filter(F.array(*calls), lambda c: c.isNotNull()), likes)
     return r.select("seq", "name", F.posexplode(steps).alias("step", "f")).select(

@@ -1,15 +1,13 @@
 """Keyed writes. Each takes the current collection and returns the next one; the caller
 writes that to a new snapshot and never over the path being read."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.filters import condition, refuse_document_filter
 from ..functions.metadata import default_metadata, is_json_object, with_promoted
 from ..functions.vectors import has_null_component, scrub
-from ..schemas import COLLECTION_INPUT_SCHEMA, COLLECTION_SCHEMA, PROMOTED, WIDTH_LIMITS
+from ..schemas import COLLECTION_INPUT_SCHEMA, COLLECTION_SCHEMA, WIDTH_LIMITS
 from .embedding import embed_where_missing
 from .reads import _given, restrict_ids
 
@@ -157,10 +155,3 @@ def delete(collection: DataFrame, ids=None, where=None, where_document=None) ->
     if found is None:
         raise ValueError("the filter holds no condition; refusing to delete every row")
     return collection.filter(~F.coalesce(found, F.lit(False)))
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-__all__ = ["delete", "last_per_id", "normalized", "row_error", "split_valid", "update", "upsert", "PROMOTED"]
