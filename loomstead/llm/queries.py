@@ -1,8 +1,9 @@
 """The registered queries of this package, and the SQL of those that SQL can express."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstead.llm import robust_outliers
+from loomstead.llm import exact_packing, overlap_tokens, robust_outliers, simhash_trees, warc_store
 from loomstead.llm.common import table
 
 
@@ -10,6 +11,25 @@ def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return robust_outliers.quality(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers,)}
+def op2_overlap_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap_tokens.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
-ORACLES: dict[str, str] = {}
+
+def op6_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_trees.near_duplicates(table(spark, folder, "documents"))
+
+
+def op7_exact_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_warc_store(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_store.archived(table(spark, folder, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_robust_outliers, op2_overlap_tokens, op6_simhash_trees, op7_exact_packing, op8_warc_store)
+}
+
+ORACLES = {"op8_warc_store": warc_store.ORACLE_SQL}
