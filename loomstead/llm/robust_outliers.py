@@ -33,10 +33,13 @@ SHARE = 0.75
 STEPS = 8
 #: Distances are binned by sixteenths of a power of two.
 BINS = 16
+#: Squared distances below this share a bin: they are the centre, always within the nearest.
+NEAREST = 0.05
 #: Chi-square tail of a distance that rejects, with four degrees of freedom.
-TAIL = 1e-9
-#: Standard deviations below these count as these; shares are mostly zero in clean text.
-FLOOR = (0.06, 0.06, 0.06, 0.06)
+TAIL = 1e-5
+#: Variances are raised by the squares of these. The shares are mostly zero in clean text, and
+#: one repeated header line in a short text is not junk.
+FLOOR = (0.06, 0.05, 0.25, 0.15)
 P = 4
 X = [f"x{i}" for i in range(P)]
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
@@ -176,7 +179,7 @@ def _moments():
 def _scored(rows: DataFrame, model: DataFrame) -> DataFrame:
     q = {(i, j): F.col(f"q{i}{j}") for i, j in PAIRS}
     d2 = _distance([F.col(x) for x in X], [F.col(f"m{i}") for i in range(P)], q)
-    return rows.join(model, "pool").withColumn("d2", F.greatest(d2, F.lit(1e-9)))
+    return rows.join(model, "pool").withColumn("d2", F.greatest(d2, F.lit(NEAREST)))
 
 
 def _starts(rows: DataFrame) -> DataFrame:

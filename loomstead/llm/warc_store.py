@@ -142,7 +142,7 @@ WITH p AS (
   SELECT page_id, body, hex, min(page_id) OVER (PARTITION BY body) AS first FROM p
 )
 SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(0, 32), i ->
+  array_to_string(list_transform(range(0, 32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
       CAST((CAST('0x' || substr(hex, CAST(1 + 10 * (i // 8) AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31 AS BIGINT) + 1, 1)), '')
     AS payload_digest,
