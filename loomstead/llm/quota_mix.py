@@ -3,13 +3,15 @@
 The documents of a source are permuted by a hash and cut into ``BLOCKS`` blocks, the ranges of
 the hash. A target of r times the source's size takes every block floor(r) times, and further
 blocks in permuted order up to the target; the block on the border is cut by the next bits of
-the hash, and again, until less than a few documents are undecided.
+the hash, and again, until few documents are undecided; what is then still missing is filled by ``FILLS``
+single documents, each the largest that fits.
 
 The takings (block copies) are dealt to output shards by a splitting tree: the root holds each
 source's exact quota of block copies; a node gives its left half a multivariate-hypergeometric
 draw of its quotas, in proportion to the shards below, and the rest goes right. So each shard's
 quotas add up exactly, and shards differ by chance as a shuffled deck would. The draws are
-seeded by the node, so reruns agree. A shard takes the next blocks of each source's permuted
+seeded by the node, so reruns agree. Sources are gathered in a fixed number of buckets; the
+buckets' quotas are drawn first, and each bucket's own tree divides what its shards got. A shard takes the next blocks of each source's permuted
 sequence; within the shard, documents are ordered by a hash.
 
 Only sizes are aggregated: words per (source, block), at most ``BLOCKS`` rows a source. Texts
@@ -26,49 +28,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomstead.llm.common import cut, word_counts
-from loomstead.session import join_per_key
+from loomstead.llm.common import cut, null_safe_key, with_columns, word_counts
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
-BLOCKS = 256
-#: The block on the border is cut by so many more bits, so many times.
+#: Blocks of a source, as bits of the hash; the one on the border is cut by so many more bits.
+BLOCK_BITS = 8
 CUT_BITS, CUTS = 8, 4
-SHARDS = 16
+FILLS = 6
+SHARDS = 64
+BUCKETS = 512
 SEED = 20
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) of each document, and its place in the permutation of ids."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def _sizes(batch: pa.RecordBatch) -> dict:
+    return {"_size": word_counts(batch)}
 
-    def run(batches):
-        for batch in batches:
-            arrays = [batch.column("doc_id"), batch.column("source"), pa.array(word_counts(batch))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "source", "size"])
 
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), "text")
-    out = rows.mapInArrow(run, f"doc_id {id_type}, source string, size bigint")
-    return out.withColumn("place", F.expr(f"shiftrightunsigned(xxhash64(doc_id, {SEED}), 1)"))
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_place", F.expr(f"shiftrightunsigned(xxhash64(doc_id, {SEED}), 1)")).withColumn(
+        "_key", null_safe_key("source")
+    )
 
 
 def targets(slim: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """One row per source: its size and target. The targets share ``share`` of all sizes by
-    weight; one that would pass ``most`` times its source's size stops there, and the excess is
-    shared by weight among the others, until none is above."""
-    totals = cut(slim.groupBy("source").agg(F.sum("size").alias("source_size")))
+    """One row per source (_key): its size and target. The targets share ``share`` of all sizes
+    by weight; one that would pass ``most`` times its source's size stops there, and the excess
+    is shared by weight among the others, until none is above."""
+    totals = cut(slim.groupBy("_key", "source").agg(F.sum("_size").alias("source_size")))
     # Ranks by code point, nulls last, without bringing the sources into one task.
-    order = totals.select("source").orderBy(F.col("source").asc_nulls_last()).rdd.zipWithIndex()
-    ranked = totals.sparkSession.createDataFrame(order.map(lambda r: (r[0][0], r[1])), "source string, rank bigint")
+    order = totals.select("_key", "source").orderBy(F.col("source").asc_nulls_last()).rdd.zipWithIndex()
+    ranks = totals.sparkSession.createDataFrame(order.map(lambda r: (r[0][0], r[1])), "_key string, rank bigint")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    rows = totals.join(ranked, totals["source"].eqNullSafe(ranked["source"])).select(
-        totals["source"], "source_size", weight.alias("weight")
-    )
-    rows = cut(rows)
+    rows = cut(totals.join(ranks, "_key").select("_key", "source_size", weight.alias("weight")))
     whole = share * float(rows.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
-    level = 0.0
-    top = F.lit(most) * F.col("source_size")
+    top, level = F.lit(most) * F.col("source_size"), 0.0
     while True:
         over = top <= F.col("weight") * F.lit(level)
         fixed, free = rows.agg(
@@ -78,55 +73,112 @@ def targets(slim: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
         if new <= level:
             break
         level = new
-    return rows.select("source", "source_size", F.least(top, F.col("weight") * F.lit(level)).alias("target"))
-
-
-def _same(a: DataFrame, b: DataFrame):
-    return a["source"].eqNullSafe(b["source"])
-
-
-def _border(slim: DataFrame, goals: DataFrame) -> DataFrame:
-    """(source, every, until): each document is taken ``every`` times, and once more if its
-    place is below ``until``. ``until`` is found digit by digit from sums of sizes."""
-    every = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    state = goals.withColumn("every", every.cast("bigint"))
-    state = state.select("source", "every", (F.col("target") - F.col("every") * F.col("source_size")).alias("left"), F.lit(0).cast("bigint").alias("until"))
-    shift, digits = 63, [BLOCKS.bit_length() - 1, *[CUT_BITS] * CUTS]
-    for bits in digits:
-        state, high = cut(state), shift
-        shift -= bits
-        rows = slim.join(F.broadcast(state) if False else state, _same(slim, state)).select(
-            slim["source"], "every", "left", "until", "size", "place"
+    return rows.select("_key", "source_size", F.least(top, F.col("weight") * F.lit(level)).alias("target"))
+
+
+def _borders(slim: DataFrame, goals: DataFrame) -> DataFrame:
+    """Add to each source: ``every``, how often each document is taken; ``until``, the places
+    below which it is taken once more, found digit by digit from sums of sizes; and ``extra``,
+    the places of single documents that fill up the target."""
+    every = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
+    state = goals.withColumn("every", every).withColumn("left", F.col("target") - F.col("every") * F.col("source_size"))
+    state = cut(state.withColumn("until", F.lit(0).cast("bigint")).withColumn("extra", F.expr("CAST(array() AS array<bigint>)")))
+    shift = 63
+    for bits in (BLOCK_BITS, *[CUT_BITS] * CUTS):
+        high, shift = shift, shift - bits
+        inside = slim.join(state, "_key").filter(F.expr(f"shiftright(_place, {high}) = shiftright(until, {high})"))
+        sums = inside.groupBy("_key", "left", F.expr(f"shiftright(_place, {shift})").alias("digit")).agg(F.sum("_size").alias("words"))
+        upto = sums.withColumn("upto", F.sum("words").over(Window.partitionBy("_key").orderBy("digit")))
+        fits = F.col("upto") <= F.col("left")
+        border = upto.groupBy("_key").agg(
+            F.max(F.when(fits, F.col("upto"))).alias("words"), F.min(F.when(~fits, F.col("digit"))).alias("next")
         )
-        inside = rows.filter(F.expr(f"shiftright(place, {high}) = shiftright(until, {high})") if high < 63 else F.lit(True))
-        sums = inside.groupBy("source", "every", "left", "until", F.expr(f"shiftright(place, {shift})").alias("digit")).agg(
-            F.sum("size").alias("words")
-        )
-        upto = F.sum("words").over(Window.partitionBy("source").orderBy("digit"))
-        fits = sums.withColumn("upto", upto).filter(F.col("upto") <= F.col("left"))
-        taken = fits.groupBy("source").agg(F.max("upto").alias("words"), F.max("digit").alias("digit"))
-        after = F.coalesce(F.expr(f"shiftleft(digit + 1, {shift})"), F.col("until"))
-        state = state.join(taken, _same(state, taken), "left").select(
-            state["source"], "every", (F.col("left") - F.coalesce("words", F.lit(0))).alias("left"), after.alias("until")
-        )
-    return cut(state)
-
-
-def split_tree(quotas: dict[str, int], shards: int, seed: int = SEED) -> np.ndarray:
-    """Block copies of each source (rows, in the order given) in each shard (columns)."""
-    out = np.zeros((len(quotas), shards), np.int64)
+        after = F.expr(f"coalesce(shiftleft(next, {shift}), until)")
+        state = cut(state.join(border, "_key", "left").select(
+            "_key", "source_size", "target", "every", (F.col("left") - F.coalesce("words", F.lit(0))).alias("left"),
+            after.alias("until"), "extra",
+        ))
+    for _ in range(FILLS):
+        free = slim.join(state, "_key").filter("_place >= until AND _size > 0 AND _size <= left AND NOT array_contains(extra, _place)")
+        best = free.groupBy("_key").agg(F.max("_size").alias("words"), F.max_by("_place", F.struct("_size", "_place")).alias("place"))
+        state = cut(state.join(best, "_key", "left").select(
+            "_key", "source_size", "target", "every", (F.col("left") - F.coalesce("words", F.lit(0))).alias("left"), "until",
+            F.when(F.col("place").isNull(), F.col("extra")).otherwise(F.array_append("extra", F.col("place"))).alias("extra"),
+        ))
+    return state
+
+
+def split_tree(quotas: np.ndarray, shards: np.ndarray, seed) -> np.ndarray:
+    """Deal each kind's quota (rows) to shards (columns) of the given sizes, which add up to
+    the quotas: at each node the left half's share is a multivariate-hypergeometric draw."""
+    out = np.zeros((len(quotas), len(shards)), np.int64)
 
     def node(counts: np.ndarray, first: int, last: int) -> None:
         if last - first == 1:
             out[:, first] = counts
             return
         middle = (first + last) // 2
-        total = int(counts.sum())
-        draw = total * (middle - first) // (last - first)
-        rng = np.random.default_rng([seed, first, last])
-        left = rng.multivariate_hypergeometric(counts, draw, method="marginals") if total else counts
+        rng = np.random.default_rng([*seed, first, last])
+        left = rng.multivariate_hypergeometric(counts, int(shards[first:middle].sum()), method="marginals")
         node(left, first, middle)
         node(counts - left, middle, last)
 
-    node(np.array(list(quotas.values()), np.int64), 0, shards)
+    if len(quotas) and len(shards):
+        node(np.asarray(quotas, np.int64), 0, len(shards))
     return out
+
+
+def _dealt(state: DataFrame, shards: int) -> DataFrame:
+    """Add ``upto``: for each source and shard, the block copies of the source that have been
+    dealt when the shard has its own. Copy c of block b is number c * blocks + b."""
+    blocks = 1 << BLOCK_BITS
+    quota = F.expr(f"every * {blocks} + shiftright(until + {(1 << 63 - BLOCK_BITS) - 1}L, {63 - BLOCK_BITS}) + size(extra)")
+    rows = cut(state.withColumn("quota", quota).withColumn("bucket", F.expr(f"pmod(xxhash64(_key), {BUCKETS})")))
+    totals = sorted((r[0], r[1]) for r in rows.groupBy("bucket").agg(F.sum("quota")).collect())  # at most BUCKETS rows
+    every, rest = divmod(sum(n for _, n in totals), shards)
+    sizes = np.array([every + (k < rest) for k in range(shards)], np.int64)
+    dealt = split_tree(np.array([n for _, n in totals], np.int64), sizes, (SEED,))
+    of_bucket = {b: dealt[k] for k, (b, _) in enumerate(totals)}
+
+    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_key")
+        parts = split_tree(frame["quota"].to_numpy(), of_bucket[key[0]], (SEED, int(key[0])))
+        return pd.DataFrame({"_key": frame["_key"].to_numpy(), "upto": list(parts.cumsum(axis=1))})
+
+    upto = rows.select("bucket", "_key", "quota").groupBy("bucket").applyInPandas(run, "_key string, upto array<bigint>")
+    return cut(state.join(upto, "_key"))
+
+
+def mix(slim: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The mix of measured rows (source, _key, _size, _place): one row per source, with its
+    size and target and what says how often and in which shards a document is taken."""
+    return _dealt(_borders(slim, targets(slim)), shards)
+
+
+def _takings(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Add to rows how often they are taken, and the shard of each copy."""
+    out = rows.join(mixed, "_key")
+    copies = F.expr(f"CAST(least({int(MOST)}, every + IF(_place < until OR array_contains(extra, _place), 1, 0)) AS INT)")
+    number = f"(c - 1) * {1 << BLOCK_BITS} + shiftright(_place, {63 - BLOCK_BITS})"
+    shard = F.expr(f"transform(slice(array(1, 2), 1, copies), c -> CAST(least(size(upto) - 1, size(filter(upto, u -> u <= {number}))) AS INT))")
+    return out.withColumn("copies", copies).withColumn("shards", shard)
+
+
+def takings(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken, copies, shards."""
+    rows = with_columns(docs, "_size bigint", _sizes, "doc_id", "source", "text").drop("text")
+    slim = cut(_placed(rows))
+    return _takings(slim, mix(slim)).select(
+        "doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("copies") * F.col("_size")).alias("taken"),
+        "copies", "shards",
+    )
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix itself: every document as often as it is taken, dealt to the shards and in
+    hashed order within each, with all of its columns."""
+    whole = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    slim = cut(_placed(with_columns(whole.select("doc_id", "source", "text"), "_size bigint", _sizes).drop("text")))
+    rows = _takings(_placed(whole), mix(slim)).select("_row", "doc_id", F.posexplode("shards").alias("_copy", "_shard"))
+    dealt = rows.repartition("_shard").sortWithinPartitions("_shard", F.expr(f"xxhash64(doc_id, _copy, {SEED + 1})"))
+    return dealt.select("_row.*")
