@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-Voters are words of a lexicon, found by their log odds in the labelled training rows, and
-patterns (shouting, exclamation marks, symbols, repetition). What they vote on a document is
+Voters are words and stems of a lexicon, found by their log odds in the labelled training rows
+(a stem is the beginning of several words, and must make up a share of the text), and patterns (shouting, exclamation marks, symbols, repetition). What they vote on a document is
 one number, a bit per voter. The label model explains all documents' votes by a hidden class:
 each voter has a rate per class, found by expectation maximisation over the counted vote
 patterns, with the training labels counted in. Voters that go together within a class beyond
@@ -21,7 +21,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,15 +29,22 @@ from loomstead.llm.common import cut, with_columns
 
 WORDS = 48
 LEAST_SHARE = 0.01
-#: Candidates for the lexicon: the words in most toxic texts.
-CANDIDATES = 4000
+#: A cue enters the lexicon if it is more frequent in toxic texts by so many deviations.
+LEAST_G = 5.0
+#: Correlations within a class below this are taken for chance.
+CHANCE = 0.15
+#: Candidates for the lexicon: the cues in most toxic texts.
+CANDIDATES = 20_000
+#: Stems are word beginnings of these lengths, and count if every so manieth word has them.
+STEMS = (4, 5, 6, 7)
+STEM_WORDS = 120
 PATTERNS = 5
 EM_STEPS = 8
-#: All unlabelled rows together weigh as much as the labelled ones.
-UNLABELLED = 1.0
+#: What all unlabelled rows together weigh against the labelled ones.
+UNLABELLED = 0.3
 SAMPLE = 8000
 LEAST_ROWS = 4
-VOCABULARY = 30_000
+VOCABULARY = 4000
 L2 = 2e-3
 STEPS = 400
 THRESHOLD = 0.3
@@ -50,6 +56,46 @@ def tokens(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
+def _stem_cues(counts, n: int, of_words) -> set[str]:
+    found: dict[str, int] = {}
+    for w in of_words:
+        for k in STEMS:
+            if len(w) > k:
+                found[w[:k]] = found.get(w[:k], 0) + counts[w]
+    return {f"{stem}*" for stem, c in found.items() if c * STEM_WORDS >= n}
+
+
+def cues(words: list[str]) -> set[str]:
+    """The words of a text, and as ``stem*`` the stems with a share of it."""
+    counts = Counter(words)
+    return counts.keys() | _stem_cues(counts, len(words), counts)
+
+
+class Known:
+    """Finds a given set of cues in texts, looking closer only at words that may hold one."""
+
+    def __init__(self, wanted):
+        self.words = {c for c in wanted if not c.endswith("*")}
+        self.stems = {c for c in wanted if c.endswith("*")}
+        self.heads = {c[: STEMS[0]] for c in self.stems}
+
+    def among(self, words: list[str]) -> set[str]:
+        counts, heads, k = Counter(words), self.heads, STEMS[0]
+        near = [w for w in counts if w[:k] in heads]
+        return (self.words & counts.keys()) | (self.stems & _stem_cues(counts, len(words), near))
+
+
+def speaking(with_cue: np.ndarray, without: np.ndarray, size: tuple[float, float]) -> np.ndarray:
+    """Signed roots of the likelihood ratio of cues between two classes of the given sizes:
+    about the standard deviations by which a cue is more frequent in the first class."""
+    a, b = np.asarray(with_cue, float), np.asarray(without, float)
+    table = [a, b, size[0] - a, size[1] - b]
+    total = max(size[0] + size[1], 1)
+    rows = [(a + b) * n / total for n in size] + [(total - a - b) * n / total for n in size]
+    parts = [np.where(o > 0, o * np.log(np.maximum(o, 1e-9) / np.maximum(e, 1e-9)), 0) for o, e in zip(table, rows, strict=True)]
+    return np.sign(a - rows[0]) * np.sqrt(np.maximum(2 * sum(parts), 0))
+
+
 def patterns(text: str, words: list[str]) -> list[float]:
     """Strengths from 0 to 1 of the pattern voters; one votes if above a half."""
     n = max(len(text), 1)
@@ -80,45 +126,49 @@ def _summed(rows: DataFrame, shape: tuple[int, ...], of_batch, *columns: str) ->
 
 
 def lexicon(train: DataFrame) -> list[str]:
-    """The words that speak most for a toxic text, from training rows (text, toxic)."""
+    """The cues that speak most for a toxic text, from training rows (text, toxic)."""
     toxic = train.filter("toxic = 1")
 
     def spread(batches):
         for batch in batches:
-            words = [w for t in batch.column("text").to_pylist() for w in set(tokens(t or ""))]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
+            found = [c for t in batch.column("text").to_pylist() for c in cues(tokens(t or ""))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["cue"])
 
     size = train.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not all(size):
         return []
-    common = toxic.select("text").mapInArrow(spread, "word string").groupBy("word").agg(F.count("*").alias("n"))
-    common = common.filter(F.col("n") >= max(2, LEAST_SHARE * size[0])).orderBy(F.desc("n"), "word").limit(CANDIDATES)
-    with_word = {r["word"]: r["n"] for r in common.collect()}
-    if not with_word:
+    common = toxic.select("text").mapInArrow(spread, "cue string").groupBy("cue").agg(F.count("*").alias("n"))
+    common = common.filter(F.col("n") >= max(2, LEAST_SHARE * size[0])).orderBy(F.desc("n"), "cue").limit(CANDIDATES)
+    with_cue = {r["cue"]: r["n"] for r in common.collect()}
+    if not with_cue:
         return []
-    number = {w: k for k, w in enumerate(with_word)}
+    number = {c: k for k, c in enumerate(with_cue)}
 
     def counted(batch):
-        out = np.zeros(len(number))
+        out, known = np.zeros(len(number)), Known(number)
         for t in batch.column("text").to_pylist():
-            for w in number.keys() & set(tokens(t or "")):
-                out[number[w]] += 1
+            for c in known.among(tokens(t or "")):
+                out[number[c]] += 1
         return out
 
     without = _summed(train.filter("toxic = 0"), (len(number),), counted, "text")
-    a, b = (np.array(list(with_word.values())) + 0.5) / (size[0] + 1), (without + 0.5) / (size[1] + 1)
-    spread_of = np.sqrt(1 / (a * (size[0] + 1)) + 1 / (b * (size[1] + 1)))
-    z = (np.log(a / (1 - np.minimum(a, 0.999))) - np.log(b / (1 - np.minimum(b, 0.999)))) / spread_of
-    best = sorted(zip(-z, with_word, strict=True))[:WORDS]
-    return [w for s, w in best if s < -2]
+    z = speaking(np.array(list(with_cue.values()), float), without, size)
+    chosen: list[str] = []
+    for s, cue in sorted(zip(-z, with_cue, strict=True)):
+        if s > -LEAST_G or len(chosen) == WORDS:
+            break
+        own = cue.rstrip("*")
+        if not any(own.startswith(c.rstrip("*")) or c.startswith(own) for c in chosen):
+            chosen.append(cue)
+    return chosen
 
 
 def voted(texts: list[str], words: list[str]) -> np.ndarray:
-    """The votes on each text as bits: first the lexicon's words, then the patterns."""
-    bit, out = {w: 1 << k for k, w in enumerate(words)}, []
+    """The votes on each text as bits: first the lexicon's cues, then the patterns."""
+    bit, known, out = {w: 1 << k for k, w in enumerate(words)}, Known(words), []
     for text in texts:
         found = tokens(text)
-        bits = sum(map(bit.__getitem__, bit.keys() & set(found)))
+        bits = sum(map(bit.__getitem__, known.among(found)))
         for k, s in enumerate(patterns(text, found)):
             bits |= (s > 0.5) << (len(words) + k)
         out.append(bits)
@@ -130,17 +180,20 @@ def unpacked(bits: np.ndarray, m: int) -> np.ndarray:
 
 
 class LabelModel:
-    """Class rates of binary voters and their correlations within the classes."""
+    """Class rates of binary voters and their correlations within the classes. A voter that is
+    silent abstains: it is no evidence either way. ``prior`` is the log odds of a row with some
+    vote of the lexicon before it is heard, ``silent`` those of a row without any."""
 
     def __init__(self, m: int):
-        self.m, self.prior = m, 0.5
+        self.m, self.prior, self.silent = m, 0.0, 0.0
         self.rates = np.full((2, m), 0.5)
-        self.weights = np.ones(m)
+        self.corr = np.zeros((m, m))
 
     def log_odds(self, votes: np.ndarray) -> np.ndarray:
-        yes = np.log(self.rates[1] / self.rates[0]) * self.weights
-        no = np.log((1 - self.rates[1]) / (1 - self.rates[0])) * self.weights
-        return np.log(self.prior / (1 - self.prior)) + votes @ (yes - no) + no.sum()
+        """A voter counts the less, the more the others who vote with it correlate with it."""
+        worth = 1 / (1 + votes @ self.corr)
+        heard = votes[:, : self.m - PATTERNS].any(axis=1)
+        return np.where(heard, self.prior, self.silent) + (votes * worth) @ np.log(self.rates[1] / self.rates[0])
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.log_odds(votes), -40, 40)))
@@ -154,13 +207,11 @@ class LabelModel:
         return out
 
     def fit(self, moments: np.ndarray) -> None:
-        size = moments[:, 0, 0] + 2
-        self.prior = float(size[1] / size.sum())
-        self.rates = (moments[:, 0, 1:] + 0.5) / (size[:, None] - 1)
+        self.rates = (moments[:, 0, 1:] + 0.5) / (moments[:, :1, 0] + 1)
         self.rates = np.clip(self.rates, 1e-6, 1 - 1e-6)
 
-    def discount(self, moments: np.ndarray) -> np.ndarray:
-        """Correlations within the classes, and from them each voter's weight."""
+    def correlate(self, moments: np.ndarray) -> None:
+        """Correlations within the classes, beyond chance."""
         corr = np.zeros((self.m, self.m))
         for y in (0, 1):
             n = moments[y, 0, 0]
@@ -169,10 +220,9 @@ class LabelModel:
             p = moments[y, 0, 1:] / n
             sd = np.sqrt(np.maximum(p * (1 - p), 1e-12))
             r = (moments[y, 1:, 1:] / n - np.outer(p, p)) / np.outer(sd, sd)
-            corr += np.where(np.outer(p, p) > 0, r, 0) * n / moments[:, 0, 0].sum()
+            corr = np.maximum(corr, np.where((np.outer(p, p) > 0) & (r > CHANCE), r, 0))
         np.fill_diagonal(corr, 0)
-        self.weights = 1 / (1 + np.maximum(corr, 0).sum(axis=1))
-        return corr
+        self.corr = corr
 
 
 def label_model(votes: DataFrame, train_votes: DataFrame, m: int) -> LabelModel:
@@ -189,13 +239,17 @@ def label_model(votes: DataFrame, train_votes: DataFrame, m: int) -> LabelModel:
         return _summed(rows, (2, m + 1, m + 1), of_batch, *rows.columns)
 
     labelled = sums(known, lambda batch, v: batch.column("toxic").to_numpy().astype(float))
+    silent = known.filter(F.expr(f"votes & {(1 << m - PATTERNS) - 1}L = 0")).groupBy("toxic").agg(F.sum("n")).collect()
+    silent = {0: 0, 1: 0} | {r[0]: r[1] for r in silent}
+    model.silent = float(np.log((silent[1] + 0.5) / (silent[0] + 0.5)))
+    model.prior = float(np.log((labelled[1, 0, 0] + 0.5) / (labelled[0, 0, 0] + 0.5)))
     model.fit(labelled)
     for _ in range(EM_STEPS):
         found = sums(counted, lambda batch, v: model.posterior(v))
         found *= UNLABELLED * labelled[:, 0, 0].sum() / max(found[:, 0, 0].sum(), 1)
         moments = labelled + found
         model.fit(moments)
-        model.discount(moments)
+        model.correlate(moments)
     return model
 
 
@@ -227,14 +281,21 @@ def classifier(docs: DataFrame, words: list[str], model: LabelModel, total: int)
     def fit(batches):
         texts = [t or "" for b in batches for t in b.column("text").to_pylist()]
         found = [tokens(t) for t in texts]
-        seen = Counter(w for f in found for w in set(f))
-        known = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n >= LEAST_ROWS]
-        number = {w: k for k, w in enumerate(known)}
-        rows = [np.array(sorted(number[w] for w in number.keys() & set(f)), np.int64) for f in found]
-        dense = np.array([patterns(t, f) for t, f in zip(texts, found, strict=True)]).reshape(len(texts), PATTERNS)
         target = model.posterior(unpacked(voted(texts, words), m)) if texts else np.zeros(0)
-        w = logistic(rows, dense, target, len(known)) if texts else np.zeros(PATTERNS + 1)
-        names = [*known, *[None] * (PATTERNS + 1)]
+        own = [cues(f) for f in found]
+        seen, toxic = Counter(), Counter()
+        for c, p in zip(own, target, strict=True):
+            seen.update(c)
+            if p >= 0.5:
+                toxic.update(c)
+        common = sorted(c for c, n in seen.items() if n >= LEAST_ROWS)
+        size = (float((target >= 0.5).sum()), float((target < 0.5).sum()))
+        z = speaking(np.array([toxic[c] for c in common], float), np.array([seen[c] - toxic[c] for c in common], float), size)
+        number = {common[k]: i for i, k in enumerate(np.argsort(-np.abs(z), kind="stable")[:VOCABULARY])}
+        rows = [np.array(sorted(number[c] for c in number.keys() & f), np.int64) for f in own]
+        dense = np.array([patterns(t, f) for t, f in zip(texts, found, strict=True)]).reshape(len(texts), PATTERNS)
+        w = logistic(rows, dense, target, len(number)) if texts else np.zeros(PATTERNS + 1)
+        names = [*number, *[None] * (PATTERNS + 1)]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(w)], names=["word", "weight"])
 
     rows = sample.coalesce(1).mapInArrow(fit, "word string, weight double").collect()  # at most VOCABULARY rows
@@ -264,10 +325,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     worth = {w: v for w, v in weight.items() if abs(v) > 1e-3}
 
     def score(batch):
-        z = []
+        z, known = [], Known(worth)
         for t in batch.column("text").to_pylist():
             found = tokens(t or "")
-            own = sorted(worth.keys() & set(found))
+            own = sorted(known.among(found))
             z.append(sum(map(worth.__getitem__, own)) + float(np.dot(patterns(t or "", found), rest[:-1])) + rest[-1])
         return {"score": 1 / (1 + np.exp(-np.clip(np.array(z), -40, 40)))}
 
