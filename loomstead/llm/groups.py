@@ -9,20 +9,31 @@ from loomstead.llm.common import cut
 from loomstead.session import join_per_key
 
 
-def meeting(keyed: DataFrame, spread: str, limit: int) -> DataFrame:
-    """Rows whose ``key`` another row has too, arranged so that every two rows of a key meet
-    in a group of at most about ``2 * limit`` rows.
+def crowded(keyed: DataFrame) -> DataFrame:
+    """Rows whose ``key`` (a long) another row has too, with the key's number of rows as _n.
+
+    Keys are counted after map-side folding. Only the crowded ones are joined back, between
+    exchanges of the join's own (so that a hot key can be split), which takes a second join
+    column; a few bits of the key serve, as they hardly add to what is moved.
+    """
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1")
+    some = F.expr("key & 15L").alias("_bits")
+    return keyed.select("*", some).join(sizes.select("*", some), ["_bits", "key"]).drop("_bits")
+
+
+def arranged(rows: DataFrame, spread: str, limit: int) -> DataFrame:
+    """Crowded rows, so that every two rows of a key meet in a group of at most about
+    ``2 * limit`` rows.
 
     A key with more rows is cut into parts by a hash of ``spread``; the group (lo, hi) holds
     the rows of both parts. Added columns: lo, hi and the row's own ``part``. The result is
     partitioned and sorted by (key, lo, hi), as ``runs`` wants it.
     """
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1")
-    rows = join_per_key(keyed, sizes, ["key"], "inner")
+    names = [c for c in rows.columns if c != "_n"]
     pieces = F.ceil(F.col("_n") / F.lit(limit)).cast("int")
     rows = rows.withColumn("_pieces", pieces).withColumn("part", F.expr(f"CAST(pmod(xxhash64({spread}, 7), _pieces) AS INT)"))
     pairs = F.expr("transform(sequence(0, _pieces - 1), q -> struct(least(part, q) AS lo, greatest(part, q) AS hi))")
-    rows = rows.select(*keyed.columns, "part", F.inline(pairs).alias("lo", "hi"))
+    rows = rows.select(*names, "part", F.inline(pairs).alias("lo", "hi"))
     return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "part", spread)
 
 

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstead.llm import exact_packing, overlap_tokens, quota_mix, robust_outliers, simhash_trees, warc_store, weak_toxicity
+from loomstead.llm import exact_packing, overlap_tokens, paragraph_bands, quota_mix, robust_outliers, simhash_trees, warc_store, weak_toxicity
 from loomstead.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_quota_mix(spark: SparkSession, folder: str) -> DataFrame:
     return quota_mix.takings(table(spark, folder, "documents"))
 
 
+def op5_paragraph_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_bands.repeated_passages(table(spark, folder, "documents"))
+
+
 def op6_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_trees.near_duplicates(table(spark, folder, "documents"))
 
@@ -37,7 +41,7 @@ def op8_warc_store(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op6_simhash_trees, op7_exact_packing, op8_warc_store)
+    for f in (op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op5_paragraph_bands, op6_simhash_trees, op7_exact_packing, op8_warc_store)
 }
 
 ORACLES = {"op8_warc_store": warc_store.ORACLE_SQL}

@@ -19,7 +19,7 @@ all responses; the payload is still stored once. An empty table gives an empty a
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomstead.llm.common import new_folder, prepared
+from loomstead.llm.common import cut, new_folder, prepared
 from loomstead.session import join_per_key
 
 LEAST_BYTES = 0
@@ -69,7 +69,7 @@ def _header(kind: str, refers):
 def write(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
     """Write the archive of pages (page_id, url, html) to ``path``."""
     rows = described(pages)
-    slim = rows.drop("payload")
+    slim = cut(rows.drop("payload"))
     by_address = slim.groupBy("address").agg(
         F.min("page_id").alias("first"), F.min("digest").alias("digest_a"), F.max("digest").alias("digest_z"),
         F.min("bytes").alias("bytes_a"), F.max("bytes").alias("bytes_z"),
@@ -81,10 +81,9 @@ def write(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES) -> None:
     revisit = (F.col("bytes") >= least_bytes) & F.coalesce(F.col("page_id") != F.col("first"), F.col("first").isNotNull())
     header = F.when(revisit, _header("revisit", F.col("first"))).otherwise(_header("response", None))
     seen.select("address", header.alias("header")).write.parquet(f"{path}/headers")
-    # The payload travels from a page that has the smallest id only; equal rows are folded.
-    stored = join_per_key(rows.select("address", "page_id", "payload"), firsts, ["address"], "inner")
-    stored = stored.filter(F.col("page_id").eqNullSafe(F.col("first"))).select("address", "payload")
-    stored.dropDuplicates(["address"]).write.parquet(f"{path}/payloads")
+    # Folded before they travel: a payload leaves a task once, however many pages have it.
+    stored = rows.groupBy("address").agg(F.first("payload").alias("payload"))
+    stored.write.parquet(f"{path}/payloads")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
