@@ -11,7 +11,8 @@ probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.994. Contents that collide are
 exact Jaccard similarity is computed, and components of the links are the classes. Of a class
 that occurs in several documents, the first paragraph (by doc_id, then place) stays. The others
 are marked, and marked paragraphs that follow each other, with little between them, are a
-passage; a passage of ``PASSAGE_WORDS`` words or more is removed. Shorter repeats (a license
+passage. It is extended at either end, word by word, as far as it agrees with the copy that
+stays (up to ``CONTEXT`` words), and removed if it has ``PASSAGE_WORDS`` words or more. Shorter repeats (a license
 line, a heading) are left alone.
 
 Texts are not moved to be compared. Shingles are made again for colliding contents, which a
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstead.llm.common import cut, texts_of
+from loomstead.llm.common import cut, null_safe_key, texts_of
 from loomstead.llm.groups import Sets, arranged, components, crowded, runs
 from loomstead.session import join_per_key
 
@@ -37,7 +38,8 @@ ROWS, BANDS = 2, 5
 LEAST_WORDS = 8
 LONG, NEAR, HARD = 32, 8, 128
 GAP_WORDS = 16
-PASSAGE_WORDS = 20
+PASSAGE_WORDS = 30
+CONTEXT = 64
 GROUP = 128
 BITMAP = 1 << 23
 ENDS = frozenset(b".?!")
@@ -245,7 +247,7 @@ def _linked(batches):
 def _classes(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(content, class, first...) of the contents whose class occurs in several documents."""
     keys = [f"b{k}" for k in range(BANDS)]
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "first")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "first", "size")
     by_content = cut(
         found.groupBy("content").agg(
             *[F.first(k).alias(k) for k in keys], F.min("_text").alias("_low"), F.max("_text").alias("_high"),
@@ -276,25 +278,96 @@ def marked_paragraphs(docs: DataFrame) -> DataFrame:
     return join_per_key(marked, kept, ["class"], "inner")
 
 
-def passages(docs: DataFrame) -> DataFrame:
-    """The passages to remove: one row each with doc_id, _text, first word, number of words,
-    the classes of its paragraphs and the documents in which their first copies stay."""
-    marked = cut(marked_paragraphs(docs).filter("place <> kept"))
+def _stretches(marked: DataFrame) -> DataFrame:
+    """Fold a document's marked paragraphs, in order, into stretches with little in between:
+    first and until, the kept places of the first and the last paragraph, all classes."""
+    kept = marked.schema["kept"].dataType.simpleString()
     own = marked.groupBy("doc_id", "_text").agg(
-        F.array_sort(F.collect_set(F.struct("first", "size", "class", F.col("kept.doc_id").alias("kept_doc")))).alias("parts")
+        F.array_sort(F.collect_set(F.struct("first", "size", "class", "kept"))).alias("parts")
     )
-    # Fold a document's marked paragraphs, in order, into stretches with little in between.
-    start = "CAST(array() AS array<struct<first:int,until:int,classes:array<bigint>,kept:array<{t}>>>)"
-    start = start.format(t=docs.schema["doc_id"].dataType.simpleString())
-    fold = f"""aggregate(parts, {start}, (acc, p) -> IF(
+    one = "named_struct('first', p.first, 'until', p.first + p.size, 'head', p.kept, 'tail', p.kept, 'classes', array(p.class), 'docs', array(p.kept.doc_id))"
+    kind = f"array<struct<first:int,until:int,head:{kept},tail:{kept},classes:array<bigint>,docs:array<{marked.schema['doc_id'].dataType.simpleString()}>>>"
+    fold = f"""aggregate(parts, CAST(array() AS {kind}), (acc, p) -> IF(
       size(acc) > 0 AND p.first <= element_at(acc, -1).until + {GAP_WORDS},
       concat(slice(acc, 1, size(acc) - 1), array(named_struct('first', element_at(acc, -1).first,
-        'until', greatest(element_at(acc, -1).until, p.first + p.size),
+        'until', greatest(element_at(acc, -1).until, p.first + p.size), 'head', element_at(acc, -1).head, 'tail', p.kept,
         'classes', array_append(element_at(acc, -1).classes, p.class),
-        'kept', array_union(element_at(acc, -1).kept, array(p.kept_doc))))),
-      concat(acc, array(named_struct('first', p.first, 'until', p.first + p.size, 'classes', array(p.class), 'kept', array(p.kept_doc))))))"""
-    rows = own.select("doc_id", "_text", F.inline(F.expr(fold)))
-    return rows.filter(f"until - first >= {PASSAGE_WORDS}")
+        'docs', array_union(element_at(acc, -1).docs, array(p.kept.doc_id))))),
+      concat(acc, array({one}))))"""
+    return own.select("doc_id", "_text", F.inline(F.expr(fold)))
+
+
+def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The hashes of up to ``CONTEXT`` words before (way -1, nearest first) or after (way 1)
+    the wanted places (doc_id, _text, pos, way). Only texts that a bitmap of fixed size knows
+    are moved, and a text meets the list of its own places, which its length bounds."""
+    bitmap = _bitmap(wanted.select("_text"))
+    by_doc = wanted.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).agg(
+        F.array_sort(F.collect_set(F.struct("pos", "way"))).alias("places")
+    )
+
+    def known(batches):
+        bits = np.unpackbits(bitmap).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(bits[batch.column("_text").to_numpy() % BITMAP]))
+
+    rows = _rows(docs)
+    some = rows.mapInArrow(known, rows.schema)
+    met = some.join(by_doc, some["doc_id"].eqNullSafe(by_doc["_id"]) & (some["_text"] == by_doc["_hash"]))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            at, pos, way, context = [], [], [], []
+            for k, (text, places) in enumerate(zip(texts_of(batch), batch.column("places").to_pylist(), strict=True)):
+                words = text.lower().split()
+                for x in places:
+                    p = x["pos"]
+                    near = words[p : p + CONTEXT] if x["way"] > 0 else words[max(0, p - CONTEXT) : p][::-1]
+                    at.append(k)
+                    pos.append(p)
+                    way.append(x["way"])
+                    context.append(np.array([digest(w) for w in near], np.uint64).view(np.int64))
+            ids = pa.array(at, pa.int64())
+            columns = [batch.column("doc_id").take(ids), batch.column("_text").take(ids)]
+            columns += [pa.array(pos, pa.int32()), pa.array(way, pa.int32()), pa.array(context, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "pos", "way", "context"])
+
+    schema = f"doc_id {id_type}, _text bigint, pos int, way int, context array<bigint>"
+    out = met.select(some["doc_id"], some["_text"], "text", "places").mapInArrow(run, schema)
+    return out.dropDuplicates(["doc_id", "_text", "pos", "way"])
+
+
+def passages(docs: DataFrame) -> DataFrame:
+    """The passages to remove: doc_id, _text, first word, the word after the last, the classes
+    of the paragraphs and the documents in which their first copies stay."""
+    found = cut(_stretches(cut(marked_paragraphs(docs).filter("place <> kept"))))
+    ends = {
+        "own_head": ("doc_id", "_text", F.col("first"), -1), "own_tail": ("doc_id", "_text", F.col("until"), 1),
+        "kept_head": ("head.doc_id", "head._text", F.col("head.first"), -1),
+        "kept_tail": ("tail.doc_id", "tail._text", F.col("tail.first") + F.col("tail.size"), 1),
+    }
+    wanted = None
+    for doc, text, pos, way in ends.values():
+        one = found.select(F.col(doc).alias("doc_id"), F.col(text).alias("_text"), pos.alias("pos"), F.lit(way).alias("way"))
+        wanted = one if wanted is None else wanted.unionByName(one)
+    contexts = cut(_contexts(docs, cut(wanted.distinct())).select(null_safe_key("doc_id").alias("_doc"), "_text", "pos", "way", "context"))
+    rows = found
+    for name, (doc, text, pos, way) in ends.items():
+        side = contexts.filter(F.col("way") == way).select(
+            F.col("_doc").alias("_d"), F.col("_text").alias("_t"), F.col("pos").alias("_p"), F.col("context").alias(name)
+        )
+        key = F.to_json(F.struct(F.col(doc).alias("doc_id")))
+        rows = rows.join(side, (key == F.col("_d")) & (F.col(text) == F.col("_t")) & (pos == F.col("_p")), "left").drop("_d", "_t", "_p")
+
+    def agreeing(a: str, b: str):
+        differs = f"array_position(zip_with({a}, {b}, (x, y) -> coalesce(x = y, false)), false)"
+        return F.expr(f"CAST(coalesce(IF({differs} > 0, {differs} - 1, least(size({a}), size({b}))), 0) AS INT)")
+
+    rows = rows.withColumn("first", F.col("first") - agreeing("own_head", "kept_head"))
+    rows = rows.withColumn("until", F.col("until") + agreeing("own_tail", "kept_tail"))
+    return rows.filter(f"until - first >= {PASSAGE_WORDS}").select("doc_id", "_text", "first", "until", "classes", F.col("docs").alias("kept"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -314,8 +387,8 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
         at += len(word)
     out, done = [], 0
     for a, b in sorted(spans):
-        out.append(text[done : starts[a][0]])
-        done = starts[b][0] if b < len(starts) else len(text)
+        out.append(text[done : starts[a][0]])  # nothing, where a span overlaps the one before
+        done = max(done, starts[b][0] if b < len(starts) else len(text))
     return b"".join([*out, text[done:]])
 
 
