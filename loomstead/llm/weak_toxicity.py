@@ -33,6 +33,8 @@ LEAST_SHARE = 0.01
 LEAST_G = 5.0
 #: Correlations within a class below this are taken for chance.
 CHANCE = 0.15
+#: Labelled training rows used, at most: those whose ids hash lowest.
+LABELLED = 20_000
 #: Candidates for the lexicon: the cues in most toxic texts.
 CANDIDATES = 20_000
 #: Stems are word beginnings of these lengths, and count if every so manieth word has them.
@@ -110,6 +112,20 @@ def held_out(id_column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _lowest(rows: DataFrame, n: int, total: int) -> DataFrame:
+    """The ``n`` rows whose doc_id hashes lowest, of about ``total``."""
+    share = min(1.0, 2 * n / max(total, 1))
+    placed = rows.withColumn("_place", F.xxhash64(F.col("doc_id").cast("string"), F.lit(3)))
+    return placed.filter(F.expr(f"pmod(_place, 1000000) < {round(1_000_000 * share)}")).orderBy("_place").limit(n).drop("_place")
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    """The training labels used: (doc_id, toxic) of ``LABELLED`` ids; of several the largest."""
+    good = labels.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
+    one = cut(good.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+    return cut(_lowest(one, LABELLED, one.count()))
+
+
 def _summed(rows: DataFrame, shape: tuple[int, ...], of_batch, *columns: str) -> np.ndarray:
     """The sum over all rows of arrays of one fixed shape; each partition sends one."""
 
@@ -273,10 +289,7 @@ def classifier(docs: DataFrame, words: list[str], model: LabelModel, total: int)
     """Weights of words, and of the patterns with the intercept last, trained on the posterior
     labels of the ``SAMPLE`` rows whose ids hash lowest."""
     m = len(words) + PATTERNS
-    place = F.xxhash64(F.col("doc_id").cast("string"), F.lit(3))
-    share = min(1.0, 2 * SAMPLE / max(total, 1))
-    some = docs.filter(~held_out()).withColumn("_place", place).filter(F.expr(f"pmod(_place, 1000000) < {round(1_000_000 * share)}"))
-    sample = some.orderBy("_place").limit(SAMPLE).select("text")
+    sample = _lowest(docs.filter(~held_out()), SAMPLE, total).select("text")
 
     def fit(batches):
         texts = [t or "" for b in batches for t in b.column("text").to_pylist()]
@@ -305,11 +318,8 @@ def classifier(docs: DataFrame, words: list[str], model: LabelModel, total: int)
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     docs = docs.select("doc_id", "text")
-    train = docs.filter(~held_out()).join(
-        labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")),
-        "doc_id",
-    )
-    train = cut(train.select("text", "toxic"))
+    # At most LABELLED ids and labels, which every task can have; no text is moved for them.
+    train = cut(docs.join(F.broadcast(_known(labels)), "doc_id").select("text", "toxic"))
     words = lexicon(train)
     m = len(words) + PATTERNS
 
