@@ -1,12 +1,14 @@
 """From raw documents to packed sequences: five stages, each written and read again."""
 
+import public_tokenizers
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 
 import loomstead
-from loomstead.llm import robust_outliers
+from loomstead.llm import exact_packing, paragraph_bands, quota_mix, robust_outliers, simhash_trees
 from loomstead.llm.common import cut, prepared, table
 
+# Python workers get the package's functions with the job.
 register_pickle_by_value(loomstead)
 
 
@@ -16,12 +18,44 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return robust_outliers.filtered(docs)
 
 
-STAGES = [("quality", keep_quality)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-duplicates."""
+    prepared(spark)
+    return simhash_trees.deduplicated(docs)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that an earlier document has."""
+    prepared(spark)
+    return paragraph_bands.cleaned(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    prepared(spark)
+    return quota_mix.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences."""
+    prepared(spark)
+    return exact_packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_dedup", drop_near_duplicates),
+    ("substring_dedup", drop_repeated_passages),
+    ("mix", mix_sources),
+    ("pack", pack_sequences),
+]
 
+#: Fingerprints, exact covariances and tokenizers are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to the documents; each result is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir))

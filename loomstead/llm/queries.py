@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstead.llm import exact_packing, overlap_tokens, paragraph_bands, quota_mix, robust_outliers, simhash_trees, warc_store, weak_toxicity
+from loomstead.llm import exact_packing, license_bands, nn_descent, overlap_tokens, paragraph_bands, quota_mix, robust_outliers, simhash_trees, warc_store, weak_toxicity
 from loomstead.llm.common import table
 
 
@@ -39,9 +39,17 @@ def op8_warc_store(spark: SparkSession, folder: str) -> DataFrame:
     return warc_store.archived(table(spark, folder, "pages"))
 
 
+def op9_license_bands(spark: SparkSession, folder: str) -> DataFrame:
+    return license_bands.licenses(table(spark, folder, "documents"))
+
+
+def op10_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, folder, "embeddings"), "vec_id % 20 = 0")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op5_paragraph_bands, op6_simhash_trees, op7_exact_packing, op8_warc_store)
+    for f in (op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op5_paragraph_bands, op6_simhash_trees, op7_exact_packing, op8_warc_store, op9_license_bands, op10_nn_descent)
 }
 
 ORACLES = {"op8_warc_store": warc_store.ORACLE_SQL}
