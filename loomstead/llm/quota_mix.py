@@ -132,7 +132,7 @@ def _dealt(state: DataFrame, shards: int) -> DataFrame:
     """Add ``upto``: for each source and shard, the block copies of the source that have been
     dealt when the shard has its own. Copy c of block b is number c * blocks + b."""
     blocks = 1 << BLOCK_BITS
-    quota = F.expr(f"every * {blocks} + shiftright(until + {(1 << 63 - BLOCK_BITS) - 1}L, {63 - BLOCK_BITS}) + size(extra)")
+    quota = F.expr(f"every * {blocks} + shiftright(until, {63 - BLOCK_BITS}) + IF(until & {(1 << 63 - BLOCK_BITS) - 1}L = 0, 0, 1) + size(extra)")
     rows = cut(state.withColumn("quota", quota).withColumn("bucket", F.expr(f"pmod(xxhash64(_key), {BUCKETS})")))
     totals = sorted((r[0], r[1]) for r in rows.groupBy("bucket").agg(F.sum("quota")).collect())  # at most BUCKETS rows
     every, rest = divmod(sum(n for _, n in totals), shards)
