@@ -47,10 +47,22 @@ def new_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: The folders that ``cut`` has written, in order.
+WRITTEN: list[str] = []
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders whose frames are no longer needed."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back: it is computed once, and a lost
     executor costs a re-read. The file size also tells Spark which joins it may broadcast."""
     path = new_folder(df.sparkSession)
+    WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,7 @@ cut alike in both, wherever it stands. Paragraphs of ``LEAST_WORDS`` words or mo
 
 Equal paragraphs are one content. Contents get MinHash values over shingles of five lower-cased
 words, in ``BANDS`` bands of ``ROWS``: two with Jaccard similarity 0.8 share a band with a
-probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.994. Contents that collide are joined, their
+probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.983, at 0.9 of 0.9987. Contents that collide are joined, their
 exact Jaccard similarity is computed, and components of the links are the classes. Of a class
 that occurs in several documents, the first paragraph (by doc_id, then place) stays. The others
 are marked, and marked paragraphs that follow each other, with little between them, are a
@@ -34,7 +34,7 @@ from loomstead.llm.groups import Sets, arranged, components, crowded, runs
 from loomstead.session import join_per_key
 
 SHINGLE = 5
-ROWS, BANDS = 2, 5
+ROWS, BANDS = 2, 4
 LEAST_WORDS = 8
 LONG, NEAR, HARD = 32, 8, 128
 GAP_WORDS = 16
@@ -158,9 +158,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _found(docs: DataFrame) -> DataFrame:
+    """All paragraphs that take part: doc_id, _text, first, size, content."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    keys = [f"b{k}" for k in range(BANDS)]
-    schema = f"doc_id {id_type}, _text bigint, first int, size int, content bigint, {', '.join(k + ' bigint' for k in keys)}"
 
     def run(batches):
         for batch in batches:
@@ -170,10 +169,28 @@ def _found(docs: DataFrame) -> DataFrame:
             at = pa.array(row)
             columns = [batch.column("doc_id").take(at), batch.column("_text").take(at)]
             columns += [pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(contents(words, place, size))]
-            columns += [pa.array(b) for b in bands(shingles_of(words), place, size)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "first", "size", "content", *keys])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "first", "size", "content"])
+
+    return _rows(docs).mapInArrow(run, f"doc_id {id_type}, _text bigint, first int, size int, content bigint")
 
-    return _rows(docs).mapInArrow(run, schema)
+
+def _banded(docs: DataFrame) -> DataFrame:
+    """(key, content): the band keys of each content, once."""
+    keys = [f"b{k}" for k in range(BANDS)]
+
+    def run(batches):
+        for batch in batches:
+            row, first, size, place, words = cut_up(texts_of(batch))
+            if not len(row):
+                continue
+            content = contents(words, place, size)
+            some = np.unique(content, return_index=True)[1]
+            columns = [pa.array(content[some]), *[pa.array(b) for b in bands(shingles_of(words), place[some], size[some])]]
+            yield pa.RecordBatch.from_arrays(columns, names=["content", *keys])
+
+    found = docs.select("text").mapInArrow(run, f"content bigint, {', '.join(k + ' bigint' for k in keys)}")
+    one = found.groupBy("content").agg(*[F.first(k).alias(k) for k in keys])
+    return one.select(F.explode(F.array(*keys)).alias("key"), "content")
 
 
 def _bitmap(some: DataFrame) -> np.ndarray:
@@ -191,6 +208,17 @@ def _bitmap(some: DataFrame) -> np.ndarray:
     return out
 
 
+def _where_known(rows: DataFrame, bitmap: np.ndarray, column: str, known: bool = True) -> DataFrame:
+    """The rows whose column may be (or, with ``known`` false, can't be) in the bitmap."""
+
+    def run(batches):
+        bits = np.unpackbits(bitmap).astype(bool) == known
+        for batch in batches:
+            yield batch.filter(pa.array(bits[batch.column(column).to_numpy() % BITMAP]))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(content, shingles) of the wanted contents (content): their distinct shingle hashes."""
     bitmap = _bitmap(wanted)
@@ -245,29 +273,23 @@ def _linked(batches):
 
 
 def _classes(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(content, class, first...) of the contents whose class occurs in several documents."""
-    keys = [f"b{k}" for k in range(BANDS)]
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "first", "size")
-    by_content = cut(
-        found.groupBy("content").agg(
-            *[F.first(k).alias(k) for k in keys], F.min("_text").alias("_low"), F.max("_text").alias("_high"),
-            F.min("doc_id").alias("_from"), F.max("doc_id").alias("_to"),
-        )
-    )
-    keyed = by_content.select(F.explode(F.array(*keys)).alias("key"), "content")
-    close = cut(crowded(keyed))
+    """The paragraphs whose class occurs in several documents, with class and place."""
+    close = cut(crowded(_banded(docs)))
     wanted = cut(close.select("content").distinct())
     fat = close.join(cut(_shingled(docs, wanted)), "content")
     links = arranged(fat, "content", GROUP).mapInArrow(_linked, "a bigint, b bigint")
     roots = cut(components(links))
-    rooted = by_content.drop(*keys).join(roots, by_content["content"] == roots["node"], "left")
-    rooted = cut(rooted.select("content", "_low", "_high", "_from", "_to", F.coalesce("root", "content").alias("class")))
-    several = rooted.groupBy("class").agg(
-        F.min("_low").alias("a"), F.max("_high").alias("z"), F.min("_from").alias("c"), F.max("_to").alias("e")
-    ).filter("a <> z OR c <> e").select("class")
-    repeated = cut(join_per_key(rooted.select("content", "class"), several, ["class"], "inner"))
-    marked = found.select("doc_id", "_text", "first", "size", "content").join(repeated, "content")
-    return cut(marked.withColumn("place", place))
+    rooted = found.select("content", F.xxhash64("doc_id", "_text").alias("_doc"))
+    rooted = rooted.join(roots, rooted["content"] == roots["node"], "left")
+    several = rooted.groupBy(F.coalesce("root", "content").alias("class")).agg(F.min("_doc").alias("a"), F.max("_doc").alias("z"))
+    several = cut(several.filter("a <> z").select("class"))
+    # The contents of such classes: the class's own, and those whose root it is.
+    members = roots.select(F.col("node").alias("content"), F.col("root").alias("class"))
+    alone = several.join(roots, several["class"] == roots["node"], "left_anti").select(F.col("class").alias("content"), "class")
+    repeated = cut(members.join(several, "class").select("content", "class").unionByName(alone))
+    some = _where_known(found, _bitmap(repeated.select("content")), "content")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "first", "size")
+    return cut(some.join(repeated, "content").withColumn("place", place))
 
 
 def marked_paragraphs(docs: DataFrame) -> DataFrame:
@@ -301,18 +323,10 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The hashes of up to ``CONTEXT`` words before (way -1, nearest first) or after (way 1)
     the wanted places (doc_id, _text, pos, way). Only texts that a bitmap of fixed size knows
     are moved, and a text meets the list of its own places, which its length bounds."""
-    bitmap = _bitmap(wanted.select("_text"))
     by_doc = wanted.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).agg(
         F.array_sort(F.collect_set(F.struct("pos", "way"))).alias("places")
     )
-
-    def known(batches):
-        bits = np.unpackbits(bitmap).astype(bool)
-        for batch in batches:
-            yield batch.filter(pa.array(bits[batch.column("_text").to_numpy() % BITMAP]))
-
-    rows = _rows(docs)
-    some = rows.mapInArrow(known, rows.schema)
+    some = _where_known(_rows(docs), _bitmap(wanted.select("_text")), "_text")
     met = some.join(by_doc, some["doc_id"].eqNullSafe(by_doc["_id"]) & (some["_text"] == by_doc["_hash"]))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -401,8 +415,12 @@ def cleaned(docs: DataFrame) -> DataFrame:
     names = docs.columns
     whole = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     spans = cut(spans)
-    rows = whole.join(spans, whole["doc_id"].eqNullSafe(spans["_id"]) & (whole["_hash"] == spans["_hash"]), "left")
-    rows = rows.select(*[whole[c] for c in names], "_spans")
+    bitmap = _bitmap(spans.select("_hash"))
+    # Only texts that may lose something are moved.
+    rest = _where_known(whole, bitmap, "_hash", known=False).select(*names)
+    some = _where_known(whole, bitmap, "_hash")
+    rows = some.join(spans, some["doc_id"].eqNullSafe(spans["_id"]) & (some["_hash"] == spans["_hash"]), "left")
+    rows = rows.select(*[some[c] for c in names], "_spans")
 
     def run(batches):
         for batch in batches:
@@ -416,4 +434,4 @@ def cleaned(docs: DataFrame) -> DataFrame:
             columns = [pa.array(new, pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
 
-    return rows.mapInArrow(run, docs.schema)
+    return rest.unionByName(rows.mapInArrow(run, docs.schema))
