@@ -64,8 +64,9 @@ class Collection:
 
     def update(self, ids, documents=None, metadatas=None, embeddings=None) -> "Collection":
         batch = self._batch(ids, documents, metadatas, embeddings)
+        good, bad = writes.split_update(batch, self.dim, self.name)
         seq = "seq" if "seq" in batch.columns else None
-        return replace(self, rows=writes.update(self.rows, batch, seq, self.embedder))
+        return replace(self, rows=writes.update(self.rows, good, seq, self.embedder), skipped=bad)
 
     def delete(self, ids=None, where=None, where_document=None) -> "Collection":
         return replace(self, rows=writes.delete(self.rows, ids, where, where_document))

@@ -21,18 +21,6 @@ class Embedder(Protocol):
     def embed(self, texts: Sequence[str]) -> Sequence[Sequence[float]]: ...
 
 
-# Model ids and the published model each one stands for.
-MODEL_NAMES = {
-    "all_minilm_l12_v2": "sentence-transformers/all-MiniLM-L12-v2",
-    "all_minilm_l6_v2": "sentence-transformers/all-MiniLM-L6-v2",
-}
-
-
-def model_name(model_id: str) -> str:
-    """The published name for a model id; an unknown id is taken as a name."""
-    return MODEL_NAMES.get(model_id, model_id)
-
-
 class _Slots(dict):
     """word -> slot for +1, or ``dim`` + slot for -1; filled as words turn up."""
 
@@ -72,23 +60,6 @@ class HashedTextEmbedder:
         return counts / np.where(lengths > 0, lengths, 1.0)
 
 
-class SentenceTransformerEmbedder:
-    """A published sentence model; loaded on first use in each worker."""
-
-    def __init__(self, model_id: str = "all_minilm_l12_v2", dim: int = DEFAULT_DIM):
-        self.model_id, self.dim, self._model = model_id, dim, None
-
-    def __getstate__(self):
-        return {"model_id": self.model_id, "dim": self.dim, "_model": None}
-
-    def embed(self, texts):
-        if self._model is None:
-            from sentence_transformers import SentenceTransformer
-
-            self._model = SentenceTransformer(model_name(self.model_id))
-        return self._model.encode(list(texts), normalize_embeddings=True)
-
-
 def embedding_of(embedder: Embedder, text: Column) -> Column:
     """The vector of each text; NULL text gives NULL without reaching the model."""
 

@@ -166,12 +166,15 @@ def _replay_chunk(events: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
 def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int = CHUNK_SPAN) -> DataFrame:
     """The events with ``status``, ``fact_id`` and ``reason``. ``events`` has ``seq`` (unique
     long), ``kind`` (add or end), the names of the key, and the fact's columns or ``ended``."""
-    rows = _filled(keyed(events)).selectExpr(
+    again = events.groupBy("seq").agg(F.count("*").alias("_times")).filter("_times > 1")
+    rows = _filled(keyed(events)).join(again, "seq", "left").selectExpr(
         "*",
-        f"""CASE WHEN kind = 'end' THEN CASE WHEN ended IS NULL OR {malformed('ended')}
+        f"""CASE WHEN seq IS NULL THEN 'seq is missing' WHEN _times > 1 THEN 'seq is repeated'
+            WHEN kind IS NULL OR kind NOT IN ('add', 'end') THEN 'kind is neither add nor end'
+            WHEN kind = 'end' THEN CASE WHEN ended IS NULL OR {malformed('ended')}
             THEN 'ended is not an ISO date or date-time' END ELSE {FACT_ERROR} END AS reason""",
-        f"CASE WHEN kind <> 'end' THEN {fact_id_sql(id_salt)} END AS id",
-    )
+        f"CASE WHEN kind = 'add' THEN {fact_id_sql(id_salt)} END AS id",
+    ).drop("_times")
     start = F.coalesce(start_key("valid_from"), F.lit(""))
     key = F.to_json(F.array(*KEY))
     slim = rows.filter("reason IS NULL").select(
@@ -202,7 +205,7 @@ def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int
         .cogroup(entries.groupBy("chunk"))
         .applyInPandas(_replay_chunk, "seq LONG, status STRING, fact_id STRING")
     )
-    late = "CASE WHEN status = 'rejected' THEN 'valid_to is before valid_from' END"
+    late = "CASE WHEN status = 'rejected' THEN 'the interval ends before it starts' END"
     judged = {"status": F.expr("coalesce(status, 'rejected')"), "reason": F.expr(f"coalesce(reason, {late})")}
     return rows.join(outcomes, "seq", "left").withColumns(judged).drop("id")
 
@@ -218,7 +221,7 @@ def apply_events(
     """Apply added facts and endings in ``seq`` order. At most one stored fact per key is
     open, as adding guarantees. Fact ids are made from ``id_salt``, by default ``batch_ts``."""
     judgement = judged_events(triples, events, id_salt or batch_ts, span)
-    added = _filled(keyed(events)).filter(f"kind <> 'end' AND {FACT_ERROR} IS NULL")
+    added = judgement.filter("kind = 'add' AND status IN ('inserted', 'existing')")
     every = triples.select(TRIPLE_SCHEMA.names).unionByName(inserted_facts(judgement, batch_ts))
     closings = judgement.filter("status = 'closed'").select(
         F.col("fact_id").alias("id"), F.col("ended").alias("_ended")

@@ -55,7 +55,7 @@ FACT_ERROR = f"""CASE
     WHEN subject IS NULL OR predicate IS NULL OR object IS NULL THEN 'subject, predicate and object are required'
     WHEN {malformed('valid_from')} THEN 'valid_from is not an ISO date or date-time'
     WHEN {malformed('valid_to')} THEN 'valid_to is not an ISO date or date-time'
-    WHEN {inverted()} THEN 'valid_to is before valid_from' END"""
+    WHEN {inverted()} THEN 'the interval ends before it starts' END"""
 
 
 def fact_id_sql(salt: str) -> str:
@@ -208,6 +208,6 @@ def invalidate(triples: DataFrame, endings: DataFrame, today: str | None = None)
         *KEY,
         "ended",
         """CASE WHEN _bad THEN 'ended is not an ISO date or date-time'
-            ELSE 'valid_to is before valid_from' END AS reason""",
+            ELSE 'the interval ends before it starts' END AS reason""",
     )
     return Invalidation(closed, rejects)

@@ -11,8 +11,8 @@ from ..schemas import PROMOTED
 INCLUDABLE = {"documents": "document", "metadatas": "metadata", "embeddings": "embedding"}
 GET_INCLUDE = ("metadatas", "documents")
 
-# Id lists up to this length become a pushed-down IN; longer ones a semi join.
-SHORT_LIST = 1000
+# Rows that a flat result holds, unless its caller says otherwise.
+FLAT_ROWS = 10_000
 
 # Pages up to this size and depth are a top-n; beyond it their ends are found by counting.
 SHALLOW_PAGE = 100_000
@@ -25,14 +25,12 @@ def include_columns(include, default=GET_INCLUDE) -> list[str]:
 
 def restrict_ids(df: DataFrame, ids, how="left_semi") -> DataFrame:
     """Rows whose id is (``left_semi``) or is not (``left_anti``) among ``ids``: a list, or a
-    frame with an ``id`` column of any size."""
-    if not isinstance(ids, DataFrame):
-        ids = list(ids)
-        if len(ids) <= SHORT_LIST:
-            listed = F.col("id").isin(ids)
-            return df.filter(listed if how == "left_semi" else ~listed)
-        ids = df.sparkSession.createDataFrame([(i,) for i in ids], "id string")
-    return df.join(ids.select("id").distinct(), "id", how)
+    frame with an ``id`` column of any size. A NULL among the ids names no row, and a row
+    without an id is never among them."""
+    if isinstance(ids, DataFrame):
+        return df.join(ids.select("id").filter("id IS NOT NULL"), "id", how)
+    listed = F.coalesce(F.col("id").isin([i for i in ids if i is not None]), F.lit(False))
+    return df.filter(listed if how == "left_semi" else ~listed)
 
 
 def _given(ids) -> bool:
@@ -109,9 +107,10 @@ def _shared_prefix(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
-def flat_result(rows: DataFrame, include=None) -> DataFrame:
-    """One row of parallel lists in id order. ``rows`` must be a page (a bounded ``limit``)."""
+def flat_result(rows: DataFrame, include=None, limit: int = FLAT_ROWS) -> DataFrame:
+    """One row of parallel lists, of the first ``limit`` rows in id order."""
     columns = include_columns(include)
+    rows = rows.orderBy("id").limit(limit)
     packed = F.array_sort(F.collect_list(F.struct("id", *columns)))
     lists = rows.agg(packed.alias("r"))
     return lists.select(

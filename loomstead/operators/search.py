@@ -118,8 +118,9 @@ class _TopK:
         step = max(_CELLS // len(units), 1)
         vectors = batch.column(batch.schema.get_field_index("embedding"))
         widths = pc.list_value_length(vectors)
-        if not pc.all(pc.equal(widths, units.shape[1])).as_py():
-            raise ValueError(f"every vector must have {units.shape[1]} components")
+        if not pc.all(pc.equal(widths, units.shape[1])).as_py():  # such a row has no distance
+            batch = batch.filter(pc.equal(widths, units.shape[1]))
+            vectors = batch.column(batch.schema.get_field_index("embedding"))
         ids = batch.column(batch.schema.get_field_index("id"))
         for start in range(0, batch.num_rows, step):
             distance = np.round(

@@ -64,6 +64,12 @@ def split_valid(batch: DataFrame, dim: int, table: str = "", ts=None):
     return good, bad
 
 
+def split_update(batch: DataFrame, dim: int, table: str = "", ts=None):
+    """As :func:`split_valid` for an update: good rows keep the columns they came with."""
+    good, bad = split_valid(batch, dim, table, ts)
+    return good.select(batch.columns), bad
+
+
 def last_per_id(batch: DataFrame, seq: str = "seq") -> DataFrame:
     """The row with the highest ``seq`` of each id. An aggregate, so copies of a hot id are
     folded on the map side and never meet in one task."""
@@ -76,11 +82,10 @@ def upsert(
     collection: DataFrame, batch: DataFrame, seq: str | None = None, embedder=None
 ) -> DataFrame:
     """Insert or wholly replace by id. ``batch`` holds rows fit to store (see
-    :func:`split_valid`); with ``seq`` the last row per id wins, without it ids are unique.
+    :func:`split_valid`); with ``seq`` the last row per id wins, without it any one of them.
     Rows lacking a vector get one from ``embedder``."""
     rows = normalized(batch)
-    if seq is not None:
-        rows = last_per_id(rows, seq)
+    rows = last_per_id(rows, seq) if seq is not None else last_per_id(rows.withColumn("_seq", F.lit(0)), "_seq")
     if embedder is not None:
         rows = embed_where_missing(rows, embedder)
     rows = rows.select(COLLECTION_SCHEMA.names)
@@ -98,7 +103,9 @@ def update(
 
     A column counts as supplied when the batch has it; a boolean ``set_<column>`` beside it
     narrows that to some rows. Metadata is replaced, not merged. A new document without a
-    vector is embedded again. With ``seq`` each column takes its last supplied value.
+    vector is embedded again; without an embedder its vector becomes NULL, as the old one
+    belongs to the old text. With ``seq`` each column takes its last supplied value, without it
+    any one. ``batch`` holds rows fit to store (see :func:`split_update`).
     """
     changes = _changes(batch, seq, embedder)
     if changes is None:
@@ -126,20 +133,22 @@ def _changes(batch, seq, embedder):
         rows = rows.withColumn("metadata", default_metadata())
     if "embedding" in columns:
         rows = rows.withColumn("embedding", scrub("embedding"))
-    if "document" in columns and embedder is not None:
+    if "document" in columns:
         if "embedding" not in columns:
             columns.append("embedding")
             rows = rows.withColumns(
                 {"embedding": F.lit(None).cast("array<float>"), "set_embedding": F.lit(False)}
             )
-        rows = embed_where_missing(
-            rows, embedder, where=F.col("set_document") & ~F.col("set_embedding")
-        ).withColumn("set_embedding", F.col("set_embedding") | F.col("set_document"))
+        stale = F.col("set_document") & ~F.col("set_embedding")
+        if embedder is not None:
+            rows = embed_where_missing(rows, embedder, where=stale)
+        else:
+            rows = rows.withColumn("embedding", F.when(~stale, F.col("embedding")))
+        rows = rows.withColumn("set_embedding", F.col("set_embedding") | F.col("set_document"))
     wrapped = {c: F.when(F.col(SUPPLIED[c]), F.struct(F.col(c).alias("v"))) for c in columns}
-    if seq is None:
-        return rows.select("id", *[w.alias(c) for c, w in wrapped.items()])
+    order = F.lit(0) if seq is None else F.col(seq)
     return rows.groupBy("id").agg(
-        *[F.max_by(w, F.when(F.col(SUPPLIED[c]), F.col(seq))).alias(c) for c, w in wrapped.items()]
+        *[F.max_by(w, F.when(F.col(SUPPLIED[c]), order)).alias(c) for c, w in wrapped.items()]
     )
 
 

@@ -500,7 +500,7 @@ ORACLES = {
     "kg_add_triples_later": LATER,
     "kg_triple_id": _with(PURCHASES) + f"SELECT seq, {_fact_id(BATCH_TS)} AS id FROM purchases",
     "kg_inverted_rejects": _with(PURCHASES)
-    + f"""SELECT seq, 'valid_to is before valid_from' AS reason FROM purchases
+    + f"""SELECT seq, 'the interval ends before it starts' AS reason FROM purchases
       WHERE strftime(o_orderdate + to_days(60), '%Y-%m-%d') || 'T23:59:59Z' < {_start('valid_from')}""",
     "kg_upsert_entities": _with(CUSTOMERS)
     + f"""SELECT c.id, name, CASE WHEN p IS NULL THEN type ELSE 'buyer' END AS type,
@@ -517,12 +517,12 @@ ORACLES = {
       FROM store s LEFT JOIN closing c ON s.subject = c.subject AND s.predicate = c.predicate
         AND s.object = c.object""",
     "kg_invalidate_rejects": _with(*INVALIDATION)
-    + """SELECT t.seq, t.subject, t.predicate, t.object, t.ended, 'valid_to is before valid_from' AS reason
+    + """SELECT t.seq, t.subject, t.predicate, t.object, t.ended, 'the interval ends before it starts' AS reason
       FROM tried t LEFT JOIN closing c ON t.subject = c.subject AND t.predicate = c.predicate
         AND t.object = c.object WHERE late AND (closed_at IS NULL OR t.seq < closed_at)""",
     "kg_apply_events": f"""WITH RECURSIVE {JUDGED}
       SELECT seq, kind, status, fact_id,
-        CASE WHEN status = 'rejected' THEN 'valid_to is before valid_from' END AS reason FROM judged""",
+        CASE WHEN status = 'rejected' THEN 'the interval ends before it starts' END AS reason FROM judged""",
     "kg_events_triples": f"""WITH RECURSIVE {JUDGED}
       SELECT j.fact_id AS id, subject, valid_from, coalesce(valid_to, c.ended) AS valid_to
       FROM judged j JOIN checked USING (seq) LEFT JOIN (SELECT fact_id, ended FROM judged WHERE status = 'closed') c

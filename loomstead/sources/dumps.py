@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, StringType, StructField, StructType
 
 from ..functions.metadata import with_promoted
 from ..functions.vectors import from_text, to_text
@@ -27,7 +27,10 @@ JSON_OPTIONS = {
 
 
 def _vector_columns(schema: StructType) -> list[str]:
-    return [f.name for f in schema if isinstance(f.dataType, ArrayType)]
+    return [
+        f.name for f in schema
+        if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, (FloatType, DoubleType))
+    ]
 
 
 def _binary_columns(schema):

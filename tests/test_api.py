@@ -26,18 +26,18 @@ def test_collection(spark):
 
 
 def test_fact_graph(spark):
-    g = FactGraph.empty(spark).add_entity("Max Power", "person", {"gender": "m"})
-    g = g.add_triple("Max Power", "loves", "chess", valid_from="2025-10-01", confidence=0.5)
-    assert g.query_entity("Max Power", as_of="2026-01-15").first().confidence == 0.5
-    assert g.add_triple("max power", "LOVES", "Chess").outcomes.first().status == "existing"
-    refused = g.invalidate("Max Power", "loves", "chess", ended="2025-01-01")
+    g = FactGraph.empty(spark).add_entity("Ida Brook", "person", {"gender": "m"})
+    g = g.add_triple("Ida Brook", "plays", "cello", valid_from="2025-11-07", confidence=0.5)
+    assert g.query_entity("Ida Brook", as_of="2026-03-09").first().confidence == 0.5
+    assert g.add_triple("ida brook", "PLAYS", "Cello").outcomes.first().status == "existing"
+    refused = g.invalidate("Ida Brook", "plays", "cello", ended="2025-01-01")
     assert refused.outcomes.count() == 1 and refused.current_facts().count() == 1
-    done = g.invalidate("Max Power", "loves", "chess", ended="2026-02-15")
-    assert done.timeline("Max Power").first().valid_to == "2026-02-15"
+    done = g.invalidate("Ida Brook", "plays", "cello", ended="2026-08-21")
+    assert done.timeline("Ida Brook").first().valid_to == "2026-08-21"
     assert done.stats().first().expired_facts == 1
-    seeded = g.seed_from_entity_facts({"rex": {"relationship": "dog", "owner": "max", "interests": ["bones"]}})
-    assert [r.predicate for r in seeded.relationship_types().collect()] == ["is_pet_of", "loves"]
-    assert seeded.query_relationship("is pet of").first().object == "Max"
+    seeded = g.seed_from_entity_facts({"rex": {"relationship": "dog", "owner": "ida", "interests": ["bones"]}})
+    assert [r.predicate for r in seeded.relationship_types().collect()] == ["is_pet_of", "loves", "plays"]
+    assert seeded.query_relationship("is pet of").first().object == "Ida"
 
 
 @pytest.fixture()

@@ -78,11 +78,11 @@ def listed(triples):
 
 
 def test_slugs(rows):
-    r = rows("n string", ("Max O'Power Jr",)).select(
+    r = rows("n string", ("Ida O'Brook Jr",)).select(
         names.entity_slug("n").alias("e"), names.predicate_slug("n").alias("p"), names.capitalize("n").alias("c")
     ).first()
-    assert tuple(r) == ("max_opower_jr", "max_o'power_jr", "Max o'power jr")
-    assert (names.slug_of("Max O'Power Jr"), names.predicate_of("Is  A")) == ("max_opower_jr", "is__a")
+    assert tuple(r) == ("ida_obrook_jr", "ida_o'brook_jr", "Ida o'brook jr")
+    assert (names.slug_of("Ida O'Brook Jr"), names.predicate_of("Is  A")) == ("ida_obrook_jr", "is__a")
 
 
 def test_temporal_keys(rows):
@@ -123,63 +123,63 @@ def test_as_of(rows, as_of, kept):
 
 
 def test_upsert_entities(spark, rows):
-    base = fact_writes.upsert_entities(nothing(spark, ENTITY_SCHEMA), rows("name string, type string, properties string", ("Max Power", "person", '{"gender":"m"}')), "2025-01-01 00:00:00")
+    base = fact_writes.upsert_entities(nothing(spark, ENTITY_SCHEMA), rows("name string, type string, properties string", ("Ida Brook", "person", '{"gender":"m"}')), "2025-01-01 00:00:00")
     batch = rows("seq long, name string, type string, properties string",
-                 (1, "max power", "cat", '{"a":1}'), (2, "MAX Power", None, None), (1, "New", None, None))
+                 (1, "ida brook", "cat", '{"a":1}'), (2, "IDA Brook", None, None), (1, "New", None, None))
     out = {r.id: r for r in fact_writes.upsert_entities(base, batch, TS, seq="seq").collect()}
-    assert set(out) == {"max_power", "new"}
-    old = out["max_power"]
-    assert (old.name, old.type, old.properties, old.created_at.year) == ("MAX Power", "unknown", "{}", 2025)
+    assert set(out) == {"ida_brook", "new"}
+    old = out["ida_brook"]
+    assert (old.name, old.type, old.properties, old.created_at.year) == ("IDA Brook", "unknown", "{}", 2025)
     assert out["new"].created_at.year == 2026
 
 
 def test_mentioned_entities(no_entities, no_triples, rows):
-    batch = rows(FACT, (2, "max", "likes", "MAX", None, None), (1, "Max", "likes", "Chess", None, None),
-                 (3, "Bad", "x", "Worse", "2026-02-01", "2026-01-01"), (4, "max", "likes", "chess", None, None))
+    batch = rows(FACT, (2, "ida", "likes", "IDA", None, None), (1, "Ida", "likes", "Cello", None, None),
+                 (3, "Bad", "x", "Worse", "2026-02-01", "2026-01-01"), (4, "ida", "likes", "cello", None, None))
     out = fact_writes.add_facts(no_entities, no_triples, batch, TS)
     found = {r.id: r for r in out.entities.collect()}
-    assert {k: r.name for k, r in found.items()} == {"max": "Max", "chess": "Chess"}
-    assert found["max"].type == "unknown" and found["max"].properties is None
-    again = fact_writes.add_facts(out.entities, out.triples, rows(FACT, (1, "MAX", "is", "Chess", None, None)), TS)
-    assert {r.id: r.name for r in again.entities.collect()} == {"max": "Max", "chess": "Chess"}
+    assert {k: r.name for k, r in found.items()} == {"ida": "Ida", "cello": "Cello"}
+    assert found["ida"].type == "unknown" and found["ida"].properties is None
+    again = fact_writes.add_facts(out.entities, out.triples, rows(FACT, (1, "IDA", "is", "Cello", None, None)), TS)
+    assert {r.id: r.name for r in again.entities.collect()} == {"ida": "Ida", "cello": "Cello"}
 
 
 # -- adding and ending --------------------------------------------------------------------
 
 
 def test_add_defaults_and_id(no_entities, no_triples, rows):
-    out = fact_writes.add_facts(no_entities, no_triples, rows("seq long, subject string, predicate string, object string", (1, "Max", "Loves It", "chess")), TS)
+    out = fact_writes.add_facts(no_entities, no_triples, rows("seq long, subject string, predicate string, object string", (1, "Ida", "Plays It", "cello")), TS)
     r = out.triples.first()
-    assert r.id.startswith("t_max_loves_it_chess_") and len(r.id) == len("t_max_loves_it_chess_") + 12
+    assert r.id.startswith("t_ida_plays_it_cello_") and len(r.id) == len("t_ida_plays_it_cello_") + 12
     assert (r.confidence, r.source_closet, r.adapter_name, r.valid_from) == (1.0, None, None, None)
 
 
 def test_existing_open_fact_is_returned(no_entities, no_triples, rows):
-    first = fact_writes.add_facts(no_entities, no_triples, rows(FACT, (1, "Max", "loves", "chess", "2025-10-01", None)), TS)
+    first = fact_writes.add_facts(no_entities, no_triples, rows(FACT, (1, "Ida", "plays", "cello", "2025-11-07", None)), TS)
     stored = first.triples.first().id
-    second = fact_writes.add_facts(first.entities, first.triples, rows(FACT, (1, "max", "LOVES", "Chess", "2026-01-01", "2026-02-01")), TS)
+    second = fact_writes.add_facts(first.entities, first.triples, rows(FACT, (1, "ida", "PLAYS", "Cello", "2026-01-01", "2026-02-01")), TS)
     assert [(r.status, r.fact_id) for r in second.outcomes.collect()] == [("existing", stored)]
     assert second.triples.count() == 1
 
 
 def test_rejected_facts(no_entities, no_triples, rows):
-    batch = rows(FACT, (1, "A", "x", "B", "2026-05-10", "2026-05-01"), (2, "A", "x", "B", "soon", None),
-                 (3, None, "x", "B", None, None), (4, "A", "x", "B", "2026-05-10", "2026-05-10"))
+    batch = rows(FACT, (1, "A", "x", "B", "2026-09-12", "2026-09-02"), (2, "A", "x", "B", "soon", None),
+                 (3, None, "x", "B", None, None), (4, "A", "x", "B", "2026-09-12", "2026-09-12"))
     out = {r.seq: r for r in fact_writes.add_facts(no_entities, no_triples, batch, TS).outcomes.collect()}
     assert [out[i].status for i in (1, 2, 3, 4)] == ["rejected"] * 3 + ["inserted"]
-    assert out[1].reason == "valid_to is before valid_from" and out[1].fact_id is None
+    assert out[1].reason == "the interval ends before it starts" and out[1].fact_id is None
 
 
 def test_invalidate(no_entities, no_triples, rows):
     facts = fact_writes.add_facts(no_entities, no_triples, rows(FACT,
-        (1, "Max", "has_issue", "injury", "2025-01-01", None), (2, "Max", "loves", "chess", "2025-06-01", None),
-        (3, "Max", "is", "old", None, "2024-01-01")), TS).triples
-    ends = rows(ENDING, (1, "Max", "has issue", "Injury", "2026-02-15"), (2, "Max", "loves", "chess", "2025-05-01"),
-                (3, "Max", "loves", "chess", "later"), (4, "Max", "is", "old", "2025-01-01"))
+        (1, "Ida", "owns_boat", "skiff", "2025-01-01", None), (2, "Ida", "plays", "cello", "2025-06-01", None),
+        (3, "Ida", "is", "old", None, "2024-01-01")), TS).triples
+    ends = rows(ENDING, (1, "Ida", "owns boat", "Skiff", "2026-08-21"), (2, "Ida", "plays", "cello", "2025-05-01"),
+                (3, "Ida", "plays", "cello", "later"), (4, "Ida", "is", "old", "2025-01-01"))
     out = fact_writes.invalidate(facts, ends)
     assert {r.predicate: r.valid_to for r in out.triples.collect()} == {
-        "has_issue": "2026-02-15", "loves": None, "is": "2024-01-01"}
-    assert {r.seq: r.reason.split(" is ")[0] for r in out.rejects.collect()} == {2: "valid_to", 3: "ended"}
+        "owns_boat": "2026-08-21", "plays": None, "is": "2024-01-01"}
+    assert {r.seq: r.reason.split(" is ")[0] for r in out.rejects.collect()} == {2: "the interval ends before it starts", 3: "ended"}
 
 
 def test_invalidate_closes_all_or_nothing(spark, rows):
@@ -276,9 +276,9 @@ def test_mixed_events_equal_single_calls(spark, no_entities, no_triples, span):
 @pytest.fixture(scope="module")
 def graph(spark):
     data = [
-        (1, "Max", "loves", "Chess", "2025-10-01", None),
-        (2, "Max", "loves", "Max", "2025-01-01", "2025-02-01"),
-        (3, "Ann", "knows", "Max", None, None),
+        (1, "Ida", "plays", "Cello", "2025-11-07", None),
+        (2, "Ida", "plays", "Ida", "2025-01-01", "2025-02-01"),
+        (3, "Ann", "knows", "Ida", None, None),
         (4, "Ann", "knows", "Ghost", "2024-01-01", None),
     ]
     out = fact_writes.add_facts(nothing(spark, ENTITY_SCHEMA), nothing(spark, TRIPLE_SCHEMA), spark.createDataFrame(data, FACT), TS)
@@ -290,22 +290,22 @@ def shown(df):
 
 
 def test_query_entity(graph):
-    out = fact_reads.query_entity(*graph, "MAX")
+    out = fact_reads.query_entity(*graph, "IDA")
     assert out.columns == ["direction", "subject", "predicate", "object", "valid_from", "valid_to", "confidence", "source_closet", "current"]
-    assert shown(out) == [("MAX", "loves", "Chess"), ("MAX", "loves", "Max")]
-    assert shown(fact_reads.query_entity(*graph, "max", direction="incoming")) == [("Ann", "knows", "max"), ("Max", "loves", "max")]
-    assert fact_reads.query_entity(*graph, "Max", direction="both").count() == 4  # the loop twice
-    assert fact_reads.query_entity(*graph, "Max", direction="sideways").count() == 0
-    assert fact_reads.query_entity(*graph, "Max", as_of="2025-01-15", direction="both").count() == 3
-    assert fact_reads.query_entity(*graph, "Max", as_of="").count() == 2
+    assert shown(out) == [("IDA", "plays", "Cello"), ("IDA", "plays", "Ida")]
+    assert shown(fact_reads.query_entity(*graph, "ida", direction="incoming")) == [("Ann", "knows", "ida"), ("Ida", "plays", "ida")]
+    assert fact_reads.query_entity(*graph, "Ida", direction="both").count() == 4  # the loop twice
+    assert fact_reads.query_entity(*graph, "Ida", direction="sideways").count() == 0
+    assert fact_reads.query_entity(*graph, "Ida", as_of="2025-01-15", direction="both").count() == 3
+    assert fact_reads.query_entity(*graph, "Ida", as_of="").count() == 2
     with pytest.raises(ValueError):
-        fact_reads.query_entity(*graph, "Max", as_of="soon")
-    current = {r.object: r.current for r in fact_reads.query_entity(*graph, "Max").collect()}
-    assert current == {"Chess": True, "Max": False}
+        fact_reads.query_entity(*graph, "Ida", as_of="soon")
+    current = {r.object: r.current for r in fact_reads.query_entity(*graph, "Ida").collect()}
+    assert current == {"Cello": True, "Ida": False}
 
 
 def test_query_entities_equals_single_lookups(graph, rows):
-    probes = [("Max", "2025-01-15"), ("Max", "2026-01-01"), ("Ann", None), ("Nobody", "2025-01-01")]
+    probes = [("Ida", "2025-01-15"), ("Ida", "2026-01-01"), ("Ann", None), ("Nobody", "2025-01-01")]
     found = fact_reads.query_entities(*graph, rows("name string, as_of string", *probes)).collect()
     got = sorted((r.subject, r.as_of or "", r.object) for r in found)
     expected = sorted(
@@ -316,14 +316,14 @@ def test_query_entities_equals_single_lookups(graph, rows):
 
 
 def test_query_relationship(graph):
-    assert shown(fact_reads.query_relationship(*graph, "Knows")) == [("Ann", "knows", "Max")]
-    assert fact_reads.query_relationship(*graph, "loves", "2025-01-15").count() == 1
+    assert shown(fact_reads.query_relationship(*graph, "Knows")) == [("Ann", "knows", "Ida")]
+    assert fact_reads.query_relationship(*graph, "plays", "2025-01-15").count() == 1
 
 
 def test_timeline(graph):
     out = [(r.subject, r.object) for r in fact_reads.timeline(*graph).collect()]
-    assert out == [("Max", "Max"), ("Max", "Chess"), ("Ann", "Max")]  # unknown start last
-    assert [r.object for r in fact_reads.timeline(*graph, "Ann").collect()] == ["Max"]
+    assert out == [("Ida", "Ida"), ("Ida", "Cello"), ("Ann", "Ida")]  # unknown start last
+    assert [r.object for r in fact_reads.timeline(*graph, "Ann").collect()] == ["Ida"]
 
 
 @pytest.mark.parametrize("missing", [0, 30, 90])
@@ -341,7 +341,7 @@ def test_timeline_survives_missing_entities(spark, no_entities, no_triples, miss
 def test_stats(graph):
     row = fact_reads.stats(*graph).first().asDict()
     assert row == {"entities": 3, "triples": 4, "current_facts": 3, "expired_facts": 1, "relationship_kinds": 2}
-    assert [r.predicate for r in fact_reads.predicates(graph[1]).collect()] == ["knows", "loves"]
+    assert [r.predicate for r in fact_reads.predicates(graph[1]).collect()] == ["knows", "plays"]
     spark = graph[0].sparkSession
     empty = fact_reads.stats(nothing(spark, ENTITY_SCHEMA), nothing(spark, TRIPLE_SCHEMA)).first()
     assert tuple(empty) == (0, 0, 0, 0, 0)
@@ -356,25 +356,25 @@ PERSON = ("seq long, key string, full_name string, type string, gender string, b
 def test_seed(no_entities, no_triples, rows):
     records = rows(
         PERSON,
-        (1, "max", "Max Power", None, "m", "2010-04-01", "ann LEE", None, "daughter", None, None, ["chess", "go"]),
+        (1, "ida", "Ida Brook", None, "m", "2010-04-01", "ann LEE", None, "daughter", None, None, ["cello", "go"]),
         (2, "ann lee", None, "adult", None, None, None, "BOB", "husband", None, None, None),
         (3, "bob", None, None, None, None, "", None, "brother", "ann lee", None, []),
-        (4, "rex", None, None, None, None, None, None, "dog", None, "max", None),
+        (4, "rex", None, None, None, None, None, None, "dog", None, "ida", None),
         (5, "mia", None, None, None, None, None, None, "daughter", None, None, None),
         (6, "tom", "Tom Fox", None, None, None, None, None, "husband", None, None, None),
     )
     out = seeding.seed(no_entities, no_triples, records, TS)
     facts = sorted((r.subject, r.predicate, r.object, r.valid_from) for r in out.triples.collect())
     assert facts == sorted([
-        ("max_power", "child_of", "ann_lee", "2010-04-01"), ("max_power", "is_child_of", "ann_lee", "2010-04-01"),
-        ("max_power", "loves", "chess", "2025-01-01"), ("max_power", "loves", "go", "2025-01-01"),
+        ("ida_brook", "child_of", "ann_lee", "2010-04-01"), ("ida_brook", "is_child_of", "ann_lee", "2010-04-01"),
+        ("ida_brook", "loves", "cello", "2025-01-01"), ("ida_brook", "loves", "go", "2025-01-01"),
         ("ann_lee", "married_to", "bob", None), ("ann_lee", "is_partner_of", "bob", None),
-        ("bob", "is_sibling_of", "ann_lee", None), ("rex", "is_pet_of", "max", None),
+        ("bob", "is_sibling_of", "ann_lee", None), ("rex", "is_pet_of", "ida", None),
         ("mia", "is_child_of", "mia", None), ("tom_fox", "is_partner_of", "tom_fox", None),
     ])
     entities = {r.id: r for r in out.entities.collect()}
-    assert (entities["max_power"].name, entities["max_power"].type) == ("Max Power", "person")
-    assert entities["max_power"].properties == '{"gender":"m","birthday":"2010-04-01"}'
+    assert (entities["ida_brook"].name, entities["ida_brook"].type) == ("Ida Brook", "person")
+    assert entities["ida_brook"].properties == '{"gender":"m","birthday":"2010-04-01"}'
     assert (entities["ann_lee"].name, entities["ann_lee"].type) == ("Ann lee", "adult")
     assert (entities["rex"].type, entities["rex"].properties) == ("animal", "{}")
-    assert (entities["chess"].name, entities["chess"].type, entities["chess"].properties) == ("Chess", "unknown", None)
+    assert (entities["cello"].name, entities["cello"].type, entities["cello"].properties) == ("Cello", "unknown", None)

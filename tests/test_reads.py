@@ -31,7 +31,7 @@ def test_ids_and_where_are_parenthesised(notes):
 
 
 def test_long_id_list_joins(notes, spark):
-    wanted = ["a", "c"] + [f"x{i}" for i in range(reads.SHORT_LIST)]
+    wanted = ["a", "c"] + [f"x{i}" for i in range(1200)]
     assert ids(reads.get(notes, ids=wanted)) == ["a", "c"]
     assert ids(reads.get(notes, ids=spark.createDataFrame([("b",)], "id string"))) == ["b"]
 

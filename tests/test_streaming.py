@@ -75,8 +75,8 @@ def test_ingest_failure_leaves_the_batch_pending(spark, tmp_path):
     assert set(stored(spark, store)) == {"a"}
 
 
-def event(seq, kind, subject="Max", **more):
-    return {"seq": seq, "kind": kind, "subject": subject, "predicate": "loves", "object": "Chess", **more}
+def event(seq, kind, subject="Ida", **more):
+    return {"seq": seq, "kind": kind, "subject": subject, "predicate": "plays", "object": "Cello", **more}
 
 
 def test_fact_stream(spark, tmp_path):
@@ -88,8 +88,8 @@ def test_fact_stream(spark, tmp_path):
     status = {r.seq: r.status for r in fact_stream.outcomes(spark, store).collect()}
     assert status == {1: "inserted", 2: "existing", 3: "rejected", 4: "closed", 5: "inserted", 6: "inserted"}
     facts = sorted((r.subject, r.valid_from or "", r.valid_to or "") for r in fact_stream.facts(spark, store).collect())
-    assert facts == [("ann", "", ""), ("max", "2025-01-01", "2025-06-01"), ("max", "2025-07-01", "")]
-    assert {r.id for r in fact_stream.entities(spark, store).collect()} == {"max", "ann", "chess"}
+    assert facts == [("ann", "", ""), ("ida", "2025-01-01", "2025-06-01"), ("ida", "2025-07-01", "")]
+    assert {r.id for r in fact_stream.entities(spark, store).collect()} == {"ida", "ann", "cello"}
 
     before = sorted(r.id for r in fact_stream.facts(spark, store).collect())
     events = spark.read.schema(fact_stream.EVENT_SCHEMA).json(str(source / "2.json"))

@@ -2,7 +2,7 @@ import math
 import sys
 
 import pytest
-from loomstead.operators import writes
+from loomstead.operators import reads, writes
 from loomstead.operators.embedding import HashedTextEmbedder
 from loomstead.schemas import COLLECTION_SCHEMA
 from pyspark.cloudpickle import register_pickle_by_value
@@ -12,13 +12,13 @@ register_pickle_by_value(sys.modules[__name__])  # the workers cannot import thi
 INPUT = "id string, document string, metadata string, embedding array<float>, seq long"
 
 
-class LengthEmbedder:
-    """[length of the text, 0, 1]"""
+class VowelShares:
+    """Shares of three vowels among the letters a, e and o of a text, as whole counts."""
 
     dim = 3
 
     def embed(self, texts):
-        return [[float(len(t)), 0.0, 1.0] for t in texts]
+        return [[float(text.count(vowel)) for vowel in "aeo"] for text in texts]
 
 
 @pytest.fixture()
@@ -54,9 +54,9 @@ def test_last_wins_keeps_nulls(base, rows):
 
 
 def test_defaults_and_empty_batch(base, rows):
-    out = by_id(writes.upsert(base, rows("id string", ("z",)), embedder=LengthEmbedder()))
+    out = by_id(writes.upsert(base, rows("id string", ("z",)), embedder=VowelShares()))
     assert (out["z"].document, out["z"].metadata) == (None, "{}")
-    assert list(out["z"].embedding) == [0.0, 0.0, 1.0]  # the text of a missing document is empty
+    assert list(out["z"].embedding) == [0.0, 0.0, 0.0]  # the text of a missing document is empty
     assert len(by_id(writes.upsert(base, rows(INPUT)))) == 2
 
 
@@ -87,20 +87,22 @@ def test_scrub_and_quarantine(rows):
 
 
 def test_update_touches_only_what_is_given(base, rows):
-    out = by_id(writes.update(base, rows("id string, document string", ("a", "hi"), ("nope", "x"))))
+    out = by_id(writes.update(base, rows("id string, document string", ("a", "banana"), ("nope", "x"))))
     assert set(out) == {"a", "b"}
-    assert (out["a"].document, out["a"].metadata, list(out["a"].embedding)) == ("hi", '{"wing":"w"}', [1, 0, 0])
+    # the old vector belongs to the old text, and there is nothing to make a new one with
+    assert (out["a"].document, out["a"].metadata, out["a"].embedding) == ("banana", '{"wing":"w"}', None)
+    assert list(out["b"].embedding) == [0, 1, 0]
     out = by_id(writes.update(base, rows("id string, metadata string", ("b", '{"room":"new"}'))))
     assert (out["b"].wing, out["b"].room, out["b"].document) == (None, "new", "beta")
     assert by_id(writes.update(base, rows("id string", ("a",)))) == by_id(base)
 
 
 def test_update_embeds_new_documents(base, rows):
-    out = by_id(writes.update(base, rows("id string, document string", ("a", "hi"), ("b", None)), embedder=LengthEmbedder()))
-    assert list(out["a"].embedding) == [2.0, 0.0, 1.0]
-    assert (out["b"].document, list(out["b"].embedding)) == (None, [0.0, 0.0, 1.0])
-    given = rows("id string, document string, embedding array<float>", ("a", "hi", [5.0, 5.0, 5.0]))
-    assert list(by_id(writes.update(base, given, embedder=LengthEmbedder()))["a"].embedding) == [5, 5, 5]
+    out = by_id(writes.update(base, rows("id string, document string", ("a", "banana toe"), ("b", None)), embedder=VowelShares()))
+    assert list(out["a"].embedding) == [3.0, 1.0, 1.0]
+    assert (out["b"].document, list(out["b"].embedding)) == (None, [0.0, 0.0, 0.0])
+    given = rows("id string, document string, embedding array<float>", ("a", "banana", [5.0, 5.0, 5.0]))
+    assert list(by_id(writes.update(base, given, embedder=VowelShares()))["a"].embedding) == [5, 5, 5]
 
 
 def test_update_in_order(base, rows):
@@ -115,6 +117,30 @@ def test_update_in_order(base, rows):
     assert (row.document, row.metadata, row.wing) == (None, '{"wing":"z"}', "z")
 
 
+def test_repeated_ids_without_seq(base, rows):
+    plain = "id string, document string, metadata string, embedding array<float>"
+    batch = rows(plain, ("n", "one", None, None), ("n", "two", None, None))
+    out = writes.upsert(base, batch).collect()
+    assert sorted(r.id for r in out) == ["a", "b", "n"]
+    out = writes.update(base, rows("id string, document string", ("a", "one"), ("a", "two"))).collect()
+    assert sorted(r.id for r in out) == ["a", "b"] and {r.document for r in out} < {"one", "two", "beta"}
+
+
+def test_updates_are_checked(rows):
+    batch = rows("id string, embedding array<float>", ("a", [1.0]), ("b", [1.0, 2.0, 3.0]), (None, None))
+    good, bad = writes.split_update(batch, 3)
+    assert [r.id for r in good.collect()] == ["b"] and good.columns == batch.columns
+    assert {r.id for r in bad.collect()} == {"a", None}
+
+
+def test_null_among_ids(spark, base, rows):
+    """A NULL names no row, in a list short or long and in a frame; a row without id stays."""
+    every = base.unionByName(base.limit(1).selectExpr("CAST(NULL AS string) AS id", *[c for c in base.columns if c != "id"]))
+    for ids in (["a", None], ["a", None, *[f"x{i}" for i in range(1500)]], rows("id string", ("a",), (None,))):
+        assert {r.id for r in writes.delete(every, ids=ids).collect()} == {"b", None}
+        assert [r.id for r in reads.get(every, ids=ids).collect()] == ["a"]
+
+
 def test_delete(base, rows):
     assert set(by_id(writes.delete(base, ids=["a"], where={"wing": "v"}))) == {"b"}
     assert set(by_id(writes.delete(base, ids=rows("id string", ("b",))))) == {"a"}
