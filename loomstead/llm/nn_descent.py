@@ -39,7 +39,7 @@ TABLES, LEAF = 4, 1600
 ROUNDS = 3
 BLOCK = 4096
 QUERY_BLOCK = 256
-BEAM, STEP = 256, 32
+BEAM, STEP = 256, 64
 FINAL = 64
 SEED = 10
 
@@ -201,7 +201,7 @@ def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, total: i
     none = {"ids": "array<bigint>", "sims": "array<float>", "done": "array<boolean>"}
     empty = [F.expr(f"CAST(array() AS {t})").alias(n) for n, t in none.items()]
     state = cut(queries.join(vectors, "node").select(block, "node", "vec", *empty))
-    frontier = cut(state.select("block", "node"))
+    frontier = state.select("block", "node")
     while True:
         # The lists of the nodes to expand, and the vectors of all nodes on them, once a block.
         opened = cut(frontier.distinct().join(lists, "node").select("block", "node", "near"))
@@ -234,7 +234,7 @@ def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, total: i
         state = cut(state.groupBy("block").cogroup(fetched.groupBy("block")).applyInPandas(run, kind))
         # The next to expand: the first STEP of the beam that are not done.
         step = F.expr(f"slice(filter(ids, (x, i) -> NOT done[i]), 1, {STEP})")
-        frontier = cut(state.select("block", F.explode(step).alias("node")))
+        frontier = state.select("block", F.explode(step).alias("node"))
         if frontier.isEmpty():
             return state.select("node", F.slice("ids", 1, FINAL).alias("found"))
 
