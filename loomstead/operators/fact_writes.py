@@ -58,14 +58,19 @@ FACT_ERROR = f"""CASE
     WHEN {inverted()} THEN 'the interval ends before it starts' END"""
 
 
+def _quoted(text: str) -> str:
+    """A text as a SQL literal, whatever it holds."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def fact_id_sql(salt: str) -> str:
     """Stable id: the key and 12 hex digits over start, salt (the batch time) and order."""
-    digest = f"sha2(concat(coalesce(valid_from, 'None'), '{salt}', CAST(seq AS string)), 256)"
+    digest = f"sha2(concat(coalesce(valid_from, 'None'), {_quoted(salt)}, CAST(seq AS string)), 256)"
     return f"concat('t_', {', "_", '.join(KEY)}, '_', substring({digest}, 1, 12))"
 
 
 def _at(ts: str) -> Column:
-    return F.expr(f"CAST('{ts}' AS timestamp)")
+    return F.lit(str(ts)).cast("timestamp")
 
 
 # -- entities -----------------------------------------------------------------------------
@@ -83,10 +88,7 @@ def upsert_entities(entities: DataFrame, batch: DataFrame, batch_ts, seq: str |
         *([seq] if seq else []),
     ).filter("id IS NOT NULL")
     value = F.struct("name", "type", "properties")
-    if seq:
-        rows = rows.groupBy("id").agg(F.max_by(value, F.col(seq)).alias("new"))
-    else:
-        rows = rows.select("id", value.alias("new"))
+    rows = rows.groupBy("id").agg(F.max_by(value, F.col(seq) if seq else F.lit(0)).alias("new"))
     joined = entities.join(rows, "id", "full_outer")
     picked = {
         c: F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c)

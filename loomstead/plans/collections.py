@@ -13,8 +13,9 @@ from .inputs import DIM, Tables
 
 
 def _total(vector="embedding"):
-    """Two numbers standing for a vector, equal in both engines."""
-    sums = _sum(F.transform(vector, lambda x: x.cast("double")))
+    """Two numbers standing for a vector, equal in both engines: its length, and the sum of its
+    components times their places, so that an exchange of two shows."""
+    sums = _sum(F.transform(vector, lambda x, i: x.cast("double") * (i + 1)))
     return [F.size(vector).cast("long").alias("n"), F.round(sums, 6).alias("total")]
 
 
@@ -153,7 +154,8 @@ def upsert_defaults(t):
 
 
 def update_partial(t):
-    """Labels replace the metadata of their notes; the text of toxic ones is blanked."""
+    """Labels replace the metadata of their notes; the text of toxic ones is blanked, and with
+    it the vector that was made of it."""
     batch = t.labels.selectExpr(
         "concat('doc_', doc_id) AS id",
         "CAST(NULL AS string) AS document",
@@ -168,6 +170,12 @@ def delete_ids(t):
     return reads.get(writes.delete(inputs.bare_notes(t), ids=toxic), include=["metadatas"])
 
 
+def delete_id_list(t):
+    """A list of ids, of which one is missing and one names no note."""
+    ids = ["doc_1", None, "doc_3", "nowhere"]
+    return reads.get(writes.delete(inputs.bare_notes(t), ids=ids), include=["metadatas"])
+
+
 def delete_where(t):
     return reads.get(writes.delete(inputs.bare_notes(t), where={"room": "src3"}), include=["metadatas"])
 
@@ -313,7 +321,7 @@ def ingest_status(t):
 
 
 def already_mined(t):
-    """Files some page or note names, that the notes of labelled documents come from."""
+    """The files that notes name, and for each whether a labelled note without a room is from it."""
     asked = inputs.bare_notes(t).select("source_file").distinct()
     mined = inputs.bare_notes(t).join(_labelled_ids(t), "id", "left_semi").filter("room IS NULL")
     return reports.already_mined(asked, mined)
@@ -344,6 +352,7 @@ QUERIES = {
     "upsert_defaults": upsert_defaults,
     "update_partial": update_partial,
     "delete_ids": delete_ids,
+    "delete_id_list": delete_id_list,
     "delete_where": delete_where,
     "quarantine": quarantine,
     "quarantine_counts": quarantine_counts,

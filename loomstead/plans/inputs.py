@@ -208,13 +208,6 @@ def purchases(t: Tables) -> DataFrame:
     )
 
 
-def endings(t: Tables) -> DataFrame:
-    """Endings to apply: every finished order line ends the open fact of its key."""
-    return purchases(t).filter("valid_to IS NOT NULL").select(
-        "seq", "subject", "predicate", "object", F.col("valid_to").alias("ended")
-    )
-
-
 def triples(t: Tables) -> DataFrame:
     """Stored facts, one per order line, for the reading queries."""
     absent = {c: F.lit(None).cast("string") for c in ("source_file", "source_drawer_id")}

@@ -117,7 +117,7 @@ def _hashed(name, source):
   SELECT id, list(x ORDER BY i) AS embedding FROM dense GROUP BY id)"""
 
 
-TOTAL = "len({0}) AS n, round(list_sum({0}::DOUBLE[]), 6) AS total"
+TOTAL = "len({0}) AS n, round(list_sum(list_transform({0}::DOUBLE[], lambda x, i: x * i)), 6) AS total"
 
 
 def _with(*parts):
@@ -337,7 +337,7 @@ ORACLES = {
         "(SELECT id, metadata, unnest(json_keys(metadata)) AS key FROM notes)"
     ),
     "vector_text_roundtrip": f"SELECT vec_id AS id, {TOTAL.format('embedding')} FROM embeddings",
-    "vector_scrub": "SELECT id, len(v) AS n, round(list_sum(v::DOUBLE[]), 6) AS total FROM (SELECT vec_id AS id, "
+    "vector_scrub": "SELECT id, len(v) AS n, round(list_sum(list_transform(v::DOUBLE[], lambda x, i: x * i)), 6) AS total FROM (SELECT vec_id AS id, "
     "list_transform(embedding, lambda x: CASE WHEN x > 0.2 OR x < -0.2 THEN 0 ELSE x END) AS v FROM embeddings)",
     "count": _notes("SELECT count(*) AS n FROM notes"),
     "count_by_wing": _notes("SELECT coalesce(wing, 'unknown') AS wing, count(*) AS n FROM notes GROUP BY 1"),
@@ -385,11 +385,12 @@ ORACLES = {
       CASE WHEN quality IS NULL THEN metadata ELSE concat('{"wing":"labelled","quality":', quality, '}') END AS metadata,
       CASE WHEN quality IS NULL THEN wing ELSE 'labelled' END AS wing,
       CASE WHEN quality IS NULL THEN room END AS room,
-      CASE WHEN quality IS NULL THEN source_file END AS source_file, embedding IS NOT NULL AS embedded
+      CASE WHEN quality IS NULL THEN source_file END AS source_file, embedding IS NOT NULL AND coalesce(toxic, 0) <> 1 AS embedded
     FROM notes n LEFT JOIN labels l ON n.id = concat('doc_', l.doc_id)""",
     "delete_ids": _notes(
         "SELECT id, metadata FROM notes WHERE id NOT IN (SELECT concat('doc_', doc_id) FROM labels WHERE toxic = 1)"
     ),
+    "delete_id_list": _notes("SELECT id, metadata FROM notes WHERE id NOT IN ('doc_1', 'doc_3')"),
     "delete_where": _notes("SELECT id, metadata FROM notes WHERE room IS NULL OR room <> 'src3'"),
     "quarantine": _with(MIXED) + "SELECT * FROM bad",
     "quarantine_counts": _with(MIXED) + 'SELECT "table", count(*) AS skipped FROM bad GROUP BY 1',
@@ -420,7 +421,7 @@ ORACLES = {
     "embed_documents": _with(
         "texts AS (SELECT concat('doc_', doc_id) AS id, text FROM documents)", _hashed("vectors", "texts")
     ) + f"SELECT id, {TOTAL.format('embedding')} FROM vectors",
-    "mean_pool": """SELECT vec_id, len(v) AS n, round(list_sum(list_transform(v, lambda x: x / s)), 6) AS total FROM (
+    "mean_pool": """SELECT vec_id, len(v) AS n, round(list_sum(list_transform(v, lambda x, i: i * x / s)), 6) AS total FROM (
       SELECT vec_id, v, coalesce(nullif(sqrt(list_sum(list_transform(v, lambda x: x * x))), 0), 1) AS s FROM (
         SELECT vec_id, list_transform(range(1, 9), lambda d: coalesce(list_sum(list_transform(
             list_filter(range(8), lambda i: embedding[i * 8 + 1] > 0),
