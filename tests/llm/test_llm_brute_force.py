@@ -67,7 +67,10 @@ def test_estimate_is_tight_and_robust(spark):
     model = robust_outliers.mcd(spark.createDataFrame(frame)).toPandas().iloc[0]
     assert np.allclose([model[f"m{i}"] for i in range(4)], [1, 0, 0, 0], atol=0.05)
     q = np.array([[model[f"q{min(i, j)}{max(i, j)}"] for j in range(4)] for i in range(4)])
-    assert np.allclose(np.diag(np.linalg.inv(q)) - np.square(robust_outliers.FLOOR), np.diag(cov), rtol=0.25)
+    # Three quarters of all rows are nine tenths of the good ones, so the estimate errs upwards;
+    # with the bad rows in it the first variance would be 0.6.
+    ratio = (np.diag(np.linalg.inv(q)) - np.square(robust_outliers.FLOOR)) / np.diag(cov)
+    assert ((ratio > 0.9) & (ratio < 1.5)).all()
 
 
 @settings(max_examples=60, deadline=None)
@@ -98,13 +101,13 @@ def test_overlaps_that_fail_are_widened(spark):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"  # the smaller tables have a few dozen toxic training rows
     found = queries.QUERIES["op3_weak_toxicity"](spark, folder).toPandas()
     assert (found.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in found.doc_id]).all()
     assert found.score.between(0, 1).all() and (found.predicted == (found.score >= 0.3)).all()
     rows = found[found.held_out].merge(pd.read_parquet(f"{folder}/labels.parquet"), on="doc_id")
     toxic, clean = rows[rows.toxic == 1].score.to_numpy(), rows[rows.toxic == 0].score.to_numpy()
-    assert (toxic[:, None] > clean[None, :]).mean() > 0.85 and (clean < 0.3).mean() > 0.98
+    assert (toxic[:, None] > clean[None, :]).mean() > 0.9 and (clean < 0.3).mean() > 0.98 and (toxic >= 0.3).mean() > 0.85
 
 
 def test_mix(spark, documents):
