@@ -184,7 +184,7 @@ def _banded(docs: DataFrame) -> DataFrame:
             if not len(row):
                 continue
             content = contents(words, place, size)
-            some = np.unique(content, return_index=True)[1]
+            some = np.sort(np.unique(content, return_index=True)[1])  # in order of place, as folding wants them
             columns = [pa.array(content[some]), *[pa.array(b) for b in bands(shingles_of(words), place[some], size[some])]]
             yield pa.RecordBatch.from_arrays(columns, names=["content", *keys])
 
