@@ -5,6 +5,11 @@ question or exclamation mark, at line ends, and stretches above ``LONG`` words a
 hash is the least of all within ``NEAR`` words. Every cut depends on the words around it only, so a passage that two documents share is
 cut alike in both, wherever it stands. Paragraphs of ``LEAST_WORDS`` words or more take part.
 
+Passages made of shorter ones (lists, verse, code, narrow lines) or wrapped otherwise are found
+by windows: of every ``PICK`` shingles in a row the least begins a window of ``WINDOW`` words,
+whatever lines or sentences it crosses. So every ``PICK + WINDOW - 1`` = 25 words that two
+documents share hold a whole window, the same in both. Windows take part by equality alone.
+
 Equal paragraphs are one content. Contents get MinHash values over shingles of five lower-cased
 words, in ``BANDS`` bands of ``ROWS``: two with Jaccard similarity 0.8 share a band with a
 probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.983, at 0.9 of 0.9987. Contents that collide are joined, their
@@ -28,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from loomstead.llm.common import cut, null_safe_key, texts_of
 from loomstead.llm.groups import Sets, arranged, components, crowded, runs
@@ -37,6 +43,7 @@ SHINGLE = 5
 ROWS, BANDS = 2, 4
 LEAST_WORDS = 8
 LONG, NEAR, HARD = 32, 8, 128
+PICK, WINDOW = 12, 14
 GAP_WORDS = 16
 PASSAGE_WORDS = 30
 CONTEXT = 64
@@ -92,16 +99,30 @@ def paragraphs(lines: list[list[bytes]], stops: np.ndarray) -> list[tuple[int, i
     return out
 
 
+def windows(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and place of the first word of each window, of texts with so many words."""
+    text, ends = np.repeat(np.arange(len(lengths)), lengths), np.cumsum(lengths)
+    keys = shingles_of(words)
+    if len(keys) < PICK:
+        return text[:0], text[:0]
+    least = np.lib.stride_tricks.sliding_window_view(keys, PICK).argmin(axis=1) + np.arange(len(keys) - PICK + 1)
+    within = text[: len(least)] == text[PICK + SHINGLE - 2 :]
+    place = np.unique(least[within])
+    place = place[place + WINDOW <= ends[text[place]]]
+    return text[place], place
+
+
 def cut_up(texts: list[bytes]):
     """All paragraphs of a batch that take part: row, first word and number of words within
-    the row, place of the first word in the batch; and the batch's lower-cased words' hashes."""
+    the row, place of the first word in the batch; the batch's lower-cased words' hashes, and
+    each row's number of words."""
     split = [word_lines(text.lower()) for text in texts]
     digest = xxhash.xxh3_64_intdigest
     words = np.array([digest(w) for lines in split for line in lines for w in line], np.uint64)
     stops = least_nearby(words)
+    lengths = np.array([sum(map(len, lines)) for lines in split], np.int64)
     row, first, size, place, base = [], [], [], [], 0
-    for k, lines in enumerate(split):
-        n = sum(map(len, lines))
+    for k, (lines, n) in enumerate(zip(split, lengths.tolist(), strict=True)):
         for a, b in paragraphs(lines, stops[base : base + n]):
             if b - a >= LEAST_WORDS:
                 row.append(k)
@@ -109,7 +130,7 @@ def cut_up(texts: list[bytes]):
                 size.append(b - a)
                 place.append(base + a)
         base += n
-    return *(np.array(x, np.int64) for x in (row, first, size, place)), words
+    return *(np.array(x, np.int64) for x in (row, first, size, place)), words, lengths
 
 
 def shingles_of(words: np.ndarray) -> np.ndarray:
@@ -158,20 +179,26 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """All paragraphs that take part: doc_id, _text, first, size, content."""
+    """All paragraphs and windows that take part: doc_id, _text, first, size, content, and
+    whether it is a window (``crossing``)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            row, first, size, place, words = cut_up(texts_of(batch))
-            if not len(row):
+            row, first, size, place, words, lengths = cut_up(texts_of(batch))
+            text, begin = windows(words, lengths)
+            if not len(row) + len(text):
                 continue
+            crossing = np.repeat([False, True], [len(row), len(text)])
+            row, place = np.concatenate([row, text]), np.concatenate([place, begin])
+            first = np.concatenate([first, begin - (np.cumsum(lengths) - lengths)[text]])
+            size = np.concatenate([size, np.full(len(text), WINDOW)])
             at = pa.array(row)
-            columns = [batch.column("doc_id").take(at), batch.column("_text").take(at)]
-            columns += [pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(contents(words, place, size))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "first", "size", "content"])
+            columns = [batch.column("doc_id").take(at), batch.column("_text").take(at), pa.array(first.astype(np.int32))]
+            columns += [pa.array(size.astype(np.int32)), pa.array(contents(words, place, size)), pa.array(crossing)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "first", "size", "content", "crossing"])
 
-    return _rows(docs).mapInArrow(run, f"doc_id {id_type}, _text bigint, first int, size int, content bigint")
+    return _rows(docs).mapInArrow(run, f"doc_id {id_type}, _text bigint, first int, size int, content bigint, crossing boolean")
 
 
 def _banded(docs: DataFrame) -> DataFrame:
@@ -180,7 +207,7 @@ def _banded(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            row, first, size, place, words = cut_up(texts_of(batch))
+            row, first, size, place, words, _ = cut_up(texts_of(batch))
             if not len(row):
                 continue
             content = contents(words, place, size)
@@ -226,7 +253,7 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         known = np.unpackbits(bitmap).astype(bool)
         for batch in batches:
-            row, first, size, place, words = cut_up(texts_of(batch))
+            row, first, size, place, words, _ = cut_up(texts_of(batch))
             if not len(row):
                 continue
             content = contents(words, place, size)
@@ -300,23 +327,47 @@ def marked_paragraphs(docs: DataFrame) -> DataFrame:
     return join_per_key(marked, kept, ["class"], "inner")
 
 
+def stretches(parts: list[dict]) -> list[dict]:
+    """Fold a document's marked paragraphs, in order, into stretches with little in between."""
+    out: list[dict] = []
+    for p in parts:
+        until = p["first"] + p["size"]
+        if out and p["first"] <= out[-1]["until"] + GAP_WORDS:
+            last = out[-1]
+            # A paragraph that ends within the stretch leaves its last one last.
+            if until >= last["until"]:
+                last["until"], last["tail"] = until, p["kept"]
+        else:
+            last = {"first": p["first"], "until": until, "head": p["kept"], "tail": p["kept"], "classes": [], "docs": {}}
+            out.append(last)
+        last["classes"].append(p["class"])
+        last["docs"][p["kept"]["doc_id"]] = None
+    return [s | {"docs": list(s["docs"])} for s in out]
+
+
+def _listed(rows: DataFrame, of_list, schema: str, parts) -> DataFrame:
+    """``of_list`` of the sorted list of each document's ``parts``, one row per dict it gives."""
+    own = rows.groupBy("doc_id", "_text").agg(F.array_sort(F.collect_set(parts)).alias("parts"))
+    names = rows.sparkSession.createDataFrame([], schema)
+    kinds = to_arrow_schema(names.schema)
+
+    def run(batches):
+        for batch in batches:
+            found = [of_list(x) for x in batch.column("parts").to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            columns = [batch.column("doc_id").take(at), batch.column("_text").take(at)]
+            columns += [pa.array([x[k.name] for own in found for x in own], k.type) for k in list(kinds)[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
+
+    return own.mapInArrow(run, schema)
+
+
 def _stretches(marked: DataFrame) -> DataFrame:
-    """Fold a document's marked paragraphs, in order, into stretches with little in between:
-    first and until, the kept places of the first and the last paragraph, all classes."""
-    kept = marked.schema["kept"].dataType.simpleString()
-    own = marked.groupBy("doc_id", "_text").agg(
-        F.array_sort(F.collect_set(F.struct("first", "size", "class", "kept"))).alias("parts")
-    )
-    one = "named_struct('first', p.first, 'until', p.first + p.size, 'head', p.kept, 'tail', p.kept, 'classes', array(p.class), 'docs', array(p.kept.doc_id))"
-    kind = f"array<struct<first:int,until:int,head:{kept},tail:{kept},classes:array<bigint>,docs:array<{marked.schema['doc_id'].dataType.simpleString()}>>>"
-    fold = f"""aggregate(parts, CAST(array() AS {kind}), (acc, p) -> IF(
-      size(acc) > 0 AND p.first <= element_at(acc, -1).until + {GAP_WORDS},
-      concat(slice(acc, 1, size(acc) - 1), array(named_struct('first', element_at(acc, -1).first,
-        'until', greatest(element_at(acc, -1).until, p.first + p.size), 'head', element_at(acc, -1).head, 'tail', p.kept,
-        'classes', array_append(element_at(acc, -1).classes, p.class),
-        'docs', array_union(element_at(acc, -1).docs, array(p.kept.doc_id))))),
-      concat(acc, array({one}))))"""
-    return own.select("doc_id", "_text", F.inline(F.expr(fold)))
+    """The stretches of marked paragraphs: first and until, the kept places of the first and
+    the last paragraph, all classes and the documents that keep them."""
+    kept, id_type = (marked.schema[n].dataType.simpleString() for n in ("kept", "doc_id"))
+    schema = f"doc_id {id_type}, _text bigint, first int, until int, head {kept}, tail {kept}, classes array<bigint>, docs array<{id_type}>"
+    return _listed(marked, stretches, schema, F.struct("first", "size", "class", "kept"))
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -356,7 +407,10 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def passages(docs: DataFrame) -> DataFrame:
     """The passages to remove: doc_id, _text, first word, the word after the last, the classes
     of the paragraphs and the documents in which their first copies stay."""
-    found = cut(_stretches(cut(marked_paragraphs(docs).filter("place <> kept"))))
+    marked = marked_paragraphs(docs).filter("place <> kept")
+    # Windows overlap; of a text that repeats itself they must not take what stays.
+    marked = marked.filter("NOT crossing OR place.doc_id IS DISTINCT FROM kept.doc_id OR place._text <> kept._text")
+    found = cut(_stretches(cut(marked)))
     ends = {
         "own_head": ("doc_id", "_text", F.col("first"), -1), "own_tail": ("doc_id", "_text", F.col("until"), 1),
         "kept_head": ("head.doc_id", "head._text", F.col("head.first"), -1),
