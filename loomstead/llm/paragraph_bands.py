@@ -12,7 +12,7 @@ documents share hold a whole window, the same in both. Windows take part by equa
 
 Equal paragraphs are one content. Contents get MinHash values over shingles of five lower-cased
 words, in ``BANDS`` bands of ``ROWS``: two with Jaccard similarity 0.8 share a band with a
-probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.983, at 0.9 of 0.9987. Contents that collide are joined, their
+probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.9997, at 0.9 of 0.999998. Contents that collide are joined, their
 exact Jaccard similarity is computed, and components of the links are the classes. Of a class
 that occurs in several documents, the first paragraph (by doc_id, then place) stays. The others
 are marked, and marked paragraphs that follow each other, with little between them, are a
@@ -40,7 +40,7 @@ from loomstead.llm.groups import Sets, arranged, components, crowded, runs
 from loomstead.session import join_per_key
 
 SHINGLE = 5
-ROWS, BANDS = 2, 4
+ROWS, BANDS = 2, 8
 LEAST_WORDS = 8
 LONG, NEAR, HARD = 32, 8, 128
 PICK, WINDOW = 12, 14
