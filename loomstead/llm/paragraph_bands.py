@@ -17,7 +17,9 @@ exact Jaccard similarity is computed, and components of the links are the classe
 that occurs in several documents, the first paragraph (by doc_id, then place) stays. The others
 are marked, and marked paragraphs that follow each other, with little between them, are a
 passage. It is extended at either end, word by word, as far as it agrees with the copy that
-stays (up to ``CONTEXT`` words), and removed if it has ``PASSAGE_WORDS`` words or more. Shorter repeats (a license
+stays (up to ``CONTEXT`` words). Passages next to each other whose whole has a similarity of 0.8
+to what stays are one (of 50 words at 0.8, 25 in a row are unchanged, so a window is among
+them); it is removed if it has ``PASSAGE_WORDS`` words or more. Shorter repeats (a license
 line, a heading) are left alone.
 
 Texts are not moved to be compared. Shingles are made again for colliding contents, which a
@@ -333,18 +335,54 @@ def stretches(parts: list[dict]) -> list[dict]:
     for p in parts:
         until = p["first"] + p["size"]
         if out and p["first"] <= out[-1]["until"] + GAP_WORDS:
-            last = out[-1]
+            last, gap = out[-1], p["first"] - out[-1]["until"]
+            last["lost"] += gap + SHINGLE - 1 if gap > 0 else 0
             # A paragraph that ends within the stretch leaves its last one last.
             if until >= last["until"]:
                 last["until"], last["tail"] = until, p["kept"]
         else:
-            last = {"first": p["first"], "until": until, "head": p["kept"], "tail": p["kept"], "classes": [], "docs": {}}
+            last = {"first": p["first"], "until": until, "head": p["kept"], "tail": p["kept"], "classes": [], "docs": {}, "lost": 0}
             out.append(last)
         last["classes"].append(p["class"])
         last["docs"][p["kept"]["doc_id"]] = None
     return [s | {"docs": list(s["docs"])} for s in out]
 
 
+def as_one(a: dict, b: dict) -> dict | None:
+    """Two extended stretches that follow each other as one, if nothing is between them or the
+    whole has a Jaccard similarity of 0.8 to its copy. ``lost`` counts shingles that the copy
+    may lack, ``more`` the words it has more. Between copies in different documents there is
+    nothing to compare with; as many words are counted there as here."""
+    gap = max(b["first"] - a["until"], 0)
+    end, start = a["tail"], b["head"]
+    other = gap
+    if (end["doc_id"], end["_text"]) == (start["doc_id"], start["_text"]):
+        other = abs(b["kept_first"] - a["kept_until"])
+    until = max(a["until"], b["until"])
+    lost, more = a["lost"] + b["lost"] + gap + SHINGLE - 1, a["more"] + b["more"] + other - gap
+    own = until - a["first"] - SHINGLE + 1
+    both = own - lost
+    if gap and 5 * both < 4 * (own + own + more - both):
+        return None
+    if not gap:
+        lost, more = a["lost"] + b["lost"], a["more"] + b["more"]
+    last = a if a["until"] > b["until"] else b
+    return a | {
+        "until": until, "tail": last["tail"], "kept_until": last["kept_until"], "lost": lost, "more": more,
+        "classes": a["classes"] + b["classes"], "docs": list(dict.fromkeys(a["docs"] + b["docs"])),
+    }
+
+
+def joined(parts: list[dict]) -> list[dict]:
+    """The extended stretches of a document, in order, as passages."""
+    out: list[dict] = []
+    for p in parts:
+        out.append(p | {"more": 0})
+        while len(out) > 1 and (one := as_one(*out[-2:])):
+            out[-2:] = [one]
+    return out
+
+
 def _listed(rows: DataFrame, of_list, schema: str, parts) -> DataFrame:
     """``of_list`` of the sorted list of each document's ``parts``, one row per dict it gives."""
     own = rows.groupBy("doc_id", "_text").agg(F.array_sort(F.collect_set(parts)).alias("parts"))
@@ -366,7 +404,7 @@ def _stretches(marked: DataFrame) -> DataFrame:
     """The stretches of marked paragraphs: first and until, the kept places of the first and
     the last paragraph, all classes and the documents that keep them."""
     kept, id_type = (marked.schema[n].dataType.simpleString() for n in ("kept", "doc_id"))
-    schema = f"doc_id {id_type}, _text bigint, first int, until int, head {kept}, tail {kept}, classes array<bigint>, docs array<{id_type}>"
+    schema = f"doc_id {id_type}, _text bigint, first int, until int, head {kept}, tail {kept}, classes array<bigint>, docs array<{id_type}>, lost int"
     return _listed(marked, stretches, schema, F.struct("first", "size", "class", "kept"))
 
 
@@ -433,9 +471,15 @@ def passages(docs: DataFrame) -> DataFrame:
         differs = f"array_position(zip_with({a}, {b}, (x, y) -> coalesce(x = y, false)), false)"
         return F.expr(f"CAST(coalesce(IF({differs} > 0, {differs} - 1, least(size({a}), size({b}))), 0) AS INT)")
 
-    rows = rows.withColumn("first", F.col("first") - agreeing("own_head", "kept_head"))
-    rows = rows.withColumn("until", F.col("until") + agreeing("own_tail", "kept_tail"))
-    return rows.filter(f"until - first >= {PASSAGE_WORDS}").select("doc_id", "_text", "first", "until", "classes", F.col("docs").alias("kept"))
+    head, tail = agreeing("own_head", "kept_head"), agreeing("own_tail", "kept_tail")
+    parts = F.struct(
+        (F.col("first") - head).alias("first"), (F.col("until") + tail).alias("until"), "head", "tail",
+        (F.col("head.first") - head).alias("kept_first"), (F.col("tail.first") + F.col("tail.size") + tail).alias("kept_until"),
+        "classes", "docs", "lost",
+    )
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _text bigint, {found.select('first', 'until', 'classes', 'docs').schema.simpleString()[7:-1]}"
+    whole = _listed(rows, joined, schema, parts)
+    return whole.filter(f"until - first >= {PASSAGE_WORDS}").select("doc_id", "_text", "first", "until", "classes", F.col("docs").alias("kept"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

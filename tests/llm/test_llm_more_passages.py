@@ -55,3 +55,40 @@ def test_bands_meet_at_the_threshold():
     met = np.any([a == b for a, b in zip(*keys, strict=True)], axis=0)
     assert met.mean() >= 0.998
     print("missed", (~met).sum())
+
+
+def sentences(words, size=18):
+    return " ".join(" ".join(words[k : k + size]) + "." for k in range(0, len(words), size))
+
+
+def test_near_copies_of_passages(spark):
+    rng = np.random.default_rng(10)
+    kept, copies, sizes = [], [], []
+    for k in range(120):
+        words = words_of(rng, 54)
+        kept.append(sentences(words))
+        changed = list(words)
+        if k % 3 == 0:
+            changed[27] = "changed"
+        elif k % 3 == 1:
+            changed.insert(26, "new")
+        else:
+            changed[27:28] = []
+        if k % 2:  # no stops at all
+            kept[-1] = " ".join(words)
+            copies.append(" ".join(changed))
+        else:
+            ends = {17, 35, 53}
+            at = {w: i for i, w in enumerate(words)}
+            copies.append(" ".join(w + "." * (at.get(w) in ends) for w in changed))
+        sizes.append(len(changed))
+    rows = hidden(rng, kept + copies)
+    found = {(r["doc_id"], r["first_word"], r["n_words"], *r["kept_doc_ids"]) for r in paragraph_bands.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {(120 + k, 70, n, k) for k, n in enumerate(sizes)}
+
+
+def test_unlike_wholes_stay(spark):
+    rng = np.random.default_rng(11)
+    a, b = words_of(rng, 25), words_of(rng, 25)
+    rows = hidden(rng, [" ".join([*a, *words_of(rng, 17), *b]) for _ in range(2)])  # similarity 0.5
+    assert paragraph_bands.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect() == []
