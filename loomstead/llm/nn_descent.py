@@ -7,7 +7,8 @@ precision, and results are scored with the original vectors in double precision.
 Start: ``TABLES`` times, nodes are bucketed by signs of random projections (large buckets are
 cut), and each bucket gives its nodes their nearest within it. NN-descent: a node's neighbours
 and the nodes it is a neighbour of are introduced to each other; who finds somebody nearer
-keeps the ``DEGREE`` nearest. Nodes are dealt to blocks; a block fetches each vector it needs
+keeps the ``DEGREE`` nearest. Rounds go on until less than ``SETTLED`` of the entries of all
+lists change in one. Nodes are dealt to blocks; a block fetches each vector it needs
 once, compares its nodes' neighbours with each other and sends on what is nearer than anything
 the receiver has. Search: a query starts from its own place in the graph, and again and again
 expands the nearest nodes it has not expanded, until the ``BEAM`` nearest all are.
@@ -36,7 +37,7 @@ from loomstead.session import join_per_key
 TOP = 20
 DEGREE = 32
 TABLES, LEAF = 4, 1600
-ROUNDS = 3
+SETTLED = 0.001
 BLOCK = 4096
 QUERY_BLOCK = 256
 BEAM, STEP = 256, 64
@@ -185,11 +186,22 @@ def _descended(graph: DataFrame, vectors: DataFrame, blocks: int, degree: int) -
     return cut(_top(old.unionByName(found), degree))
 
 
-def neighbour_graph(vectors: DataFrame, total: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """(node, near): the graph by NN-descent over (node, vec), back links included."""
+def _changed(before: DataFrame, after: DataFrame) -> float:
+    """The share of the list entries that were not in the lists before."""
+    both = after.join(before.select("node", F.col("ids").alias("old")), "node", "left")
+    new = F.size(F.array_except("ids", F.coalesce("old", F.expr("CAST(array() AS array<bigint>)"))))
+    found = both.agg(F.sum(new), F.sum(F.size("ids"))).first()
+    return (found[0] or 0) / max(found[1] or 0, 1)
+
+
+def neighbour_graph(vectors: DataFrame, total: int, degree: int = DEGREE, settled: float = SETTLED) -> DataFrame:
+    """(node, near): the graph by NN-descent over (node, vec), back links included. Lists only
+    get nearer, so the rounds end."""
     graph = cut(_top(_first_edges(vectors, total, degree), degree))
-    for _ in range(rounds):
-        graph = _descended(graph, vectors, max(1, math.ceil(total / BLOCK)), degree)
+    while True:
+        before, graph = graph, _descended(graph, vectors, max(1, math.ceil(total / BLOCK)), degree)
+        if _changed(before, graph) <= settled:
+            break
     return cut(_lists(graph, degree))
 
 
@@ -239,7 +251,7 @@ def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, total: i
             return state.select("node", F.slice("ids", 1, FINAL).alias("found"))
 
 
-def nearest(rows: DataFrame, is_query: str, top: int = TOP, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
+def nearest(rows: DataFrame, is_query: str, top: int = TOP, degree: int = DEGREE, settled: float = SETTLED) -> DataFrame:
     """The ``top`` nearest rows found for each row that ``is_query`` (SQL over vec_id) names:
     query_id, rank, vec_id, score."""
     members, nodes = indexed(rows)
@@ -247,7 +259,7 @@ def nearest(rows: DataFrame, is_query: str, top: int = TOP, degree: int = DEGREE
     total = vectors.count()
     asked = members.filter(is_query).distinct()
     asking = cut(asked.select("node").distinct())
-    found = cut(_searched(asking, vectors, neighbour_graph(vectors, total, degree, rounds), asking.count()))
+    found = cut(_searched(asking, vectors, neighbour_graph(vectors, total, degree, settled), asking.count()))
     # Exact scores of the nodes found, of which enough to hold the nearest rows are kept.
     plain = nodes.select("node", "embedding")
     pairs = found.select("node", F.explode("found").alias("other"))
