@@ -1,8 +1,11 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
 Equal vectors are one node. A node's vector gets one more component, so that all have the same
-length and the nearest by angle are those with the largest inner product; it travels in half
-precision, and results are scored with the original vectors in double precision.
+length and the nearest are those with the largest inner product. That component is never
+stored: distances are computed in double precision from differences that keep their digits
+however much longer than others some vectors are. Vectors travel in single precision, divided by
+the longest (lengths may differ by a factor of 10**30), and results are scored with the original
+vectors in double precision.
 
 Start: ``TABLES`` times, nodes are bucketed by signs of random projections (large buckets are
 cut), and each bucket gives its nodes their nearest within it. NN-descent: a node's neighbours
@@ -10,7 +13,8 @@ and the nodes it is a neighbour of are introduced to each other; who finds someb
 keeps the ``DEGREE`` nearest. Rounds go on until less than ``SETTLED`` of the entries of all
 lists change in one. Nodes are dealt to blocks; a block fetches each vector it needs
 once, compares its nodes' neighbours with each other and sends on what is nearer than anything
-the receiver has. Search: a query starts from its own place in the graph, and again and again
+the receiver has. Search: a query starts from its own place in the graph and from ``ENTRIES``
+nodes of each power of two of lengths (few long ones are near nobody), and again and again
 expands the nearest nodes it has not expanded, until the ``BEAM`` nearest all are.
 
 All rows are indexed, every node takes part in every round. Lists per node are bounded by the
@@ -42,9 +46,10 @@ BLOCK = 4096
 QUERY_BLOCK = 256
 BEAM, STEP = 256, 64
 FINAL = 64
+ENTRIES = 16
 SEED = 10
 
-EDGES = "node bigint, other bigint, sim float"
+EDGES = "node bigint, other bigint, sim double"
 
 
 def _valid(rows: DataFrame) -> DataFrame:
@@ -52,13 +57,27 @@ def _valid(rows: DataFrame) -> DataFrame:
     return rows.select("vec_id", "embedding").filter(good)
 
 
-def _half(vectors: np.ndarray) -> pa.Array:
-    return pa.array([v.tobytes() for v in vectors.astype(np.float16)], pa.binary())
+def _binary(vectors: np.ndarray) -> pa.Array:
+    return pa.array([v.tobytes() for v in vectors.astype(np.float32)], pa.binary())
 
 
 def _matrix(column) -> np.ndarray:
     parts = list(column)
-    return np.frombuffer(b"".join(parts), np.float16).reshape(len(parts), -1).astype(np.float32)
+    return np.frombuffer(b"".join(parts), np.float32).reshape(len(parts), -1).astype(np.float64)
+
+
+def sized(v: np.ndarray) -> np.ndarray:
+    """Vectors, with their squared length and the component that completes it to 1."""
+    square = np.minimum(np.square(v).sum(axis=1, keepdims=True), 1)
+    return np.hstack([v, square, np.sqrt(1 - square)])
+
+
+def closeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minus the squared distances of completed vectors. The completing components differ by
+    the difference of the squares over their sum, which no long vector can round away."""
+    square, other = a[:, -2:-1], b[:, -2]
+    apart = (other - square) / np.maximum(a[:, -1:] + b[:, -1], 1e-150)
+    return 2 * (a[:, :-2] @ b[:, :-2].T) - square - other - np.square(apart)
 
 
 def indexed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,9 +96,7 @@ def indexed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     def run(batches):
         for batch in batches:
             v = np.array(batch.column("embedding").to_pylist(), np.float64).reshape(batch.num_rows, -1)
-            v /= math.sqrt(longest)
-            rest = np.sqrt(np.maximum(1 - np.square(v).sum(axis=1, keepdims=True), 0))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), _half(np.hstack([v, rest]))], names=["node", "vec"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), _binary(v / math.sqrt(longest))], names=["node", "vec"])
 
     vectors = cut(distinct.mapInArrow(run, "node bigint, vec binary"))
     return members, distinct.join(vectors, "node")
@@ -87,12 +104,12 @@ def indexed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _top(edges: DataFrame, degree: int) -> DataFrame:
     """(node, ids, least): each node's nearest others, nearest first, and how near the last is
-    (-2 if there is room)."""
+    (minus infinity if there is room)."""
     best = edges.repartition("node").groupBy("node", "other").agg(F.max("sim").alias("sim"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sim"), "other"))
     best = best.withColumn("_rank", rank).filter(F.col("_rank") <= degree)
     near = best.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("_rank", "other", "sim"))).alias("l"))
-    least = F.when(F.size("l") < degree, F.lit(-2.0)).otherwise(F.element_at("l", -1)["sim"]).cast("float")
+    least = F.when(F.size("l") < degree, F.lit(-math.inf)).otherwise(F.element_at("l", -1)["sim"])
     return near.select("node", F.col("l.other").alias("ids"), F.col("l.sim").alias("sims"), least.alias("least"))
 
 
@@ -121,11 +138,11 @@ def _first_edges(vectors: DataFrame, total: int, degree: int) -> DataFrame:
     part = F.expr(f"pmod(xxhash64(node, key), CAST(ceil(n / {2 * LEAF}) AS INT))").alias("part")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        v, node = _matrix(frame["vec"]), frame["node"].to_numpy()
+        v, node = sized(_matrix(frame["vec"])), frame["node"].to_numpy()
         out = []
         for a in range(0, len(v), 512):
-            s = v[a : a + 512] @ v.T
-            s[np.arange(len(s)), np.arange(a, a + len(s))] = -3
+            s = closeness(v[a : a + 512], v)
+            s[np.arange(len(s)), np.arange(a, a + len(s))] = -np.inf
             k = _nearest(s, min(degree, len(v) - 1))
             out.append(pd.DataFrame({"node": np.repeat(node[a : a + 512], k.shape[1]), "other": node[k].ravel(), "sim": np.take_along_axis(s, k, 1).ravel()}))
         return pd.concat(out)
@@ -151,14 +168,14 @@ def _descended(graph: DataFrame, vectors: DataFrame, blocks: int, degree: int) -
     known = vectors.join(graph.select("node", "least"), "node")
     empty = F.expr("CAST(array() AS array<bigint>)")
     fetched = wanted.join(known, "node").select("block", "node", "vec", "least", empty.alias("near"))
-    own = lists.select(block, "node", F.lit(None).cast("binary").alias("vec"), F.lit(0.0).cast("float").alias("least"), "near")
+    own = lists.select(block, "node", F.lit(None).cast("binary").alias("vec"), F.lit(0.0).alias("least"), "near")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         near = [x for x in frame["near"] if len(x) > 1]
         frame = frame[frame["vec"].notna()].sort_values("node")
-        node, least, v = frame["node"].to_numpy(), frame["least"].to_numpy(), _matrix(frame["vec"])
+        node, least, v = frame["node"].to_numpy(), frame["least"].to_numpy(), sized(_matrix(frame["vec"]))
         rows: list[np.ndarray] = []
-        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
+        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
         def fold(best, rows):
             a, b, s = (np.concatenate([x, *[r[k] for r in rows]]) for k, x in enumerate(best))
@@ -172,8 +189,8 @@ def _descended(graph: DataFrame, vectors: DataFrame, blocks: int, degree: int) -
         for ids in near:
             at = np.searchsorted(node, ids)
             w = v[at]
-            s = w @ w.T
-            np.fill_diagonal(s, -3)
+            s = closeness(w, w)
+            np.fill_diagonal(s, -np.inf)
             i, j = np.nonzero(s > least[at][:, None])
             rows.append((at[i], at[j], s[i, j]))
             if len(rows) == 512:
@@ -205,15 +222,29 @@ def neighbour_graph(vectors: DataFrame, total: int, degree: int = DEGREE, settle
     return cut(_lists(graph, degree))
 
 
+def _entries(vectors: DataFrame) -> list[int]:
+    """Up to ``ENTRIES`` nodes of each power of two of lengths."""
+
+    def run(batches):
+        for batch in batches:
+            square = np.square(_matrix(batch.column("vec").to_pylist())).sum(axis=1)
+            power = np.frexp(np.maximum(square, 1e-300))[1] // 2
+            yield pa.RecordBatch.from_arrays([pa.array(power.astype(np.int32)), batch.column("node")], names=["power", "node"])
+
+    some = vectors.mapInArrow(run, "power int, node bigint").groupBy("power", F.expr(f"pmod(node, {ENTRIES})").alias("slot"))
+    return sorted(r["node"] for r in some.agg(F.min("node").alias("node")).collect())
+
+
 def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, total: int) -> DataFrame:
     """(node, found): for each query node the ids of the ``FINAL`` nearest nodes found."""
     blocks = max(1, math.ceil(total / QUERY_BLOCK))
     block = F.expr(f"CAST(pmod(xxhash64(node, {SEED}), {blocks}) AS INT)").alias("block")
-    kind = "block int, node bigint, vec binary, ids array<bigint>, sims array<float>, done array<boolean>"
-    none = {"ids": "array<bigint>", "sims": "array<float>", "done": "array<boolean>"}
+    kind = "block int, node bigint, vec binary, ids array<bigint>, sims array<double>, done array<boolean>"
+    none = {"ids": "array<bigint>", "sims": "array<double>", "done": "array<boolean>"}
     empty = [F.expr(f"CAST(array() AS {t})").alias(n) for n, t in none.items()]
     state = cut(queries.join(vectors, "node").select(block, "node", "vec", *empty))
-    frontier = state.select("block", "node")
+    starts = _entries(vectors)
+    frontier = state.select("block", F.explode(F.array(F.col("node"), *map(F.lit, starts))).alias("node"))
     while True:
         # The lists of the nodes to expand, and the vectors of all nodes on them, once a block.
         opened = cut(frontier.distinct().join(lists, "node").select("block", "node", "near"))
@@ -225,11 +256,10 @@ def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, total: i
             node, v, near = rows["node"].to_numpy(), _matrix(rows["vec"]), rows["near"].to_numpy()
             out = []
             for r in own.itertuples():
-                q = np.frombuffer(r.vec, np.float16).astype(np.float32).copy()
-                q[-1] = 0
-                ids, sims, done = np.array(r.ids, np.int64), np.array(r.sims, np.float32), np.array(r.done, bool)
+                q = np.frombuffer(r.vec, np.float32).astype(np.float64)
+                ids, sims, done = np.array(r.ids, np.int64), np.array(r.sims, np.float64), np.array(r.done, bool)
                 todo = np.flatnonzero(~done)[:STEP] if len(ids) else np.zeros(0, int)
-                opened_now = ids[todo] if len(ids) else np.array([r.node])
+                opened_now = ids[todo] if len(ids) else np.unique(np.array([r.node, *starts], np.int64))
                 done[todo] = True
                 if len(opened_now) and len(node):
                     at = np.searchsorted(node, opened_now)
@@ -237,7 +267,7 @@ def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, total: i
                     new = new[~np.isin(new, ids)].astype(np.int64)
                     s = v[np.searchsorted(node, new)] @ q
                     ids, sims = np.concatenate([ids, new]), np.concatenate([sims, s])
-                    done = np.concatenate([done, new == r.node])
+                    done = np.concatenate([done, np.isin(new, opened_now)])
                     o = np.lexsort((ids, -sims))[:BEAM]
                     ids, sims, done = ids[o], sims[o], done[o]
                 out.append((r.block, r.node, r.vec, ids, sims, done))

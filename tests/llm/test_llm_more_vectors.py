@@ -30,3 +30,18 @@ def test_rounds_go_on_until_lists_settle(spark, monkeypatch):
     x = rng.standard_normal((4000, 32))
     recall = graph_recall(spark, x / np.linalg.norm(x, axis=1, keepdims=True))
     assert recall >= 0.97
+
+
+def test_one_long_vector_flattens_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.repeat(rng.standard_normal((100, 32)), 15, axis=0) + 0.3 * rng.standard_normal((1500, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 10_000
+    monkeypatch.setattr(nn_descent, "LEAF", 128)
+    s = x.astype(np.float32).astype(float) @ x.astype(np.float32).astype(float).T
+    np.fill_diagonal(s, -np.inf)
+    found = {}
+    for r in nn_descent.nearest(table_of(spark, x), "vec_id % 20 = 0").collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = [len(found[q] & set(np.argsort(-s[q])[:20].tolist())) / 20 for q in range(0, len(x), 20)]
+    assert np.mean(hits) >= 0.98 and graph_recall(spark, x, 14) >= 0.9
