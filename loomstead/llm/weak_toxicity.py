@@ -35,8 +35,6 @@ LEAST_G = 5.0
 CHANCE = 0.15
 #: Labelled training rows used, at most: those whose ids hash lowest.
 LABELLED = 20_000
-#: Candidates for the lexicon: the cues in most toxic texts.
-CANDIDATES = 20_000
 #: Stems are word beginnings of these lengths, and count if every so manieth word has them.
 STEMS = (4, 5, 6, 7)
 STEM_WORDS = 120
@@ -143,35 +141,29 @@ def _summed(rows: DataFrame, shape: tuple[int, ...], of_batch, *columns: str) ->
 
 def lexicon(train: DataFrame) -> list[str]:
     """The cues that speak most for a toxic text, from training rows (text, toxic)."""
-    toxic = train.filter("toxic = 1")
 
-    def spread(batches):
+    def counted(batches):
         for batch in batches:
-            found = [c for t in batch.column("text").to_pylist() for c in cues(tokens(t or ""))]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["cue"])
+            found: tuple[Counter, Counter] = (Counter(), Counter())
+            for t, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                found[toxic].update(cues(tokens(t or "")))
+            names = sorted(found[0].keys() | found[1].keys())
+            columns = [pa.array(names, pa.string()), *[pa.array([found[y][c] for c in names], pa.int64()) for y in (1, 0)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["cue", "n", "without"])
 
     size = train.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not all(size):
         return []
-    common = toxic.select("text").mapInArrow(spread, "cue string").groupBy("cue").agg(F.count("*").alias("n"))
-    common = common.filter(F.col("n") >= max(2, LEAST_SHARE * size[0])).orderBy(F.desc("n"), "cue").limit(CANDIDATES)
-    with_cue = {r["cue"]: r["n"] for r in common.collect()}
-    if not with_cue:
-        return []
-    number = {c: k for k, c in enumerate(with_cue)}
-
-    def counted(batch):
-        out, known = np.zeros(len(number)), Known(number)
-        for t in batch.column("text").to_pylist():
-            for c in known.among(tokens(t or "")):
-                out[number[c]] += 1
-        return out
-
-    without = _summed(train.filter("toxic = 0"), (len(number),), counted, "text")
-    z = speaking(np.array(list(with_cue.values()), float), without, size)
+    size = tuple(size)
+    common = train.select("text", "toxic").mapInArrow(counted, "cue string, n bigint, without bigint")
+    common = common.groupBy("cue").agg(F.sum("n").alias("n"), F.sum("without").alias("without"))
+    common = common.filter(F.col("n") >= max(2, LEAST_SHARE * size[0]))
+    ratio = with_columns(common, "z double", lambda batch: {"z": speaking(batch.column("n").to_numpy(), batch.column("without").to_numpy(), size)})
     chosen: list[str] = []
-    for s, cue in sorted(zip(-z, with_cue, strict=True)):
-        if s > -LEAST_G or len(chosen) == WORDS:
+    # Until the lexicon is full: cues that begin like a chosen one make room for those after them.
+    for r in cut(ratio.filter(F.col("z") >= LEAST_G)).orderBy(F.desc("z"), "cue").toLocalIterator():
+        cue = r["cue"]
+        if len(chosen) == WORDS:
             break
         own = cue.rstrip("*")
         if not any(own.startswith(c.rstrip("*")) or c.startswith(own) for c in chosen):
