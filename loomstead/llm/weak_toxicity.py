@@ -99,7 +99,7 @@ def speaking(with_cue: np.ndarray, without: np.ndarray, size: tuple[float, float
 def patterns(text: str, words: list[str]) -> list[float]:
     """Strengths from 0 to 1 of the pattern voters; one votes if above a half."""
     n = max(len(text), 1)
-    upper = sum(map(str.isupper, text[:: max(1, len(text) // 4096)])) / max(len(text[:: max(1, len(text) // 4096)]), 1)
+    upper = sum(map(str.isupper, text)) / n
     return [
         min(1.0, 2 * upper), min(1.0, 25 * text.count("!") / n), min(1.0, 10 * sum(map(text.count, "#*$%&|<>")) / n),
         float(len(words) > 20 and 2 * len(set(words)) < len(words)), float(len(words) < 10),
