@@ -63,7 +63,8 @@ def _binary(vectors: np.ndarray) -> pa.Array:
 
 def _matrix(column) -> np.ndarray:
     parts = list(column)
-    return np.frombuffer(b"".join(parts), np.float32).reshape(len(parts), -1).astype(np.float64)
+    # A block whose queries have all ended fetches nothing.
+    return np.frombuffer(b"".join(parts), np.float32).reshape(len(parts), -1 if parts else 0).astype(np.float64)
 
 
 def sized(v: np.ndarray) -> np.ndarray:

@@ -45,3 +45,12 @@ def test_one_long_vector_flattens_nothing(spark, monkeypatch):
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
     hits = [len(found[q] & set(np.argsort(-s[q])[:20].tolist())) / 20 for q in range(0, len(x), 20)]
     assert np.mean(hits) >= 0.98 and graph_recall(spark, x, 14) >= 0.9
+
+
+def test_blocks_that_end_before_others(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(nn_descent, "BEAM", 24)
+    monkeypatch.setattr(nn_descent, "STEP", 2)
+    x = np.random.default_rng(5).standard_normal((300, 8))
+    found = nn_descent.nearest(table_of(spark, x), "vec_id % 20 = 0").collect()
+    assert len(found) == 15 * 20
