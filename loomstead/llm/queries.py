@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstead.llm import exact_packing, license_bands, nn_descent, overlap_tokens, paragraph_bands, quota_mix, robust_outliers, simhash_trees, warc_store, weak_toxicity
+from loomstead.llm import exact_packing, license_bands, nn_descent, orchard_clusters, overlap_tokens, paragraph_bands, quota_mix, robust_outliers, simhash_trees, warc_store, weak_toxicity
 from loomstead.llm.common import table
 
 
@@ -47,9 +47,17 @@ def op10_nn_descent(spark: SparkSession, folder: str) -> DataFrame:
     return nn_descent.nearest(table(spark, folder, "embeddings"), "vec_id % 20 = 0")
 
 
+def op11_orchard_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return orchard_clusters.clustered(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op5_paragraph_bands, op6_simhash_trees, op7_exact_packing, op8_warc_store, op9_license_bands, op10_nn_descent)
-}
-
-ORACLES = {"op8_warc_store": warc_store.ORACLE_SQL}
+    for f in (
+        op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op5_paragraph_bands,
+        op6_simhash_trees, op7_exact_packing, op8_warc_store, op9_license_bands, op10_nn_descent,
+        op11_orchard_clusters,
+    )
+}
+
+ORACLES = {"op8_warc_store": warc_store.ORACLE_SQL, "op11_orchard_clusters": orchard_clusters.ORACLE_SQL}
