@@ -3,7 +3,20 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstead.llm import exact_packing, license_bands, nn_descent, orchard_clusters, overlap_tokens, paragraph_bands, quota_mix, robust_outliers, simhash_trees, warc_store, weak_toxicity
+from loomstead.llm import (
+    bloom_language_model,
+    exact_packing,
+    license_bands,
+    nn_descent,
+    orchard_clusters,
+    overlap_tokens,
+    paragraph_bands,
+    quota_mix,
+    robust_outliers,
+    simhash_trees,
+    warc_store,
+    weak_toxicity,
+)
 from loomstead.llm.common import table
 
 
@@ -51,12 +64,16 @@ def op11_orchard_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return orchard_clusters.clustered(table(spark, folder, "embeddings"))
 
 
+def op12_bloom_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom_language_model.scored(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op5_paragraph_bands,
         op6_simhash_trees, op7_exact_packing, op8_warc_store, op9_license_bands, op10_nn_descent,
-        op11_orchard_clusters,
+        op11_orchard_clusters, op12_bloom_language_model,
     )
 }
 
