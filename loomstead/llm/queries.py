@@ -14,6 +14,7 @@ from loomstead.llm import (
     quota_mix,
     robust_outliers,
     simhash_trees,
+    token_alignment,
     warc_store,
     weak_toxicity,
 )
@@ -68,12 +69,17 @@ def op12_bloom_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return bloom_language_model.scored(table(spark, folder, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.alignments(table(spark, folder, "documents"), *paths)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_robust_outliers, op2_overlap_tokens, op3_weak_toxicity, op4_quota_mix, op5_paragraph_bands,
         op6_simhash_trees, op7_exact_packing, op8_warc_store, op9_license_bands, op10_nn_descent,
-        op11_orchard_clusters, op12_bloom_language_model,
+        op11_orchard_clusters, op12_bloom_language_model, op13_token_alignment,
     )
 }
 
