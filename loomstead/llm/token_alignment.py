@@ -20,7 +20,7 @@ gives rows of its own; every row counts for the totals. An empty table gives no
 """
 
 import hashlib
-import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,40 +28,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstead.llm.common import cut, prepared
-from loomstead.llm.piece_cache import LONGEST, ODD_SPACE, SPACED, Pieces
+from loomstead.llm.piece_cache import ODD_SPACE, SPACED, Pieces
 from loomstead.session import join_per_key
 
 #: Windows a worker remembers, and the ids of the longest of them; pieces it remembers.
 WINDOWS = 300_000
 LONGEST_WINDOW = 24
-PIECES = 300_000
+PIECES = 500_000
 BROADCAST = 128 << 20
 
+#: Stands between the ids of the two sides of a window; no id is that large.
+_BAR = 0xFFFFFFFF
+
 
 class ByteTokens:
     """Ids and token bytes of a byte-level tokenizer; special strings are plain text."""
 
     def __init__(self, path: str):
         self.pieces = Pieces(path, lambda ids: np.array(ids, "<u4").tobytes(), SPACED, lower=False, odd=ODD_SPACE)
-        self.pieces.tokenizer.encode_special_tokens = True
+        tokenizer = self.pieces.tokenizer
+        tokenizer.encode_special_tokens = True
         self.pieces.specials = []
         back = {letter: byte for byte, letter in self.pieces.letters.items()}
-        tokenizer = self.pieces.tokenizer
         words = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         self.bytes = [bytes(back[c] for c in w) if all(c in back for c in w) else w.encode() for w in words]
 
-    def ids(self, text: str) -> np.ndarray:
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.pieces.seen) > PIECES:
             self.pieces.seen.clear()
-        return np.frombuffer(b"".join(self.pieces.of(text)), "<u4")
+        return [np.frombuffer(b"".join(self.pieces.of(f" {t}")), "<u4") for t in texts]
 
 
 class MarkedTokens:
-    """Ids and token bytes of a sentencepiece model with byte fallback, which puts a space mark
-    before the text."""
-
-    MARK = "▁"
-    RUN = re.compile(" *[^ ]+| +")
+    """Ids and token bytes of a sentencepiece model, which puts a space mark before the text."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -69,44 +68,19 @@ class MarkedTokens:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [
-            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(self.MARK, " ").encode() for i, p in enumerate(pieces)
+            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)
         ]
-        # No piece holds a mark after another letter, so no merge crosses the start of a run of
-        # marks: the runs of a text are encoded apart from each other.
-        self.apart = not any(re.search(f"[^{self.MARK}]{self.MARK}", p) for p in pieces)
-        # a single space at the end of a text: the model adds no mark to an empty text
-        self.last = {" ": np.array([self.model.piece_to_id(self.MARK)], "<u4").tobytes()}
-        self.seen: dict[str, bytes] = dict(self.last)
-
-    def _encoded(self, text: str) -> bytes:
-        return np.array(self.model.encode(text), "<u4").tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
-        if not self.apart or self.MARK in text:
-            return np.frombuffer(self._encoded(text), "<u4")
-        runs, seen = self.RUN.findall(f" {text}"), self.seen
-        try:
-            return np.frombuffer(b"".join(map(seen.__getitem__, runs)), "<u4")
-        except KeyError:
-            pass
-        if len(seen) > PIECES:
-            seen.clear()
-            seen.update(self.last)
-        late = {}
-        for run in set(runs).difference(seen):
-            (seen if len(run) <= LONGEST else late)[run] = self._encoded(run[1:])
-        return np.frombuffer(b"".join([late[r] if r in late else seen[r] for r in runs]), "<u4")
-
-
-def window_groups(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[str, int, bytes]:
-    """The groups of a window as text, their number, and the id pairs that end together."""
-    _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-    groups, i, j = [], 0, 0
-    for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist(), strict=True):
-        groups.append(",".join(map(str, a[i:x].tolist())) + "|" + ",".join(map(str, b[j:y].tolist())))
-        i, j = x, y
-    pairs = a[at_a].astype("<i8") << 32 | b[at_b]
-    return ";".join(groups), len(groups), pairs.tobytes()
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x, "<u4") for x in self.model.encode(texts, num_threads=1)]
+
+
+class Window(NamedTuple):
+    """What is remembered of a window: its groups as text, each with a ';' after it, and the id
+    pairs that end together, each as eight bytes."""
+
+    groups: bytes
+    pairs: bytes
 
 
 class Aligner:
@@ -114,44 +88,102 @@ class Aligner:
         self.a, self.b = ByteTokens(path_a), MarkedTokens(path_b)
         self.size_a, self.size_b = (np.array([len(x) for x in t.bytes]) for t in (self.a, self.b))
         self.spaced_a, self.spaced_b = (np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b))
-        self.known: dict[tuple[bytes, bytes], tuple[str, int, bytes]] = {}
-
-    def _window(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, bytes]:
-        return window_groups(a, b, np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]))
-
-    def of(self, text: str | None):
-        """(tokens of a, tokens of b, groups, id pairs, digest), or None where there are none."""
-        if not text:
-            return None
-        whole = f" {text}".encode()
-        a, b = self.a.ids(f" {text}"), self.b.ids(text)
-        for ids, table in ((a, self.a.bytes), (b, self.b.bytes)):
-            if b"".join(map(table.__getitem__, ids.tolist())) != whole:
-                return None
-        if not (self.size_a[a].all() and self.size_b[b].all()):
-            return None  # a token without bytes has no place of its own
+        # an id as text: within its side, at the end of a group's first side, at a group's end
+        n = max(len(self.a.bytes), len(self.b.bytes))
+        self.width = n
+        self.written = [str(i).encode() + mark for mark in (b",", b"|", b";") for i in range(n)]
+        self.known: dict[bytes, Window] = {}
+
+    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides of each text, or None where a side doesn't give the text back."""
+        whole = [f" {t}".encode() for t in texts if t]
+        given = [t for t in texts if t]
+        sides = []
+        for side in (self.a, self.b):
+            ids = side.ids(given)
+            good = [b"".join(map(side.bytes.__getitem__, x.tolist())) == w for x, w in zip(ids, whole, strict=True)]
+            sides.append(zip(ids, good, strict=True))
+        both = ((a, b) if ok_a and ok_b else None for (a, ok_a), (b, ok_b) in zip(*sides, strict=True))
+        return [next(both) if t else None for t in texts]
+
+    def aligned(self, a: np.ndarray, b: np.ndarray):
+        """Groups of two sides that cover the same bytes: ids as text in the order of the groups,
+        the number of tokens of each side up to the end of each group, and the pair that ends it."""
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        marked = np.zeros((2, 1 + (ends_a[-1] if len(a) else 0)), bool)
+        marked[0, ends_a], marked[1, ends_b] = True, True
+        last_a, last_b = marked[1, ends_a], marked[0, ends_b]
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        code_a = a.astype(np.int64) + self.width * last_a
+        code_b = b.astype(np.int64) + 2 * self.width * last_b
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        texts = list(map(self.written.__getitem__, np.concatenate([code_a, code_b])[order].tolist()))
+        upto_a, upto_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
+        return texts, upto_a + 1, upto_b + 1, a[upto_a].astype("<i8") << 32 | b[upto_b]
+
+    def _learn(self, keys: list[bytes], into: dict[bytes, Window], late: dict[bytes, Window]) -> None:
+        """Align windows that are not known, all of them in one go: their borders are shared ends."""
+        ids = np.frombuffer(b"".join(keys), "<u4")
+        sizes = np.array([len(k) // 4 for k in keys])
+        bars = np.flatnonzero(ids == _BAR)
+        side = np.zeros(len(ids), np.int8)
+        starts = np.cumsum(sizes) - sizes
+        side[starts] += 1
+        side[bars] = 1
+        # a window's first side runs up to its bar
+        in_a = np.cumsum(side) % 2 == 1
+        a, b = ids[in_a & (ids != _BAR)], ids[~in_a & (ids != _BAR)]
+        texts, upto_a, upto_b, pairs = self.aligned(a, b)
+        tokens = np.cumsum(sizes - 1)
+        groups = np.searchsorted(upto_a + upto_b, tokens, "left") + 1
+        raw, t, g = pairs.tobytes(), 0, 0
+        for key, t_end, g_end in zip(keys, tokens.tolist(), groups.tolist(), strict=True):
+            (into if len(key) <= 4 * LONGEST_WINDOW else late)[key] = Window(b"".join(texts[t:t_end]), raw[8 * g : 8 * g_end])
+            t, g = t_end, g_end
+
+    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The ids of each window, and its end among the tokens of a. Windows are cut at shared
+        ends that a token marked by a space follows on both sides."""
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        # anchors: shared ends before a token marked by a space on both sides
-        before_a = ends_a[:-1][self.spaced_a[a[1:]]]
-        before_b = ends_b[:-1][self.spaced_b[b[1:]]]
-        anchors = np.intersect1d(before_a, before_b, assume_unique=True)
-        cuts_a = [0, *(4 * (np.searchsorted(ends_a, anchors) + 1)).tolist(), 4 * len(a)]
-        cuts_b = [0, *(4 * (np.searchsorted(ends_b, anchors) + 1)).tolist(), 4 * len(b)]
-        bytes_a, bytes_b, known = a.tobytes(), b.tobytes(), self.known
-        keys = [
-            (bytes_a[i:j], bytes_b[k:m])
-            for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
-        ]
-        if len(known) > WINDOWS:
-            known.clear()
-        late = {}
-        for key in set(keys).difference(known):
-            short = len(key[0]) + len(key[1]) <= 4 * LONGEST_WINDOW
-            (known if short else late)[key] = self._window(*(np.frombuffer(x, "<u4") for x in key))
-        found = [late[k] if k in late else known[k] for k in keys] if late else list(map(known.__getitem__, keys))
-        groups, numbers, pairs = zip(*found, strict=True)
-        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-        return len(a), len(b), sum(numbers), np.frombuffer(b"".join(pairs), "<i8"), digest
+        before_a, before_b = np.flatnonzero(self.spaced_a[a[1:]]), np.flatnonzero(self.spaced_b[b[1:]])
+        at_a, at_b = ends_a[before_a], ends_b[before_b]
+        marked = np.zeros((2, ends_a[-1] + 1), bool)
+        marked[0, at_a], marked[1, at_b] = True, True
+        cuts_a = np.concatenate([before_a[marked[1, at_a]] + 1, [len(a)]])
+        cuts_b = np.concatenate([before_b[marked[0, at_b]] + 1, [len(b)]])
+        # the ids of a, a bar and the ids of b, window after window
+        own = np.arange(len(cuts_a))
+        laid = np.empty(len(a) + len(b) + len(own), "<u4")
+        n_a, n_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        laid[np.arange(len(a)) + np.repeat(cuts_b - n_b + own, n_a)] = a
+        laid[cuts_a + cuts_b - n_b + own] = _BAR
+        laid[np.arange(len(b)) + np.repeat(cuts_a + own + 1, n_b)] = b
+        raw, ends = laid.tobytes(), 4 * (cuts_a + cuts_b + own + 1)
+        return [raw[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], cuts_a
+
+    def of(self, texts: list[str | None]) -> list[tuple | None]:
+        """Per text (tokens of a, tokens of b, groups, id pairs, digest), or None where there are none."""
+        both = self.tokens(texts)
+        there = [x for x in both if x]
+        if not there:
+            return [None] * len(texts)
+        # texts follow each other like words: each begins with a token marked by a space
+        keys, ends = self.windows(np.concatenate([a for a, _ in there]), np.concatenate([b for _, b in there]))
+        if len(self.known) > WINDOWS:
+            self.known.clear()
+        late: dict[bytes, Window] = {}
+        if new := list(set(keys).difference(self.known)):
+            self._learn(new, self.known, late)
+        found = [late[k] if k in late else self.known[k] for k in keys] if late else list(map(self.known.__getitem__, keys))
+        upto = np.searchsorted(ends, np.cumsum([len(a) for a, _ in there]), "left") + 1
+        out, start = [], 0
+        for (a, b), end in zip(there, upto.tolist(), strict=True):
+            groups, pairs = zip(*found[start:end], strict=True)
+            pairs = np.frombuffer(b"".join(pairs), "<i8")
+            out.append((len(a), len(b), len(pairs), pairs, hashlib.sha256(b"".join(groups)[:-1]).hexdigest()))
+            start = end
+        each = iter(out)
+        return [next(each) if x else None for x in both]
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -165,17 +197,15 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
         aligner = Aligner(path_a, path_b)
         for batch in batches:
-            columns = [[] for _ in names[1:]]
-            for text in batch.column("text").to_pylist():
-                found = aligner.of(text)
+            rows = []
+            for found in aligner.of(batch.column("text").to_pylist()):
                 if found is None:
-                    row = (0, 0, 0, 0, "", [], [], [])
+                    rows.append((0, 0, 0, 0, "", [], [], []))
                 else:
                     pairs, times = np.unique(found[3], return_counts=True)
-                    row = (*found[:3], len(found[3]), found[4], pairs >> 32, pairs & 0xFFFFFFFF, times)
-                for column, value in zip(columns, row, strict=True):
-                    column.append(value)
+                    rows.append((*found[:3], len(found[3]), found[4], pairs >> 32, pairs & 0xFFFFFFFF, times))
             kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int32())] * 3
+            columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
             arrays = [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
