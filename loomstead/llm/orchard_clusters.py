@@ -104,7 +104,7 @@ def whole_vectors(vectors: DataFrame, dim: int = DIM) -> DataFrame:
 def _first(rows: DataFrame, clusters: int) -> np.ndarray:
     digest = F.sha2(F.concat(F.lit(f"{SEED}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     found = rows.orderBy(digest.asc_nulls_last(), "q").limit(clusters).select("q").collect()
-    return np.array([r.q for r in found], np.int64).reshape(len(found), -1)
+    return np.array([r.q for r in found], np.int64)
 
 
 def _moved(rows: DataFrame, model: Model, dim: int) -> np.ndarray:
