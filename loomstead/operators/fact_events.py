@@ -1,13 +1,19 @@
 """Mixed sequences of added facts and endings, applied as if one by one.
 
-Whether an event takes effect depends on the open fact its key has at that moment, so a key's
+Whether an event takes effect depends on the open facts its key has at that moment, so a key's
 events must be followed in order, yet one key may hold a large part of them. The events are
-therefore cut by ``seq`` into chunks of bounded size, whatever their keys:
-
-1. each chunk is summed up, per key, as a function from the open fact on entry to the open
-   fact on exit;
-2. those short summaries are chained per key, giving every chunk its entry state;
-3. each chunk is replayed from its entry state.
+therefore cut by their rank in ``seq`` order into chunks of bounded size, whatever their keys:
+
+1. each chunk is summed up, per key, as a function from the state on entry to the state on exit;
+2. such functions compose, so ``FAN_IN`` consecutive chunks of a key become one function, level
+   by level, until a key has few enough left to be followed in one go from what is stored;
+3. going down the levels again, each group of chunks is followed from its own entry state, so
+   that every chunk knows its own, and no task ever follows more than ``FAN_IN`` chunks of a key;
+4. each chunk is replayed from its entry state.
+
+The state of a key is what its events can tell apart: the least id and the latest start among its
+open facts. An event adds a fact only where none is open, and an ending that takes effect closes
+all of them, so more than one can be open only in what was stored before.
 """
 
 from bisect import bisect_left
@@ -21,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.temporal import end_key, malformed, start_key
 from ..schemas import TRIPLE_SCHEMA
+from ..session import join_per_key, written
 from .fact_writes import (
     FACT_ERROR,
     KEY,
@@ -33,14 +40,16 @@ from .fact_writes import (
     keyed,
 )
 
-# Width of a chunk in units of ``seq``; as seq is unique, also its greatest number of rows.
+# Most events of a chunk, and most chunks of a key that one task follows.
 CHUNK_SPAN = 10_000
+FAN_IN = 64
 
 OPEN, CLOSED, END = "open", "closed", "end"
 
 
 class Open(NamedTuple):
-    """The open fact of a key; an unknown start sorts before every ending."""
+    """The open facts of a key: the least id, the latest start. An unknown start sorts before
+    every ending."""
 
     id: str
     start: str
@@ -110,6 +119,27 @@ def chain(summary, state):
     return state if at == len(steps) else steps[at][1]
 
 
+def compose(first, then):
+    """The summary of two stretches of events, one after the other."""
+    from_none, steps = first
+    joined = []
+    for bar, out in steps:
+        out = chain(then, out)
+        if joined and joined[-1][1] == out:
+            joined[-1] = (bar, out)
+        else:
+            joined.append((bar, out))
+    # a state that meets no ending of the first stretch enters the second one unchanged
+    last = steps[-1][0] if steps else None
+    for bar, out in then[1]:
+        if last is None or bar > last:
+            if joined and joined[-1][1] == out:
+                joined[-1] = (bar, out)
+            else:
+                joined.append((bar, out))
+    return chain(then, from_none), joined
+
+
 _STATE = "STRUCT<id: STRING, start: STRING>"
 _SUMMARY = f"chunk LONG, key STRING, none {_STATE}, steps ARRAY<STRUCT<bar: STRING, out: {_STATE}>>"
 
@@ -131,29 +161,101 @@ def _per_key(events: pd.DataFrame):
 
 
 def _summarize_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-    chunk, rows = pdf["chunk"].iloc[0], []
-    for key, _, events in _per_key(pdf):
-        none, steps = summarize(events)
-        rows.append((chunk, key, _pack(none), [{"bar": b, "out": _pack(o)} for b, o in steps]))
+    chunk = pdf["chunk"].iloc[0]
+    rows = [(chunk, key, *_rows_of(summarize(events))) for key, _, events in _per_key(pdf)]
     return pd.DataFrame(rows, columns=["chunk", "key", "none", "steps"])
 
 
+def _rows_of(summary):
+    none, steps = summary
+    return _pack(none), [{"bar": b, "out": _pack(o)} for b, o in steps]
+
+
+def _summary_of(row):
+    return _unpack(row.none), [(s["bar"], _unpack(s["out"])) for s in row.steps]
+
+
+def _compose_sorted(batches):
+    """Summaries sorted by key, block and chunk -> one summary for each block of a key."""
+    at, summary = None, None
+    for pdf in batches:
+        rows = []
+        for row in pdf.itertuples(index=False):
+            if (row.key, row.block) == at:
+                summary = compose(summary, _summary_of(row))
+                continue
+            if at:
+                rows.append((at[1], at[0], *_rows_of(summary)))
+            at, summary = (row.key, row.block), _summary_of(row)
+        yield pd.DataFrame(rows, columns=["chunk", "key", "none", "steps"])
+    if at:
+        yield pd.DataFrame([(at[1], at[0], *_rows_of(summary))], columns=["chunk", "key", "none", "steps"])
+
+
 def _chain_sorted(batches):
-    """Summaries sorted by key and chunk -> the entry state of each; only the state of the
-    key in hand is kept."""
-    key, state = None, None
+    """Summaries sorted by key, block and chunk, each with the state its block is entered with
+    -> the entry state of each; only the state of the block in hand is kept."""
+    at, state = None, None
     for pdf in batches:
         rows = []
         for row in pdf.itertuples(index=False):
-            if row.key != key:
-                key, state = row.key, _unpack(row.stored)
+            if (row.key, row.block) != at:
+                at, state = (row.key, row.block), _unpack(row.entered)
             if state is not None:
-                rows.append((row.chunk, key, state.id, state.start))
-            steps = [(s["bar"], _unpack(s["out"])) for s in row.steps]
-            state = chain((_unpack(row.none), steps), state)
+                rows.append((row.chunk, row.key, state.id, state.start))
+            state = chain(_summary_of(row), state)
         yield pd.DataFrame(rows, columns=["chunk", "key", "open_id", "open_start"])
 
 
+_ENTRY = "chunk LONG, key STRING, open_id STRING, open_start STRING"
+
+
+def _blocks(summaries: DataFrame, width: int) -> DataFrame:
+    return summaries.withColumn("block", F.floor(F.col("chunk") / width))
+
+
+def _ordered(summaries: DataFrame) -> DataFrame:
+    return summaries.repartition("key", "block").sortWithinPartitions("key", "block", "chunk")
+
+
+def entry_states(summaries: DataFrame, stored: DataFrame, chunks: int, fan_in: int = FAN_IN) -> DataFrame:
+    """(chunk, key, open_id, open_start): the state with which each chunk is entered, where any
+    fact is open. ``summaries`` number the chunks 0 to ``chunks - 1``; ``stored`` has the state
+    before the first."""
+    levels = [written(summaries)]
+    while chunks > fan_in:
+        up = _ordered(_blocks(levels[-1], fan_in)).mapInPandas(_compose_sorted, _SUMMARY)
+        levels.append(written(up))
+        chunks = -(-chunks // fan_in)
+    entries = stored.select("key", F.lit(0).cast("long").alias("block"), F.col("stored").alias("entered"))
+    for level in reversed(levels):
+        # on the top level all chunks of a key are one block, entered with what is stored
+        blocks = _blocks(level, fan_in if level is not levels[-1] else chunks + 1)
+        found = _ordered(join_per_key(blocks, entries, ["key", "block"], "left")).mapInPandas(_chain_sorted, _ENTRY)
+        entries = found.select("key", F.col("chunk").alias("block"), F.struct(F.col("open_id").alias("id"), F.col("open_start").alias("start")).alias("entered"))
+    return found
+
+
+def chunked(events: DataFrame, span: int = CHUNK_SPAN) -> tuple[DataFrame, int]:
+    """The events with ``chunk``, numbered in the order of ``seq`` and of at most ``span`` rows
+    each, and the number of chunks. Ranges of ``seq`` are sorted apart from each other; only
+    their sizes come to the driver, so gaps between values cost nothing."""
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = events.repartitionByRange(parts, "seq").sortWithinPartitions("seq")
+    # this id is the partition in the upper bits and the row's number in it in the lower 33
+    placed = written(placed.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
+    before, first = 0, {}
+    for row in sorted(sizes):
+        first[row.part] = before
+        before += -(-row.n // span)
+    starts = events.sparkSession.createDataFrame(sorted(first.items()), "part long, first long")
+    numbered = placed.withColumn("part", part).join(F.broadcast(starts), "part")
+    chunk = F.col("first") + F.floor(F.col("_place").bitwiseAND(2**33 - 1) / span)
+    return numbered.withColumn("chunk", chunk).drop("part", "first", "_place"), before
+
+
 def _replay_chunk(events: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
     entry = {e.key: Open(e.open_id, e.open_start) for e in entries.itertuples(index=False)}
     rows = []
@@ -163,7 +265,19 @@ def _replay_chunk(events: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["seq", "status", "fact_id"])
 
 
-def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int = CHUNK_SPAN) -> DataFrame:
+def _key_text():
+    return F.to_json(F.array(*[F.col(c) for c in KEY]))
+
+
+def _open_states(triples: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, stored) for the given keys that have open facts."""
+    start = F.coalesce(start_key("valid_from"), F.lit(""))
+    found = _open_per_key(triples, keys).select(_key_text().alias("key"), "id", start.alias("start"))
+    state = F.struct(F.min("id").alias("id"), F.max("start").alias("start"))
+    return found.groupBy("key").agg(state.alias("stored"))
+
+
+def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int = CHUNK_SPAN, fan_in: int = FAN_IN) -> DataFrame:
     """The events with ``status``, ``fact_id`` and ``reason``. ``events`` has ``seq`` (unique
     long), ``kind`` (add or end), the names of the key, and the fact's columns or ``ended``."""
     again = events.groupBy("seq").agg(F.count("*").alias("_times")).filter("_times > 1")
@@ -176,30 +290,19 @@ def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int
         f"CASE WHEN kind = 'add' THEN {fact_id_sql(id_salt)} END AS id",
     ).drop("_times")
     start = F.coalesce(start_key("valid_from"), F.lit(""))
-    key = F.to_json(F.array(*KEY))
-    slim = rows.filter("reason IS NULL").select(
-        "seq",
-        F.floor(F.col("seq") / span).alias("chunk"),
-        key.alias("key"),
-        F.expr(
-            f"CASE WHEN kind = 'end' THEN '{END}' WHEN valid_to IS NULL THEN '{OPEN}' ELSE '{CLOSED}' END AS kind"
+    slim, chunks = chunked(
+        rows.filter("reason IS NULL").select(
+            "seq",
+            _key_text().alias("key"),
+            F.expr(f"CASE WHEN kind = 'end' THEN '{END}' WHEN valid_to IS NULL THEN '{OPEN}' ELSE '{CLOSED}' END AS kind"),
+            "id",
+            F.when(F.col("kind") == "end", end_key("ended")).otherwise(start).alias("at"),
         ),
-        "id",
-        F.when(F.col("kind") == "end", end_key("ended")).otherwise(start).alias("at"),
-    )
-    stored = (
-        _open_per_key(triples, rows.filter("reason IS NULL").select(KEY).distinct())
-        .groupBy(key.alias("key"))
-        .agg(F.max(F.struct(start.alias("start"), "id")).alias("s"))
-        .select("key", F.struct("s.id", "s.start").alias("stored"))
+        span,
     )
+    stored = _open_states(triples, rows.filter("reason IS NULL").select(KEY).distinct())
     summaries = slim.groupBy("chunk").applyInPandas(_summarize_chunk, _SUMMARY)
-    entries = (
-        summaries.join(stored, "key", "left")
-        .repartition("key")
-        .sortWithinPartitions("key", "chunk")
-        .mapInPandas(_chain_sorted, "chunk LONG, key STRING, open_id STRING, open_start STRING")
-    )
+    entries = entry_states(summaries, stored, chunks, fan_in)
     outcomes = (
         slim.groupBy("chunk")
         .cogroup(entries.groupBy("chunk"))
@@ -210,6 +313,27 @@ def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int
     return rows.join(outcomes, "seq", "left").withColumns(judged).drop("id")
 
 
+def changes(triples: DataFrame, judgement: DataFrame, batch_ts) -> tuple[DataFrame, DataFrame]:
+    """What judged events do to the facts: the new ones, ended where an event ends them, and
+    (key, _ended) for the keys whose stored open facts all end.
+
+    An ending names the least id of its key's open facts, and closes all of them.
+    """
+    closings = judgement.filter("status = 'closed'").select(F.col("fact_id").alias("_closed"), F.col("ended").alias("_ended"))
+    new = inserted_facts(judgement, batch_ts).join(closings, F.col("id") == F.col("_closed"), "left")
+    ended = F.coalesce("valid_to", "_ended").alias("valid_to")
+    new = new.select(*[ended if c == "valid_to" else c for c in TRIPLE_SCHEMA.names])
+    stored = _open_states(triples, judgement.filter("status = 'closed'").select(KEY).distinct())
+    stored = stored.select("key", F.col("stored.id").alias("_closed")).join(closings, "_closed")
+    return new, stored.select("key", "_ended")
+
+
+def with_endings(triples: DataFrame, ended: DataFrame, how: str = "left") -> DataFrame:
+    """Open facts with the endings of their keys; with ``how`` inner only those that end."""
+    found = join_per_key(triples.withColumn("key", _key_text()), ended, ["key"], how)
+    return found.withColumn("valid_to", F.col("_ended")).select(TRIPLE_SCHEMA.names)
+
+
 def apply_events(
     entities: DataFrame,
     triples: DataFrame,
@@ -217,18 +341,18 @@ def apply_events(
     batch_ts: str,
     span: int = CHUNK_SPAN,
     id_salt: str | None = None,
+    fan_in: int = FAN_IN,
 ) -> FactWrite:
-    """Apply added facts and endings in ``seq`` order. At most one stored fact per key is
-    open, as adding guarantees. Fact ids are made from ``id_salt``, by default ``batch_ts``."""
-    judgement = judged_events(triples, events, id_salt or batch_ts, span)
+    """Apply added facts and endings in ``seq`` order. Fact ids are made from ``id_salt``, by
+    default ``batch_ts``. The judgement is made once and kept in the shared folder; the tables
+    that come of it are plans."""
+    judgement = written(judged_events(triples, events, id_salt or batch_ts, span, fan_in))
     added = judgement.filter("kind = 'add' AND status IN ('inserted', 'existing')")
-    every = triples.select(TRIPLE_SCHEMA.names).unionByName(inserted_facts(judgement, batch_ts))
-    closings = judgement.filter("status = 'closed'").select(
-        F.col("fact_id").alias("id"), F.col("ended").alias("_ended")
-    )
-    closed = every.join(closings, "id", "left").withColumn("valid_to", F.coalesce("valid_to", "_ended"))
+    new, ended = changes(triples, judgement, batch_ts)
+    finished = triples.filter("valid_to IS NOT NULL").select(TRIPLE_SCHEMA.names)
+    still = with_endings(triples.filter("valid_to IS NULL"), ended)
     return FactWrite(
         add_mentioned(entities, added, batch_ts),
-        closed.select(TRIPLE_SCHEMA.names),
+        finished.unionByName(still).unionByName(new),
         judgement.select("seq", "kind", "status", "fact_id", "reason"),
     )

@@ -98,20 +98,25 @@ def upsert_entities(entities: DataFrame, batch: DataFrame, batch_ts, seq: str |
     return joined.select("id", *picked.values(), created)
 
 
-def add_mentioned(entities: DataFrame, facts: DataFrame, batch_ts) -> DataFrame:
-    """Add the subjects and objects of ``facts`` that are not entities yet, named as first
-    spelled; existing entities stay as they are."""
+def mentioned(facts: DataFrame, batch_ts) -> DataFrame:
+    """The subjects and objects of ``facts`` as entities, named as first spelled."""
     ends = """inline(array(
         named_struct('id', subject, 'name', subject_name, 'at', named_struct('seq', seq, 'side', 0)),
         named_struct('id', object, 'name', object_name, 'at', named_struct('seq', seq, 'side', 1))))"""
-    mentioned = facts.selectExpr(ends).groupBy("id").agg(F.min_by("name", "at").alias("name"))
-    new = mentioned.join(entities.select("id"), "id", "left_anti").select(
+    named = facts.selectExpr(ends).groupBy("id").agg(F.min_by("name", "at").alias("name"))
+    return named.select(
         "id",
         "name",
         F.expr("'unknown' AS type"),
         F.expr("CAST(NULL AS string) AS properties"),
         _at(batch_ts).alias("created_at"),
     )
+
+
+def add_mentioned(entities: DataFrame, facts: DataFrame, batch_ts) -> DataFrame:
+    """Add the subjects and objects of ``facts`` that are not entities yet; existing entities
+    stay as they are."""
+    new = mentioned(facts, batch_ts).join(entities.select("id"), "id", "left_anti")
     return entities.select(ENTITY_SCHEMA.names).unionByName(new)
 
 

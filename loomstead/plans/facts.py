@@ -148,6 +148,21 @@ def kg_apply_events(t):
     return _events(t).outcomes
 
 
+def kg_apply_events_sparse(t):
+    """The same events with a million numbers between one and the next, onto a store in which
+    users have several facts open, as tables loaded from elsewhere may."""
+    return _sparse(t).outcomes
+
+
+def kg_events_sparse_triples(t):
+    return _sparse(t).triples.select("id", "subject", "valid_from", "valid_to")
+
+
+def _sparse(t):
+    events = inputs.usage_events(t).withColumn("seq", F.expr("seq * 1000000L"))
+    return fact_events.apply_events(nothing(t.spark, ENTITY_SCHEMA), inputs.subscriptions(t), written(events), BATCH_TS)
+
+
 def kg_events_triples(t):
     return _events(t).triples.select("id", "subject", "valid_from", "valid_to")
 
@@ -191,6 +206,8 @@ QUERIES = {
     "kg_invalidate": kg_invalidate,
     "kg_invalidate_rejects": kg_invalidate_rejects,
     "kg_apply_events": kg_apply_events,
+    "kg_apply_events_sparse": kg_apply_events_sparse,
+    "kg_events_sparse_triples": kg_events_sparse_triples,
     "kg_events_triples": kg_events_triples,
     "kg_seed_entities": kg_seed_entities,
     "kg_seed_triples": kg_seed_triples,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metadata import with_promoted
 from ..functions.names import entity_slug, predicate_slug
-from ..schemas import COLLECTION_SCHEMA, ENTITY_SCHEMA, TRIPLE_SCHEMA
+from ..schemas import COLLECTION_SCHEMA, ENTITY_SCHEMA, PROVENANCE, TRIPLE_SCHEMA
 from ..sources.tables import is_file
 
 BATCH_TS = "2026-01-01 00:00:00"
@@ -270,6 +270,25 @@ def usage_events(t: Tables) -> DataFrame:
     )
 
 
+def subscriptions(t: Tables) -> DataFrame:
+    """Stored facts with up to three open ones per user, and finished ones."""
+    absent = {c: F.lit(None).cast("string") for c in PROVENANCE}
+    return (
+        t.customer.filter("c_custkey % 3 <> 0")
+        .selectExpr(
+            "concat('s_', c_custkey) AS id",
+            "concat('user_', c_custkey % 50) AS subject",
+            "'subscribed_to' AS predicate",
+            "'service' AS object",
+            "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('2024-01-', lpad(CAST(c_custkey % 28 + 1 AS string), 2, '0')) END AS valid_from",
+            "CASE WHEN c_custkey > 150 THEN '2024-06-01' END AS valid_to",
+            "1D AS confidence",
+        )
+        .withColumns({**absent, "extracted_at": F.lit(BASE_TS).cast("timestamp")})
+        .select(TRIPLE_SCHEMA.names)
+    )
+
+
 def people(t: Tables) -> DataFrame:
     """Person records from customers and their nations."""
     nation = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))

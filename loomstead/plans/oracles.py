@@ -267,6 +267,27 @@ JUDGED = f"""{FOLD}, judged AS (
   UNION ALL
   SELECT seq, kind, 'rejected', NULL, ended FROM checked WHERE inverted)"""
 
+SPARSE = EVENTS.replace("event_id AS seq", "event_id * 1000000 AS seq")
+SPARSE_JUDGED = f"""{SPARSE}, stored AS (
+  SELECT concat('s_', c_custkey) AS id, concat('user_', c_custkey % 50) AS subject,
+    CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE concat('2024-01-', lpad((c_custkey % 28 + 1)::VARCHAR, 2, '0')) END AS valid_from,
+    CASE WHEN c_custkey > 150 THEN '2024-06-01' END AS valid_to
+  FROM customer WHERE c_custkey % 3 <> 0),
+entered AS (SELECT subject, min(id) AS id, max(coalesce({_start('valid_from')}, '')) AS start FROM stored WHERE valid_to IS NULL GROUP BY subject),
+fold AS (
+  SELECT NULL::BIGINT AS seq, NULL::VARCHAR AS kind, subject, 0::BIGINT AS step, NULL::VARCHAR AS new_id, NULL::VARCHAR AS open_before,
+    NULL::VARCHAR AS start_before, e.id AS open_after, e.start AS start_after, NULL::VARCHAR AS ended
+  FROM (SELECT DISTINCT subject FROM ordered) LEFT JOIN entered e USING (subject)
+  UNION ALL
+  SELECT o.seq, o.kind, o.subject, o.step, o.new_id, f.open_after, f.start_after,
+    CASE WHEN o.kind = 'end' THEN CASE WHEN o.ended < f.start_after THEN f.open_after END
+      WHEN f.open_after IS NOT NULL THEN f.open_after
+      WHEN o.valid_to IS NULL THEN o.new_id END,
+    CASE WHEN o.kind = 'end' THEN CASE WHEN o.ended < f.start_after THEN f.start_after END
+      WHEN f.open_after IS NOT NULL THEN f.start_after
+      WHEN o.valid_to IS NULL THEN coalesce(o.valid_from, '') END, o.ended
+  FROM fold f JOIN ordered o ON o.subject = f.subject AND o.step = f.step + 1){JUDGED.removeprefix(FOLD)}"""
+
 PEOPLE = """people AS (SELECT c_custkey AS seq,
     CASE WHEN c_acctbal > 5000 THEN concat('O''', c_name)
       ELSE upper(c_name[1]) || lower(c_name[2:]) END AS name,
@@ -524,6 +545,14 @@ ORACLES = {
     "kg_apply_events": f"""WITH RECURSIVE {JUDGED}
       SELECT seq, kind, status, fact_id,
         CASE WHEN status = 'rejected' THEN 'the interval ends before it starts' END AS reason FROM judged""",
+    "kg_apply_events_sparse": f"""WITH RECURSIVE {SPARSE_JUDGED}
+      SELECT seq, kind, status, fact_id,
+        CASE WHEN status = 'rejected' THEN 'the interval ends before it starts' END AS reason FROM judged WHERE seq IS NOT NULL""",
+    "kg_events_sparse_triples": f"""WITH RECURSIVE {SPARSE_JUDGED}, closings AS (SELECT fact_id, ended FROM judged WHERE status = 'closed')
+      SELECT j.fact_id AS id, subject, valid_from, coalesce(valid_to, c.ended) AS valid_to
+      FROM judged j JOIN checked USING (seq) LEFT JOIN closings c ON j.fact_id = c.fact_id WHERE j.status = 'inserted'
+      UNION ALL SELECT s.id, s.subject, s.valid_from, coalesce(s.valid_to, c.ended)
+      FROM stored s LEFT JOIN entered e ON s.subject = e.subject LEFT JOIN closings c ON c.fact_id = e.id""",
     "kg_events_triples": f"""WITH RECURSIVE {JUDGED}
       SELECT j.fact_id AS id, subject, valid_from, coalesce(valid_to, c.ended) AS valid_to
       FROM judged j JOIN checked USING (seq) LEFT JOIN (SELECT fact_id, ended FROM judged WHERE status = 'closed') c

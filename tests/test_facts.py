@@ -236,20 +236,36 @@ def test_chunks_chain_like_one_run(events, span):
             kind = ("open" if b is None else "closed") if adding else "end"
             mine.append((kind, f"f{i}", start(a or "") if adding else end(a or "2025-01-15")))
     whole, last = fact_events.follow(mine, None)
-    state, pieces = None, []
+    state, pieces, so_far = None, [], None
     for at in range(0, len(mine), span):
         chunk = mine[at : at + span]
         outcomes, after = fact_events.follow(chunk, state)
-        assert fact_events.chain(fact_events.summarize(chunk), state) == after
+        summary = fact_events.summarize(chunk)
+        assert fact_events.chain(summary, state) == after
+        so_far = fact_events.compose(so_far, summary) if at else summary
+        assert fact_events.chain(so_far, None) == after
+        for entered in (None, *[fact_events.Open("e", start(d or "")) for d in DATES]):
+            assert fact_events.chain(so_far, entered) == fact_events.follow(mine[: at + span], entered)[1]
         pieces, state = pieces + outcomes, after
     assert (pieces, state) == (whole, last)
 
 
-@pytest.mark.parametrize("span", [1, 7, 1000])
-def test_mixed_events_equal_single_calls(spark, no_entities, no_triples, span):
+def stored_facts(spark, calls):
+    """Two open facts of one key, which only a load from elsewhere can leave, and others."""
+    data = [("s1", "hot", "2025-02-01", None), ("s2", "hot", None, None), ("s3", "s_1", "2025-01-01", "2025-01-05"), ("s4", "s_2", "2025-03-01", None)]
+    for _, subject, a, b in data:
+        calls.facts.append({"key": (subject, "likes", "it"), "from": a, "to": b})
+    rows = [(i, s, "likes", "it", a, b, 1.0, None, None, None, None, None) for i, s, a, b in data]
+    return spark.createDataFrame(rows, TRIPLE_SCHEMA)
+
+
+@pytest.mark.parametrize("span,fan_in,gap", [(1, 2, 1), (7, 2, 1_000_000), (3, 64, 1), (1000, 64, 1)])
+def test_mixed_events_equal_single_calls(spark, no_entities, span, fan_in, gap):
     random.seed(span)
     calls, data = Calls(), []
-    for seq in range(400):
+    stored = stored_facts(spark, calls)
+    n = 90 if fan_in == 2 else 400
+    for seq in range(0, n * gap, gap):
         subject = "Hot" if random.random() < 0.4 else f"S {random.randrange(30)}"
         a, b = random.choice(DATES), random.choice([None, None, *DATES])
         if random.random() < 0.6:
@@ -260,16 +276,50 @@ def test_mixed_events_equal_single_calls(spark, no_entities, no_triples, span):
             calls.finish(seq, subject, "Likes", "it", ended)
             data.append((seq, "end", subject, "Likes", "it", None, None, ended))
     random.shuffle(data)
-    early = spark.createDataFrame([d for d in data if d[0] < 150], EVENT)
-    late = spark.createDataFrame([d for d in data if d[0] >= 150], EVENT)
-    one = fact_events.apply_events(no_entities, no_triples, early, TS, span)
-    two = fact_events.apply_events(one.entities, one.triples, late, "2026-02-02 00:00:00", span)
+    early = spark.createDataFrame([d for d in data if d[0] < n // 3 * gap], EVENT)
+    late = spark.createDataFrame([d for d in data if d[0] >= n // 3 * gap], EVENT)
+    one = fact_events.apply_events(no_entities, stored, early, TS, span, fan_in=fan_in)
+    two = fact_events.apply_events(one.entities, one.triples, late, "2026-02-02 00:00:00", span, fan_in=fan_in)
     outcomes = {r.seq: r.status for r in one.outcomes.unionByName(two.outcomes).collect()}
     assert outcomes == calls.outcomes
     assert listed(two.triples) == calls.listed()
     assert {r.id: r.name for r in two.entities.collect()} == calls.entities
 
 
+def test_no_task_follows_a_hot_key_alone(spark):
+    """Of 2,000 chunks of one key no more than the fan-in meet in a group, on every level."""
+    chunks = spark.range(2000).selectExpr("id AS chunk", "'k' AS key")
+    summary = chunks.selectExpr("*", "CAST(NULL AS STRUCT<id: STRING, start: STRING>) AS none", "array(struct('9' AS bar, CAST(NULL AS STRUCT<id: STRING, start: STRING>) AS out)) AS steps")
+    stored = spark.createDataFrame([("k", ("f", "1"))], "key string, stored struct<id: string, start: string>")
+    seen = spark.sparkContext.accumulator(0)
+    chain_sorted = fact_events._chain_sorted
+
+    def counted(batches):
+        group = None
+        for pdf in batches:
+            sizes = pdf.groupby(["key", "block"]).size()
+            seen.add(int(sizes.max()) if len(sizes) and sizes.max() > 8 else 0)
+            group = pdf if group is None else group
+            yield from chain_sorted(iter([pdf]))
+
+    fact_events._chain_sorted = counted
+    try:
+        found = fact_events.entry_states(summary, stored, 2000, fan_in=8).collect()
+    finally:
+        fact_events._chain_sorted = chain_sorted
+    assert [(r.chunk, r.open_id) for r in found] == [(0, "f")]  # the first chunk ends the fact
+    assert seen.value == 0
+
+
+def test_chunks_follow_the_rank_of_seq(spark):
+    events = spark.range(1000).selectExpr("id * id * 1000000 - 5 AS seq")
+    found, n = fact_events.chunked(events, 30)
+    rows = sorted((r.seq, r.chunk) for r in found.collect())
+    assert [c for _, c in rows] == sorted(c for _, c in rows)
+    sizes = [sum(c == k for _, c in rows) for k in range(n)]
+    assert sum(sizes) == 1000 and max(sizes) <= 30 and min(sizes) > 0 and n <= 1000 // 30 + 5
+
+
 # -- reading ------------------------------------------------------------------------------
 
 

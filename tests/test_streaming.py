@@ -3,7 +3,8 @@ import json
 import pytest
 from loomstead.operators import reports
 from loomstead.operators.embedding import HashedTextEmbedder
-from loomstead.schemas import COLLECTION_SCHEMA
+from loomstead.operators.fact_events import apply_events
+from loomstead.schemas import COLLECTION_SCHEMA, ENTITY_SCHEMA, TRIPLE_SCHEMA
 from loomstead.sources import tables
 from loomstead.streaming import fact_stream, ingest
 
@@ -95,3 +96,34 @@ def test_fact_stream(spark, tmp_path):
     events = spark.read.schema(fact_stream.EVENT_SCHEMA).json(str(source / "2.json"))
     fact_stream.apply_batch(spark, store, events, 1)  # repeating a batch changes nothing
     assert sorted(r.id for r in fact_stream.facts(spark, store).collect()) == before
+
+
+@pytest.mark.parametrize("compacted", [2, 100])
+def test_a_batch_writes_what_it_changes(spark, tmp_path, monkeypatch, compacted):
+    """Many batches against one application of all events; each is repeated once, as after a
+    failure; the folders of a batch hold its own changes only."""
+    monkeypatch.setattr(fact_stream, "COMPACTED", compacted)
+    store = str(tmp_path / "store")
+    batches = [
+        [event(1, "add", valid_from="2025-01-01"), event(2, "add", "Ann")],
+        [event(3, "end", ended="2024-01-01"), event(4, "end", "Ann", ended="2025-02-01"), event(5, "add", "Bo")],
+        [event(6, "end", ended="2025-06-01"), event(7, "add", valid_from="2025-07-01"), event(8, "add", "Bo")],
+        [event(9, "end", "Bo", ended="2025-06-01"), event(10, "add", "Ann", valid_from="2025-03-01")],
+        [event(11, "end", "Cy", ended="2025-06-01")],
+    ]
+    for number, batch in enumerate(batches):
+        events = spark.createDataFrame([{"valid_from": None, "ended": None, **e} for e in batch], fact_stream.EVENT_SCHEMA)
+        for _ in range(2):
+            fact_stream.apply_batch(spark, store, events, number)
+    every = spark.createDataFrame([{"valid_from": None, "ended": None, **e} for b in batches for e in b], fact_stream.EVENT_SCHEMA)
+    nobody, nothing_yet = (spark.createDataFrame([], s) for s in (ENTITY_SCHEMA, TRIPLE_SCHEMA))
+    whole = apply_events(nobody, nothing_yet, every, "2026-01-01", id_salt="stream")
+    shown = ("id", "subject", "valid_from", "valid_to")
+    assert sorted(map(str, fact_stream.facts(spark, store).select(*shown).collect())) == sorted(map(str, whole.triples.select(*shown).collect()))
+    assert sorted(map(str, fact_stream.outcomes(spark, store).collect())) == sorted(map(str, whole.outcomes.collect()))
+    assert {r.id for r in fact_stream.entities(spark, store).collect()} == {r.id for r in whole.entities.collect()}
+    changed = [sum(spark.read.parquet(f"{store}/{name}/v={n:010d}").count() for name in ("opened", "ended", "finished", "entities")) for n in range(5)]
+    assert changed == [5, 4, 3, 3, 0]
+    if compacted == 2:
+        buckets = fact_stream.open_facts(spark, store, 5, [3])._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters" in buckets and "bucket" in buckets
