@@ -172,8 +172,8 @@ class FactGraph:
     def query_entity(self, name: str, as_of=None, direction: str = "outgoing") -> DataFrame:
         return fact_reads.query_entity(self.entities, self.triples, name, as_of, direction)
 
-    def query_entities(self, probes: DataFrame) -> DataFrame:
-        return fact_reads.query_entities(self.entities, self.triples, probes)
+    def query_entities(self, probes: DataFrame, direction: str = "outgoing") -> DataFrame:
+        return fact_reads.query_entities(self.entities, self.triples, probes, direction)
 
     def query_relationship(self, predicate: str, as_of=None) -> DataFrame:
         return fact_reads.query_relationship(self.entities, self.triples, predicate, as_of)

@@ -5,7 +5,7 @@ Entities are unique on id, so in every join here the side that may be skewed is
 side, which the adaptive skew join splits; a small entity table is broadcast by Catalyst.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import entity_slug, predicate_of, slug_of
@@ -56,24 +56,88 @@ def query_entity(
     )
 
 
-def query_entities(entities: DataFrame, triples: DataFrame, probes: DataFrame) -> DataFrame:
-    """Outgoing facts of many (``name``, ``as_of``) probes in one job: an equi join on the
-    subject with the validity test as its residual condition."""
-    asked = probes.select(
-        entity_slug("name").alias("subject"),
-        F.col("name").alias("_asked"),
-        F.col("as_of").alias("_as_of"),
-        F.when(F.col("as_of") != "", start_key("as_of")).alias("_key"),
-    )
+#: Entities with so many facts, asked for at so many times, are looked up by time slab.
+HOT_FACTS, HOT_PROBES = 512, 8
+#: Days are counted from here in this many bits; earlier and later ones count as the first and last.
+DAY_ZERO, DAY_BITS = "1800-01-01", 17
+
+
+def _day(text: str) -> str:
+    """The number of the day that a text begins with, as SQL; NULL where it is no date."""
+    day = f"datediff(try_to_date(substr({text}, 1, 10), 'yyyy-MM-dd'), DATE'{DAY_ZERO}')"
+    # least and greatest would skip the NULL
+    return f"CASE WHEN {day} IS NOT NULL THEN CAST(least(greatest({day}, 0), {2**DAY_BITS - 1}) AS BIGINT) END"
+
+
+def _slabs_of_facts() -> Column:
+    """The dyadic slabs that together make up a fact's days: at most two of each length. A slab
+    is its length's exponent and its number. Ends that are no dates count as unknown."""
+    low, high = f"coalesce({_day('valid_from')}, 0L)", f"coalesce({_day('valid_to')}, {2**DAY_BITS - 1}L)"
+    # of length 2^k the slabs from l to r - 1 are inside; those that no longer slab holds stand at either end
+    both = """flatten(transform(sequence(0, {bits}), k -> transform(array(named_struct(
+        'l', shiftright({low} + shiftleft(1L, k) - 1, k), 'r', shiftright({high} + 1, k))), x -> filter(array(
+        named_struct('k', k, 'n', CASE WHEN x.l % 2 = 1 AND x.l < x.r THEN x.l END),
+        named_struct('k', k, 'n', CASE WHEN x.r % 2 = 1 AND x.l + x.l % 2 < x.r THEN x.r - 1 END)), y -> y.n IS NOT NULL))))"""
+    return F.flatten(F.expr(both.format(bits=DAY_BITS, low=low, high=high)))
+
+
+def _slabs_of_day(day: str) -> Column:
+    """All slabs that hold a day, one of each length."""
+    return F.expr(f"transform(sequence(0, {DAY_BITS}), k -> named_struct('k', k, 'n', shiftright({day}, k)))")
+
+
+def slab_pairs(facts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Pairs of facts and probes (``_day``) of the same ``_here`` whose slabs meet: the fact
+    holds on the probe's day, or holds the whole day where its ends are no dates. A fact's slabs don't
+    overlap, so no pair appears twice."""
+    left = facts.withColumn("_slab", F.explode(_slabs_of_facts()))
+    right = asked.withColumn("_slab", F.explode(_slabs_of_day("_day")))
+    on = ["_here", "_k", "_n"]
+    left, right = (df.withColumns({"_k": F.col("_slab.k"), "_n": F.col("_slab.n")}).drop("_slab") for df in (left, right))
+    return left.join(right, on).drop("_k", "_n")
+
+
+def _ends_of(triples: DataFrame, direction: str) -> DataFrame:
+    """Facts with the entity asked about as ``_here`` and the other one as ``_there``."""
+    here = {"outgoing": ("subject", "object"), "incoming": ("object", "subject")}
+    ends = [
+        F.struct(F.lit(s).alias("direction"), F.col(here[s][0]).alias("_here"), F.col(here[s][1]).alias("_there"))
+        for s in DIRECTIONS.get(direction, ())
+    ]
+    if not ends:
+        raise ValueError(f"direction={direction!r} is none of {', '.join(DIRECTIONS)}")
+    return triples.select("predicate", *FACT_COLUMNS, F.inline(F.array(*ends)))
+
+
+def query_entities(entities: DataFrame, triples: DataFrame, probes: DataFrame, direction: str = "outgoing") -> DataFrame:
+    """Facts of many (``name``, ``as_of``) probes in one job.
+
+    An equi join on the entity would test every fact of an entity at every time it is asked
+    for. Where both are many, facts and times meet by dyadic slabs of days instead, so that only
+    facts that hold on the day are tested. A direction other than outgoing adds the
+    column ``direction``; the name asked for stands on its own side of the fact.
+    """
+    key = F.when(F.col("as_of") != "", start_key("as_of"))
+    asked = probes.select(entity_slug("name").alias("_here"), F.col("name").alias("_asked"), F.col("as_of").alias("_as_of"), key.alias("_key"))
+    asked = asked.withColumn("_day", F.expr(_day("_key")))
+    facts = _ends_of(triples, direction)
+    often = asked.filter("_day IS NOT NULL").groupBy("_here").agg(F.count("*").alias("_times")).filter(f"_times >= {HOT_PROBES}").select("_here")
+    hot = join_per_key(facts.select("_here"), often, ["_here"], "inner").groupBy("_here").agg(F.count("*").alias("_facts"))
+    hot = written(hot.filter(f"_facts >= {HOT_FACTS}").select("_here", F.lit(True).alias("_hot")))
+    asked = join_per_key(asked, hot, ["_here"], "left").withColumn("_hot", F.col("_hot").isNotNull() & F.col("_day").isNotNull())
     valid = F.col("_key").isNull() | valid_at("_key")
-    matched = triples.join(asked, "subject").filter(valid)
-    names = entities.select(F.col("id").alias("object"), F.col("name").alias("_name"))
-    named = join_per_key(matched, names, ["object"], "inner")
+    plain = facts.join(asked.filter("NOT _hot").drop("_hot", "_day"), "_here").filter(valid)
+    busy = join_per_key(facts, hot.select("_here"), ["_here"], "left_semi")
+    slabbed = slab_pairs(busy, asked.filter("_hot").drop("_hot")).filter(valid).drop("_day")
+    names = entities.select(F.col("id").alias("_there"), F.col("name").alias("_name"))
+    named = join_per_key(plain.unionByName(slabbed), names, ["_there"], "inner")
+    out = F.col("direction") == "outgoing"
     return named.select(
-        F.col("_asked").alias("subject"),
+        *([] if direction == "outgoing" else ["direction"]),
+        F.when(out, F.col("_asked")).otherwise(F.col("_name")).alias("subject"),
         F.col("_as_of").alias("as_of"),
         "predicate",
-        F.col("_name").alias("object"),
+        F.when(out, F.col("_name")).otherwise(F.col("_asked")).alias("object"),
         *FACT_COLUMNS,
         is_current().alias("current"),
     )

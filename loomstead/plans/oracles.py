@@ -510,6 +510,15 @@ ORACLES = {
         JOIN triples t ON t.subject_name = c_name JOIN entities e ON t.object = e.id
         WHERE {_valid("(as_of || 'T00:00:00Z')")}"""
     ),
+    "kg_as_of_hot": _facts(
+        f"""SELECT direction, predicate, as_of, count(*) AS n, CAST(sum(confidence) AS DECIMAL(18, 2)) AS confidence FROM (
+        SELECT 'outgoing' AS direction, t.*, t.subject_name AS asked, t.object AS other FROM triples t
+        UNION ALL SELECT 'incoming', t.*, t.object_name, t.subject FROM triples t) t
+        JOIN (SELECT name, strftime(unnest(generate_series(DATE '1992-01-01', DATE '1999-12-01', INTERVAL 1 MONTH)), '%Y-%m-%d') AS as_of
+          FROM (SELECT c_name AS name FROM customer UNION ALL SELECT DISTINCT p_name FROM part)) p ON t.asked = p.name
+        JOIN entities e ON t.other = e.id
+        WHERE {_valid("(as_of || 'T00:00:00Z')")} GROUP BY ALL"""
+    ),
     "kg_stats": _facts(
         "SELECT (SELECT count(*) FROM entities) AS entities, count(*) AS triples, "
         "count(*) FILTER (WHERE valid_to IS NULL) AS current_facts, "

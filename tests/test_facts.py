@@ -354,6 +354,42 @@ def test_query_entity(graph):
     assert current == {"Cello": True, "Ida": False}
 
 
+AS_OF = [None, "", "1700-01-01", "2024-12-31", "2025-01-01", "2025-02-01T11:00:00Z", "2025-02-01T13:00:00+01:00", "2025-02-28", "2025-04-01", "2999-01-01"]
+
+
+@pytest.mark.parametrize("hot", [(1, 1), (10_000, 1)])
+def test_many_probes_by_slabs_equal_single_lookups(spark, monkeypatch, hot):
+    monkeypatch.setattr(fact_reads, "HOT_FACTS", hot[0])
+    monkeypatch.setattr(fact_reads, "HOT_PROBES", hot[1])
+    random.seed(4)
+    ends = [*DATES, "2025-02-30", "soon", "1500-01-01", "2500-06-01"]
+    data = [
+        (f"f{k}", random.choice(["ida", "ann"]), "p", random.choice(["ida", "bo", "ghost"]), random.choice(ends), random.choice(ends), 1.0, None, None, None, None, None)
+        for k in range(120)
+    ]
+    triples = spark.createDataFrame(data, TRIPLE_SCHEMA).cache()
+    entities = spark.createDataFrame([(i, n, None, None, None) for i, n in (("ida", "Ida"), ("ann", "Ann"), ("bo", "Bo"))], ENTITY_SCHEMA)
+    probes = [(name, as_of) for name in ("Ida", "ann", "Bo", "Nobody") for as_of in AS_OF]
+    asked = spark.createDataFrame(probes, "name string, as_of string")
+    columns = ["direction", "subject", "predicate", "object", "valid_from", "valid_to"]
+    found = fact_reads.query_entities(entities, triples, asked, "both").select("as_of", *columns).collect()
+    expected = [(as_of, r) for name, as_of in probes for r in fact_reads.query_entity(entities, triples, name, as_of, "both").select(*columns).collect()]
+    assert sorted((str(r[0]), *map(str, r[1:])) for r in found) == sorted((str(a), *map(str, r)) for a, r in expected)
+
+
+def test_slabs_test_little_more_than_what_they_find(spark):
+    """A hot entity with short facts: an equi join would test 200 pairs for each one found."""
+    facts = spark.range(20_000).selectExpr(
+        "'e' AS _here", "CAST(date_add(DATE'2000-01-01', CAST(id % 2000 AS INT)) AS STRING) AS valid_from",
+        "CAST(date_add(DATE'2000-01-01', CAST(id % 2000 + 3 + id % 11 AS INT)) AS STRING) AS valid_to",
+    )
+    asked = spark.range(300).selectExpr("'e' AS _here", "concat(CAST(date_add(DATE'2000-01-05', CAST(id * 6 AS INT)) AS STRING), 'T00:00:00Z') AS _key")
+    pairs = fact_reads.slab_pairs(facts, asked.withColumn("_day", F.expr(fact_reads._day("_key")))).cache()
+    returned = facts.join(asked, "_here").filter(temporal.valid_at("_key")).count()
+    assert pairs.filter(temporal.valid_at("_key")).count() == returned
+    assert returned <= pairs.count() <= 1.2 * returned
+
+
 def test_query_entities_equals_single_lookups(graph, rows):
     probes = [("Ida", "2025-01-15"), ("Ida", "2026-01-01"), ("Ann", None), ("Nobody", "2025-01-01")]
     found = fact_reads.query_entities(*graph, rows("name string, as_of string", *probes)).collect()
