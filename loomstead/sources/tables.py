@@ -5,6 +5,8 @@ the one before it in place.
 """
 
 import re
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,11 +59,30 @@ def read_snapshot(spark: SparkSession, root: str, schema, before: int | None = N
     return known[-1], spark.read.schema(schema).parquet(f"{root}/{SNAPSHOT.format(known[-1])}")
 
 
-def write_snapshot(df: DataFrame, root: str, version: int | None = None) -> int:
-    """Write the next snapshot (or the given one again) and return its number."""
+def write_snapshot(df: DataFrame, root: str, version: int | None = None, check: Callable[[], None] | None = None) -> int:
+    """Write the next snapshot (or the given one again) and return its number.
+
+    With ``check`` the files are written beside the snapshots first; only if ``check`` raises
+    nothing, they become one.
+    """
+    spark = df.sparkSession
     if version is None:
-        version = max(versions(df.sparkSession, root), default=-1) + 1
-    df.write.mode("overwrite").parquet(f"{root}/{SNAPSHOT.format(version)}")
+        version = max(versions(spark, root), default=-1) + 1
+    target = f"{root}/{SNAPSHOT.format(version)}"
+    if check is None:
+        df.write.mode("overwrite").parquet(target)
+        return version
+    pending = f"{root}/pending-{uuid.uuid4().hex}"
+    fs, path = _filesystem(spark, pending)
+    try:
+        df.write.parquet(pending)
+        check()
+        _, final = _filesystem(spark, target)
+        fs.delete(final, True)  # what a write that failed may have left under this number
+        if not fs.rename(path, final):
+            raise OSError(f"{pending} could not be renamed to {target}")
+    finally:
+        fs.delete(path, True)
     return version
 
 

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from loomstead.functions.metadata import with_promoted
 from loomstead.operators import reports, writes
@@ -138,3 +140,45 @@ def test_quarantine_file(spark, rows, tmp_path):
     missing = reports.remine_candidates(stored, rows("id string", ("b",))).collect()
     assert [(r.id, r.attempts) for r in missing] == [("a", 2)]
     assert reports.remine_candidates(stored, rows("id string", ("a",))).count() == 0
+
+
+def test_restore_checks_what_it_loads(spark, notes, tmp_path):
+    folder, roots = tmp_path / "dump", {"notes": str(tmp_path / "notes")}
+    dumps.export_tables({"notes": notes}, str(folder))
+    schemas = {"notes": COLLECTION_SCHEMA}
+
+    def damaged(change):
+        copy = tmp_path / f"copy-{change.__name__}"
+        shutil.copytree(folder, copy)
+        part = max((copy / "notes").glob("part-*"), key=lambda f: f.stat().st_size)
+        part.write_text(change(part.read_text()))
+        (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+        return str(copy)
+
+    def last_line_cut(text):
+        return text[: len(text) - 9]
+
+    def line_lost(text):
+        return "".join(text.splitlines(True)[1:])
+
+    def letter_changed(text):
+        at = text.index('"document":"') + 12
+        return text[:at] + "#" + text[at + 1 :]
+
+    def lines_turned(text):
+        return "".join(reversed(text.splitlines(True)))
+
+    for change, why in ((last_line_cut, "Malformed|FAILFAST|rows in the dump"), (line_lost, "rows in the dump"), (letter_changed, "not those")):
+        with pytest.raises(Exception, match=why):
+            dumps.restore(spark, damaged(change), schemas, roots)
+        assert tables.versions(spark, roots["notes"]) == []
+    assert not list((tmp_path / "notes").glob("*"))
+    assert dumps.restore(spark, damaged(lines_turned), schemas, roots) == {"notes": 0}
+    assert same(tables.read_snapshot(spark, roots["notes"], COLLECTION_SCHEMA)[1], notes)
+
+
+def test_restore_of_an_empty_table(spark, notes, tmp_path):
+    folder, root = str(tmp_path / "dump"), str(tmp_path / "notes")
+    dumps.export_tables({"notes": notes.limit(0)}, folder)
+    assert dumps.restore(spark, folder, {"notes": COLLECTION_SCHEMA}, {"notes": root}) == {"notes": 0}
+    assert tables.read_snapshot(spark, root, COLLECTION_SCHEMA)[1].collect() == []
