@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine_distance
 from ..schemas import DEFAULT_DIM
+from ..session import join_per_key
 
 
 class Embedder(Protocol):
@@ -93,6 +94,24 @@ def embed_where_missing(df: DataFrame, embedder: Embedder, where: Column | None
     return fresh.withColumn("embedding", F.coalesce("_fresh", "embedding")).drop("_fresh")
 
 
+def embed_by_content(df: DataFrame, embedder: Embedder, where: Column | None = None) -> DataFrame:
+    """As :func:`embed_where_missing`, but each distinct text meets the model once.
+
+    Texts are told apart by SHA-256 and folded before they travel; the vectors come back by a
+    join in which rows that need none are dealt out evenly, and a text that very many rows share
+    can be split.
+    """
+    needed = F.coalesce(F.col("embedding").isNull() if where is None else where, F.lit(False))
+    text = F.coalesce(F.col("document"), F.lit(""))
+    # no digest looks like the number that keeps the other rows apart
+    content = F.when(needed, F.sha2(text, 256)).otherwise(F.xxhash64("id").cast("string"))
+    rows = df.withColumns({"_content": content, "_needed": needed})
+    each = rows.filter("_needed").select("_content", text.alias("_text")).distinct()
+    vectors = each.select("_content", embedding_of(embedder, F.col("_text")).alias("_fresh"))
+    found = join_per_key(rows, vectors, ["_content"], "left")
+    return found.withColumn("embedding", F.coalesce("_fresh", "embedding")).select(df.columns)
+
+
 def embedding_parity(left: DataFrame, right: DataFrame) -> DataFrame:
     """How alike two embeddings of the same ids are: one row of pairs, min, avg, max cosine."""
     pairs = left.select("id", F.col("embedding").alias("a")).join(

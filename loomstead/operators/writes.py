@@ -8,7 +8,7 @@ from ..functions.filters import condition, refuse_document_filter
 from ..functions.metadata import default_metadata, is_json_object, with_promoted
 from ..functions.vectors import has_null_component, scrub
 from ..schemas import COLLECTION_INPUT_SCHEMA, COLLECTION_SCHEMA, WIDTH_LIMITS
-from .embedding import embed_where_missing
+from .embedding import embed_by_content
 from .reads import _given, restrict_ids
 
 ERROR_CHARS = 300
@@ -83,11 +83,11 @@ def upsert(
 ) -> DataFrame:
     """Insert or wholly replace by id. ``batch`` holds rows fit to store (see
     :func:`split_valid`); with ``seq`` the last row per id wins, without it any one of them.
-    Rows lacking a vector get one from ``embedder``."""
+    Rows lacking a vector get one from ``embedder``, which sees each distinct text once."""
     rows = normalized(batch)
     rows = last_per_id(rows, seq) if seq is not None else last_per_id(rows.withColumn("_seq", F.lit(0)), "_seq")
     if embedder is not None:
-        rows = embed_where_missing(rows, embedder)
+        rows = embed_by_content(rows, embedder)
     rows = rows.select(COLLECTION_SCHEMA.names)
     kept = collection.select(COLLECTION_SCHEMA.names).join(rows.select("id"), "id", "left_anti")
     return kept.unionByName(rows)
@@ -141,7 +141,7 @@ def _changes(batch, seq, embedder):
             )
         stale = F.col("set_document") & ~F.col("set_embedding")
         if embedder is not None:
-            rows = embed_where_missing(rows, embedder, where=stale)
+            rows = embed_by_content(rows, embedder, where=stale)
         else:
             rows = rows.withColumn("embedding", F.when(~stale, F.col("embedding")))
         rows = rows.withColumn("set_embedding", F.col("set_embedding") | F.col("set_document"))

@@ -165,6 +165,28 @@ def update_partial(t):
     return _stored(writes.update(inputs.notes(t), batch))
 
 
+def upsert_embedded(t):
+    """Copies of all notes under new ids, without vectors: each distinct text is embedded once."""
+    batch = t.spread("documents", "doc_id").selectExpr(
+        "concat('copy_', doc_id) AS id", "text AS document", """'{"wing":"copy"}' AS metadata"""
+    )
+    found = writes.upsert(inputs.notes(t), batch, embedder=_embedder())
+    return _shown(found.filter("embedding IS NOT NULL"), "id", "wing")
+
+
+def update_reembedded(t):
+    """The texts of toxic notes are replaced, by few different ones, and embedded again; other
+    labelled notes change their metadata only and keep their vectors."""
+    batch = t.labels.selectExpr(
+        "concat('doc_', doc_id) AS id",
+        "concat('withheld, quality ', quality) AS document",
+        "toxic = 1 AS set_document",
+        """concat('{"wing":"labelled","quality":', quality, '}') AS metadata""",
+    )
+    found = writes.update(inputs.notes(t), batch, embedder=_embedder())
+    return _shown(found.filter("embedding IS NOT NULL"), "id", "document", "wing")
+
+
 def delete_ids(t):
     toxic = t.labels.filter("toxic = 1").select(F.concat(F.lit("doc_"), F.col("doc_id")).alias("id"))
     return reads.get(writes.delete(inputs.bare_notes(t), ids=toxic), include=["metadatas"])
@@ -351,6 +373,8 @@ QUERIES = {
     "upsert_last_wins": upsert_last_wins,
     "upsert_defaults": upsert_defaults,
     "update_partial": update_partial,
+    "upsert_embedded": upsert_embedded,
+    "update_reembedded": update_reembedded,
     "delete_ids": delete_ids,
     "delete_id_list": delete_id_list,
     "delete_where": delete_where,

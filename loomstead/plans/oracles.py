@@ -408,6 +408,18 @@ ORACLES = {
       CASE WHEN quality IS NULL THEN room END AS room,
       CASE WHEN quality IS NULL THEN source_file END AS source_file, embedding IS NOT NULL AND coalesce(toxic, 0) <> 1 AS embedded
     FROM notes n LEFT JOIN labels l ON n.id = concat('doc_', l.doc_id)""",
+    "upsert_embedded": _with(
+        NOTES, "texts AS (SELECT concat('copy_', doc_id) AS id, text FROM documents)", _hashed("vectors", "texts")
+    ) + f"""SELECT id, 'copy' AS wing, {TOTAL.format('embedding')} FROM vectors
+      UNION ALL SELECT id, wing, {TOTAL.format('embedding')} FROM notes WHERE embedding IS NOT NULL""",
+    "update_reembedded": _with(
+        NOTES,
+        """texts AS (SELECT n.id, concat('withheld, quality ', quality) AS text
+          FROM notes n JOIN labels l ON n.id = concat('doc_', l.doc_id) WHERE toxic = 1)""",
+        _hashed("vectors", "texts"),
+    ) + f"""SELECT id, text AS document, 'labelled' AS wing, {TOTAL.format('embedding')} FROM vectors JOIN texts USING (id)
+      UNION ALL SELECT n.id, document, CASE WHEN l.doc_id IS NULL THEN wing ELSE 'labelled' END, {TOTAL.format('embedding')}
+      FROM notes n LEFT JOIN labels l ON n.id = concat('doc_', l.doc_id) WHERE embedding IS NOT NULL AND coalesce(toxic, 0) <> 1""",
     "delete_ids": _notes(
         "SELECT id, metadata FROM notes WHERE id NOT IN (SELECT concat('doc_', doc_id) FROM labels WHERE toxic = 1)"
     ),

@@ -2,6 +2,7 @@ import math
 import sys
 
 import pytest
+from loomstead.functions.metadata import with_promoted
 from loomstead.operators import reads, writes
 from loomstead.operators.embedding import HashedTextEmbedder
 from loomstead.schemas import COLLECTION_SCHEMA
@@ -174,3 +175,32 @@ def test_hashed_embedder():
     one, same, none = embedder.embed(["Big cat, big DOG", "dog big CAT big", " ,. "])
     assert list(one) == list(same) and not any(none)
     assert math.isclose(sum(x * x for x in one), 1.0)
+
+
+class CountingEmbedder:
+    """Length and vowels of a text; counts the texts it is given."""
+
+    dim = 2
+
+    def __init__(self, seen):
+        self.seen = seen
+
+    def embed(self, texts):
+        self.seen.add(len(texts))
+        return [[float(len(t)), float(sum(c in "aeiou" for c in t))] for t in texts]
+
+
+def test_each_distinct_text_is_embedded_once(spark):
+    stored = with_promoted(spark.createDataFrame([("old", "kept", "{}", [9.0, 9.0]), ("new", "a text", "{}", [1.0, 1.0])], "id string, document string, metadata string, embedding array<float>"))
+    batch = spark.createDataFrame(
+        [(f"c{k}", "hot text") for k in range(300)] + [("x", None), ("y", ""), ("z", "other")], "id string, document string"
+    )
+    seen = spark.sparkContext.accumulator(0)
+    rows = {r.id: list(r.embedding) for r in writes.upsert(stored.select(COLLECTION_SCHEMA.names), batch, embedder=CountingEmbedder(seen)).collect()}
+    assert len(rows) == 305 and seen.value == 3
+    assert rows["c7"] == [8.0, 2.0] and rows["x"] == rows["y"] == [0.0, 0.0] and rows["old"] == [9.0, 9.0]
+
+    seen = spark.sparkContext.accumulator(0)
+    changes = spark.createDataFrame([("old", None, False), ("new", "same", True), ("new2", "same", True)], "id string, document string, set_document boolean")
+    found = {r.id: (r.document, list(r.embedding)) for r in writes.update(stored.select(COLLECTION_SCHEMA.names), changes, embedder=CountingEmbedder(seen)).collect()}
+    assert found == {"old": ("kept", [9.0, 9.0]), "new": ("same", [4.0, 2.0])} and seen.value == 1
