@@ -89,13 +89,12 @@ def upsert_entities(entities: DataFrame, batch: DataFrame, batch_ts, seq: str |
     ).filter("id IS NOT NULL")
     value = F.struct("name", "type", "properties")
     rows = rows.groupBy("id").agg(F.max_by(value, F.col(seq) if seq else F.lit(0)).alias("new"))
-    joined = entities.join(rows, "id", "full_outer")
-    picked = {
-        c: F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c)
-        for c in ("name", "type", "properties")
-    }
+    # Both joins of the stored entities have the batch on the side that may be broadcast, so a
+    # small batch leaves them where they lie.
+    untouched = entities.select(ENTITY_SCHEMA.names).join(rows.select("id"), "id", "left_anti")
+    before = entities.select("id", "created_at").join(rows.select("id"), "id", "left_semi")
     created = F.coalesce("created_at", _at(batch_ts)).alias("created_at")
-    return joined.select("id", *picked.values(), created)
+    return untouched.unionByName(rows.join(before, "id", "left").select("id", "new.*", created))
 
 
 def mentioned(facts: DataFrame, batch_ts) -> DataFrame:
@@ -116,7 +115,10 @@ def mentioned(facts: DataFrame, batch_ts) -> DataFrame:
 def add_mentioned(entities: DataFrame, facts: DataFrame, batch_ts) -> DataFrame:
     """Add the subjects and objects of ``facts`` that are not entities yet; existing entities
     stay as they are."""
-    new = mentioned(facts, batch_ts).join(entities.select("id"), "id", "left_anti")
+    named = mentioned(facts, batch_ts)
+    # narrowed to the batch first, which a small batch does without moving the entities
+    known = entities.select("id").join(named.select("id"), "id", "left_semi")
+    new = named.join(known, "id", "left_anti")
     return entities.select(ENTITY_SCHEMA.names).unionByName(new)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.names import capitalize, entity_slug, predicate_slug
 from ..functions.temporal import apply_as_of, end_key, start_key
 from ..operators import fact_events, fact_reads, fact_writes, seeding
-from ..schemas import ENTITY_SCHEMA, TRIPLE_SCHEMA
+from ..schemas import ENTITY_SCHEMA, PROVENANCE, TRIPLE_SCHEMA
 from ..session import nothing, written
 from . import inputs
 from .inputs import BATCH_TS
@@ -89,6 +89,12 @@ def kg_add_triples(t):
     return _add(t, written(inputs.purchases(t))).triples.select(*STORED)
 
 
+def kg_add_triples_provenance(t):
+    """Where the added facts came from, and when they were."""
+    added = _add(t, written(inputs.purchases(t))).triples
+    return added.select("id", *PROVENANCE, F.date_format("extracted_at", "yyyy-MM-dd").alias("extracted"))
+
+
 def kg_add_triples_later(t):
     """A second load onto the store the first one left: what each row came to."""
     batch = written(inputs.purchases(t))
@@ -208,6 +214,7 @@ QUERIES = {
     "kg_stats": kg_stats,
     "kg_predicates": kg_predicates,
     "kg_add_triples": kg_add_triples,
+    "kg_add_triples_provenance": kg_add_triples_provenance,
     "kg_add_triples_later": kg_add_triples_later,
     "kg_triple_id": kg_triple_id,
     "kg_inverted_rejects": kg_inverted_rejects,

@@ -41,7 +41,7 @@ PURCHASES = """purchases AS (
     CASE WHEN l_linestatus = 'O' THEN NULL
       ELSE strftime(l_shipdate + to_days(l_linenumber * 30), '%Y-%m-%d') END AS valid_to,
     CASE WHEN l_discount > 0 THEN 1 - l_discount ELSE 1.0 END AS confidence,
-    o_orderstatus AS source_closet, l_shipdate, o_orderdate
+    o_orderstatus AS source_closet, o_orderpriority AS adapter_name, l_shipdate, o_orderdate
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey)"""
 
@@ -540,6 +540,9 @@ ORACLES = {
     "kg_predicates": _with(TRIPLES) + "SELECT DISTINCT predicate FROM triples ORDER BY 1",
     "kg_add_triples": _with(PURCHASES, _added("purchases"))
     + f"SELECT {STORED} FROM (SELECT *, new_id AS id FROM added WHERE met IS NULL)",
+    "kg_add_triples_provenance": _with(PURCHASES, _added("purchases"))
+    + f"""SELECT new_id AS id, source_closet, NULL::VARCHAR AS source_file, NULL::VARCHAR AS source_drawer_id, adapter_name,
+      '{BATCH_TS[:10]}' AS extracted FROM added WHERE met IS NULL""",
     "kg_add_triples_later": LATER,
     "kg_triple_id": _with(PURCHASES) + f"SELECT seq, {_fact_id(BATCH_TS)} AS id FROM purchases",
     "kg_inverted_rejects": _with(PURCHASES)

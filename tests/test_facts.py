@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from loomstead.functions import names, temporal
 from loomstead.operators import fact_events, fact_reads, fact_writes, seeding
 from loomstead.schemas import ENTITY_SCHEMA, TRIPLE_SCHEMA
-from loomstead.session import nothing
+from loomstead.session import nothing, written
 from pyspark.sql import functions as F
 
 TS = "2026-01-01 00:00:00"
@@ -198,6 +198,23 @@ def test_invalidate_defaults_to_today(no_entities, no_triples, rows):
     assert out.triples.first().valid_to == "2026-03-04"
 
 
+def test_a_small_batch_leaves_the_entities_where_they_lie(spark, rows, tmp_path):
+    stored = spark.range(2000).selectExpr(
+        "concat('e', id) AS id", "concat('E', id) AS name", "'t' AS type", "CAST(NULL AS STRING) AS properties", "timestamp'2025-01-01 00:00:00' AS created_at"
+    )
+    stored.write.parquet(str(tmp_path / "entities"))
+    stored = spark.read.schema(ENTITY_SCHEMA).parquet(str(tmp_path / "entities"))
+    renamed = fact_writes.upsert_entities(stored, written(rows("name string, type string", ("E7", "other"), ("Newcomer", None))), TS)
+    found = {r.id: (r.name, r.type, str(r.created_at)[:4]) for r in renamed.collect()}
+    assert len(found) == 2001 and found["e7"] == ("E7", "other", "2025") and found["e8"] == ("E8", "t", "2025") and found["newcomer"][1] == "unknown"
+    facts = fact_writes.keyed(written(rows(FACT, (1, "e9", "p", "Someone", None, None))))
+    grown = fact_writes.add_mentioned(stored, facts, TS)
+    assert {r.id for r in grown.collect()} - {r.id for r in stored.collect()} == {"someone"}
+    for df in (renamed, grown):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "FullOuter" not in plan
+
+
 DATES = [None, "2025-01-01", "2025-02-01", "2025-02-01T12:00:00Z", "2025-03-01", "2025-04-01"]
 ADDS = st.lists(st.tuples(st.sampled_from("AB"), st.sampled_from(DATES), st.sampled_from(DATES)), max_size=25)
 
