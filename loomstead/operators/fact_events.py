@@ -222,7 +222,8 @@ def entry_states(summaries: DataFrame, stored: DataFrame, chunks: int, fan_in: i
     """(chunk, key, open_id, open_start): the state with which each chunk is entered, where any
     fact is open. ``summaries`` number the chunks 0 to ``chunks - 1``; ``stored`` has the state
     before the first."""
-    levels = [written(summaries)]
+    # with one level only, the summaries are read once
+    levels = [summaries if chunks <= fan_in else written(summaries)]
     while chunks > fan_in:
         up = _ordered(_blocks(levels[-1], fan_in)).mapInPandas(_compose_sorted, _SUMMARY)
         levels.append(written(up))
@@ -281,14 +282,15 @@ def judged_events(triples: DataFrame, events: DataFrame, id_salt: str, span: int
     """The events with ``status``, ``fact_id`` and ``reason``. ``events`` has ``seq`` (unique
     long), ``kind`` (add or end), the names of the key, and the fact's columns or ``ended``."""
     again = events.groupBy("seq").agg(F.count("*").alias("_times")).filter("_times > 1")
-    rows = _filled(keyed(events)).join(again, "seq", "left").selectExpr(
+    # read by the sampling of ranges, the chunks and the final join
+    rows = written(_filled(keyed(events)).join(again, "seq", "left").selectExpr(
         "*",
         f"""CASE WHEN seq IS NULL THEN 'seq is missing' WHEN _times > 1 THEN 'seq is repeated'
             WHEN kind IS NULL OR kind NOT IN ('add', 'end') THEN 'kind is neither add nor end'
             WHEN kind = 'end' THEN CASE WHEN ended IS NULL OR {malformed('ended')}
             THEN 'ended is not an ISO date or date-time' END ELSE {FACT_ERROR} END AS reason""",
         f"CASE WHEN kind = 'add' THEN {fact_id_sql(id_salt)} END AS id",
-    ).drop("_times")
+    ).drop("_times"))
     start = F.coalesce(start_key("valid_from"), F.lit(""))
     slim, chunks = chunked(
         rows.filter("reason IS NULL").select(

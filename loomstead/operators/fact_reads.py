@@ -121,16 +121,22 @@ def query_entities(entities: DataFrame, triples: DataFrame, probes: DataFrame, d
     asked = probes.select(entity_slug("name").alias("_here"), F.col("name").alias("_asked"), F.col("as_of").alias("_as_of"), key.alias("_key"))
     asked = asked.withColumn("_day", F.expr(_day("_key")))
     facts = _ends_of(triples, direction)
+    names = entities.select(F.col("id").alias("_there"), F.col("name").alias("_name"))
+    valid = F.col("_key").isNull() | valid_at("_key")
     often = asked.filter("_day IS NOT NULL").groupBy("_here").agg(F.count("*").alias("_times")).filter(f"_times >= {HOT_PROBES}").select("_here")
+    if often.isEmpty():  # no entity is asked for often, so none is worth the slabs
+        return _lookups(facts.join(asked.drop("_day"), "_here").filter(valid), names, direction)
     hot = join_per_key(facts.select("_here"), often, ["_here"], "inner").groupBy("_here").agg(F.count("*").alias("_facts"))
     hot = written(hot.filter(f"_facts >= {HOT_FACTS}").select("_here", F.lit(True).alias("_hot")))
     asked = join_per_key(asked, hot, ["_here"], "left").withColumn("_hot", F.col("_hot").isNotNull() & F.col("_day").isNotNull())
-    valid = F.col("_key").isNull() | valid_at("_key")
     plain = facts.join(asked.filter("NOT _hot").drop("_hot", "_day"), "_here").filter(valid)
     busy = join_per_key(facts, hot.select("_here"), ["_here"], "left_semi")
     slabbed = slab_pairs(busy, asked.filter("_hot").drop("_hot")).filter(valid).drop("_day")
-    names = entities.select(F.col("id").alias("_there"), F.col("name").alias("_name"))
-    named = join_per_key(plain.unionByName(slabbed), names, ["_there"], "inner")
+    return _lookups(plain.unionByName(slabbed), names, direction)
+
+
+def _lookups(matched: DataFrame, names: DataFrame, direction: str) -> DataFrame:
+    named = join_per_key(matched, names, ["_there"], "inner")
     out = F.col("direction") == "outgoing"
     return named.select(
         *([] if direction == "outgoing" else ["direction"]),
