@@ -1,8 +1,10 @@
 """Exact cosine top-k for whole batches of queries.
 
 Each task multiplies its Arrow batches of vectors by the query matrix and keeps a running
-top-k, so k rows per query and task reach the shuffle; a window then merges those. Documents
-and metadata never pass through Python: the few winning ids are joined back to them.
+top-k, so k rows per query and task reach the shuffle. They are merged in two levels, by groups
+of tasks first, so that no task gets the rows of all others. Query tables of any size meet the
+vectors by cells (``cells``). Documents and metadata never pass through Python: the few winning
+ids are joined back to them.
 """
 
 import numpy as np
@@ -19,11 +21,13 @@ from .reads import include_columns
 
 QUERY_INCLUDE = ("metadatas", "documents", "distances")
 
-# Query tables up to this size travel to the tasks as one matrix; larger ones are joined to
-# the vectors block by block.
+# Query tables up to this size travel to the tasks as one matrix; larger ones meet the vectors
+# cell by cell.
 MATRIX_QUERIES = 4096
-# Rows of one side that meet in a task of the blocked form.
+# Rows of one side that meet in a task of the latter form.
 BLOCK_ROWS = 65_536
+# Groups of tasks whose best rows are merged before those of all groups are.
+MERGE_GROUPS = 256
 # Winning rows up to this count may be broadcast when they are joined to their documents.
 BROADCAST_HITS = 100_000
 # Cells of one distance matrix held at a time.
@@ -56,11 +60,12 @@ def query(
         local = vectors.mapInArrow(_TopK(block, n_results).over_batches, schema)
         bounded = block.num_rows * n_results <= BROADCAST_HITS
     else:
-        local = _blocked(vectors, queries, n_results, block_rows, schema)
+        from .cells import nearest_by_cells  # which needs this module
+
+        local = nearest_by_cells(vectors, queries, n_results, block_rows, schema)
         bounded = False
 
-    nearest = Window.partitionBy("query_id").orderBy("distance", "id")
-    hits = local.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= n_results)
+    hits = merged(local, n_results)
     if columns:
         side = F.broadcast(hits) if bounded else hits
         hits = rows.select("id", *columns).join(side, "id")
@@ -83,6 +88,19 @@ def nested_result(hits: DataFrame) -> DataFrame:
     )
 
 
+def merged(local: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest per query of rows that any number of tasks found, with their rank.
+
+    A query's rows are merged per group of tasks and then over the groups: the first step gets
+    k rows of each task of a group, the second at most k x ``MERGE_GROUPS``.
+    """
+    grouped = local.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    for keys in (["query_id", "_group"], ["query_id"]):
+        nearest = Window.partitionBy(*keys).orderBy("distance", "id")
+        grouped = grouped.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
+    return grouped.select("query_id", "id", "distance", "rank")
+
+
 def _has_direction():
     squares = "aggregate(embedding, 0D, (total, x) -> total + CAST(x AS double) * CAST(x AS double))"
     return F.expr(f"coalesce({squares}, 0D) > 0 AND {squares} < double('infinity')")
@@ -158,35 +176,3 @@ class _TopK:
         last = np.searchsorted(q, np.arange(n_queries), side="right") - 1
         bar[full] = best.column("distance").to_numpy()[last[full]]
         return bar
-
-
-def _blocked(vectors, queries, k, block_rows, schema):
-    """Both sides too large for one task: cut each into blocks of bounded size, let every
-    pair of blocks meet in one task and keep k per query there."""
-    row_blocks = -(-vectors.count() // block_rows) or 1
-    query_blocks = -(-queries.count() // block_rows) or 1
-
-    def cut(df, key, own, n_own, other, n_other):
-        return df.withColumns(
-            {
-                own: F.pmod(F.xxhash64(key), F.lit(n_own).cast("long")),
-                other: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))),
-            }
-        )
-
-    rows = cut(vectors, "id", "_row_block", row_blocks, "_query_block", query_blocks)
-    asked = cut(queries, "query_id", "_query_block", query_blocks, "_row_block", row_blocks)
-    out = pa.schema([("query_id", _arrow(schema[0])), ("id", _arrow(schema[1])), ("distance", pa.float64())])
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = _TopK(right, k).over_batches(left.to_batches())
-        return pa.Table.from_batches(found, schema=out)
-
-    keys = ["_row_block", "_query_block"]
-    return rows.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(meet, schema)
-
-
-def _arrow(field):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(field.dataType)

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from loomstead.functions.vectors import cosine_distance, from_text, mean_pool, to_text
-from loomstead.operators import embedding, search
+from loomstead.operators import cells, embedding, search
 from loomstead.operators.embedding import HashedTextEmbedder
 
 DIM = 8
@@ -154,3 +154,64 @@ def test_parity(rows):
     row = embedding.embedding_parity(left, right).first()
     assert (row.pairs, row.min_cosine, row.max_cosine) == (2, 0.0, 1.0)
 
+
+
+def _clustered(n, clusters, dim=16, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dim))
+    return (centres[rng.integers(0, clusters, n)] + 0.05 * rng.normal(size=(n, dim))).astype(np.float32)
+
+
+def test_cells_lose_nothing_and_prune(spark):
+    """Clusters, a third of the rows copies of one vector, rows of another width: the cells give
+    what brute force gives, and a query visits few of them."""
+    made = list(_clustered(1200, 30))
+    for i in range(0, 1200, 3):
+        made[i] = made[0]
+    made[7] = np.ones(5, np.float32)
+    questions = [*_clustered(40, 30)[:40], np.asarray(made[0]), np.random.default_rng(1).normal(size=16)]
+    expected = brute([None if len(v) == 5 else v for v in made], questions, 9)
+    df, q = table(spark, made).repartition(5), asked(spark, questions)
+    assert got(search.query(df, q, 9, include=["distances"], matrix_queries=1, block_rows=50)) == expected
+
+    rows, known = cells.make_cells(df.filter("size(embedding) = 16"))
+    assert rows.count() == 1199 and known.counts.sum() == 1199
+    near = cells.chords(np.array([x / np.linalg.norm(x) for x in questions[:40]]), known.pivots)
+    worst = np.array([brute_distance(made, x, 9) for x in questions[:40]])
+    later = cells.Cells.others(known, near, np.sqrt(2 * (worst + 2e-9)), 9)
+    visited = sum(known.counts[np.concatenate([a, b])].sum() for a, b in zip(known.first(near, 9), later, strict=True))
+    assert visited < 0.5 * 40 * 1199  # most rows are never compared
+
+
+def brute_distance(vectors, query, k):
+    all_ = [1 - v @ query / (np.linalg.norm(v) * np.linalg.norm(query)) for v in vectors if len(v) == len(query)]
+    return sorted(all_)[k - 1]
+
+
+def test_rows_of_cells_are_not_copied(spark, vectors, questions):
+    """With fewer queries than a block, each row goes to one task once, whatever the cells."""
+    df = table(spark, vectors).filter("embedding IS NOT NULL AND id <> 'r0005'")
+    rows, known = cells.make_cells(df.select("id", "embedding"))
+    assert rows.count() == rows.select("id").distinct().count() == 298
+    assert len(known.pivots) == 18
+
+
+def test_merge_takes_groups_of_tasks_first(spark):
+    found = spark.range(0, 40_000, 1, 600).selectExpr(
+        "id % 2 AS query_id", "concat('r', id) AS id", "CAST(pmod(xxhash64(id), 1000) AS double) AS distance"
+    )
+    hits = search.merged(found, 5)
+    plain = found.toPandas().sort_values(["query_id", "distance", "id"]).groupby("query_id").head(5)
+    assert [tuple(r) for r in hits.orderBy("query_id", "rank").select("query_id", "id").collect()] == list(
+        zip(plain["query_id"], plain["id"], strict=True)
+    )
+    plan = hits._jdf.queryExecution().toString()
+    assert "hashpartitioning(query_id" in plan and "_group" in plan
+
+
+def test_cells_without_rows_or_queries(spark, vectors, questions):
+    none = table(spark, vectors).filter("id = 'nowhere'")
+    q = asked(spark, questions)
+    assert search.query(none, q, 3, include=[], matrix_queries=1).count() == 0
+    odd = spark.createDataFrame([("a", "", "{}", [1.0, 2.0])], "id string, document string, metadata string, embedding array<float>")
+    assert search.query(odd, q, 3, include=[], matrix_queries=1).count() == 0
