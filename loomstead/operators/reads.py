@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from ..functions.filters import apply_where, refuse_document_filter
 from ..functions.metadata import metadata_map
 from ..schemas import PROMOTED
+from ..session import shared_folder
+from ..sources import tables
 
 # Names a caller may ask for, and the column each one stands for.
 INCLUDABLE = {"documents": "document", "metadatas": "metadata", "embeddings": "embedding"}
@@ -14,7 +16,7 @@ GET_INCLUDE = ("metadatas", "documents")
 # Rows that a flat result holds, unless its caller says otherwise.
 FLAT_ROWS = 10_000
 
-# Pages up to this size and depth are a top-n; beyond it their ends are found by counting.
+# Pages that end within so many rows are a top-n.
 SHALLOW_PAGE = 100_000
 
 
@@ -63,48 +65,34 @@ def get(
 def page(rows: DataFrame, limit=None, offset: int = 0) -> DataFrame:
     """``limit`` rows in id order after skipping ``offset``.
 
-    A small page near the start is a top-n. Otherwise the ids at its ends are located by
-    counting first and become a filter: no task sorts or passes on the rows outside the page,
-    nor all of a large one.
+    A small page near the start is a top-n. Otherwise the ids are sorted once into a snapshot of
+    their own, which knows the place of each of its files; the ids at the page's ends are read off
+    it and become a filter. Many pages of the same rows are better read from a stored snapshot
+    (``tables.write_sorted``, ``tables.read_page``).
     """
-    ids = rows.select("id")
-    if limit is not None and limit > SHALLOW_PAGE:
-        end, _ = locate(ids, offset + limit, enough=0)
-        rows, limit = rows.filter(F.col("id") < end), None
-    if offset and limit is None:
-        start, offset = locate(ids, offset, enough=0)
-        rows = rows.filter(F.col("id") >= start)
-    elif offset > SHALLOW_PAGE:
-        start, offset = locate(ids, offset, enough=SHALLOW_PAGE)
-        rows = rows.filter(F.col("id") >= start)
-    ordered = rows.orderBy("id")
-    return ordered if limit is None else ordered.offset(offset).limit(limit)
-
-
-def locate(ids: DataFrame, position: int, enough: int):
-    """An id at most ``enough`` rows before ``position`` in id order, and how many rows lie between.
-
-    Narrows down by prefix: each round is one map-side-combined count of the next character
-    among the ids still in question, so only a histogram leaves the tasks.
-    """
-    while True:
-        bounds = ids.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).first()
-        if not bounds.n or position <= enough:
-            return bounds.low or "", position
-        if position >= bounds.n:  # past the last id
-            return bounds.high + "\x00", 0
-        if bounds.low == bounds.high:
-            return bounds.low, position
-        lead = F.substring("id", 1, _shared_prefix(bounds.low, bounds.high) + 1)
-        for prefix, n in ids.groupBy(lead.alias("lead")).count().orderBy("lead").collect():
-            if position < n:
-                break
-            position -= n
-        ids = ids.filter(lead == prefix)
-
-
-def _shared_prefix(a: str, b: str) -> int:
-    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    if limit is not None and offset + limit <= SHALLOW_PAGE:
+        return rows.orderBy("id").offset(offset).limit(limit)
+    if limit is None and not offset:
+        return rows.orderBy("id")
+    spark, root, ids = rows.sparkSession, shared_folder(rows.sparkSession), rows.select("id")
+    tables.write_sorted(ids, root)
+    paged = tables.read_page(spark, root, ids.schema, limit, offset)
+    ends = paged.agg(F.min("id").alias("low"), F.max("id").alias("high")).first()
+    if ends["low"] is None:
+        return rows.filter(F.lit(False))
+    low, high = F.lit(ends["low"]), F.lit(ends["high"])
+    within, at_ends = F.col("id").between(low, high), F.col("id").isin(low, high)
+    every, own = (
+        dict(x.filter(at_ends).groupBy("id").count().collect())
+        for x in (tables.read_snapshot(spark, root, ids.schema)[1], paged)
+    )
+    if every == own:
+        return rows.filter(within).orderBy("id")
+    # Rows that share an id: as many of them as are within the page.
+    page_rows = rows.filter(within & ~at_ends)
+    for end, n in own.items():
+        page_rows = page_rows.unionByName(rows.filter(F.col("id") == end).limit(n))
+    return page_rows.orderBy("id")
 
 
 def flat_result(rows: DataFrame, include=None, limit: int = FLAT_ROWS) -> DataFrame:

@@ -10,11 +10,11 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.metadata import default_metadata, is_json_object
 from ..operators.embedding import embed_where_missing
-from ..operators.writes import last_per_id, split_valid
+from ..operators.writes import PREVIEW_CHARS, last_per_id, split_valid
 from ..schemas import COLLECTION_INPUT_SCHEMA, COLLECTION_SCHEMA, MANIFEST_SCHEMA, QUARANTINE_SCHEMA
 from ..session import nothing, written
 from ..sources.files import current_manifest, discover
@@ -23,6 +23,9 @@ from ..sources.tables import SNAPSHOT, versions, write_snapshot
 # A line of a source file: a collection row. The last copy of an id counts, by file, then by
 # ``line`` where it is given, then by place in the file.
 LINE_SCHEMA = StructType(COLLECTION_INPUT_SCHEMA.fields + [StructField("line", LongType())])
+# A line that is no JSON, or no such row, is kept as it stands.
+UNREADABLE = "line is not a readable row"
+UNREADABLE_SCHEMA = StructType([StructField("path", StringType()), StructField("raw", StringType())])
 
 
 class _RunLimit(Exception):
@@ -46,31 +49,35 @@ def ingest(
     ``limit`` stops the run once that many files are filed (0: no limit). ``defaults`` are
     metadata entries for rows that lack them, such as ``{"wing": "history"}``.
     """
-    filed = {"batches": 0, "files": 0}
+    filed = {"batches": 0, "files": 0, "stopped": False}
 
     def file_batch(lines: DataFrame, number: int):
         if limit and filed["files"] >= limit:
+            filed["stopped"] = True
             raise _RunLimit
-        rows = _with_defaults(lines.withColumn("row", F.monotonically_increasing_id()), defaults)
+        rows = lines.withColumn("row", F.monotonically_increasing_id())
+        unread = rows.filter("raw IS NOT NULL")
+        rows = _with_defaults(rows.filter("raw IS NULL").drop("raw"), defaults)
         good, bad = split_valid(rows, dim, table)
+        bad = bad.unionByName(_unreadable_rows(unread, table))
         good = last_per_id(good.withColumn("_order", F.struct("path", "line", "block", "row")), "_order")
         if embedder is not None:
             good = embed_where_missing(good, embedder)
         spot = SNAPSHOT.format(number)
         good.select("path", *COLLECTION_SCHEMA.names).write.mode("overwrite").parquet(f"{store}/rows/{spot}")
         bad.select(QUARANTINE_SCHEMA.names).write.mode("overwrite").json(f"{store}/quarantine/{spot}")
+        unread.select("path", "raw").write.mode("overwrite").parquet(f"{store}/unreadable/{spot}")
         done = _batch_manifest(lines, spark.read.parquet(f"{store}/rows/{spot}"))
         done.write.mode("overwrite").parquet(f"{store}/manifest/{spot}")
         filed["batches"] += 1
         filed["files"] += spark.read.parquet(f"{store}/manifest/{spot}").count()
 
-    lines = (
-        spark.readStream.schema(LINE_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
+    lines = _parsed(
+        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .json(source)
-        .select("*", F.col("_metadata.file_path").alias("path"),
+        .text(source)
+        .select("value", F.col("_metadata.file_path").alias("path"),
                 F.col("_metadata.file_block_start").alias("block"),
                 F.col("_metadata.file_modification_time").alias("modified"))
     )
@@ -83,11 +90,31 @@ def ingest(
     try:
         run.awaitTermination()
     except Exception:
-        if not (limit and filed["files"] >= limit):
+        if not filed["stopped"]:  # by the limit, before its batch did anything
             raise
     return filed["batches"]
 
 
+def _parsed(lines):
+    """The fields of each line (``value``), and as ``raw`` the text of those that can't be read. They
+    are parsed as a whole, so a field that does not fit shows whatever columns are asked for."""
+    whole = StructType(LINE_SCHEMA.fields + [StructField("_raw", StringType())])
+    read = F.from_json("value", whole, {"columnNameOfCorruptRecord": "_raw"})
+    rest = [c for c in lines.columns if c != "value"]
+    rows = lines.filter("trim(value) <> ''").select("value", read.alias("_read"), *rest)
+    raw = F.when(F.col("_read").isNull(), F.col("value")).otherwise(F.col("_read._raw"))
+    return rows.select(*[f"_read.{n}" for n in LINE_SCHEMA.names], raw.alias("raw"), *rest)
+
+
+def _unreadable_rows(unread, table):
+    """Quarantine rows of the lines that can't be read; the whole text is kept beside them."""
+    return unread.select(
+        F.current_timestamp().alias("ts"), F.lit(table).alias("table"), "id",
+        F.lit(None).cast("string").alias("source_file"), F.lit(None).cast("string").alias("room"),
+        F.lit(UNREADABLE).alias("error"), F.substring("raw", 1, PREVIEW_CHARS).alias("doc_preview"),
+    )
+
+
 def _with_defaults(lines, defaults):
     """Put each default entry in front of the metadata objects that lack it."""
     lines = lines.withColumn("metadata", default_metadata())
@@ -136,6 +163,11 @@ def quarantined(spark: SparkSession, store: str) -> DataFrame:
     return _log(spark, f"{store}/quarantine", QUARANTINE_SCHEMA, "json").select(QUARANTINE_SCHEMA.names)
 
 
+def unreadable(spark: SparkSession, store: str) -> DataFrame:
+    """The lines that could not be read, whole, with the path of their file."""
+    return _log(spark, f"{store}/unreadable", UNREADABLE_SCHEMA).select(UNREADABLE_SCHEMA.names)
+
+
 def manifest(spark: SparkSession, store: str) -> DataFrame:
     """One done row per file filed so far."""
     folder = f"{store}/manifest"
