@@ -7,7 +7,8 @@ from ..functions.vectors import _sum, cosine_distance, from_text, mean_pool, scr
 from ..operators import embedding, reads, reports, search, writes
 from ..schemas import COLLECTION_SCHEMA
 from ..session import nothing, shared_folder
-from ..sources import dumps, files
+from ..sources import buckets, dumps, files, tables
+from ..streaming import ingest
 from . import inputs
 from .inputs import DIM, Tables
 
@@ -72,6 +73,19 @@ def get_page(t):
     return reads.get(inputs.bare_notes(t), limit=20, offset=40)
 
 
+def get_page_deep(t):
+    """A page that crosses files of a snapshot stored in id order; no other file is opened."""
+    root = shared_folder(t.spark)
+    rows = inputs.bare_notes(t).select("id", "document", "metadata")
+    tables.write_sorted(rows, root, range_rows=50)
+    return tables.read_page(t.spark, root, rows.schema, limit=130, offset=170)
+
+
+def get_rest(t):
+    """Everything after the first 60 rows."""
+    return reads.get(inputs.bare_notes(t), offset=60, include=["metadatas"])
+
+
 def get_flat_result(t):
     flat = reads.flat_result(reads.get(inputs.bare_notes(t), where={"wing": "en"}, limit=20))
     return flat.select(
@@ -165,6 +179,20 @@ def update_partial(t):
     return _stored(writes.update(inputs.notes(t), batch))
 
 
+def upsert_buckets(t):
+    """Toxic notes are replaced in a table of 64 buckets, of which only those with such notes are
+    written again; then those of quality 0 are deleted."""
+    root = shared_folder(t.spark)
+    buckets.create(inputs.notes(t), root, 64)
+    again = inputs.labelled(t).filter("toxic = 1").selectExpr(
+        "concat('doc_', doc_id) AS id", "concat('withheld ', quality) AS document", """'{"wing":"withheld"}' AS metadata"""
+    )
+    buckets.rewrite(t.spark, root, COLLECTION_SCHEMA, again, writes.upsert)
+    gone = t.labels.filter("toxic = 1 AND quality = 0").selectExpr("concat('doc_', doc_id) AS id")
+    buckets.rewrite(t.spark, root, COLLECTION_SCHEMA, gone, writes.delete)
+    return _stored(buckets.read(t.spark, root, COLLECTION_SCHEMA))
+
+
 def upsert_embedded(t):
     """Copies of all notes under new ids, without vectors: each distinct text is embedded once."""
     batch = t.spread("documents", "doc_id").selectExpr(
@@ -349,6 +377,20 @@ def already_mined(t):
     return reports.already_mined(asked, mined)
 
 
+def quarantine_cut_lines(t):
+    """An ingest of lines some of which break off, and some of which hold a number for a vector."""
+    root = shared_folder(t.spark)
+    lines = t.labels.selectExpr("""concat('{"id":"doc_', doc_id, '","document":"text"',
+        CASE WHEN quality = 0 THEN ',"embedding":7' ELSE '' END, CASE WHEN toxic = 1 THEN '' ELSE '}' END) AS value""")
+    lines.write.text(f"{root}/in")
+    ingest.ingest(t.spark, f"{root}/in", f"{root}/store", DIM, glob="*.txt")
+    bad = ingest.quarantined(t.spark, f"{root}/store").select("error", F.col("doc_preview").alias("raw"))
+    # The whole lines are kept beside the quarantine.
+    kept = ingest.unreadable(t.spark, f"{root}/store").select(F.lit("kept").alias("error"), "raw")
+    good = ingest.stored_rows(t.spark, f"{root}/store").select(F.lit("filed").alias("error"), F.col("id").alias("raw"))
+    return bad.unionByName(kept).unionByName(good)
+
+
 QUERIES = {
     "collection_scan": collection_scan,
     **{name: _ids(where) for name, where in WHERE.items()},
@@ -357,6 +399,8 @@ QUERIES = {
     "get_ids_where": get_ids_where,
     "get_include": get_include,
     "get_page": get_page,
+    "get_page_deep": get_page_deep,
+    "get_rest": get_rest,
     "get_flat_result": get_flat_result,
     "metadata_map": metadata_map,
     "vector_text_roundtrip": vector_text_roundtrip,
@@ -373,6 +417,7 @@ QUERIES = {
     "upsert_last_wins": upsert_last_wins,
     "upsert_defaults": upsert_defaults,
     "update_partial": update_partial,
+    "upsert_buckets": upsert_buckets,
     "upsert_embedded": upsert_embedded,
     "update_reembedded": update_reembedded,
     "delete_ids": delete_ids,
@@ -380,6 +425,7 @@ QUERIES = {
     "delete_where": delete_where,
     "quarantine": quarantine,
     "quarantine_counts": quarantine_counts,
+    "quarantine_cut_lines": quarantine_cut_lines,
     "remine_candidates": remine_candidates,
     "cosine_distance": cosine_to_prototype,
     "knn_single": knn_single,

@@ -347,6 +347,8 @@ ORACLES = {
         "AND (wing = 'de' OR wing = 'fr')"
     ),
     "get_include": _notes(f"SELECT id, document, {TOTAL.format('embedding')} FROM notes WHERE embedding IS NOT NULL"),
+    "get_page_deep": _notes("SELECT id, document, metadata FROM notes ORDER BY id LIMIT 130 OFFSET 170"),
+    "get_rest": _notes("SELECT id, metadata FROM notes ORDER BY id OFFSET 60"),
     "get_page": _notes("SELECT id, document, metadata FROM notes ORDER BY id LIMIT 20 OFFSET 40"),
     "get_flat_result": _notes(
         "SELECT string_agg(id, '|' ORDER BY id) AS ids, string_agg(document, '|' ORDER BY id) AS documents, "
@@ -408,6 +410,12 @@ ORACLES = {
       CASE WHEN quality IS NULL THEN room END AS room,
       CASE WHEN quality IS NULL THEN source_file END AS source_file, embedding IS NOT NULL AND coalesce(toxic, 0) <> 1 AS embedded
     FROM notes n LEFT JOIN labels l ON n.id = concat('doc_', l.doc_id)""",
+    "upsert_buckets": _with(NOTES)
+    + """SELECT n.id, CASE WHEN toxic = 1 THEN concat('withheld ', quality) ELSE document END AS document,
+      CASE WHEN toxic = 1 THEN '{"wing":"withheld"}' ELSE metadata END AS metadata,
+      CASE WHEN toxic = 1 THEN 'withheld' ELSE wing END AS wing, CASE WHEN toxic = 1 THEN NULL ELSE room END AS room,
+      CASE WHEN toxic = 1 THEN NULL ELSE source_file END AS source_file, embedding IS NOT NULL AND coalesce(toxic, 0) <> 1 AS embedded
+    FROM notes n LEFT JOIN labels l ON n.id = concat('doc_', l.doc_id) WHERE NOT (coalesce(toxic, 0) = 1 AND coalesce(quality, 1) = 0)""",
     "upsert_embedded": _with(
         NOTES, "texts AS (SELECT concat('copy_', doc_id) AS id, text FROM documents)", _hashed("vectors", "texts")
     ) + f"""SELECT id, 'copy' AS wing, {TOTAL.format('embedding')} FROM vectors
@@ -427,6 +435,12 @@ ORACLES = {
     "delete_where": _notes("SELECT id, metadata FROM notes WHERE room IS NULL OR room <> 'src3'"),
     "quarantine": _with(MIXED) + "SELECT * FROM bad",
     "quarantine_counts": _with(MIXED) + 'SELECT "table", count(*) AS skipped FROM bad GROUP BY 1',
+    "quarantine_cut_lines": """WITH lines AS (SELECT doc_id, toxic, quality, concat('{"id":"doc_', doc_id, '","document":"text"',
+        CASE WHEN quality = 0 THEN ',"embedding":7' ELSE '' END, CASE WHEN toxic = 1 THEN '' ELSE '}' END) AS raw
+      FROM labels)
+    SELECT 'line is not a readable row' AS error, raw FROM lines WHERE toxic = 1 OR quality = 0
+    UNION ALL SELECT 'kept', raw FROM lines WHERE toxic = 1 OR quality = 0
+    UNION ALL SELECT 'filed', concat('doc_', doc_id) FROM lines WHERE toxic <> 1 AND quality <> 0""",
     "remine_candidates": _with(MIXED)
     + "SELECT id, max(source_file) AS source_file, max(room) AS room, count(*) AS attempts FROM bad "
     "WHERE id NOT IN (SELECT url FROM pages) GROUP BY id",
