@@ -151,6 +151,7 @@ def make_cells(vectors: DataFrame, pivots: int = PIVOTS) -> tuple[DataFrame, Cel
 def nearest_by_cells(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int, schema, pivots: int = PIVOTS) -> DataFrame:
     """(query_id, id, distance): rows among which are the ``k`` nearest of each query. Rows of
     another width than the queries have no distance."""
+    queries = written(queries)  # they are read several times
     asked = queries.select(F.size("embedding").alias("n")).first()
     if asked is None or k < 1:
         return queries.sparkSession.createDataFrame([], schema)
