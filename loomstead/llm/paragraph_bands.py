@@ -510,26 +510,28 @@ def cleaned(docs: DataFrame) -> DataFrame:
     spans = passages(docs).groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).agg(
         F.array_sort(F.collect_set(F.struct("first", "until"))).alias("_spans")
     )
-    names = docs.columns
-    whole = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # All columns travel in one struct, so that none can clash with those added here.
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    whole = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), columns)
     spans = cut(spans)
     bitmap = _bitmap(spans.select("_hash"))
     # Only texts that may lose something are moved.
-    rest = _where_known(whole, bitmap, "_hash", known=False).select(*names)
+    rest = _where_known(whole, bitmap, "_hash", known=False).select("_row.*")
     some = _where_known(whole, bitmap, "_hash")
-    rows = some.join(spans, some["doc_id"].eqNullSafe(spans["_id"]) & (some["_hash"] == spans["_hash"]), "left")
-    rows = rows.select(*[some[c] for c in names], "_spans")
+    rows = some.join(spans, some["_row"]["doc_id"].eqNullSafe(spans["_id"]) & (some["_hash"] == spans["_hash"]), "left")
+    rows, names = rows.select("_row", "_spans"), docs.columns
 
     def run(batches):
         for batch in batches:
-            texts, lists = batch.column("text").to_pylist(), batch.column("_spans").to_pylist()
+            columns, lists = batch.column("_row").flatten(), batch.column("_spans").to_pylist()
+            texts = columns[names.index("text")].to_pylist()
             gone = [bool(s) for s in lists]
             new = [
                 without(t.encode(), [(x["first"], x["until"]) for x in s]).decode() if s else t
                 for t, s in zip(texts, lists, strict=True)
             ]
             keep = pa.array([not g or bool(t.split()) for t, g in zip(new, gone, strict=True)])
-            columns = [pa.array(new, pa.string()) if n == "text" else batch.column(n) for n in names]
+            columns[names.index("text")] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
 
-    return rest.unionByName(rows.mapInArrow(run, docs.schema))
+    return rest.union(rows.mapInArrow(run, docs.schema))

@@ -92,3 +92,15 @@ def test_unlike_wholes_stay(spark):
     a, b = words_of(rng, 25), words_of(rng, 25)
     rows = hidden(rng, [" ".join([*a, *words_of(rng, 17), *b]) for _ in range(2)])  # similarity 0.5
     assert paragraph_bands.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect() == []
+
+
+def test_columns_of_any_name_stay(spark):
+    """Columns named as those of the operator, or with a dot, leave it with their values."""
+    rng = np.random.default_rng(11)
+    passage, own = " ".join(words_of(rng, 60)), [" ".join(words_of(rng, 40)) for _ in range(2)]
+    rows = [(0, f"{own[0]}\n{passage}", "a", 7, "x", "d"), (1, f"{own[1]}\n{passage}", "b", 8, None, "e"), (2, None, "c", 9, "z", "f"), (3, "", None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _spans string, _hash int, `a.b` string, _row string")
+    got = {r["doc_id"]: tuple(r) for r in paragraph_bands.cleaned(docs).collect()}
+    assert got == {0: rows[0], 1: (1, own[1] + "\n", *rows[1][2:]), 2: rows[2], 3: rows[3]}
+    assert paragraph_bands.cleaned(docs).columns == docs.columns
+    assert paragraph_bands.cleaned(docs.filter("doc_id > 5")).count() == 0
