@@ -46,6 +46,13 @@ def collection_scan(t: Tables):
     )
 
 
+def snapshot_load(t):
+    """The collection written as a snapshot whose lookups are served by Bloom filters, and read back."""
+    root = shared_folder(t.spark)
+    tables.write_snapshot(inputs.notes(t), root, **tables.lookup_options("id"))
+    return _stored(tables.read_snapshot(t.spark, root, COLLECTION_SCHEMA)[1])
+
+
 def get_where(t):
     return reads.get(inputs.bare_notes(t), where={"source_file": "corpus/en/src3.txt"})
 
@@ -226,6 +233,11 @@ def delete_id_list(t):
     return reads.get(writes.delete(inputs.bare_notes(t), ids=ids), include=["metadatas"])
 
 
+def delete_nothing(t):
+    """Neither ids nor a filter: every row stays."""
+    return reads.get(writes.delete(inputs.bare_notes(t)), include=["metadatas"])
+
+
 def delete_where(t):
     return reads.get(writes.delete(inputs.bare_notes(t), where={"room": "src3"}), include=["metadatas"])
 
@@ -394,6 +406,8 @@ def quarantine_cut_lines(t):
 QUERIES = {
     "collection_scan": collection_scan,
     **{name: _ids(where) for name, where in WHERE.items()},
+    "snapshot_load": snapshot_load,
+    "where_empty": _ids({}),
     "get_where": get_where,
     "get_ids": get_ids,
     "get_ids_where": get_ids_where,
@@ -422,6 +436,7 @@ QUERIES = {
     "update_reembedded": update_reembedded,
     "delete_ids": delete_ids,
     "delete_id_list": delete_id_list,
+    "delete_nothing": delete_nothing,
     "delete_where": delete_where,
     "quarantine": quarantine,
     "quarantine_counts": quarantine_counts,

@@ -326,6 +326,8 @@ ORACLES = {
         "SELECT id, metadata, wing, room, source_file, length(document)::INT AS chars, "
         "embedding IS NOT NULL AS embedded FROM notes"
     ),
+    "snapshot_load": _notes("SELECT id, document, metadata, wing, room, source_file, embedding IS NOT NULL AS embedded FROM notes"),
+    "where_empty": _notes("SELECT id FROM notes"),
     "where_eq": _notes("SELECT id FROM notes WHERE wing = 'en'"),
     "where_implicit_and": _notes(
         "SELECT id FROM notes WHERE wing = 'en' AND metadata::JSON->>'$.pinned' = 'true'"
@@ -432,6 +434,7 @@ ORACLES = {
         "SELECT id, metadata FROM notes WHERE id NOT IN (SELECT concat('doc_', doc_id) FROM labels WHERE toxic = 1)"
     ),
     "delete_id_list": _notes("SELECT id, metadata FROM notes WHERE id NOT IN ('doc_1', 'doc_3')"),
+    "delete_nothing": _notes("SELECT id, metadata FROM notes"),
     "delete_where": _notes("SELECT id, metadata FROM notes WHERE room IS NULL OR room <> 'src3'"),
     "quarantine": _with(MIXED) + "SELECT * FROM bad",
     "quarantine_counts": _with(MIXED) + 'SELECT "table", count(*) AS skipped FROM bad GROUP BY 1',
