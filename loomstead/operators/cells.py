@@ -35,7 +35,6 @@ class Cells:
 
     def __init__(self, pivots: np.ndarray, counts=None, least=None, most=None):
         self.pivots, self.counts, self.least, self.most = pivots, counts, least, most
-        self.apart = chords(pivots, pivots)
 
     def first(self, near: np.ndarray, k: int) -> list[np.ndarray]:
         """Per query (row of chords to the pivots) the nearest cells that hold ``k`` rows together."""
@@ -47,7 +46,7 @@ class Cells:
     def others(self, near: np.ndarray, bound: np.ndarray, k: int) -> list[np.ndarray]:
         """Per query the cells that may hold a row within ``bound``, less those it has met first."""
         home = near.argmin(axis=1)
-        apart = self.apart[home]
+        apart = chords(self.pivots[home], self.pivots)
         plane = near**2 - near[np.arange(len(near)), home][:, None] ** 2
         plane = np.where(apart > LEAST_APART, plane / (2 * np.maximum(apart, LEAST_APART)), 0.0)
         low = np.maximum(np.maximum(near - self.most, self.least - near), plane)
