@@ -12,8 +12,8 @@ documents share hold a whole window, the same in both. Windows take part by equa
 
 Equal paragraphs are one content. Contents get MinHash values over shingles of five lower-cased
 words, in ``BANDS`` bands of ``ROWS``: two with Jaccard similarity 0.8 share a band with a
-probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.9997, at 0.9 of 0.999998. Contents that collide are joined, their
-exact Jaccard similarity is computed, and components of the links are the classes. Of a class
+probability of 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.9998, with similarity 0.35 in one case of
+five. Contents that collide are joined, their exact Jaccard similarity is computed, and components of the links are the classes. Of a class
 that occurs in several documents, the first paragraph (by doc_id, then place) stays. The others
 are marked, and marked paragraphs that follow each other, with little between them, are a
 passage. It is extended at either end, word by word, as far as it agrees with the copy that
@@ -22,27 +22,31 @@ to what stays are one (of 50 words at 0.8, 25 in a row are unchanged, so a windo
 them); it is removed if it has ``PASSAGE_WORDS`` words or more. Shorter repeats (a license
 line, a heading) are left alone.
 
-Texts are not moved to be compared. Shingles are made again for colliding contents, which a
-bitmap of fixed size announces to the tasks; an exact join follows, so the bitmap only saves
-work. A band that many contents share is cut into parts, and no group grows with the corpus.
+Texts are not moved to be compared. A first pass finds the contents and band keys that occur
+twice; rows are only made of these, again from the texts. Bitmaps that grow with what they
+announce, up to ``MOST_BITS``, tell the tasks; exact joins and counts follow, so a bitmap only
+saves work. A band that many contents share is cut into parts, and no group grows with the corpus.
 
 Nulls: a null text is empty and has no passages; a null doc_id orders last. Rows that repeat
 both doc_id and text are one document. An empty table has no passages.
 """
 
+import math
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loomstead.llm.common import cut, null_safe_key, texts_of
+from loomstead.llm.common import IS_SPACE, cut, null_safe_key, texts_of
 from loomstead.llm.groups import Sets, arranged, components, crowded, runs
 from loomstead.session import join_per_key
 
 SHINGLE = 5
-ROWS, BANDS = 2, 8
+ROWS, BANDS = 4, 16
 LEAST_WORDS = 8
 LONG, NEAR, HARD = 32, 8, 128
 PICK, WINDOW = 12, 14
@@ -50,17 +54,33 @@ GAP_WORDS = 16
 PASSAGE_WORDS = 30
 CONTEXT = 64
 GROUP = 128
-BITMAP = 1 << 23
-ENDS = frozenset(b".?!")
+SLOTS, MOST_BITS, SEGMENT = 8, 1 << 30, 1 << 19
+ENDS = np.frombuffer(b".?!", np.uint8)
 
 _rng = np.random.default_rng(5)
 _A = _rng.integers(1, 1 << 63, (ROWS * BANDS,), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, (ROWS * BANDS,), dtype=np.uint64)
 _M = np.uint64(0x9E3779B97F4A7C15)
-
-
-def word_lines(text: bytes) -> list[list[bytes]]:
-    return [words for words in (line.split() for line in text.split(b"\n")) if words]
+# White space adds nothing to the word before it.
+_OF_BYTE = np.where(IS_SPACE, np.uint64(0), _rng.integers(1, 1 << 63, 256, dtype=np.uint64))
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each word: random numbers of its bytes, weighted by place."""
+    out = np.zeros(len(starts), np.uint64)
+    if not len(starts):
+        return out
+    power = np.cumprod(np.full(int((ends - starts).max()), _M))
+    # Slices of about a megabyte bound what the intermediate arrays take.
+    cuts = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, int(ends[-1]), 1 << 20)), [len(starts)]]))
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        base, size = starts[i:j] - starts[i], ends[i:j] - starts[i:j]
+        span = np.diff(np.append(base, ends[j - 1] - starts[i]))
+        place = np.minimum(np.arange(int(span.sum())) - np.repeat(base, span), np.repeat(size, span) - 1)
+        mixed = _OF_BYTE[data[starts[i] : ends[j - 1]]] * power[place]
+        out[i:j] = np.add.reduceat(mixed, base) + size.astype(np.uint64)
+    out = (out ^ (out >> np.uint64(32))) * _M
+    return out ^ (out >> np.uint64(29))
 
 
 def least_nearby(hashes: np.ndarray) -> np.ndarray:
@@ -76,29 +96,22 @@ def least_nearby(hashes: np.ndarray) -> np.ndarray:
     return (hashes <= before) & (hashes < after)
 
 
-def paragraphs(lines: list[list[bytes]], stops: np.ndarray) -> list[tuple[int, int]]:
-    """Word ranges of a text's paragraphs, long or short; ``stops`` marks the words after which
-    a long one may be cut."""
-    out, at = [], 0
-    for words in lines:
-        ends = [at + k + 1 for k, w in enumerate(words) if w[-1] in ENDS]
-        at += len(words)
-        if not ends or ends[-1] != at:
-            ends.append(at)
-        start = at - len(words)
-        for end in ends:
-            if end - start > LONG:
-                inner = (np.flatnonzero(stops[start + LEAST_WORDS - 1 : end - LEAST_WORDS]) + start + LEAST_WORDS).tolist()
-                for stop in [*inner, end]:
-                    while stop - start > HARD:
-                        out.append((start, start + HARD))
-                        start += HARD
-                    out.append((start, stop))
-                    start = stop
-            else:
-                out.append((start, end))
-            start = end
-    return out
+def paragraphs(ends: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word ranges of paragraphs, given where sentences and lines end; ``stops`` marks the
+    words after which a long one may be cut."""
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    long = np.flatnonzero(ends - starts > LONG)
+    first, last = [np.delete(starts, long)], [np.delete(ends, long)]
+    for start, end in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+        inner = (np.flatnonzero(stops[start + LEAST_WORDS - 1 : end - LEAST_WORDS]) + start + LEAST_WORDS).tolist()
+        edges = [start]
+        for stop in [*inner, end]:
+            edges += [*range(edges[-1] + HARD, stop, HARD), stop]
+        first.append(np.array(edges[:-1], np.int64))
+        last.append(np.array(edges[1:], np.int64))
+    first, last = np.concatenate(first), np.concatenate(last)
+    order = np.argsort(first)
+    return first[order], last[order]
 
 
 def windows(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,21 +131,21 @@ def cut_up(texts: list[bytes]):
     """All paragraphs of a batch that take part: row, first word and number of words within
     the row, place of the first word in the batch; the batch's lower-cased words' hashes, and
     each row's number of words."""
-    split = [word_lines(text.lower()) for text in texts]
-    digest = xxhash.xxh3_64_intdigest
-    words = np.array([digest(w) for lines in split for line in lines for w in line], np.uint64)
-    stops = least_nearby(words)
-    lengths = np.array([sum(map(len, lines)) for lines in split], np.int64)
-    row, first, size, place, base = [], [], [], [], 0
-    for k, (lines, n) in enumerate(zip(split, lengths.tolist(), strict=True)):
-        for a, b in paragraphs(lines, stops[base : base + n]):
-            if b - a >= LEAST_WORDS:
-                row.append(k)
-                first.append(a)
-                size.append(b - a)
-                place.append(base + a)
-        base += n
-    return *(np.array(x, np.int64) for x in (row, first, size, place)), words, lengths
+    data = np.frombuffer(b"\n".join(texts).lower() + b"\n", np.uint8)
+    space = IS_SPACE[data]
+    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+    words = _word_hashes(data, starts, ends)
+    upto = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts], dtype=np.int64))
+    lengths = np.diff(upto, prepend=0)
+    # A sentence ends with a full stop or mark, a line with a line end before the next word.
+    line = np.searchsorted(np.flatnonzero(data == 10), starts)
+    over = np.isin(data[ends - 1], ENDS) | np.append(line[1:] != line[:-1], [True] * min(len(line), 1))
+    place, stop = paragraphs(np.flatnonzero(over) + 1, least_nearby(words))
+    some = stop - place >= LEAST_WORDS
+    place, size = place[some], (stop - place)[some]
+    row = np.searchsorted(upto, place, "right")
+    return row, place - (upto - lengths)[row], size, place, words, lengths
 
 
 def shingles_of(words: np.ndarray) -> np.ndarray:
@@ -144,12 +157,6 @@ def shingles_of(words: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def _folded(values: np.ndarray, place: np.ndarray, stop: np.ndarray, fold) -> np.ndarray:
-    """``fold`` of the values of each range place..stop."""
-    ends = np.column_stack([place, stop]).ravel()
-    return fold.reduceat(np.append(values, values[-1:]), ends)[::2]
-
-
 def contents(words: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
     """A 64-bit number for the words of each paragraph, in their order."""
     upto = np.zeros(len(words) + 1, np.uint64)
@@ -164,25 +171,78 @@ def contents(words: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarr
 
 
 def bands(shingles: np.ndarray, place: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-    """The band keys of each paragraph, one array per band."""
-    out, stop = [], place + size - SHINGLE + 1
-    for band in range(BANDS):
-        key = np.full(len(place), band + 1, np.uint64)
-        for k in range(band * ROWS, (band + 1) * ROWS):
-            h = shingles * _A[k] + _B[k]
-            key = (key + _folded(h ^ (h >> np.uint64(32)), place, stop, np.minimum)) * _M
+    """The band keys of each paragraph, one array per band; paragraphs come in order of place."""
+    out = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(place), 1)
+    ranges = np.column_stack([place, place + size - SHINGLE + 1])
+    # Stretches of shingles that stay in the processor's cache while all hashes pass over them.
+    cuts = np.unique(np.append(np.searchsorted(place, np.arange(0, len(shingles), 1 << 14)), len(place)))
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        a, z = int(ranges[i, 0]), int(ranges[i:j, 1].max())
+        own = np.append(shingles[a:z], shingles[z - 1 : z])
+        at, mixed = (ranges[i:j] - a).ravel(), np.empty_like(own)
+        for k in range(ROWS * BANDS):
+            np.multiply(own, _A[k], out=mixed)
+            mixed += _B[k]
+            key = out[k // ROWS, i:j]
+            key += np.minimum.reduceat(mixed, at)[::2]
+            key *= _M
             key ^= key >> np.uint64(29)
-        out.append(key.view(np.int64))
-    return out
+    return list(out.view(np.int64))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), "text")
 
 
-def _found(docs: DataFrame) -> DataFrame:
-    """All paragraphs and windows that take part: doc_id, _text, first, size, content, and
-    whether it is a window (``crossing``)."""
+def _shards(docs: DataFrame) -> int:
+    """Enough shards that one holds the numbers of about 16 MB of text."""
+    return max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / (1 << 24)))
+
+
+def _twice(docs: DataFrame) -> DataFrame:
+    """(kind, value): the contents (kind 0) and band keys (kind 1) that occur twice or more,
+    band keys of one content included. Numbers travel packed, a sorted run for each shard, and a
+    task sends one at most twice, so a hot one is a few bytes of a task."""
+    shards = _shards(docs)
+
+    def run(batches):
+        kept: list[list[np.ndarray]] = [[], []]
+        held = 0
+
+        def packed():
+            for kind in (0, 1):
+                value, n = np.unique(np.concatenate([*kept[kind], np.zeros(0, np.uint64)]), return_counts=True)
+                value = np.concatenate([value, value[n > 1]])
+                shard = ((value >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                value, shard = value[order], shard[order]
+                edges = np.flatnonzero(np.diff(shard, prepend=-1))
+                parts = [x.tobytes() for x in np.split(value, edges[1:])] if len(value) else []
+                columns = [pa.array(shard[edges].astype(np.int32)), pa.array(np.full(len(edges), kind, np.int32)), pa.array(parts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "kind", "numbers"])
+
+        for batch in batches:
+            _, _, size, place, words, lengths = cut_up(texts_of(batch))
+            _, begin = windows(words, lengths)
+            kept[0] += [contents(words, p, n).view(np.uint64) for p, n in ((place, size), (begin, np.full(len(begin), WINDOW)))]
+            kept[1] += [b.view(np.uint64) for b in bands(shingles_of(words), place, size)]
+            held += len(begin) + (BANDS + 1) * len(place)
+            if held > 1 << 21:
+                yield from packed()
+                kept, held = [[], []], 0
+        yield from packed()
+
+    def repeated(frame: pd.DataFrame) -> pd.DataFrame:
+        value, n = np.unique(np.frombuffer(b"".join(frame["numbers"]), np.uint64), return_counts=True)
+        return pd.DataFrame({"kind": frame["kind"].iloc[0], "value": value[n > 1].view(np.int64)})
+
+    sent = docs.select("text").mapInArrow(run, "shard int, kind int, numbers binary")
+    return sent.groupBy("shard", "kind").applyInPandas(repeated, "kind int, value bigint")
+
+
+def _found(docs: DataFrame, known: np.ndarray) -> DataFrame:
+    """The paragraphs and windows whose content the bitmap knows: doc_id, _text, first, size,
+    content, and whether it is a window (``crossing``)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -195,55 +255,64 @@ def _found(docs: DataFrame) -> DataFrame:
             row, place = np.concatenate([row, text]), np.concatenate([place, begin])
             first = np.concatenate([first, begin - (np.cumsum(lengths) - lengths)[text]])
             size = np.concatenate([size, np.full(len(text), WINDOW)])
-            at = pa.array(row)
-            columns = [batch.column("doc_id").take(at), batch.column("_text").take(at), pa.array(first.astype(np.int32))]
-            columns += [pa.array(size.astype(np.int32)), pa.array(contents(words, place, size)), pa.array(crossing)]
+            content = contents(words, place, size)
+            some = np.flatnonzero(_is_set(known, content))
+            at = pa.array(row[some])
+            columns = [batch.column("doc_id").take(at), batch.column("_text").take(at), pa.array(first[some].astype(np.int32))]
+            columns += [pa.array(size[some].astype(np.int32)), pa.array(content[some]), pa.array(crossing[some])]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "first", "size", "content", "crossing"])
 
     return _rows(docs).mapInArrow(run, f"doc_id {id_type}, _text bigint, first int, size int, content bigint, crossing boolean")
 
 
-def _banded(docs: DataFrame) -> DataFrame:
-    """(key, content): the band keys of each content, once."""
-    keys = [f"b{k}" for k in range(BANDS)]
+def _banded(docs: DataFrame, known: np.ndarray) -> DataFrame:
+    """(key, content): the band keys that the bitmap knows, once with each content."""
 
     def run(batches):
         for batch in batches:
             row, first, size, place, words, _ = cut_up(texts_of(batch))
-            if not len(row):
-                continue
             content = contents(words, place, size)
             some = np.sort(np.unique(content, return_index=True)[1])  # in order of place, as folding wants them
-            columns = [pa.array(content[some]), *[pa.array(b) for b in bands(shingles_of(words), place[some], size[some])]]
-            yield pa.RecordBatch.from_arrays(columns, names=["content", *keys])
+            keys = np.array(bands(shingles_of(words), place[some], size[some])).reshape(BANDS, -1)
+            band, at = np.nonzero(_is_set(known, keys))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[band, at]), pa.array(content[some][at])], names=["key", "content"])
 
-    found = docs.select("text").mapInArrow(run, f"content bigint, {', '.join(k + ' bigint' for k in keys)}")
-    one = found.groupBy("content").agg(*[F.first(k).alias(k) for k in keys])
-    return one.select(F.explode(F.array(*keys)).alias("key"), "content")
+    return docs.select("text").mapInArrow(run, "key bigint, content bigint").distinct()
 
 
-def _bitmap(some: DataFrame) -> np.ndarray:
-    """Which values mod ``BITMAP`` a column of longs has; each task sends one bitmap."""
+def _is_set(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has the bit of each number."""
+    slot = values.view(np.uint64) & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def run(batches):
-        bits = np.zeros(BITMAP, bool)
-        for batch in batches:
-            bits[batch.column(0).to_numpy() % BITMAP] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()])], names=["bits"])
 
-    out = np.zeros(BITMAP // 8, np.uint8)
-    for r in some.coalesce(32).mapInArrow(run, "bits binary").toLocalIterator():
-        out |= np.frombuffer(r["bits"], np.uint8)
-    return out
+def _bitmap(some: DataFrame) -> np.ndarray:
+    """A bit for each value of a column of longs, with ``SLOTS`` bits a value, ``MOST_BITS`` at
+    most. Each segment of ``SEGMENT`` bits is put together in a task of Spark."""
+    some = some.toDF("value")
+    bits = 1 << 16
+    while bits < min(SLOTS * some.count(), MOST_BITS):
+        bits *= 2
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        own = np.zeros(SEGMENT, bool)
+        own[frame["slot"].to_numpy() % SEGMENT] = True
+        return pd.DataFrame({"segment": [int(frame["slot"].iloc[0]) // SEGMENT], "bits": [np.packbits(own, bitorder="little").tobytes()]})
+
+    slots = some.select(F.expr(f"value & {bits - 1}L").alias("slot")).distinct()
+    parts = slots.groupBy(F.expr(f"slot DIV {SEGMENT}")).applyInPandas(run, "segment bigint, bits binary")
+    out = np.zeros(max(bits, SEGMENT) // 8, np.uint8)
+    for r in parts.toLocalIterator():
+        out[r["segment"] * SEGMENT // 8 :][: SEGMENT // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out[: bits // 8]
 
 
 def _where_known(rows: DataFrame, bitmap: np.ndarray, column: str, known: bool = True) -> DataFrame:
     """The rows whose column may be (or, with ``known`` false, can't be) in the bitmap."""
 
     def run(batches):
-        bits = np.unpackbits(bitmap).astype(bool) == known
         for batch in batches:
-            yield batch.filter(pa.array(bits[batch.column(column).to_numpy() % BITMAP]))
+            yield batch.filter(pa.array(_is_set(bitmap, batch.column(column).to_numpy()) == known))
 
     return rows.mapInArrow(run, rows.schema)
 
@@ -253,13 +322,12 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     bitmap = _bitmap(wanted)
 
     def run(batches):
-        known = np.unpackbits(bitmap).astype(bool)
         for batch in batches:
             row, first, size, place, words, _ = cut_up(texts_of(batch))
             if not len(row):
                 continue
             content = contents(words, place, size)
-            some = np.flatnonzero(known[content % BITMAP])
+            some = np.flatnonzero(_is_set(bitmap, content))
             some = some[np.unique(content[some], return_index=True)[1]]
             if not len(some):
                 continue
@@ -301,13 +369,17 @@ def _linked(batches):
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def _classes(docs: DataFrame, found: DataFrame) -> DataFrame:
+def _classes(docs: DataFrame) -> DataFrame:
     """The paragraphs whose class occurs in several documents, with class and place."""
-    close = cut(crowded(_banded(docs)))
+    twice = cut(_twice(docs))
+    close = cut(crowded(_banded(docs, _bitmap(twice.filter("kind = 1").select("value")))))
     wanted = cut(close.select("content").distinct())
     fat = close.join(cut(_shingled(docs, wanted)), "content")
     links = arranged(fat, "content", GROUP).mapInArrow(_linked, "a bigint, b bigint")
     roots = cut(components(links))
+    # Only paragraphs and windows that may belong to a class of several documents are written.
+    may = twice.filter("kind = 0").select("value").unionByName(roots.select(F.col("node").alias("value")))
+    found = cut(_found(docs, _bitmap(may)))
     rooted = found.select("content", F.xxhash64("doc_id", "_text").alias("_doc"))
     rooted = rooted.join(roots, rooted["content"] == roots["node"], "left")
     several = rooted.groupBy(F.coalesce("root", "content").alias("class")).agg(F.min("_doc").alias("a"), F.max("_doc").alias("z"))
@@ -324,7 +396,7 @@ def _classes(docs: DataFrame, found: DataFrame) -> DataFrame:
 def marked_paragraphs(docs: DataFrame) -> DataFrame:
     """Paragraphs of classes that occur in several documents: doc_id, _text, first, size, class
     and ``kept``, the place of the class's first paragraph."""
-    marked = _classes(docs, cut(_found(docs)))
+    marked = _classes(docs)
     kept = marked.groupBy("class").agg(F.min("place").alias("kept"))
     return join_per_key(marked, kept, ["class"], "inner")
 

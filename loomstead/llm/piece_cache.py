@@ -13,9 +13,11 @@ os.environ.setdefault("RAYON_NUM_THREADS", "1")
 
 import numpy as np  # noqa: E402
 
-#: Pieces a worker keeps; the cache starts anew beyond that. Longer pieces are not kept.
-CACHED = 800_000
-LONGEST = 48
+#: Bytes a task's pieces may take, by estimate; the cache starts anew beyond that. Longer pieces
+#: are not kept, so that a piece, its ids and their place in the dict take about ``EACH`` bytes.
+CACHE_BYTES = 48 << 20
+LONGEST, EACH = 48, 240
+CACHED = CACHE_BYTES // EACH
 
 #: White space that the two regex engines may see differently, or beyond ASCII.
 _ODD = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
