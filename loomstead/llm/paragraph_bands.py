@@ -140,7 +140,7 @@ def cut_up(texts: list[bytes]):
     lengths = np.diff(upto, prepend=0)
     # A sentence ends with a full stop or mark, a line with a line end before the next word.
     line = np.searchsorted(np.flatnonzero(data == 10), starts)
-    over = np.isin(data[ends - 1], ENDS) | np.append(line[1:] != line[:-1], [True] * min(len(line), 1))
+    over = np.isin(data[ends - 1], ENDS) | np.append(line[1:] != line[:-1], np.ones(min(len(line), 1), bool))
     place, stop = paragraphs(np.flatnonzero(over) + 1, least_nearby(words))
     some = stop - place >= LEAST_WORDS
     place, size = place[some], (stop - place)[some]
