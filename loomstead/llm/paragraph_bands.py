@@ -99,7 +99,7 @@ def least_nearby(hashes: np.ndarray) -> np.ndarray:
 def paragraphs(ends: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word ranges of paragraphs, given where sentences and lines end; ``stops`` marks the
     words after which a long one may be cut."""
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    starts = np.concatenate([[0], ends])[:-1].astype(np.int64)
     long = np.flatnonzero(ends - starts > LONG)
     first, last = [np.delete(starts, long)], [np.delete(ends, long)]
     for start, end in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
