@@ -8,8 +8,10 @@ Mahalanobis distance from them is too large is rejected.
 
 The estimate runs over all rows. A concentration step is one aggregate: rows are folded per
 group and distance bin into counts and sums of products, and the bins that hold the nearest
-``SHARE`` of a group give its next centre and covariance. A hot group thus never meets in a
-task. Groups below ``LEAST`` rows are pooled by language, then all together; a pool that is
+``SHARE`` of a group give its next centre and covariance. Rows meet the estimates without being
+moved: those of up to ``BROADCAST_ROWS`` groups are broadcast after a count; more are joined
+between exchanges of the join's own, where a hot group is split, and folded before the next
+exchange. A hot group thus never meets in a task. Groups below ``LEAST`` rows are pooled by language, then all together; a pool that is
 still too small to estimate rejects nothing.
 
 Nulls: a null text is empty; null languages and sources are groups of their own. Texts that
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstead.llm.common import IS_SPACE, cut, null_safe_key, texts_of, with_columns
+from loomstead.session import join_per_key
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
@@ -40,6 +43,8 @@ TAIL = 1e-5
 #: Variances are raised by the squares of these. The shares are mostly zero in clean text, and
 #: one repeated header line in a short text is not junk.
 FLOOR = (0.06, 0.05, 0.25, 0.15)
+#: So many rows of a model or of a list of groups (about 200 bytes each) are broadcast.
+BROADCAST_ROWS = 20_000
 P = 4
 X = [f"x{i}" for i in range(P)]
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
@@ -140,6 +145,15 @@ def pools(passed: DataFrame) -> DataFrame:
     )
 
 
+def _with_groups(rows: DataFrame, few: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Rows joined to a written frame of a row or two for each group. No task gets a whole group:
+    either nothing of ``rows`` is moved, or the adaptive join splits a hot group, and what is
+    aggregated after it can't reuse its partitioning."""
+    if few.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(few), key, how)
+    return join_per_key(rows, few, [key], how)
+
+
 def _distance(x: list, m: list, q: dict):
     d = [x[i] - m[i] for i in range(P)]
     return sum((1 if i == j else 2) * d[i] * d[j] * q[i, j] for i, j in PAIRS)
@@ -179,7 +193,7 @@ def _moments():
 def _scored(rows: DataFrame, model: DataFrame) -> DataFrame:
     q = {(i, j): F.col(f"q{i}{j}") for i, j in PAIRS}
     d2 = _distance([F.col(x) for x in X], [F.col(f"m{i}") for i in range(P)], q)
-    return rows.join(model, "pool").withColumn("d2", F.greatest(d2, F.lit(NEAREST)))
+    return _with_groups(rows, model, "pool").withColumn("d2", F.greatest(d2, F.lit(NEAREST)))
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -235,18 +249,18 @@ def fitted(slim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pools of languages and sources, and the model of each pool, from measured rows."""
     passed = slim.filter(~F.col("base_failed"))
     where = cut(pools(passed))
-    pooled = passed.withColumn("cell", null_safe_key("lang", "source")).join(where, "cell").select("pool", *X)
+    pooled = _with_groups(passed.withColumn("cell", null_safe_key("lang", "source")), where, "cell").select("pool", *X)
     return where, mcd(cut(pooled))
 
 
 def judged(measured: DataFrame, where: DataFrame, model: DataFrame, tail: float = TAIL) -> DataFrame:
     """Add ``distance`` (null without a model) and ``kept`` to measured rows."""
     names = measured.columns
-    rows = measured.withColumn("cell", null_safe_key("lang", "source")).join(where, "cell", "left")
+    rows = _with_groups(measured.withColumn("cell", null_safe_key("lang", "source")), where, "cell", "left")
     q = {(i, j): F.col(f"q{i}{j}") for i, j in PAIRS}
     d2 = _distance([F.col(x) for x in X], [F.col(f"m{i}") for i in range(P)], q)
     far = chi2_quantile(1 - tail)
-    return rows.join(model.drop("n"), "pool", "left").select(
+    return _with_groups(rows, model.drop("n"), "pool", "left").select(
         *names, F.sqrt(F.greatest(d2, F.lit(0.0))).alias("distance"),
         (~F.col("base_failed") & F.coalesce(d2 <= far, F.lit(True))).alias("kept"),
     )
