@@ -482,7 +482,7 @@ def _stretches(marked: DataFrame) -> DataFrame:
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The hashes of up to ``CONTEXT`` words before (way -1, nearest first) or after (way 1)
-    the wanted places (doc_id, _text, pos, way). Only texts that a bitmap of fixed size knows
+    the wanted places (doc_id, _text, pos, way). Only texts that a bitmap of bounded size knows
     are moved, and a text meets the list of its own places, which its length bounds."""
     by_doc = wanted.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).agg(
         F.array_sort(F.collect_set(F.struct("pos", "way"))).alias("places")
