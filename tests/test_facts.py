@@ -519,3 +519,16 @@ def test_seed(no_entities, no_triples, rows):
     assert (entities["ann_lee"].name, entities["ann_lee"].type) == ("Ann lee", "adult")
     assert (entities["rex"].type, entities["rex"].properties) == ("animal", "{}")
     assert (entities["cello"].name, entities["cello"].type, entities["cello"].properties) == ("Cello", "unknown", None)
+
+
+def test_person_records_are_dealt_out_before_they_are_expanded(spark, tmp_path):
+    """One small file, joined to smaller tables: adaptive execution alone would leave one task."""
+    from loomstead.plans import inputs
+
+    spark.sql("SELECT 1L AS r_regionkey, 'r' AS r_name").selectExpr("CAST(r_regionkey AS int) r_regionkey", "r_name").write.parquet(f"{tmp_path}/region.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'n' AS n_name, 1 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(400).selectExpr(
+        "id AS c_custkey", "concat('C', id) AS c_name", "1 AS c_nationkey", "9000D AS c_acctbal", "'BUILDING' AS c_mktsegment"
+    ).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    parts = inputs.people(inputs.Tables(spark, str(tmp_path))).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == spark.sparkContext.defaultParallelism and sum(r["count"] for r in parts) == 400
