@@ -23,9 +23,10 @@ class Embedder(Protocol):
 
 
 class _Slots(dict):
-    """word -> slot for +1, or ``dim`` + slot for -1; filled as words turn up."""
+    """word -> slot for +1, or ``dim`` + slot for -1; filled as words turn up, but only with so many
+    and with short ones, about 25 MB a worker."""
 
-    most = 1_000_000
+    most, longest = 100_000, 64
 
     def __init__(self, dim):
         self.dim = dim
@@ -33,7 +34,7 @@ class _Slots(dict):
     def __missing__(self, word):
         digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
         slot = int(digest[:8], 16) % self.dim + self.dim * (int(digest[8], 16) % 2)
-        if len(self) < self.most:
+        if len(self) < self.most and len(word) <= self.longest:
             self[word] = slot
         return slot
 
@@ -61,6 +62,10 @@ class HashedTextEmbedder:
         return counts / np.where(lengths > 0, lengths, 1.0)
 
 
+#: Texts that an embedder gets at a time.
+EMBED_TEXTS = 1024
+
+
 def embedding_of(embedder: Embedder, text: Column) -> Column:
     """The vector of each text; NULL text gives NULL without reaching the model."""
 
@@ -69,10 +74,11 @@ def embedding_of(embedder: Embedder, text: Column) -> Column:
         for texts in batches:
             out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
             asked = texts[texts.notna()]
-            if len(asked):
-                vectors = np.asarray(embedder.embed(asked.tolist()), dtype=np.float32)
+            for at in range(0, len(asked), EMBED_TEXTS):
+                some = asked.iloc[at : at + EMBED_TEXTS]
+                vectors = np.array(embedder.embed(some.tolist()), dtype=np.float32)
                 vectors[~np.isfinite(vectors)] = 0.0
-                out[asked.index] = pd.Series(list(vectors), index=asked.index, dtype=object)
+                out[some.index] = pd.Series(list(vectors), index=some.index, dtype=object)
             yield out
 
     # nondeterministic only to the optimizer, which then never copies the call into a filter

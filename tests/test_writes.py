@@ -204,3 +204,27 @@ def test_each_distinct_text_is_embedded_once(spark):
     changes = spark.createDataFrame([("old", None, False), ("new", "same", True), ("new2", "same", True)], "id string, document string, set_document boolean")
     found = {r.id: (r.document, list(r.embedding)) for r in writes.update(stored.select(COLLECTION_SCHEMA.names), changes, embedder=CountingEmbedder(seen)).collect()}
     assert found == {"old": ("kept", [9.0, 9.0]), "new": ("same", [4.0, 2.0])} and seen.value == 1
+
+
+def test_the_embedder_keeps_few_words_and_gets_few_texts(spark, monkeypatch):
+    """As many different words as a large corpus has don't stay in the worker, nor do its vectors change."""
+    from loomstead.operators import embedding
+    from pyspark.sql import functions as F
+
+    texts = [" ".join(f"w{k}x{n}" for k in range(500)) for n in range(250)] + ["y" * 1000]
+    embedder = HashedTextEmbedder(16)
+    vectors = embedder.embed(texts)
+    assert len(embedder._slots) == embedder._slots.most < 125_000 and "y" * 1000 not in embedder._slots
+    assert (embedder.embed(texts[-2:]) == vectors[-2:]).all() and (HashedTextEmbedder(16).embed(texts[-2:]) == vectors[-2:]).all()
+
+    class Counting:
+        dim = 1
+
+        def embed(self, texts):
+            return [[float(len(texts))] for _ in texts]
+
+    monkeypatch.setattr(embedding, "EMBED_TEXTS", 3)
+    given = spark.range(8).repartition(1).selectExpr("CASE WHEN id <> 4 THEN CAST(id AS string) END AS document")
+    found = given.select("document", embedding.embedding_of(Counting(), F.col("document")).alias("v")).collect()
+    assert all((r.v is None) == (r.document is None) for r in found)
+    assert sorted(r.v[0] for r in found if r.v) == [1.0, 3.0, 3.0, 3.0, 3.0, 3.0, 3.0]
