@@ -532,3 +532,12 @@ def test_person_records_are_dealt_out_before_they_are_expanded(spark, tmp_path):
     ).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
     parts = inputs.people(inputs.Tables(spark, str(tmp_path))).groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) == spark.sparkContext.defaultParallelism and sum(r["count"] for r in parts) == 400
+
+
+def test_a_batch_is_folded_without_sorting(spark, no_triples, rows):
+    """Texts in the fold would sort all of the batch by key first."""
+    batch = rows(FACT, (1, "a", "p", "b", None, None), (2, "a", "p", "b", None, None))
+    judgement = fact_writes.judged(no_triples, batch, TS)
+    assert "SortAggregate" not in judgement._jdf.queryExecution().sparkPlan().toString()
+    ids = {r.seq: (r.status, r.fact_id) for r in judgement.collect()}
+    assert ids[1][0] == "inserted" and ids[2] == ("existing", ids[1][1])
