@@ -36,6 +36,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,7 @@ PASSAGE_WORDS = 30
 CONTEXT = 64
 GROUP = 128
 SLOTS, MOST_BITS, SEGMENT = 8, 1 << 30, 1 << 19
+SLICE, HELD = 1 << 20, 1 << 20
 ENDS = np.frombuffer(b".?!", np.uint8)
 
 _rng = np.random.default_rng(5)
@@ -120,9 +122,12 @@ def windows(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     keys = shingles_of(words)
     if len(keys) < PICK:
         return text[:0], text[:0]
-    least = np.lib.stride_tricks.sliding_window_view(keys, PICK).argmin(axis=1) + np.arange(len(keys) - PICK + 1)
-    within = text[: len(least)] == text[PICK + SHINGLE - 2 :]
-    place = np.unique(least[within])
+    within = text[: len(keys) - PICK + 1] == text[PICK + SHINGLE - 2 :]
+    begin = np.flatnonzero(within)
+    sliding = np.lib.stride_tricks.sliding_window_view(keys, PICK)
+    # A copy of all windows would be twelve times the words; some thousands at a time are copied.
+    least = [sliding[begin[k : k + 16384]].argmin(axis=1) + begin[k : k + 16384] for k in range(0, len(begin), 16384)]
+    place = np.unique(np.concatenate([*least, begin[:0]]))
     place = place[place + WINDOW <= ends[text[place]]]
     return text[place], place
 
@@ -190,13 +195,25 @@ def bands(shingles: np.ndarray, place: np.ndarray, size: np.ndarray) -> list[np.
     return list(out.view(np.int64))
 
 
+def _slices(batches):
+    """The rows of batches with about ``SLICE`` bytes of text at a time: arrays over words take
+    many times what the text does."""
+    for batch in batches:
+        size = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(size, dtype=np.int64) // SLICE
+        edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)]
+        for i, j in zip(edges, edges[1:], strict=False):
+            if i < j:
+                yield batch.slice(i, j - i)
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"), "text")
 
 
 def _shards(docs: DataFrame) -> int:
-    """Enough shards that one holds the numbers of about 16 MB of text."""
-    return max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / (1 << 24)))
+    """Enough shards that one holds the numbers of about 8 MB of text."""
+    return max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / (1 << 23)))
 
 
 def _twice(docs: DataFrame) -> DataFrame:
@@ -221,13 +238,13 @@ def _twice(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(shard[edges].astype(np.int32)), pa.array(np.full(len(edges), kind, np.int32)), pa.array(parts, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["shard", "kind", "numbers"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             _, _, size, place, words, lengths = cut_up(texts_of(batch))
             _, begin = windows(words, lengths)
             kept[0] += [contents(words, p, n).view(np.uint64) for p, n in ((place, size), (begin, np.full(len(begin), WINDOW)))]
             kept[1] += [b.view(np.uint64) for b in bands(shingles_of(words), place, size)]
             held += len(begin) + (BANDS + 1) * len(place)
-            if held > 1 << 21:
+            if held > HELD:
                 yield from packed()
                 kept, held = [[], []], 0
         yield from packed()
@@ -246,7 +263,7 @@ def _found(docs: DataFrame, known: np.ndarray) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             row, first, size, place, words, lengths = cut_up(texts_of(batch))
             text, begin = windows(words, lengths)
             if not len(row) + len(text):
@@ -269,7 +286,7 @@ def _banded(docs: DataFrame, known: np.ndarray) -> DataFrame:
     """(key, content): the band keys that the bitmap knows, once with each content."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             row, first, size, place, words, _ = cut_up(texts_of(batch))
             content = contents(words, place, size)
             some = np.sort(np.unique(content, return_index=True)[1])  # in order of place, as folding wants them
@@ -322,7 +339,7 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     bitmap = _bitmap(wanted)
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             row, first, size, place, words, _ = cut_up(texts_of(batch))
             if not len(row):
                 continue

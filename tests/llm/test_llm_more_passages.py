@@ -1,6 +1,9 @@
 """Passages that sentences and lines alone don't show."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from loomstead.llm import paragraph_bands
 
 SCHEMA = "doc_id long, text string"
@@ -104,3 +107,16 @@ def test_columns_of_any_name_stay(spark):
     assert got == {0: rows[0], 1: (1, own[1] + "\n", *rows[1][2:]), 2: rows[2], 3: rows[3]}
     assert paragraph_bands.cleaned(docs).columns == docs.columns
     assert paragraph_bands.cleaned(docs.filter("doc_id > 5")).count() == 0
+
+
+def test_memory_follows_a_slice_of_the_texts():
+    batch = pa.RecordBatch.from_arrays([pa.array(["word " * 60_000, None, ""] * 40)], names=["text"])
+    parts = list(paragraph_bands._slices([batch]))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert len(parts) > 8 and max(p.num_rows for p in parts) <= 15
+    words = np.random.default_rng(4).integers(0, 1 << 63, 400_000, dtype=np.uint64)
+    tracemalloc.start()
+    paragraph_bands.windows(words, np.full(1000, 400))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 * 8 * len(words)
