@@ -147,8 +147,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int
         encoder = id_bytes(path)
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                data = b"".join(encoder.of(text or "")) + end
+            for k, ids in enumerate(encoder.each([t or "" for t in batch.column("text").to_pylist()])):
+                data = b"".join(ids) + end
                 for p, s in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[s : s + 4 * capacity]
                     at.append(k)

@@ -138,7 +138,7 @@ def token_counts(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int =
         pieces = counter(path)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            n = [sum(pieces.of(t)) for t in texts]
+            n = [sum(x) for x in pieces.each(texts)]
             size = [len(t.encode()) for t in texts]
             arrays = [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_tokens"])
