@@ -3,10 +3,13 @@
 Both tokenizers encode the whole text. Where a token of each ends at the same byte, the text can
 be cut for both at once; such cuts make the finest groups of tokens that cover the same bytes.
 
-A document is first cut at its anchors: shared ends, verified on the bytes of both sides, after
-which both tokenizers have a token that begins with a space. Between two anchors lies a window, a
-pair of id tuples, which is about a word. The groups of a window depend on its ids alone, and words
-repeat, so each worker remembers the windows it has aligned by their ids.
+A document is first cut at its anchors: single spaces with another character on either side,
+none of it white space after it. There both tokenizers begin a new token, whatever stands around:
+one never merges across the space before a word, and no token of the other has its space mark
+anywhere but in front, or in a run of them. Between two anchors lies a window, which is about a
+word; its ids and groups depend on its text alone, and words repeat, so each worker remembers the
+windows it has encoded and aligned. A text with a window that a side doesn't give back, or with
+white space that the tokenizers may see differently, is encoded and aligned whole.
 
 A link is a pair of tokens, one of each tokenizer, that end together. How many links of all
 documents hold an id pair needs the whole corpus: every document hands on its pairs with their
@@ -20,6 +23,8 @@ gives rows of its own; every row counts for the totals. An empty table gives no
 """
 
 import hashlib
+import re
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -28,24 +33,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstead.llm.common import cut, prepared
-from loomstead.llm.piece_cache import ODD_SPACE, SPACED, Pieces
+from loomstead.llm.piece_cache import ODD_SPACE, SPACED, Pieces, packed_ids
 from loomstead.session import join_per_key
 
-#: Windows a worker remembers, and the ids of the longest of them; pieces it remembers.
+#: Windows a worker remembers, in two generations, and the characters of the longest of them;
+#: texts that are aligned together.
 WINDOWS = 300_000
-LONGEST_WINDOW = 24
-PIECES = 500_000
+LONGEST_WINDOW = 48
+TOGETHER = 256
 BROADCAST = 128 << 20
 
-#: Stands between the ids of the two sides of a window; no id is that large.
-_BAR = 0xFFFFFFFF
+#: An anchor, and what texts have where not every single space is one.
+ANCHOR = re.compile(r"(?<![ ]) (?=[^\x20\x09-\x0D])")
+NO_ANCHOR = re.compile(r"\A | (?=[\x20\x09-\x0D]|\Z)")
 
 
 class ByteTokens:
     """Ids and token bytes of a byte-level tokenizer; special strings are plain text."""
 
     def __init__(self, path: str):
-        self.pieces = Pieces(path, lambda ids: np.array(ids, "<u4").tobytes(), SPACED, lower=False, odd=ODD_SPACE)
+        self.pieces = Pieces(path, packed_ids, SPACED, lower=False, odd=ODD_SPACE)
         tokenizer = self.pieces.tokenizer
         tokenizer.encode_special_tokens = True
         self.pieces.specials = []
@@ -53,10 +60,10 @@ class ByteTokens:
         words = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         self.bytes = [bytes(back[c] for c in w) if all(c in back for c in w) else w.encode() for w in words]
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.pieces.seen) > PIECES:
-            self.pieces.seen.clear()
-        return [np.frombuffer(b"".join(self.pieces.of(f" {t}")), "<u4") for t in texts]
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has."""
+        each = [b"".join(x) for x in self.pieces.each([f" {t}" for t in texts])]
+        return np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) // 4
 
 
 class MarkedTokens:
@@ -71,14 +78,18 @@ class MarkedTokens:
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)
         ]
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, "<u4") for x in self.model.encode(texts, num_threads=1)]
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = self.model.encode(texts, num_threads=1)
+        n = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter(chain.from_iterable(each), "<u4", int(n.sum())), n
 
 
 class Window(NamedTuple):
-    """What is remembered of a window: its groups as text, each with a ';' after it, and the id
-    pairs that end together, each as eight bytes."""
+    """What is remembered of a window: its tokens on either side, its groups as text, each with a
+    ';' after it, and the id pairs that end together, each as eight bytes."""
 
+    n_a: int
+    n_b: int
     groups: bytes
     pairs: bytes
 
@@ -87,24 +98,21 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteTokens(path_a), MarkedTokens(path_b)
         self.size_a, self.size_b = (np.array([len(x) for x in t.bytes]) for t in (self.a, self.b))
-        self.spaced_a, self.spaced_b = (np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b))
         # an id as text: within its side, at the end of a group's first side, at a group's end
         n = max(len(self.a.bytes), len(self.b.bytes))
         self.width = n
         self.written = [str(i).encode() + mark for mark in (b",", b"|", b";") for i in range(n)]
-        self.known: dict[bytes, Window] = {}
-
-    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both sides of each text, or None where a side doesn't give the text back."""
-        whole = [f" {t}".encode() for t in texts if t]
-        given = [t for t in texts if t]
-        sides = []
-        for side in (self.a, self.b):
-            ids = side.ids(given)
-            good = [b"".join(map(side.bytes.__getitem__, x.tolist())) == w for x, w in zip(ids, whole, strict=True)]
-            sides.append(zip(ids, good, strict=True))
-        both = ((a, b) if ok_a and ok_b else None for (a, ok_a), (b, ok_b) in zip(*sides, strict=True))
-        return [next(both) if t else None for t in texts]
+        self.known: dict[str, Window | None] = {}
+        self.before: dict[str, Window | None] = {}
+
+    def given_back(self, side, ids: np.ndarray, n: np.ndarray, raw: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each text are its bytes."""
+        words = list(map(side.bytes.__getitem__, ids.tolist()))
+        upto = np.cumsum(n).tolist()
+        ends = np.cumsum([0, *map(len, words)])[upto]
+        if b"".join(words) == b"".join(raw) and (ends == np.cumsum(list(map(len, raw)))).all():  # as a rule
+            return np.ones(len(raw), bool)
+        return np.array([b"".join(words[i:j]) == r for i, j, r in zip([0, *upto], upto, raw, strict=False)])
 
     def aligned(self, a: np.ndarray, b: np.ndarray):
         """Groups of two sides that cover the same bytes: ids as text in the order of the groups,
@@ -121,69 +129,59 @@ class Aligner:
         upto_a, upto_b = np.flatnonzero(last_a), np.flatnonzero(last_b)
         return texts, upto_a + 1, upto_b + 1, a[upto_a].astype("<i8") << 32 | b[upto_b]
 
-    def _learn(self, keys: list[bytes], into: dict[bytes, Window], late: dict[bytes, Window]) -> None:
-        """Align windows that are not known, all of them in one go: their borders are shared ends."""
-        ids = np.frombuffer(b"".join(keys), "<u4")
-        sizes = np.array([len(k) // 4 for k in keys])
-        bars = np.flatnonzero(ids == _BAR)
-        side = np.zeros(len(ids), np.int8)
-        starts = np.cumsum(sizes) - sizes
-        side[starts] += 1
-        side[bars] = 1
-        # a window's first side runs up to its bar
-        in_a = np.cumsum(side) % 2 == 1
-        a, b = ids[in_a & (ids != _BAR)], ids[~in_a & (ids != _BAR)]
-        texts, upto_a, upto_b, pairs = self.aligned(a, b)
-        tokens = np.cumsum(sizes - 1)
+    def whole(self, texts: list[str]) -> list[Window | None]:
+        """Texts as windows, None where there are no tokens, all of them in one go: every text
+        begins at a shared end."""
+        if not texts:
+            return []
+        raw = [f" {t}".encode() for t in texts]
+        (a, n_a), (b, n_b) = self.a.ids(texts), self.b.ids(texts)
+        good = self.given_back(self.a, a, n_a, raw) & self.given_back(self.b, b, n_b, raw)
+        a, b, n_a, n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a[good], n_b[good]
+        parts, upto_a, upto_b, pairs = self.aligned(a, b)
+        tokens = np.cumsum(n_a + n_b)
         groups = np.searchsorted(upto_a + upto_b, tokens, "left") + 1
-        raw, t, g = pairs.tobytes(), 0, 0
-        for key, t_end, g_end in zip(keys, tokens.tolist(), groups.tolist(), strict=True):
-            (into if len(key) <= 4 * LONGEST_WINDOW else late)[key] = Window(b"".join(texts[t:t_end]), raw[8 * g : 8 * g_end])
+        raw, t, g, out = pairs.tobytes(), 0, 0, []
+        for x, y, t_end, g_end in zip(n_a.tolist(), n_b.tolist(), tokens.tolist(), groups.tolist(), strict=True):
+            out.append(Window(x, y, b"".join(parts[t:t_end]), raw[8 * g : 8 * g_end]))
             t, g = t_end, g_end
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """The ids of each window, and its end among the tokens of a. Windows are cut at shared
-        ends that a token marked by a space follows on both sides."""
-        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        before_a, before_b = np.flatnonzero(self.spaced_a[a[1:]]), np.flatnonzero(self.spaced_b[b[1:]])
-        at_a, at_b = ends_a[before_a], ends_b[before_b]
-        marked = np.zeros((2, ends_a[-1] + 1), bool)
-        marked[0, at_a], marked[1, at_b] = True, True
-        cuts_a = np.concatenate([before_a[marked[1, at_a]] + 1, [len(a)]])
-        cuts_b = np.concatenate([before_b[marked[0, at_b]] + 1, [len(b)]])
-        # the ids of a, a bar and the ids of b, window after window
-        own = np.arange(len(cuts_a))
-        laid = np.empty(len(a) + len(b) + len(own), "<u4")
-        n_a, n_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
-        laid[np.arange(len(a)) + np.repeat(cuts_b - n_b + own, n_a)] = a
-        laid[cuts_a + cuts_b - n_b + own] = _BAR
-        laid[np.arange(len(b)) + np.repeat(cuts_a + own + 1, n_b)] = b
-        raw, ends = laid.tobytes(), 4 * (cuts_a + cuts_b + own + 1)
-        return [raw[i:j] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], cuts_a
+        each = iter(out)
+        return [next(each) if x else None for x in good.tolist()]
+
+    def _learn(self, used: set[str]) -> list[str]:
+        """Know all these windows; returned are those that are too long to be remembered."""
+        if len(self.known) > WINDOWS // 2:
+            self.before, self.known = self.known, {}
+        new = []
+        for w in used.difference(self.known):
+            if w in self.before:
+                self.known[w] = self.before[w]
+            else:
+                new.append(w)
+        self.known.update(zip(new, self.whole(new), strict=True))
+        return [w for w in new if len(w) > LONGEST_WINDOW]
 
     def of(self, texts: list[str | None]) -> list[tuple | None]:
         """Per text (tokens of a, tokens of b, groups, id pairs, digest), or None where there are none."""
-        both = self.tokens(texts)
-        there = [x for x in both if x]
-        if not there:
-            return [None] * len(texts)
-        # texts follow each other like words: each begins with a token marked by a space
-        keys, ends = self.windows(np.concatenate([a for a, _ in there]), np.concatenate([b for _, b in there]))
-        if len(self.known) > WINDOWS:
-            self.known.clear()
-        late: dict[bytes, Window] = {}
-        if new := list(set(keys).difference(self.known)):
-            self._learn(new, self.known, late)
-        found = [late[k] if k in late else self.known[k] for k in keys] if late else list(map(self.known.__getitem__, keys))
-        upto = np.searchsorted(ends, np.cumsum([len(a) for a, _ in there]), "left") + 1
-        out, start = [], 0
-        for (a, b), end in zip(there, upto.tolist(), strict=True):
-            groups, pairs = zip(*found[start:end], strict=True)
-            pairs = np.frombuffer(b"".join(pairs), "<i8")
-            out.append((len(a), len(b), len(pairs), pairs, hashlib.sha256(b"".join(groups)[:-1]).hexdigest()))
-            start = end
-        each = iter(out)
-        return [next(each) if x else None for x in both]
+        out = []
+        for k in range(0, len(texts), TOGETHER):
+            some = texts[k : k + TOGETHER]
+            cuts = [(ANCHOR.split(t) if NO_ANCHOR.search(t) else t.split(" ")) if t and not ODD_SPACE.search(t) else None for t in some]
+            long = self._learn(set().union(*filter(None, cuts)))
+            found = [list(map(self.known.__getitem__, c)) if c else None for c in cuts]
+            odd = [i for i, x in enumerate(found) if some[i] and (x is None or None in x)]
+            for i, x in zip(odd, self.whole([some[i] for i in odd]), strict=True):
+                found[i] = [x] if x else None
+            for w in long:
+                del self.known[w]
+            for x in found:
+                if x is None:
+                    out.append(None)
+                    continue
+                n_a, n_b, groups, pairs = zip(*x, strict=True)
+                pairs = np.frombuffer(b"".join(pairs), "<i8")
+                out.append((sum(n_a), sum(n_b), len(pairs), pairs, hashlib.sha256(b"".join(groups)[:-1]).hexdigest()))
+        return out
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")

@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from loomstead.llm import queries, token_alignment
+from loomstead.llm import piece_cache, queries, token_alignment
 from tokenizers import Tokenizer
 
 FOLDER = "/root/testdata/sf0.001"
@@ -121,3 +121,26 @@ def test_windows_are_remembered_within_bounds(libraries, monkeypatch):
     for text in ("one two three four five six", "seven eight nine", "one two three four five six"):
         assert aligner.of([text, None, text])[2][2] == len(groups_of(libraries, text))
     assert 0 < len(aligner.known) <= 9
+
+
+def test_pieces_met_again_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(piece_cache, "CACHED", 200)
+    monkeypatch.setattr(piece_cache, "TOGETHER", 1)
+    pieces = piece_cache.id_bytes(public_tokenizers.path("word_bpe_49k.json"))
+    word, learnt = pieces._word, []
+    pieces._word = lambda w: learnt.append(w) or word(w)
+    texts = ["the hot words " + " ".join("".join(chr(97 + (k * 40 + j) // 26**i % 26) for i in range(4)) for j in range(40)) for k in range(30)]
+    assert [b"".join(x) for x in pieces.each(texts)] == [pieces.whole(t) for t in texts]
+    assert learnt.count("hot") == 1 and len(pieces.seen) + len(pieces.before) <= 300
+
+
+def test_a_window_is_encoded_once_whatever_stands_around(libraries):
+    aligner, given = token_alignment.Aligner(A, B), []
+    whole = aligner.whole
+    aligner.whole = lambda texts: given.extend(texts) or whole(texts)
+    texts = ["some words. here", "here  are\n \nsome words.", " words. a", "a▁b some", "x\t y \n z  "] * 2
+    for text, found in zip(texts, aligner.of(texts), strict=True):
+        groups = groups_of(libraries, text)
+        plain = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        assert (found and found[4]) == (hashlib.sha256(plain.encode()).hexdigest() if groups else None)
+    assert given.count("some") == given.count("words.") == 1 and "some words. here" not in given
