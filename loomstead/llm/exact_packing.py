@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstead.llm.common import cut
+from loomstead.llm.common import cut, texts_of
 from loomstead.llm.piece_cache import id_bytes
 
 CAPACITY = 2048
@@ -147,8 +147,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int
         encoder = id_bytes(path)
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
-            for k, ids in enumerate(encoder.each([t or "" for t in batch.column("text").to_pylist()])):
-                data = b"".join(ids) + end
+            for k, ids in enumerate(encoder.ids(texts_of(batch))):
+                data = ids + end
                 for p, s in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[s : s + 4 * capacity]
                     at.append(k)

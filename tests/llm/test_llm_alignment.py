@@ -144,3 +144,24 @@ def test_a_window_is_encoded_once_whatever_stands_around(libraries):
         plain = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
         assert (found and found[4]) == (hashlib.sha256(plain.encode()).hexdigest() if groups else None)
     assert given.count("some") == given.count("words.") == 1 and "some words. here" not in given
+
+
+_WORDS = piece_cache.id_bytes(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abÀé×÷ÃßS'.,1 \n\t\x00\x1c\xa0µ̈語😀", max_size=40), max_size=6))
+def test_ids_of_pieces_on_arrays_equal_the_library(texts):
+    own, extra = _WORDS, ["abcdefghijklmnopqrstuvwxyz, " * 2, "x <|endoftext|> y"]
+    whole = [own.whole(t) for t in texts + extra]
+    assert list(own.ids([t.encode() for t in texts + extra])) == whole
+
+
+def test_only_distinct_pieces_become_python_objects(monkeypatch):
+    """A gigabyte of text has some 200 million pieces; looking each up took op7 431 CPU seconds of it."""
+    own = piece_cache.id_bytes(public_tokenizers.path("word_bpe_49k.json"))
+    asked = []
+    kept = own._kept
+    monkeypatch.setattr(own, "_kept", lambda pieces, distinct: asked.extend(pieces) or kept(pieces, distinct))
+    assert list(own.ids([b"ein Wort, ein Wort " * 500] * 20)) == [own.whole("ein Wort, ein Wort " * 500)] * 20
+    assert sorted(asked) == [",", "Wort", "ein"]
