@@ -44,6 +44,8 @@ TABLES, LEAF = 4, 1600
 SETTLED = 0.001
 BLOCK = 4096
 QUERY_BLOCK = 256
+#: So many vectors a block may fetch all of; then this many blocks are enough.
+FETCHED, PARTS = 1 << 17, 4
 BEAM, STEP = 256, 64
 FINAL = 64
 ENTRIES = 16
@@ -52,6 +54,13 @@ SEED = 10
 EDGES = "node bigint, other bigint, sim double"
 
 
+def _blocks(rows: int, each: int, total: int) -> int:
+    """Blocks of about ``each`` rows. While all vectors are few enough to be fetched by one block,
+    every block fetches nearly all of them, so their number must not grow with the rows."""
+    blocks = max(1, math.ceil(rows / each))
+    return min(blocks, PARTS) if total <= FETCHED else blocks
+
+
 def _valid(rows: DataFrame) -> DataFrame:
     good = "embedding IS NOT NULL AND vec_id IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND abs(x) < double('Infinity')) AND exists(embedding, x -> x <> 0)"
     return rows.select("vec_id", "embedding").filter(good)
@@ -217,7 +226,7 @@ def neighbour_graph(vectors: DataFrame, total: int, degree: int = DEGREE, settle
     get nearer, so the rounds end."""
     graph = cut(_top(_first_edges(vectors, total, degree), degree))
     while True:
-        before, graph = graph, _descended(graph, vectors, max(1, math.ceil(total / BLOCK)), degree)
+        before, graph = graph, _descended(graph, vectors, _blocks(total, BLOCK, total), degree)
         if _changed(before, graph) <= settled:
             break
     return cut(_lists(graph, degree))
@@ -236,9 +245,8 @@ def _entries(vectors: DataFrame) -> list[int]:
     return sorted(r["node"] for r in some.agg(F.min("node").alias("node")).collect())
 
 
-def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, total: int) -> DataFrame:
+def _searched(queries: DataFrame, vectors: DataFrame, lists: DataFrame, blocks: int) -> DataFrame:
     """(node, found): for each query node the ids of the ``FINAL`` nearest nodes found."""
-    blocks = max(1, math.ceil(total / QUERY_BLOCK))
     block = F.expr(f"CAST(pmod(xxhash64(node, {SEED}), {blocks}) AS INT)").alias("block")
     kind = "block int, node bigint, vec binary, ids array<bigint>, sims array<double>, done array<boolean>"
     none = {"ids": "array<bigint>", "sims": "array<double>", "done": "array<boolean>"}
@@ -290,7 +298,7 @@ def nearest(rows: DataFrame, is_query: str, top: int = TOP, degree: int = DEGREE
     total = vectors.count()
     asked = members.filter(is_query).distinct()
     asking = cut(asked.select("node").distinct())
-    found = cut(_searched(asking, vectors, neighbour_graph(vectors, total, degree, settled), asking.count()))
+    found = cut(_searched(asking, vectors, neighbour_graph(vectors, total, degree, settled), _blocks(asking.count(), QUERY_BLOCK, total)))
     # Exact scores of the nodes found, of which enough to hold the nearest rows are kept.
     plain = nodes.select("node", "embedding")
     pairs = found.select("node", F.explode("found").alias("other"))
