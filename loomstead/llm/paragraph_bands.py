@@ -55,8 +55,9 @@ GAP_WORDS = 16
 PASSAGE_WORDS = 30
 CONTEXT = 64
 GROUP = 128
-SLOTS, MOST_BITS, SEGMENT = 8, 1 << 30, 1 << 19
-SLICE, HELD = 1 << 20, 1 << 20
+SLOTS, MOST_BITS, SEGMENT = 16, 1 << 30, 1 << 19
+SHIFTS = (0, 32)
+SLICE, HELD = 1 << 19, 1 << 19
 ENDS = np.frombuffer(b".?!", np.uint8)
 
 _rng = np.random.default_rng(5)
@@ -73,8 +74,8 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     if not len(starts):
         return out
     power = np.cumprod(np.full(int((ends - starts).max()), _M))
-    # Slices of about a megabyte bound what the intermediate arrays take.
-    cuts = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, int(ends[-1]), 1 << 20)), [len(starts)]]))
+    # Slices of some kilobytes: the intermediate arrays stay small, and in the processor's cache.
+    cuts = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, int(ends[-1]), 1 << 16)), [len(starts)]]))
     for i, j in zip(cuts[:-1], cuts[1:], strict=True):
         base, size = starts[i:j] - starts[i], ends[i:j] - starts[i:j]
         span = np.diff(np.append(base, ends[j - 1] - starts[i]))
@@ -298,13 +299,17 @@ def _banded(docs: DataFrame, known: np.ndarray) -> DataFrame:
 
 
 def _is_set(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Whether the bitmap has the bit of each number."""
-    slot = values.view(np.uint64) & np.uint64(8 * len(bitmap) - 1)
-    return (bitmap[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    """Whether the bitmap has both bits of each number."""
+    values, most = values.view(np.uint64), np.uint64(8 * len(bitmap) - 1)
+    out = np.ones(values.shape, bool)
+    for shift in SHIFTS:  # the second bit is only looked up where the first is set
+        slot = (values[out] >> np.uint64(shift)) & most
+        out[out] = (bitmap[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return out
 
 
 def _bitmap(some: DataFrame) -> np.ndarray:
-    """A bit for each value of a column of longs, with ``SLOTS`` bits a value, ``MOST_BITS`` at
+    """Two bits for each value of a column of longs, of ``SLOTS`` bits a value, ``MOST_BITS`` at
     most. Each segment of ``SEGMENT`` bits is put together in a task of Spark."""
     some = some.toDF("value")
     bits = 1 << 16
@@ -316,7 +321,8 @@ def _bitmap(some: DataFrame) -> np.ndarray:
         own[frame["slot"].to_numpy() % SEGMENT] = True
         return pd.DataFrame({"segment": [int(frame["slot"].iloc[0]) // SEGMENT], "bits": [np.packbits(own, bitorder="little").tobytes()]})
 
-    slots = some.select(F.expr(f"value & {bits - 1}L").alias("slot")).distinct()
+    both = ", ".join(f"shiftrightunsigned(value, {shift}) & {bits - 1}L" for shift in SHIFTS)
+    slots = some.select(F.expr(f"explode(array({both}))").alias("slot")).distinct()
     parts = slots.groupBy(F.expr(f"slot DIV {SEGMENT}")).applyInPandas(run, "segment bigint, bits binary")
     out = np.zeros(max(bits, SEGMENT) // 8, np.uint8)
     for r in parts.toLocalIterator():
@@ -418,23 +424,25 @@ def marked_paragraphs(docs: DataFrame) -> DataFrame:
     return join_per_key(marked, kept, ["class"], "inner")
 
 
-def stretches(parts: list[dict]) -> list[dict]:
-    """Fold a document's marked paragraphs, in order, into stretches with little in between."""
-    out: list[dict] = []
-    for p in parts:
-        until = p["first"] + p["size"]
-        if out and p["first"] <= out[-1]["until"] + GAP_WORDS:
-            last, gap = out[-1], p["first"] - out[-1]["until"]
-            last["lost"] += gap + SHINGLE - 1 if gap > 0 else 0
+def stretches(first: list[int], size: list[int], docs: list) -> list[tuple]:
+    """Fold a document's marked paragraphs, in order, into stretches with little in between:
+    first and last word, the numbers of the first and the last paragraph and of that whose copy
+    is the tail, the documents of the copies (``docs`` has each paragraph's), and ``lost``."""
+    out, begin, until, head, tail, lost = [], 0, 0, 0, 0, 0
+    for k, (place, n) in enumerate(zip(first, size, strict=True)):
+        gap = place - until
+        if k and gap <= GAP_WORDS:
+            lost += gap + SHINGLE - 1 if gap > 0 else 0
             # A paragraph that ends within the stretch leaves its last one last.
-            if until >= last["until"]:
-                last["until"], last["tail"] = until, p["kept"]
-        else:
-            last = {"first": p["first"], "until": until, "head": p["kept"], "tail": p["kept"], "classes": [], "docs": {}, "lost": 0}
-            out.append(last)
-        last["classes"].append(p["class"])
-        last["docs"][p["kept"]["doc_id"]] = None
-    return [s | {"docs": list(s["docs"])} for s in out]
+            if place + n >= until:
+                until, tail = place + n, k
+            continue
+        if k:
+            out.append((begin, until, head, k, tail, list(dict.fromkeys(docs[head:k])), lost))
+        begin, until, head, tail, lost = place, place + n, k, k, 0
+    if len(first):
+        out.append((begin, until, head, len(first), tail, list(dict.fromkeys(docs[head:])), lost))
+    return out
 
 
 def as_one(a: dict, b: dict) -> dict | None:
@@ -491,10 +499,30 @@ def _listed(rows: DataFrame, of_list, schema: str, parts) -> DataFrame:
 
 def _stretches(marked: DataFrame) -> DataFrame:
     """The stretches of marked paragraphs: first and until, the kept places of the first and
-    the last paragraph, all classes and the documents that keep them."""
+    the last paragraph, all classes and the documents that keep them. Kept places stay in Arrow."""
     kept, id_type = (marked.schema[n].dataType.simpleString() for n in ("kept", "doc_id"))
     schema = f"doc_id {id_type}, _text bigint, first int, until int, head {kept}, tail {kept}, classes array<bigint>, docs array<{id_type}>, lost int"
-    return _listed(marked, stretches, schema, F.struct("first", "size", "class", "kept"))
+    parts = F.array_sort(F.collect_set(F.struct("first", "size", "class", "kept"))).alias("parts")
+    kinds = to_arrow_schema(marked.sparkSession.createDataFrame([], schema).schema)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("parts")
+            edges = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy())).tolist()
+            first, size, own, copies = lists.flatten().flatten()
+            begins, sizes, docs = first.to_pylist(), size.to_pylist(), copies.flatten()[1].to_pylist()
+            found = [(k, i, x) for k, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) for x in stretches(begins[i:j], sizes[i:j], docs[i:j])]
+            at = pa.array([k for k, _, _ in found], pa.int64())
+            ints = [pa.array([x[n] for _, _, x in found], pa.int32()) for n in (0, 1, 6)]
+            ends = [copies.take(pa.array([i + x[n] for _, i, x in found], pa.int64())).cast(kinds.field("head").type) for n in (2, 4)]
+            # A document's stretches take its paragraphs in a row, so their classes are one array cut up.
+            cuts = pa.array([*[i + x[2] for _, i, x in found], len(own)], pa.int32())
+            classes = pa.ListArray.from_arrays(cuts, own).cast(kinds.field("classes").type)
+            kept_in = pa.array([x[5] for _, _, x in found], kinds.field("docs").type)
+            columns = [batch.column("doc_id").take(at), batch.column("_text").take(at), *ints[:2], *ends, classes, kept_in, ints[2]]
+            yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
+
+    return marked.groupBy("doc_id", "_text").agg(parts).mapInArrow(run, schema)
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
