@@ -3,6 +3,7 @@
 import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from loomstead.llm import paragraph_bands
 
@@ -120,3 +121,33 @@ def test_memory_follows_a_slice_of_the_texts():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 8 * 8 * len(words)
+
+
+def test_bitmaps_know_little_else(spark):
+    """One bit a value let one in eight of other values pass, sixteen of which a paragraph has."""
+    rng = np.random.default_rng(3)
+    values = rng.integers(-(1 << 63), (1 << 63) - 1, 60_000)
+    frame = spark.createDataFrame(pd.DataFrame({"value": values}))
+    bitmap = paragraph_bands._bitmap(frame)
+    assert paragraph_bands._is_set(bitmap, values).all()
+    assert paragraph_bands._is_set(bitmap, rng.integers(-(1 << 63), (1 << 63) - 1, (4, 25_000))).mean() < 0.03
+
+
+def test_stretches_equal_a_plain_fold():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(0, 12))
+        first, size = sorted(rng.integers(0, 200, n).tolist()), rng.integers(8, 40, n).tolist()
+        docs, plain = rng.integers(0, 4, n).tolist(), []
+        for k in range(n):
+            until, last = first[k] + size[k], plain[-1] if plain else None
+            if last and first[k] <= last["until"] + paragraph_bands.GAP_WORDS:
+                gap = first[k] - last["until"]
+                last["lost"] += gap + paragraph_bands.SHINGLE - 1 if gap > 0 else 0
+                if until >= last["until"]:
+                    last |= {"until": until, "tail": k}
+            else:
+                plain.append({"first": first[k], "until": until, "head": k, "tail": k, "own": [], "lost": 0})
+            plain[-1]["own"].append(k)
+        want = [(x["first"], x["until"], x["head"], x["own"][-1] + 1, x["tail"], list(dict.fromkeys(docs[k] for k in x["own"])), x["lost"]) for x in plain]
+        assert paragraph_bands.stretches(first, size, docs) == want
