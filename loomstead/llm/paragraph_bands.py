@@ -58,6 +58,8 @@ GROUP = 128
 SLOTS, MOST_BITS, SEGMENT = 16, 1 << 30, 1 << 19
 SHIFTS = (0, 32)
 SLICE, HELD = 1 << 19, 1 << 19
+#: Band keys are counted by their upper bits; of the lower ones, so many tell contents apart.
+TAG = np.uint64(24)
 ENDS = np.frombuffer(b".?!", np.uint8)
 
 _rng = np.random.default_rng(5)
@@ -217,10 +219,34 @@ def _shards(docs: DataFrame) -> int:
     return max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / (1 << 23)))
 
 
+def tagged(keys: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Band keys (one row per band) whose lower bits are replaced by a hash of key and content:
+    one content gives a key the same number wherever it occurs, others give it other numbers
+    (but for about one pair in 2 ** 24, of each band they share anew)."""
+    out = keys ^ content
+    out *= _M
+    out >>= np.uint64(64) - TAG
+    out |= keys >> TAG << TAG
+    return out
+
+
+def counted_as(keys: np.ndarray) -> np.ndarray:
+    """The upper bits of band keys, tagged or not, spread over 64 bits as bitmaps want them."""
+    mixed = (keys >> TAG) * _M
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _keys(words: np.ndarray, place: np.ndarray, size: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which paragraphs are the first of their content in a slice, and their band keys, one row per band."""
+    some = np.sort(np.unique(content, return_index=True)[1])  # in order of place, as folding wants them
+    return some, np.array(bands(shingles_of(words), place[some], size[some])).reshape(BANDS, -1).view(np.uint64)
+
+
 def _twice(docs: DataFrame) -> DataFrame:
-    """(kind, value): the contents (kind 0) and band keys (kind 1) that occur twice or more,
-    band keys of one content included. Numbers travel packed, a sorted run for each shard, and a
-    task sends one at most twice, so a hot one is a few bytes of a task."""
+    """(kind, value): the contents that occur twice or more (kind 0), and the band keys, as
+    ``counted_as`` has them, of two contents or more (kind 1): the keys of a content that is
+    only repeated meet nothing. Numbers travel packed, a sorted run for each shard, and a task
+    sends one at most twice, so a hot one is a few bytes of a task."""
     shards = _shards(docs)
 
     def run(batches):
@@ -229,11 +255,10 @@ def _twice(docs: DataFrame) -> DataFrame:
 
         def packed():
             for kind in (0, 1):
-                value, n = np.unique(np.concatenate([*kept[kind], np.zeros(0, np.uint64)]), return_counts=True)
-                value = np.concatenate([value, value[n > 1]])
+                value = np.sort(np.concatenate([*kept[kind], np.zeros(0, np.uint64)]))
+                most = 2 - kind  # as a tagged band key says itself whether contents differ
+                value = value[np.append(np.ones(min(most, len(value)), bool), value[most:] != value[:-most])]
                 shard = ((value >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                value, shard = value[order], shard[order]
                 edges = np.flatnonzero(np.diff(shard, prepend=-1))
                 parts = [x.tobytes() for x in np.split(value, edges[1:])] if len(value) else []
                 columns = [pa.array(shard[edges].astype(np.int32)), pa.array(np.full(len(edges), kind, np.int32)), pa.array(parts, pa.binary())]
@@ -242,17 +267,24 @@ def _twice(docs: DataFrame) -> DataFrame:
         for batch in _slices(batches):
             _, _, size, place, words, lengths = cut_up(texts_of(batch))
             _, begin = windows(words, lengths)
-            kept[0] += [contents(words, p, n).view(np.uint64) for p, n in ((place, size), (begin, np.full(len(begin), WINDOW)))]
-            kept[1] += [b.view(np.uint64) for b in bands(shingles_of(words), place, size)]
-            held += len(begin) + (BANDS + 1) * len(place)
+            content = contents(words, place, size)
+            kept[0] += [content.view(np.uint64), contents(words, begin, np.full(len(begin), WINDOW)).view(np.uint64)]
+            some, keys = _keys(words, place, size, content)
+            kept[1].append(tagged(keys, content[some].view(np.uint64)).ravel())
+            held += len(begin) + len(place) + keys.size
             if held > HELD:
                 yield from packed()
                 kept, held = [[], []], 0
         yield from packed()
 
     def repeated(frame: pd.DataFrame) -> pd.DataFrame:
-        value, n = np.unique(np.frombuffer(b"".join(frame["numbers"]), np.uint64), return_counts=True)
-        return pd.DataFrame({"kind": frame["kind"].iloc[0], "value": value[n > 1].view(np.int64)})
+        kind, value = frame["kind"].iloc[0], np.sort(np.frombuffer(b"".join(frame["numbers"]), np.uint64))
+        if kind == 0:
+            again = value[1:][value[1:] == value[:-1]]
+        else:  # equal upper bits, other tags
+            again = value[1:][(value[1:] >> TAG == value[:-1] >> TAG) & (value[1:] != value[:-1])]
+            again = counted_as(again)
+        return pd.DataFrame({"kind": kind, "value": np.unique(again).view(np.int64)})
 
     sent = docs.select("text").mapInArrow(run, "shard int, kind int, numbers binary")
     return sent.groupBy("shard", "kind").applyInPandas(repeated, "kind int, value bigint")
@@ -284,16 +316,15 @@ def _found(docs: DataFrame, known: np.ndarray) -> DataFrame:
 
 
 def _banded(docs: DataFrame, known: np.ndarray) -> DataFrame:
-    """(key, content): the band keys that the bitmap knows, once with each content."""
+    """(key, content): the band keys that the bitmap knows (by ``counted_as``), once with each content."""
 
     def run(batches):
         for batch in _slices(batches):
             row, first, size, place, words, _ = cut_up(texts_of(batch))
             content = contents(words, place, size)
-            some = np.sort(np.unique(content, return_index=True)[1])  # in order of place, as folding wants them
-            keys = np.array(bands(shingles_of(words), place[some], size[some])).reshape(BANDS, -1)
-            band, at = np.nonzero(_is_set(known, keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[band, at]), pa.array(content[some][at])], names=["key", "content"])
+            some, keys = _keys(words, place, size, content)
+            band, at = np.nonzero(_is_set(known, counted_as(keys)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[band, at].view(np.int64)), pa.array(content[some][at])], names=["key", "content"])
 
     return docs.select("text").mapInArrow(run, "key bigint, content bigint").distinct()
 
@@ -374,14 +405,42 @@ def similar(sets: list[np.ndarray]) -> np.ndarray:
     return 5 * both >= 4 * (sizes[:, None] + sizes[None, :] - both)
 
 
+def alike_pairs(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For sets of so many values, one after the other, whether the first and the second, the
+    third and the fourth, ... have a Jaccard similarity of 0.8 or more, exactly."""
+    total = sizes[::2] + sizes[1::2]
+    pair = np.repeat(np.arange(len(total)), total)
+    order = np.lexsort((values, pair))
+    values, pair = values[order], pair[order]
+    both = np.bincount(pair[1:][(values[1:] == values[:-1]) & (pair[1:] == pair[:-1])], minlength=len(total))
+    return 5 * both >= 4 * (total - both)
+
+
 def _linked(batches):
-    """A spanning forest of each group's links between different contents."""
+    """A spanning forest of each group's links between different contents. Most groups are
+    pairs; these are compared together."""
+    names = ["a", "b"]
+    pairs: list[dict] = []
+
+    def of_pairs():
+        if pairs:
+            sets = [x for run in pairs for x in run["shingles"]]
+            same = alike_pairs(np.concatenate(sets), np.array([len(x) for x in sets]))
+            ends = np.array([run["content"] for run in pairs])[same]
+            pairs.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=names)
+
     for run in runs(batches):
         n = len(run["content"])
-        if n < 2:
+        if n < 2 or (apart := run["lo"][0] != run["hi"][0]) and (run["part"] == run["part"][0]).all():
+            continue
+        if n == 2:
+            pairs.append(run)
+            if len(pairs) == 1024:
+                yield from of_pairs()
             continue
         alike = similar(list(run["shingles"]))
-        if run["lo"][0] != run["hi"][0]:
+        if apart:
             alike &= run["part"][:, None] != run["part"][None, :]
         sets, left, right = Sets(n), [], []
         for i, j in zip(*np.nonzero(np.triu(alike, 1)), strict=True):
@@ -389,7 +448,8 @@ def _linked(batches):
                 left.append(int(run["content"][i]))
                 right.append(int(run["content"][j]))
         if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=names)
+    yield from of_pairs()
 
 
 def _classes(docs: DataFrame) -> DataFrame:
@@ -412,16 +472,17 @@ def _classes(docs: DataFrame) -> DataFrame:
     alone = several.join(roots, several["class"] == roots["node"], "left_anti").select(F.col("class").alias("content"), "class")
     repeated = cut(members.join(several, "class").select("content", "class").unionByName(alone))
     some = _where_known(found, _bitmap(repeated.select("content")), "content")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "first", "size")
-    return cut(some.join(repeated, "content").withColumn("place", place))
+    return cut(some.join(repeated, "content").select("doc_id", "_text", "first", "size", "crossing", "class"))
 
 
 def marked_paragraphs(docs: DataFrame) -> DataFrame:
-    """Paragraphs of classes that occur in several documents: doc_id, _text, first, size, class
-    and ``kept``, the place of the class's first paragraph."""
+    """Paragraphs of classes that occur in several documents: doc_id, _text, first, size, class,
+    their ``place``, and ``kept``, the place of the class's first paragraph."""
     marked = _classes(docs)
-    kept = marked.groupBy("class").agg(F.min("place").alias("kept"))
-    return join_per_key(marked, kept, ["class"], "inner")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text", "first", "size")
+    kept = marked.groupBy("class").agg(F.min(place).alias("kept"))
+    # A place is put together after the join, so that nothing is moved twice.
+    return join_per_key(marked, kept, ["class"], "inner").withColumn("place", place)
 
 
 def stretches(first: list[int], size: list[int], docs: list) -> list[tuple]:
@@ -497,32 +558,58 @@ def _listed(rows: DataFrame, of_list, schema: str, parts) -> DataFrame:
     return own.mapInArrow(run, schema)
 
 
+def changes(rows: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    """Whether each row but the first differs from the row before it in any of the columns; nulls are equal."""
+    out = np.zeros(max(rows.num_rows - 1, 0), bool)
+    for column in map(rows.column, names):
+        a, b = column.slice(0, len(out)), column.slice(1)
+        one = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.not_equal(a.is_null(), b.is_null()))
+        out |= one.to_numpy(zero_copy_only=False)
+    return out
+
+
 def _stretches(marked: DataFrame) -> DataFrame:
     """The stretches of marked paragraphs: first and until, the kept places of the first and
     the last paragraph, all classes and the documents that keep them. Kept places stay in Arrow."""
     kept, id_type = (marked.schema[n].dataType.simpleString() for n in ("kept", "doc_id"))
     schema = f"doc_id {id_type}, _text bigint, first int, until int, head {kept}, tail {kept}, classes array<bigint>, docs array<{id_type}>, lost int"
-    parts = F.array_sort(F.collect_set(F.struct("first", "size", "class", "kept"))).alias("parts")
     kinds = to_arrow_schema(marked.sparkSession.createDataFrame([], schema).schema)
+    names = ["doc_id", "_text", "first", "size", "class", "kept"]
+
+    def folded(rows: pa.RecordBatch, edges: list[int]):
+        """The stretches of whole documents, that begin at the edges."""
+        begins, sizes = (rows.column(n).to_pylist() for n in ("first", "size"))
+        own, copies = rows.column("class"), rows.column("kept")
+        docs = copies.field("doc_id").to_pylist()
+        found = [(i, x) for i, j in zip(edges, edges[1:], strict=False) for x in stretches(begins[i:j], sizes[i:j], docs[i:j])]
+        at = pa.array([i for i, _ in found], pa.int64())
+        ints = [pa.array([x[n] for _, x in found], pa.int32()) for n in (0, 1, 6)]
+        ends = [copies.take(pa.array([i + x[n] for i, x in found], pa.int64())).cast(kinds.field("head").type) for n in (2, 4)]
+        # A document's stretches take its paragraphs in a row, so their classes are one array cut up.
+        cuts = pa.array([*[i + x[2] for i, x in found], len(own)], pa.int32())
+        classes = pa.ListArray.from_arrays(cuts, own).cast(kinds.field("classes").type)
+        kept_in = pa.array([x[5] for _, x in found], kinds.field("docs").type)
+        columns = [rows.column("doc_id").take(at), rows.column("_text").take(at), *ints[:2], *ends, classes, kept_in, ints[2]]
+        return pa.RecordBatch.from_arrays(columns, names=kinds.names)
 
     def run(batches):
+        rest = None  # of the last document so far
         for batch in batches:
-            lists = batch.column("parts")
-            edges = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy())).tolist()
-            first, size, own, copies = lists.flatten().flatten()
-            begins, sizes, docs = first.to_pylist(), size.to_pylist(), copies.flatten()[1].to_pylist()
-            found = [(k, i, x) for k, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) for x in stretches(begins[i:j], sizes[i:j], docs[i:j])]
-            at = pa.array([k for k, _, _ in found], pa.int64())
-            ints = [pa.array([x[n] for _, _, x in found], pa.int32()) for n in (0, 1, 6)]
-            ends = [copies.take(pa.array([i + x[n] for _, i, x in found], pa.int64())).cast(kinds.field("head").type) for n in (2, 4)]
-            # A document's stretches take its paragraphs in a row, so their classes are one array cut up.
-            cuts = pa.array([*[i + x[2] for _, i, x in found], len(own)], pa.int32())
-            classes = pa.ListArray.from_arrays(cuts, own).cast(kinds.field("classes").type)
-            kept_in = pa.array([x[5] for _, _, x in found], kinds.field("docs").type)
-            columns = [batch.column("doc_id").take(at), batch.column("_text").take(at), *ints[:2], *ends, classes, kept_in, ints[2]]
-            yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
-
-    return marked.groupBy("doc_id", "_text").agg(parts).mapInArrow(run, schema)
+            rows = batch if rest is None else pa.concat_batches([rest, batch])
+            other = changes(rows, ["doc_id", "_text"])
+            # A repeated document's paragraphs come in copies side by side.
+            once = np.append(True, other | changes(rows, ["first", "size", "class"]))
+            rows, other = rows.filter(pa.array(once)), np.append(True, other)[once]
+            edges = np.flatnonzero(other).tolist()
+            rest = rows.slice(edges[-1])
+            if len(edges) > 1:
+                yield folded(rows.slice(0, edges[-1]), edges)
+        if rest is not None:
+            yield folded(rest, [0, rest.num_rows])
+
+    rows = marked.select(F.xxhash64("doc_id", "_text").alias("_doc"), *names)
+    rows = rows.repartition("_doc").sortWithinPartitions("_doc", *names[:-1])
+    return rows.select(*names).mapInArrow(run, schema)
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -565,7 +652,7 @@ def passages(docs: DataFrame) -> DataFrame:
     marked = marked_paragraphs(docs).filter("place <> kept")
     # Windows overlap; of a text that repeats itself they must not take what stays.
     marked = marked.filter("NOT crossing OR place.doc_id IS DISTINCT FROM kept.doc_id OR place._text <> kept._text")
-    found = cut(_stretches(cut(marked)))
+    found = cut(_stretches(marked))
     ends = {
         "own_head": ("doc_id", "_text", F.col("first"), -1), "own_tail": ("doc_id", "_text", F.col("until"), 1),
         "kept_head": ("head.doc_id", "head._text", F.col("head.first"), -1),

@@ -151,3 +151,69 @@ def test_stretches_equal_a_plain_fold():
             plain[-1]["own"].append(k)
         want = [(x["first"], x["until"], x["head"], x["own"][-1] + 1, x["tail"], list(dict.fromkeys(docs[k] for k in x["own"])), x["lost"]) for x in plain]
         assert paragraph_bands.stretches(first, size, docs) == want
+
+
+def test_band_keys_of_a_content_that_is_only_repeated_meet_nothing(spark):
+    """Sixteen keys of every repeated sentence used to be counted as keys of several contents."""
+    rng = np.random.default_rng(12)
+    same = [" ".join(words_of(rng, 20)) + "." for _ in range(5)]
+    near = words_of(rng, 30)
+    texts = [" ".join(same)] * 6 + [" ".join(near) + ".", " ".join([*near[:-1], "other"]) + "."]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(4, "doc_id")
+    twice = paragraph_bands._twice(docs).toPandas()
+    assert (twice["kind"] == 0).sum() >= 5
+    met = twice.loc[twice["kind"] == 1, "value"]
+    assert 0 < len(met) <= paragraph_bands.BANDS
+    banded = paragraph_bands._banded(docs, paragraph_bands._bitmap(spark.createDataFrame(met.to_frame()))).toPandas()
+    crowded = banded.groupby("key")["content"].nunique()
+    assert (crowded == 2).sum() == len(met) and banded["content"].nunique() == 2
+
+
+def test_tags_tell_contents_apart():
+    rng = np.random.default_rng(13)
+    keys, content = rng.integers(0, 1 << 63, (16, 1000), dtype=np.uint64), rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
+    tagged = paragraph_bands.tagged(keys, content)
+    assert (paragraph_bands.counted_as(tagged) == paragraph_bands.counted_as(keys)).all()
+    other = paragraph_bands.tagged(keys, content ^ np.uint64(1 << 63))
+    assert (tagged != other).all() and (tagged == paragraph_bands.tagged(keys, content)).all()
+    assert len(np.unique(paragraph_bands.counted_as(keys))) == keys.size
+
+
+def test_pairs_are_compared_as_larger_groups_are():
+    rng = np.random.default_rng(14)
+    sets = []
+    for _ in range(300):
+        a = rng.choice(10_000, int(rng.integers(1, 40)), replace=False)
+        b = np.append(a[int(rng.integers(0, 5)) :], rng.integers(10_000, 20_000, int(rng.integers(0, 4))))
+        sets += [np.sort(a), np.unique(b) if len(b) else a]
+    want = [paragraph_bands.similar(sets[k : k + 2])[0, 1] for k in range(0, len(sets), 2)]
+    got = paragraph_bands.alike_pairs(np.concatenate(sets), np.array([len(x) for x in sets]))
+    assert got.tolist() == want and 0 < sum(want) < 300
+
+
+def test_stretches_of_documents_cut_by_batches(spark):
+    """Documents whose rows lie in several batches are folded whole; repeated rows and null ids count once."""
+    rng = np.random.default_rng(15)
+    rows = []
+    for k in range(40):
+        doc = None if k % 10 == 3 else k // 2
+        for first in sorted(rng.choice(900, int(rng.integers(1, 30)), replace=False).tolist()):
+            rows += [(doc, k % 2, first, 12, int(rng.integers(0, 9)), (False, 0, 5, first, 12))] * int(rng.integers(1, 3))
+    schema = "doc_id long, _text long, first int, size int, class long, kept struct<none boolean, doc_id long, _text long, first int, size int>"
+    marked = spark.createDataFrame(rows, schema)
+    plain = {}
+    for r in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, *r[1:])):
+        plain.setdefault(r[:2], []).append(r)
+    want = sorted(
+        (str(doc), text, x[0], x[1], tuple(r[4] for r in own[x[2] : x[3]]), x[6])
+        for (doc, text), own in plain.items()
+        for x in paragraph_bands.stretches([r[2] for r in own], [r[3] for r in own], [0] * len(own))
+    )
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("7", "1024"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = sorted((str(r["doc_id"]), r["_text"], r["first"], r["until"], tuple(r["classes"]), r["lost"]) for r in paragraph_bands._stretches(marked).collect())
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
