@@ -1,5 +1,6 @@
 """What the operators of this package share: tables, cut points, byte-level text helpers."""
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -88,6 +89,27 @@ def null_safe_key(*names: str):
     return F.to_json(F.struct(*[F.col(x) for x in names]))
 
 
+def hand_back() -> None:
+    """Give memory that is no longer used back to the system (where its C library can)."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tidy(run):
+    """A task's function of batches that hands back its memory when it ends. Workers serve one
+    task after the other, and idle ones would hold about the most that any task took."""
+
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            hand_back()
+
+    return task
+
+
 def with_columns(df: DataFrame, added: str, of_batch, *inputs: str) -> DataFrame:
     """Append columns that a function of Arrow batches computes; all columns given are kept.
 
@@ -105,4 +127,4 @@ def with_columns(df: DataFrame, added: str, of_batch, *inputs: str) -> DataFrame
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *names])
 
     schema = rows.limit(0).selectExpr("*", *[f"CAST(NULL AS {x.split(' ', 1)[1]}) AS {x.split()[0]}" for x in added.split(", ")]).schema
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstead.llm.common import cut, texts_of
+from loomstead.llm.common import cut, texts_of, tidy
 from loomstead.llm.piece_cache import id_bytes
 
 CAPACITY = 2048
@@ -160,7 +160,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int
             ids = batch.column("doc_id").take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {PIECES}")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {id_type}, {PIECES}")
 
 
 def placed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -191,7 +191,7 @@ def placed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, "sequence_id", "offset"])
 
     schema = rows.limit(0).selectExpr("*", "0L AS sequence_id", "0L AS offset").schema
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(tidy(run), schema)
 
 
 def packed(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from loomstead.llm.common import IS_SPACE, cut, null_safe_key, texts_of
+from loomstead.llm.common import IS_SPACE, cut, null_safe_key, texts_of, tidy
 from loomstead.llm.groups import Sets, arranged, components, crowded, runs
 from loomstead.session import join_per_key
 
@@ -286,7 +286,7 @@ def _twice(docs: DataFrame) -> DataFrame:
             again = counted_as(again)
         return pd.DataFrame({"kind": kind, "value": np.unique(again).view(np.int64)})
 
-    sent = docs.select("text").mapInArrow(run, "shard int, kind int, numbers binary")
+    sent = docs.select("text").mapInArrow(tidy(run), "shard int, kind int, numbers binary")
     return sent.groupBy("shard", "kind").applyInPandas(repeated, "kind int, value bigint")
 
 
@@ -312,7 +312,7 @@ def _found(docs: DataFrame, known: np.ndarray) -> DataFrame:
             columns += [pa.array(size[some].astype(np.int32)), pa.array(content[some]), pa.array(crossing[some])]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "first", "size", "content", "crossing"])
 
-    return _rows(docs).mapInArrow(run, f"doc_id {id_type}, _text bigint, first int, size int, content bigint, crossing boolean")
+    return _rows(docs).mapInArrow(tidy(run), f"doc_id {id_type}, _text bigint, first int, size int, content bigint, crossing boolean")
 
 
 def _banded(docs: DataFrame, known: np.ndarray) -> DataFrame:
@@ -326,7 +326,7 @@ def _banded(docs: DataFrame, known: np.ndarray) -> DataFrame:
             band, at = np.nonzero(_is_set(known, counted_as(keys)))
             yield pa.RecordBatch.from_arrays([pa.array(keys[band, at].view(np.int64)), pa.array(content[some][at])], names=["key", "content"])
 
-    return docs.select("text").mapInArrow(run, "key bigint, content bigint").distinct()
+    return docs.select("text").mapInArrow(tidy(run), "key bigint, content bigint").distinct()
 
 
 def _is_set(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -368,7 +368,7 @@ def _where_known(rows: DataFrame, bitmap: np.ndarray, column: str, known: bool =
         for batch in batches:
             yield batch.filter(pa.array(_is_set(bitmap, batch.column(column).to_numpy()) == known))
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -391,7 +391,7 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array(content[some]), pa.array(sets, pa.list_(pa.int64()))], names=["content", "shingles"]
             )
 
-    found = docs.select("text").mapInArrow(run, "content bigint, shingles array<bigint>")
+    found = docs.select("text").mapInArrow(tidy(run), "content bigint, shingles array<bigint>")
     return found.join(wanted, "content", "left_semi").groupBy("content").agg(F.first("shingles").alias("shingles"))
 
 
@@ -458,7 +458,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     close = cut(crowded(_banded(docs, _bitmap(twice.filter("kind = 1").select("value")))))
     wanted = cut(close.select("content").distinct())
     fat = close.join(cut(_shingled(docs, wanted)), "content")
-    links = arranged(fat, "content", GROUP).mapInArrow(_linked, "a bigint, b bigint")
+    links = arranged(fat, "content", GROUP).mapInArrow(tidy(_linked), "a bigint, b bigint")
     roots = cut(components(links))
     # Only paragraphs and windows that may belong to a class of several documents are written.
     may = twice.filter("kind = 0").select("value").unionByName(roots.select(F.col("node").alias("value")))
@@ -555,7 +555,7 @@ def _listed(rows: DataFrame, of_list, schema: str, parts) -> DataFrame:
             columns += [pa.array([x[k.name] for own in found for x in own], k.type) for k in list(kinds)[2:]]
             yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
 
-    return own.mapInArrow(run, schema)
+    return own.mapInArrow(tidy(run), schema)
 
 
 def changes(rows: pa.RecordBatch, names: list[str]) -> np.ndarray:
@@ -609,7 +609,7 @@ def _stretches(marked: DataFrame) -> DataFrame:
 
     rows = marked.select(F.xxhash64("doc_id", "_text").alias("_doc"), *names)
     rows = rows.repartition("_doc").sortWithinPartitions("_doc", *names[:-1])
-    return rows.select(*names).mapInArrow(run, schema)
+    return rows.select(*names).mapInArrow(tidy(run), schema)
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -642,7 +642,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_text", "pos", "way", "context"])
 
     schema = f"doc_id {id_type}, _text bigint, pos int, way int, context array<bigint>"
-    out = met.select(some["doc_id"], some["_text"], "text", "places").mapInArrow(run, schema)
+    out = met.select(some["doc_id"], some["_text"], "text", "places").mapInArrow(tidy(run), schema)
     return out.dropDuplicates(["doc_id", "_text", "pos", "way"])
 
 
@@ -738,4 +738,4 @@ def cleaned(docs: DataFrame) -> DataFrame:
             columns[names.index("text")] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
 
-    return rest.union(rows.mapInArrow(run, docs.schema))
+    return rest.union(rows.mapInArrow(tidy(run), docs.schema))

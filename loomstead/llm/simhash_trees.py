@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstead.llm.common import cut, texts_of, with_columns
+from loomstead.llm.common import cut, texts_of, tidy, with_columns
 from loomstead.llm.groups import Sets, arranged, components, crowded, runs
 from loomstead.session import join_per_key
 
@@ -123,7 +123,7 @@ def _shards(column: str) -> str:
 def linked_fingerprints(prints: DataFrame) -> DataFrame:
     """(node, root) for the distinct fingerprints ``fp`` that have any link."""
     keyed = prints.select("fp", F.explode(F.expr(_shards("fp"))).alias("key"))
-    return components(arranged(crowded(keyed), "fp", SHARD).mapInArrow(_linked, "a bigint, b bigint"))
+    return components(arranged(crowded(keyed), "fp", SHARD).mapInArrow(tidy(_linked), "a bigint, b bigint"))
 
 
 def _classes(prints: DataFrame) -> DataFrame:

@@ -4,11 +4,13 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 from loomstead.llm import (
+    common,
     exact_packing,
     license_bands,
     nn_descent,
     overlap_tokens,
     paragraph_bands,
+    piece_cache,
     quota_mix,
     robust_outliers,
     simhash_trees,
@@ -114,3 +116,31 @@ def test_odd_vectors(spark):
     got = [tuple(r) for r in nn_descent.nearest(vectors, "vec_id % 20 = 0").orderBy("query_id", "rank").collect()]
     assert [g for g in got if g[0] == 0] == [(0, 1, 20, 2.0), (0, 2, 1, 1.0), (0, 3, 2, 0.5), (0, 4, 20, 0.0), (0, 5, 8, -3.0)]
     assert nn_descent.nearest(vectors.filter("vec_id < 0"), "vec_id % 20 = 0").collect() == []
+
+
+def test_tasks_hand_back_memory(monkeypatch):
+    """Also a task that fails, or whose rows are not all wanted."""
+    calls = []
+    monkeypatch.setattr(common, "hand_back", lambda: calls.append(1))
+    assert list(common.tidy(lambda batches: (2 * x for x in batches))([1, 2])) == [2, 4] and len(calls) == 1
+    some = common.tidy(iter)([1, 2])
+    assert next(some) == 1 and len(calls) == 1
+    some.close()
+    assert len(calls) == 2
+    with pytest.raises(ZeroDivisionError):
+        list(common.tidy(lambda batches: (1 // x for x in batches))([0]))
+    assert len(calls) == 3
+    monkeypatch.undo()
+    common.hand_back()
+
+
+def test_packing_keeps_a_third_of_the_pieces(monkeypatch):
+    monkeypatch.setattr(piece_cache, "CACHED", 600)
+    monkeypatch.setattr(piece_cache, "TOGETHER", 1)
+    pieces = piece_cache.id_bytes(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [" ".join("".join(chr(97 + (k * 40 + j) // 26**i % 26) for i in range(4)) for j in range(40)).encode() for k in range(30)]
+    most = 0
+    for text, ids in zip(texts, pieces.ids(texts), strict=True):
+        assert ids == pieces.whole(text.decode())
+        most = max(most, len(pieces.seen) + len(pieces.before))
+    assert most <= 300
